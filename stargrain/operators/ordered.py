@@ -27,9 +27,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID = "_sg_pid"
-_LRN = "_sg_lrn"
-_LCNT = "_sg_lcnt"
+_PID = "_sgo_pid"
+_LRN = "_sgo_lrn"
+_LCNT = "_sgo_lcnt"
 
 
 def _partitions(df: DataFrame, parts: int | None) -> int:
@@ -72,14 +72,14 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
 
     loc = laid.withColumn(_LRN, F.row_number().over(w)).withColumn(_LCNT, F.count(F.lit(1)).over(w_all))
     for out, c in prev.items():
-        loc = loc.withColumn(f"_sg_lp_{out}", F.lag(c, 1).over(w))
+        loc = loc.withColumn(f"_sgo_lp_{out}", F.lag(c, 1).over(w))
     for out, c in nxt.items():
-        loc = loc.withColumn(f"_sg_ln_{out}", F.lead(c, 1).over(w))
+        loc = loc.withColumn(f"_sgo_ln_{out}", F.lead(c, 1).over(w))
     for out, c in carry.items():
-        loc = loc.withColumn(f"_sg_lc_{out}", F.last(c, ignorenulls=True).over(w_upto))
+        loc = loc.withColumn(f"_sgo_lc_{out}", F.last(c, ignorenulls=True).over(w_upto))
 
     # One row per non-empty partition: its first and its last row (in key, order).
-    fields = keys + order + [_LCNT] + list(prev.values()) + [f"_sg_lc_{o}" for o in carry]
+    fields = keys + order + [_LCNT] + list(prev.values()) + [f"_sgo_lc_{o}" for o in carry]
     fields = list(dict.fromkeys(fields))
     first_fields = list(dict.fromkeys(keys + order + list(nxt.values())))
     bnd = loc.groupBy(_PID).agg(
@@ -95,41 +95,41 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     last_cols = [F.col(f"last.{k}").alias(k) for k in keys]
     incoming = bnd.select(F.col("_next_pid").alias(_PID), *last_cols,
                           F.col(f"last.{_LCNT}").alias(_LCNT),
-                          *[F.col(f"last.{c}").alias(f"_sg_bp_{o}") for o, c in prev.items()],
-                          *[F.col(f"last._sg_lc_{o}").alias(f"_sg_bc_{o}") for o in carry],
+                          *[F.col(f"last.{c}").alias(f"_sgo_bp_{o}") for o, c in prev.items()],
+                          *[F.col(f"last._sgo_lc_{o}").alias(f"_sgo_bc_{o}") for o in carry],
                           F.col(_PID).alias("_src_pid"))
     incoming = incoming.where(F.col(_PID).isNotNull())
-    incoming = incoming.withColumn("_sg_off", F.sum(_LCNT).over(
+    incoming = incoming.withColumn("_sgo_off", F.sum(_LCNT).over(
         Window.partitionBy(*keys).orderBy("_src_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     for o in carry:
-        incoming = incoming.withColumn(f"_sg_bc_{o}", F.last(f"_sg_bc_{o}", ignorenulls=True).over(
+        incoming = incoming.withColumn(f"_sgo_bc_{o}", F.last(f"_sgo_bc_{o}", ignorenulls=True).over(
             Window.partitionBy(*keys).orderBy("_src_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     incoming = incoming.drop(_LCNT, "_src_pid")
 
     outgoing = bnd.select(F.col("_prev_pid").alias(_PID), *[F.col(f"first.{k}").alias(k) for k in keys],
-                          *[F.col(f"first.{c}").alias(f"_sg_bn_{o}") for o, c in nxt.items()])
+                          *[F.col(f"first.{c}").alias(f"_sgo_bn_{o}") for o, c in nxt.items()])
     outgoing = outgoing.where(F.col(_PID).isNotNull())
 
     inc = F.broadcast(incoming.alias("inc"))
     j = out.alias("m").join(inc, _key_match("m", "inc", [_PID] + keys), "left")
     sel = [F.col(f"m.{c}") for c in out.columns]
-    sel += [F.col("inc._sg_off")] + [F.col(f"inc._sg_bp_{o}") for o in prev] + [F.col(f"inc._sg_bc_{o}") for o in carry]
+    sel += [F.col("inc._sgo_off")] + [F.col(f"inc._sgo_bp_{o}") for o in prev] + [F.col(f"inc._sgo_bc_{o}") for o in carry]
     out = j.select(*sel)
     if nxt:
         og = F.broadcast(outgoing.alias("og"))
         j = out.alias("m").join(og, _key_match("m", "og", [_PID] + keys), "left")
-        out = j.select(*[F.col(f"m.{c}") for c in out.columns], *[F.col(f"og._sg_bn_{o}") for o in nxt])
+        out = j.select(*[F.col(f"m.{c}") for c in out.columns], *[F.col(f"og._sgo_bn_{o}") for o in nxt])
 
     if seq:
-        out = out.withColumn(seq, (F.col(_LRN) + F.coalesce(F.col("_sg_off"), F.lit(0))).cast("int"))
+        out = out.withColumn(seq, (F.col(_LRN) + F.coalesce(F.col("_sgo_off"), F.lit(0))).cast("int"))
     for o in prev:
-        out = out.withColumn(o, F.when(F.col(_LRN) == 1, F.col(f"_sg_bp_{o}")).otherwise(F.col(f"_sg_lp_{o}")))
+        out = out.withColumn(o, F.when(F.col(_LRN) == 1, F.col(f"_sgo_bp_{o}")).otherwise(F.col(f"_sgo_lp_{o}")))
     for o in nxt:
-        out = out.withColumn(o, F.when(F.col(_LRN) == F.col(_LCNT), F.col(f"_sg_bn_{o}"))
-                             .otherwise(F.col(f"_sg_ln_{o}")))
+        out = out.withColumn(o, F.when(F.col(_LRN) == F.col(_LCNT), F.col(f"_sgo_bn_{o}"))
+                             .otherwise(F.col(f"_sgo_ln_{o}")))
     for o in carry:
-        out = out.withColumn(o, F.coalesce(F.col(f"_sg_lc_{o}"), F.col(f"_sg_bc_{o}")))
-    drop = [c for c in out.columns if c.startswith("_sg_")]
+        out = out.withColumn(o, F.coalesce(F.col(f"_sgo_lc_{o}"), F.col(f"_sgo_bc_{o}")))
+    drop = [c for c in out.columns if c.startswith("_sgo_")]
     return out.drop(*drop)
 
 

@@ -18,8 +18,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stargrain.functions import keys as K
+from stargrain.functions import rules as R
+from stargrain.functions.text import (contains_any, first_match, lat_from_point, long_from_point, parse_date,
+                                      point_text, regex_replace)
+from stargrain.operators.cleanse import CANDIDATES, cleanse, field_types
 from stargrain.operators.dims import hash_dimension
 from stargrain.operators.joins import lookup_key
+from stargrain.operators.profile import outlier_counts, pattern_histogram, profile
+from stargrain.operators.reshape import regex_parse, select_map, split_to_rows, union_all
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -76,3 +82,345 @@ def q_fact_key_lookup(spark, d):
                       "customer_key", "o_totalprice") \
         .withColumn("customer_bk", F.when(F.col("customer_key").isNotNull(), F.col("customer_bk_raw"))) \
         .select("o_orderkey", "o_custkey", "customer_bk", "customer_key", "o_totalprice")
+
+
+# ---------------------------------------------------------------------------
+# Union by name and source-file column
+# ---------------------------------------------------------------------------
+@query("union_parties", """
+SELECT c_custkey AS party_key, c_name AS party_name, c_nationkey AS nation_key, c_acctbal AS acct_balance,
+       c_mktsegment AS segment, 'customer' AS party_type, 'customer.parquet' AS source_file FROM customer
+UNION ALL
+SELECT s_suppkey, s_name, s_nationkey, s_acctbal, NULL, 'supplier', 'supplier.parquet' FROM supplier
+""")
+def q_union_parties(spark, d):
+    cust = select_map(with_source_file(table(spark, d, "customer")),
+                      {"c_custkey": "party_key", "c_name": "party_name", "c_nationkey": "nation_key",
+                       "c_acctbal": "acct_balance", "c_mktsegment": "segment", "source_file": "source_file"})
+    supp = select_map(with_source_file(table(spark, d, "supplier")),
+                      {"s_suppkey": "party_key", "s_name": "party_name", "s_nationkey": "nation_key",
+                       "s_acctbal": "acct_balance", "source_file": "source_file"})
+    return union_all([cust.withColumn("party_type", F.lit("customer")),
+                      supp.withColumn("party_type", F.lit("supplier"))])
+
+
+def with_source_file(df: DataFrame, name: str = "source_file") -> DataFrame:
+    """File of origin of each row, from the scan's hidden metadata."""
+    return df.withColumn(name, F.col("_metadata.file_name"))
+
+
+# ---------------------------------------------------------------------------
+# Cleanse (R7, F5)
+# ---------------------------------------------------------------------------
+_WS_SQL = "[ \\t\\n\\r\\f]+"
+
+
+@query("cleanse_text", f"""
+SELECT doc_id, lang, source, trim(regexp_replace(text, '{_WS_SQL}', ' ', 'g')) AS text_clean,
+       CAST(length(trim(regexp_replace(text, '{_WS_SQL}', ' ', 'g'))) AS INTEGER) AS clean_chars
+FROM documents
+WHERE (doc_id IS NOT NULL) OR (trim(coalesce(lang, '')) <> '') OR (trim(coalesce(source, '')) <> '')
+   OR (trim(coalesce(regexp_replace(text, '{_WS_SQL}', ' ', 'g'), '')) <> '')
+""")
+def q_cleanse_text(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", F.col("text").alias("text_clean"))
+    out = cleanse(docs, ["text_clean"], collapse=True, trim=True, drop_null_rows=True)
+    return out.withColumn("clean_chars", F.length("text_clean"))
+
+
+# ---------------------------------------------------------------------------
+# Profile, value patterns, AutoField
+# ---------------------------------------------------------------------------
+_ORDERS_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+
+
+def _profile_sql(tbl: str, cols: list[tuple[str, str]]) -> str:
+    parts = []
+    for i, (c, t) in enumerate(cols, start=1):
+        s = t == "string"
+        parts.append(
+            f"SELECT {i} AS ordinal, '{c}' AS column_name, '{t}' AS data_type, count(*) AS n_rows, "
+            f"count(*) FILTER (WHERE {c} IS NULL) AS n_nulls, "
+            + (f"count(*) FILTER (WHERE trim(CAST({c} AS VARCHAR)) = '') AS n_blank, " if s else "CAST(0 AS BIGINT) AS n_blank, ")
+            + f"count(DISTINCT {c}) AS n_distinct, "
+            + (f"CAST(min(length({c})) AS INTEGER) AS min_len, CAST(max(length({c})) AS INTEGER) AS max_len "
+               if s else "CAST(NULL AS INTEGER) AS min_len, CAST(NULL AS INTEGER) AS max_len ")
+            + f"FROM {tbl}")
+    return "\nUNION ALL\n".join(parts)
+
+
+@query("profile_orders", _profile_sql("orders", _ORDERS_COLS))
+def q_profile_orders(spark, d):
+    return profile(table(spark, d, "orders"))
+
+
+_PAT_SQL = "regexp_replace(regexp_replace(CAST({c} AS VARCHAR), '[0-9]', '9', 'g'), '[A-Za-z]', 'A', 'g')"
+
+
+@query("profile_patterns", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, {_PAT_SQL.format(c=c)} AS pattern, count(*) AS n FROM customer GROUP BY 2"
+    for c in ["c_custkey", "c_name", "c_mktsegment"]))
+def q_profile_patterns(spark, d):
+    return pattern_histogram(table(spark, d, "customer"), ["c_custkey", "c_name", "c_mktsegment"])
+
+
+@query("profile_outliers")
+def q_profile_outliers(spark, d):
+    """IQR fences from an approximate quantile sketch: no exact SQL twin."""
+    return outlier_counts(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+
+
+def _orders_as_text(orders: DataFrame) -> DataFrame:
+    return orders.select(
+        *[F.col(c).cast("string").alias(c) for c, _ in _ORDERS_COLS],
+        F.to_date("o_orderdate").cast("string").alias("order_day"),
+        (F.col("o_orderstatus") == "F").cast("string").alias("is_final"),
+    )
+
+
+def _auto_field_sql() -> str:
+    cols = [c for c, _ in _ORDERS_COLS] + ["order_day", "is_final"]
+    src = ", ".join([f"CAST({c} AS VARCHAR) AS {c}" for c, _ in _ORDERS_COLS]
+                    + ["CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_day",
+                       "CAST(o_orderstatus = 'F' AS VARCHAR) AS is_final"])
+    parts = []
+    for i, c in enumerate(cols, start=1):
+        cases = []
+        for name, pat, rng in CANDIDATES:
+            if name == "boolean":
+                ok = f"lower({c}) IN ('true', 'false')"
+            else:
+                ok = f"regexp_matches({c}, '{pat}')"
+                if rng:
+                    ok += f" AND TRY_CAST({c} AS DECIMAL(38,0)) BETWEEN {rng[0]} AND {rng[1]}"
+            cases.append(f"WHEN coalesce(bool_and({ok}) FILTER (WHERE {c} IS NOT NULL), false) THEN '{name}'")
+        parts.append(f"SELECT {i} AS ordinal, '{c}' AS column_name, CASE WHEN count({c}) = 0 THEN 'string' "
+                     + " ".join(cases) + f" ELSE 'string' END AS inferred_type, count({c}) AS n_values FROM t")
+    return f"WITH t AS (SELECT {src} FROM orders)\n" + "\nUNION ALL\n".join(parts)
+
+
+@query("auto_field_types", _auto_field_sql())
+def q_auto_field_types(spark, d):
+    return field_types(_orders_as_text(table(spark, d, "orders")))
+
+
+# ---------------------------------------------------------------------------
+# Validity flags, dates, rule tables
+# ---------------------------------------------------------------------------
+def _zip_of(acctbal: str, nation: str):
+    z = F.floor(F.col(acctbal) * 10).cast("bigint").cast("string")
+    return F.when(F.col(acctbal) >= 5000, F.concat(z, F.lit("-"), F.lpad(F.col(nation).cast("string"), 4, "0"))) \
+        .otherwise(z)
+
+
+_ZIP_SQL = ("CASE WHEN c_acctbal >= 5000 THEN CAST(CAST(floor(c_acctbal * 10) AS BIGINT) AS VARCHAR) || '-' || "
+            "lpad(CAST(c_nationkey AS VARCHAR), 4, '0') ELSE CAST(CAST(floor(c_acctbal * 10) AS BIGINT) AS VARCHAR) END")
+
+
+@query("validity_flags", f"""
+WITH c AS (SELECT c_custkey, c_name, c_mktsegment, nullif(c_mktsegment, 'BUILDING') AS results, {_ZIP_SQL} AS zip_code
+           FROM customer)
+SELECT c_custkey, zip_code,
+  (c_name IS NULL OR c_name = '') AS is_name_blank,
+  (c_mktsegment IS NULL OR c_mktsegment = '') AS is_date_blank,
+  (results IS NULL OR results = '') AS is_results_blank,
+  (zip_code IS NULL OR NOT regexp_full_match(zip_code, '\\d{{5}}(-\\d{{4}})?')) AS is_zip_invalid,
+  (CAST(c_custkey AS VARCHAR) IS NULL OR CAST(c_custkey AS VARCHAR) = '') AS is_id_blank,
+  NOT (c_name IS NULL OR c_name = '') AND NOT (c_mktsegment IS NULL OR c_mktsegment = '')
+   AND NOT (results IS NULL OR results = '') AND NOT (zip_code IS NULL OR NOT regexp_full_match(zip_code, '\\d{{5}}(-\\d{{4}})?'))
+   AND NOT (CAST(c_custkey AS VARCHAR) IS NULL OR CAST(c_custkey AS VARCHAR) = '') AS is_valid_record
+FROM c
+""")
+def q_validity_flags(spark, d):
+    c = table(spark, d, "customer").withColumn("zip_code", _zip_of("c_acctbal", "c_nationkey")) \
+        .withColumn("results", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")))
+    flags = R.validity_flags("c_name", "c_mktsegment", "results", "zip_code", F.col("c_custkey").cast("string"))
+    return c.select("c_custkey", "zip_code", *[v.alias(k) for k, v in flags.items()])
+
+
+@query("parse_dates", """
+WITH t AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN strftime(o_orderdate, '%d.%m.%Y')
+                                    ELSE strftime(o_orderdate, '%Y/%m/%d') END AS date_text FROM orders)
+SELECT o_orderkey, date_text, CAST(try_strptime(date_text, '%Y/%m/%d') AS DATE) AS order_date,
+  CAST(year(CAST(try_strptime(date_text, '%Y/%m/%d') AS DATE)) AS INTEGER) AS order_year,
+  CAST(month(CAST(try_strptime(date_text, '%Y/%m/%d') AS DATE)) AS INTEGER) AS order_month,
+  CAST(quarter(CAST(try_strptime(date_text, '%Y/%m/%d') AS DATE)) AS INTEGER) AS order_quarter
+FROM t
+""")
+def q_parse_dates(spark, d):
+    o = table(spark, d, "orders")
+    txt = F.when(F.col("o_orderstatus") == "P", F.date_format("o_orderdate", "dd.MM.yyyy")) \
+        .otherwise(F.date_format("o_orderdate", "yyyy/MM/dd"))
+    o = o.select("o_orderkey", txt.alias("date_text")).withColumn("order_date", parse_date("date_text", "yyyy/MM/dd"))
+    return o.select("o_orderkey", "date_text", "order_date", F.year("order_date").alias("order_year"),
+                    F.month("order_date").alias("order_month"), F.quarter("order_date").alias("order_quarter"))
+
+
+# Analogue: the order priority stands for the free-text inspection result.
+def results_text():
+    p, s = F.col("o_orderpriority"), F.col("o_orderstatus")
+    return first_match([
+        ((s == "P") & (p == "5-LOW"), "Business Not Located"),
+        ((s == "O") & (p == "4-NOT SPECIFIED"), "Closed"),
+        (p == "1-URGENT", "Fail"),
+        (p == "2-HIGH", "Pass w/ Conditions"),
+        (p == "3-MEDIUM", "Pass"),
+        (p == "4-NOT SPECIFIED", "No Entry"),
+        (p == "5-LOW", "Out of Business"),
+    ], None)
+
+
+_RESULTS_SQL = """CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'Business Not Located'
+  WHEN o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED' THEN 'Closed'
+  WHEN o_orderpriority = '1-URGENT' THEN 'Fail' WHEN o_orderpriority = '2-HIGH' THEN 'Pass w/ Conditions'
+  WHEN o_orderpriority = '3-MEDIUM' THEN 'Pass' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'No Entry'
+  WHEN o_orderpriority = '5-LOW' THEN 'Out of Business' END"""
+_RESULT_STD_SQL = """CASE WHEN results = 'Pass' THEN 'PASS' WHEN results = 'Pass w/ Conditions' THEN 'PASS_CONDITIONS'
+  WHEN results = 'Fail' THEN 'FAIL' WHEN results = 'No Entry' THEN 'NO_ENTRY' WHEN results = 'Out of Business'
+  THEN 'OUT_OF_BUSINESS' WHEN results = 'Business Not Located' THEN 'NOT_LOCATED' ELSE 'OTHER' END"""
+
+
+@query("status_map", f"""
+WITH t AS (SELECT o_orderkey, {_RESULTS_SQL} AS results FROM orders)
+SELECT o_orderkey, results,
+  CAST(CASE WHEN results = 'Pass' THEN 90 WHEN results = 'Pass w/ Conditions' THEN 80 WHEN results = 'Fail' THEN 70
+            WHEN results = 'No Entry' THEN 0 END AS INTEGER) AS score,
+  {_RESULT_STD_SQL} AS results_std
+FROM t
+""")
+def q_status_map(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", results_text().alias("results"))
+    return o.select("o_orderkey", "results", R.city_a_score("results").alias("score"),
+                    R.city_a_result("results").alias("results_std"))
+
+
+def _num_sql(x: str) -> str:
+    return f"coalesce(TRY_CAST(nullif(regexp_extract(trim(CAST({x} AS VARCHAR)), '^-?[0-9]+(\\.[0-9]+)?', 0), '') AS DOUBLE), 0)"
+
+
+@query("score_bands", f"""
+WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+   CASE WHEN l_quantity = 50 THEN NULL ELSE CAST(CAST(2 * l_quantity AS INTEGER) AS VARCHAR) END AS score_text,
+   CAST(round(l_discount * 100) AS INTEGER) AS points FROM lineitem)
+SELECT *,
+  CASE WHEN score_text IS NULL THEN 'UNKNOWN' WHEN {_num_sql('score_text')} >= 90 THEN 'PASS'
+       WHEN {_num_sql('score_text')} >= 70 THEN 'PASS_CONDITIONS' WHEN {_num_sql('score_text')} < 70 THEN 'FAIL'
+       ELSE 'UNKNOWN' END AS result,
+  CASE WHEN {_num_sql('points')} >= 10 THEN 'Critical' WHEN {_num_sql('points')} >= 6 THEN 'Serious'
+       WHEN {_num_sql('points')} >= 3 THEN 'Moderate' ELSE 'Minor' END AS severity,
+  CASE WHEN {_num_sql('score_text')} >= 90 THEN 'Low Risk' WHEN {_num_sql('score_text')} >= 70 THEN 'Medium Risk'
+       ELSE 'High Risk' END AS risk
+FROM t
+""")
+def q_score_bands(spark, d):
+    li = table(spark, d, "lineitem")
+    t = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                  F.when(F.col("l_quantity") == 50, F.lit(None).cast("string"))
+                   .otherwise((2 * F.col("l_quantity")).cast("int").cast("string")).alias("score_text"),
+                  F.round(F.col("l_discount") * 100).cast("int").alias("points"))
+    return t.select("*", R.score_result("score_text").alias("result"), R.points_severity("points").alias("severity"),
+                    R.score_risk("score_text").alias("risk"))
+
+
+def _contains_sql(c: str, words) -> str:
+    return "coalesce(" + " OR ".join(f"contains(upper({c}), '{w.upper()}')" for w in words) + ", false)"
+
+
+@query("keyword_flags", f"""
+SELECT doc_id,
+  {_contains_sql('text', R.CITY_A_TEXT_CRITICAL)} AS text_critical,
+  {_contains_sql('text', R.CITY_A_TEXT_URGENT)} AS text_urgent,
+  ({_contains_sql('text', R.CITY_B_DESC_CRITICAL)} OR {_contains_sql('source', R.CITY_B_COMMENT_CRITICAL)}
+   OR {_num_sql('CAST(n_chars % 13 AS VARCHAR)')} >= 8) AS line_critical,
+  ({_contains_sql('text', R.CITY_B_DESC_URGENT)} OR {_contains_sql('source', R.CITY_B_COMMENT_URGENT)}
+   OR {_num_sql('CAST(n_chars % 13 AS VARCHAR)')} >= 10) AS line_urgent,
+  {_contains_sql('text', ['license'])} AS has_license,
+  {_contains_sql('text', ['password', 'secret', 'api_key', 'token'])} AS has_secret
+FROM documents
+""")
+def q_keyword_flags(spark, d):
+    docs = table(spark, d, "documents")
+    crit, urg = R.city_a_text_flags("text")
+    points = (F.col("n_chars") % 13).cast("string")
+    bcrit, burg = R.city_b_violation_flags("text", "source", points)
+    return docs.select("doc_id", crit.alias("text_critical"), urg.alias("text_urgent"),
+                       bcrit.alias("line_critical"), burg.alias("line_urgent"),
+                       contains_any("text", ["license"]).alias("has_license"),
+                       contains_any("text", ["password", "secret", "api_key", "token"]).alias("has_secret"))
+
+
+# ---------------------------------------------------------------------------
+# Text to rows, regex parse and replace
+# ---------------------------------------------------------------------------
+@query("split_lines", """
+SELECT doc_id, CAST(generate_subscripts(parts, 1) AS INTEGER) AS line_no, unnest(parts) AS line
+FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)
+""")
+def q_split_lines(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("line"))
+    return split_to_rows(docs, "line", "\n", pos="line_no").select("doc_id", "line_no", "line")
+
+
+@query("split_url_segments", """
+SELECT page_id, CAST(generate_subscripts(parts, 1) AS INTEGER) AS seg_no, unnest(parts) AS segment
+FROM (SELECT page_id, string_split(url, '/') AS parts FROM pages)
+""")
+def q_split_url_segments(spark, d):
+    pages = table(spark, d, "pages").select("page_id", F.col("url").alias("segment"))
+    return split_to_rows(pages, "segment", "/", pos="seg_no").select("page_id", "seg_no", "segment")
+
+
+# The violation pattern of the reference's packed violation text.
+VIOLATION_PATTERN = r"(\d+)\.\s*([^-]+?)\s*-\s*Comments:\s*(.+?)\s*$"
+
+
+def _packed_part_sql() -> str:
+    return ("CAST(p_size AS VARCHAR) || '. ' || upper(p_name) || CASE WHEN p_type = 'PROMO' THEN '-SPECIAL' ELSE '' END"
+            " || CASE WHEN p_type = 'ECONOMY' THEN ' - comments: ' ELSE ' - Comments: ' END || p_type || ' ' || p_brand")
+
+
+@query("regex_parse_brand", f"""
+WITH t AS (SELECT p_partkey, {_packed_part_sql()} AS packed FROM part)
+SELECT p_partkey, packed,
+  nullif(regexp_extract(packed, '(?i){VIOLATION_PATTERN}', 1), '') AS violation_code,
+  nullif(regexp_extract(packed, '(?i){VIOLATION_PATTERN}', 2), '') AS violation_description,
+  nullif(regexp_extract(packed, '(?i){VIOLATION_PATTERN}', 3), '') AS violation_comments,
+  nullif(regexp_extract(packed, '(?i)brand#(\\d+)', 1), '') AS brand_no
+FROM t
+""")
+def q_regex_parse_brand(spark, d):
+    p = table(spark, d, "part")
+    packed = F.concat(p.p_size.cast("string"), F.lit(". "), F.upper("p_name"),
+                      F.when(F.col("p_type") == "PROMO", F.lit("-SPECIAL")).otherwise(F.lit("")),
+                      F.when(F.col("p_type") == "ECONOMY", F.lit(" - comments: ")).otherwise(F.lit(" - Comments: ")),
+                      F.col("p_type"), F.lit(" "), F.col("p_brand"))
+    t = p.select("p_partkey", packed.alias("packed"))
+    t = regex_parse(t, "packed", VIOLATION_PATTERN,
+                    ["violation_code", "violation_description", "violation_comments"], ignore_case=True)
+    return regex_parse(t, "packed", r"brand#(\d+)", ["brand_no"], ignore_case=True)
+
+
+@query("regex_replace_point", """
+WITH t AS (SELECT event_id, props,
+   CAST(CAST(value AS DECIMAL(12,2)) AS VARCHAR) AS lat, CAST(CAST(-value AS DECIMAL(12,2)) AS VARCHAR) AS lon
+   FROM events),
+p AS (SELECT event_id, regexp_replace(props, '^\\{"k": (\\d+)\\}$', '\\1') AS k_text,
+   CASE WHEN lat IS NOT NULL AND lat <> '' AND lon IS NOT NULL AND lon <> '' THEN '(' || lat || ', ' || lon || ')'
+        ELSE '' END AS location FROM t)
+SELECT event_id, k_text, location,
+  CASE WHEN location IS NOT NULL AND location <> '' AND contains(location, '(') AND contains(location, ',')
+       THEN trim(regexp_replace(location, '^.*\\(([\\-\\d\\.]+)\\s*,.*$', '\\1')) ELSE '' END AS latitude,
+  CASE WHEN location IS NOT NULL AND location <> '' AND contains(location, '(') AND contains(location, ',')
+        AND contains(location, ')')
+       THEN trim(regexp_replace(location, '^[^\\(]*\\([^\\,]*,\\s*([\\-\\d\\.]+)[\\)\\s].*$', '\\1')) ELSE '' END
+       AS longitude
+FROM p
+""")
+def q_regex_replace_point(spark, d):
+    e = table(spark, d, "events")
+    t = e.select("event_id", regex_replace("props", r'^\{"k": (\d+)\}$', "$1").alias("k_text"),
+                 point_text(F.col("value").cast("decimal(12,2)").cast("string"),
+                            (-F.col("value")).cast("decimal(12,2)").cast("string")).alias("location"))
+    return t.select("event_id", "k_text", "location", lat_from_point("location").alias("latitude"),
+                    long_from_point("location").alias("longitude"))
