@@ -19,13 +19,20 @@ from pyspark.sql import functions as F
 
 from stargrain.functions import keys as K
 from stargrain.functions import rules as R
-from stargrain.functions.text import (contains_any, first_match, lat_from_point, long_from_point, parse_date,
+from stargrain.functions.text import (bool_text, contains_any, double_or_null, first_match, int_or_null,
+                                      lat_from_point, long_from_point, lower_or_null, pad_left, parse_date,
                                       point_text, regex_replace)
 from stargrain.operators.cleanse import CANDIDATES, cleanse, field_types
 from stargrain.operators.dims import hash_dimension
-from stargrain.operators.joins import lookup_key
+from stargrain.operators.joins import bounded_broadcast, lookup_key, semi_join
+from stargrain.operators.ordered import sequence
+from stargrain.operators.quality import Expectation, kept, metrics, quarantine
+from stargrain.operators.rows import distinct_keys, unique_first, with_total
+from stargrain.operators.summarize import (any_true, attach_summary, concat_agg, count_by, having, mode_agg,
+                                           summarize)
 from stargrain.operators.profile import outlier_counts, pattern_histogram, profile
-from stargrain.operators.reshape import regex_parse, select_map, split_to_rows, union_all
+from stargrain.operators.reshape import (cross_tab, regex_parse, select_map, slots_to_rows, split_to_rows,
+                                        union_all, unpivot)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -424,3 +431,310 @@ def q_regex_replace_point(spark, d):
                             (-F.col("value")).cast("decimal(12,2)").cast("string")).alias("location"))
     return t.select("event_id", "k_text", "location", lat_from_point("location").alias("latitude"),
                     long_from_point("location").alias("longitude"))
+
+
+# ---------------------------------------------------------------------------
+# Unpivot, cross tab, slot groups
+# ---------------------------------------------------------------------------
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]  # unique in lineitem
+MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("unpivot_measures", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, measure_name, measure_value
+FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax
+               FROM lineitem)
+      ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME measure_name VALUE measure_value)
+""")
+def q_unpivot_measures(spark, d):
+    return unpivot(table(spark, d, "lineitem"), LINE_KEYS, MEASURES, "measure_name", "measure_value")
+
+
+@query("cross_tab_measures", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem
+""")
+def q_cross_tab_measures(spark, d):
+    """Unpivot then CrossTab back (First): the identity on a unique key."""
+    long = unpivot(table(spark, d, "lineitem"), LINE_KEYS, MEASURES, "measure_name", "measure_value")
+    return cross_tab(long, LINE_KEYS, "measure_name", "measure_value", MEASURES, agg="first")
+
+
+@query("slots_to_rows", """
+SELECT l_orderkey, l_linenumber, sum(l_quantity) AS qty, max(l_partkey) AS max_part
+FROM lineitem GROUP BY l_orderkey, l_linenumber
+""")
+def q_slots_to_rows(spark, d):
+    """Lines of an order side by side (one slot group per line number, CrossTab
+    with sum/max), then the slot groups back to rows (R4, narrow ``inline``)."""
+    li = table(spark, d, "lineitem")
+    wide = li.groupBy("l_orderkey").pivot("l_linenumber").agg(
+        F.sum("l_quantity").alias("qty"), F.max("l_partkey").alias("max_part"))
+    slots = sorted({int(c.split("_", 1)[0]) for c in wide.columns if c != "l_orderkey"})
+    return slots_to_rows(wide, ["l_orderkey"], [{"qty": f"{i}_qty", "max_part": f"{i}_max_part"} for i in slots],
+                         slot_col="l_linenumber")
+
+
+# ---------------------------------------------------------------------------
+# Keep-first, sequence, summaries and join-back
+# ---------------------------------------------------------------------------
+_LI_ALL = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+           "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query("unique_first", """
+SELECT * FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+  ORDER BY l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
+           l_linestatus) = 1
+""")
+def q_unique_first(spark, d):
+    return unique_first(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"],
+                        ["l_shipdate", "l_partkey", "l_suppkey"])
+
+
+@query("line_sequence", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INTEGER) AS line_seq
+FROM lineitem
+""")
+def q_line_sequence(spark, d):
+    li = table(spark, d, "lineitem").select(*LINE_KEYS)
+    return sequence(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], out="line_seq")
+
+
+def order_summary(li: DataFrame) -> DataFrame:
+    return summarize(li, ["l_orderkey"], {
+        "line_count": F.count("l_partkey"),
+        "all_parts": concat_agg("l_partkey", "|", ["l_linenumber", "l_partkey", "l_suppkey"]),
+        "any_returned": any_true(F.col("l_returnflag") == "R"),
+        "total_qty": F.sum("l_quantity"),
+        "total_price": F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).cast("decimal(18,2)"),
+        "max_line": F.max("l_linenumber"),
+        "mode_flag": mode_agg("l_returnflag"),
+    })
+
+
+@query("summarize_orders", """
+WITH m AS (SELECT l_orderkey, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL),
+mode AS (SELECT l_orderkey, arg_min(l_returnflag, (-n, l_returnflag)) AS mode_flag FROM m GROUP BY l_orderkey)
+SELECT l.l_orderkey, count(l_partkey) AS line_count,
+  string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_linenumber, l_partkey, l_suppkey) AS all_parts,
+  coalesce(bool_or(l_returnflag = 'R'), false) AS any_returned, sum(l_quantity) AS total_qty,
+  CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DECIMAL(18,2)) AS total_price,
+  max(l_linenumber) AS max_line, any_value(mode.mode_flag) AS mode_flag
+FROM lineitem l JOIN mode USING (l_orderkey) GROUP BY l.l_orderkey
+""")
+def q_summarize_orders(spark, d):
+    return order_summary(table(spark, d, "lineitem"))
+
+
+@query("attach_summary", """
+WITH s AS (SELECT l_orderkey, count(l_partkey) AS line_count, sum(l_quantity) AS order_qty,
+                  coalesce(bool_or(l_returnflag = 'R'), false) AS any_returned FROM lineitem GROUP BY l_orderkey)
+SELECT l.l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, line_count, order_qty, any_returned,
+       l_quantity / order_qty AS qty_share
+FROM lineitem l JOIN s USING (l_orderkey)
+""")
+def q_attach_summary(spark, d):
+    li = table(spark, d, "lineitem")
+    s = summarize(li, ["l_orderkey"], {"line_count": F.count("l_partkey"), "order_qty": F.sum("l_quantity"),
+                                       "any_returned": any_true(F.col("l_returnflag") == "R")})
+    out = attach_summary(li.select(*LINE_KEYS, "l_quantity"), s, ["l_orderkey"])
+    return out.withColumn("qty_share", F.col("l_quantity") / F.col("order_qty"))
+
+
+# ---------------------------------------------------------------------------
+# Semi-joins, IN (subquery HAVING LIMIT), counts
+# ---------------------------------------------------------------------------
+@query("semi_join_keys", """
+SELECT * FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
+""")
+def q_semi_join_keys(spark, d):
+    li = table(spark, d, "lineitem").where(F.col("l_returnflag") == "R")
+    keys = distinct_keys(li, ["l_orderkey"]).withColumnRenamed("l_orderkey", "o_orderkey")
+    return semi_join(table(spark, d, "orders"), keys, ["o_orderkey"])
+
+
+@query("in_having_limit", """
+SELECT * FROM orders WHERE o_custkey IN (
+  SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 1 ORDER BY o_custkey LIMIT 5)
+""")
+def q_in_having_limit(spark, d):
+    """The 5 smallest keys with more than one row, then all their rows.  The
+    limit is the feature (a sample of keys for a report); the key list is
+    5 rows by construction, so it is broadcast."""
+    o = table(spark, d, "orders")
+    keys = having(o, ["o_custkey"], 1).select("o_custkey").orderBy("o_custkey").limit(5)
+    return o.join(bounded_broadcast(keys, 5, known_bound=5), "o_custkey", "left_semi")
+
+
+@query("flag_counts", """
+SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL
+""")
+def q_flag_counts(spark, d):
+    return count_by(table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"])
+
+
+@query("distinct_vs_rows", """
+SELECT count(DISTINCT l_orderkey) AS unique_orders, count(*) AS total_lines FROM lineitem
+""")
+def q_distinct_vs_rows(spark, d):
+    return table(spark, d, "lineitem").agg(F.count_distinct("l_orderkey").alias("unique_orders"),
+                                           F.count(F.lit(1)).alias("total_lines"))
+
+
+@query("having_top", """
+SELECT l_returnflag, l_linestatus, l_discount, l_tax, l_suppkey, count(*) AS n FROM lineitem
+GROUP BY ALL HAVING count(*) > 5 ORDER BY n DESC, l_returnflag, l_linestatus, l_discount, l_tax, l_suppkey LIMIT 1
+""")
+def q_having_top(spark, d):
+    """GROUP BY 5 columns HAVING COUNT(*) > 5, pick one (ordered, so the pick
+    is deterministic).  Top-1 is a distributed take-ordered."""
+    by = ["l_returnflag", "l_linestatus", "l_discount", "l_tax", "l_suppkey"]
+    g = having(table(spark, d, "lineitem"), by, 5)
+    return g.orderBy(F.col("n").desc(), *by).limit(1)
+
+
+@query("total_over", """
+SELECT o_orderkey, o_custkey, o_orderstatus, count(*) OVER () AS total_rows FROM orders
+""")
+def q_total_over(spark, d):
+    return with_total(table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+
+
+@query("numeric_filter", """
+WITH s AS (SELECT l_orderkey, CAST(CAST(sum(l_quantity) AS INTEGER) AS VARCHAR) AS score_text,
+                  CAST(count(*) AS VARCHAR) AS count_text FROM lineitem GROUP BY l_orderkey)
+SELECT * FROM s WHERE TRY_CAST(score_text AS INTEGER) >= 90 AND TRY_CAST(count_text AS INTEGER) > 3
+""")
+def q_numeric_filter(spark, d):
+    s = summarize(table(spark, d, "lineitem"), ["l_orderkey"], {
+        "score_text": F.sum("l_quantity").cast("int").cast("string"),
+        "count_text": F.count(F.lit(1)).cast("string")})
+    return s.where((F.col("score_text").try_cast("int") >= 90) & (F.col("count_text").try_cast("int") > 3))
+
+
+# ---------------------------------------------------------------------------
+# Identity text: md5 ids, addresses, zip padding
+# ---------------------------------------------------------------------------
+@query("hash_id", """
+SELECT o_orderkey, md5(CAST(o_custkey AS VARCHAR) || '|' || strftime(o_orderdate, '%Y-%m-%d')) AS inspection_id,
+       'DALLAS-' || md5(CAST(o_custkey AS VARCHAR) || '|' || strftime(o_orderdate, '%Y-%m-%d')) AS license_number
+FROM orders
+""")
+def q_hash_id(spark, d):
+    o = table(spark, d, "orders")
+    iid = F.md5(F.concat(o.o_custkey.cast("string"), F.lit("|"), F.date_format("o_orderdate", "yyyy-MM-dd")))
+    return o.select("o_orderkey", iid.alias("inspection_id"),
+                    F.concat(F.lit("DALLAS-"), iid).alias("license_number"))
+
+
+@query("address_zip", """
+SELECT c_custkey,
+  trim(coalesce(CAST(c_custkey AS VARCHAR), '') || ' ' ||
+       CASE WHEN n_name IS NOT NULL AND n_name <> '' THEN n_name || ' ' ELSE '' END ||
+       CASE WHEN nullif(substr(c_mktsegment, 1, 1), 'A') IS NOT NULL AND nullif(substr(c_mktsegment, 1, 1), 'A') <> ''
+            THEN nullif(substr(c_mktsegment, 1, 1), 'A') || ' ' ELSE '' END ||
+       CASE WHEN c_mktsegment IS NOT NULL AND c_mktsegment <> '' THEN c_mktsegment || ' ' ELSE '' END) AS address,
+  CASE WHEN c_nationkey IS NULL THEN '' WHEN length(CAST(c_nationkey AS VARCHAR)) >= 5 THEN CAST(c_nationkey AS VARCHAR)
+       ELSE lpad(CAST(c_nationkey AS VARCHAR), 5, '0') END AS zip_code,
+  trim(upper(c_name)) AS dba_name
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
+""")
+def q_address_zip(spark, d):
+    c = table(spark, d, "customer")
+    n = bounded_broadcast(table(spark, d, "nation"), 10_000)
+    j = c.join(n, c.c_nationkey == n.n_nationkey, "left")
+    direction = F.nullif(F.substring("c_mktsegment", 1, 1), F.lit("A"))
+    return j.select("c_custkey",
+                    R.street_address("c_custkey", "n_name", direction, "c_mktsegment", F.lit("")).alias("address"),
+                    F.when(F.col("c_nationkey").isNull(), F.lit("")).otherwise(pad_left("c_nationkey", 5))
+                     .alias("zip_code"),
+                    F.trim(F.upper("c_name")).alias("dba_name"))
+
+
+# ---------------------------------------------------------------------------
+# Expectations
+# ---------------------------------------------------------------------------
+LINE_RULES = [
+    Expectation("valid_quantity", "l_quantity IS NOT NULL AND l_quantity > 0", "warn"),
+    Expectation("open_line_is_final", "nullif(l_linestatus, 'O') = 'F'", "warn"),
+    Expectation("valid_discount", "l_discount <= 0.08", "drop"),
+    Expectation("returned_price", "l_returnflag <> 'R' OR l_extendedprice > 1000", "drop"),
+    Expectation("tax_or_final", "l_tax < 0.07 OR l_linestatus = 'F'", "drop"),
+]
+
+
+def _ok_sql(r: Expectation) -> str:
+    return f"coalesce(({r.predicate}), false)"
+
+
+@query("expect_metrics", "\nUNION ALL\n".join(
+    f"SELECT '{r.name}' AS rule, '{r.action}' AS action, count(*) FILTER (WHERE {_ok_sql(r)}) AS passed, "
+    f"count(*) FILTER (WHERE NOT {_ok_sql(r)}) AS failed FROM lineitem" for r in LINE_RULES))
+def q_expect_metrics(spark, d):
+    return metrics(table(spark, d, "lineitem"), LINE_RULES)
+
+
+@query("expect_kept", "SELECT * FROM lineitem WHERE " + " AND ".join(
+    _ok_sql(r) for r in LINE_RULES if r.action == "drop"))
+def q_expect_kept(spark, d):
+    return kept(table(spark, d, "lineitem"), LINE_RULES)
+
+
+@query("expect_quarantine", "SELECT *, concat_ws('|', " + ", ".join(
+    f"CASE WHEN NOT {_ok_sql(r)} THEN '{r.name}' END" for r in LINE_RULES if r.action == "drop")
+    + ") AS failed_rules FROM lineitem WHERE NOT (" + " AND ".join(
+    _ok_sql(r) for r in LINE_RULES if r.action == "drop") + ")")
+def q_expect_quarantine(spark, d):
+    return quarantine(table(spark, d, "lineitem"), LINE_RULES)
+
+
+# ---------------------------------------------------------------------------
+# Typed layer
+# ---------------------------------------------------------------------------
+def orders_text(o: DataFrame) -> DataFrame:
+    """Orders as the all-string bronze layer would hold them, with junk."""
+    s, p = F.col("o_orderstatus"), F.col("o_orderpriority")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("order_key"),
+        F.when(s == "P", F.lit("abc")).when((s == "O") & (p == "5-LOW"), F.lit(""))
+         .otherwise(F.col("o_totalprice").cast("string")).alias("total_price"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("order_date"),
+        F.when(s == "F", F.lit("True")).when(s == "O", F.lit("false")).alias("is_final"),
+        F.when(p == "4-NOT SPECIFIED", F.lit("")).otherwise(p).alias("city"),
+        F.when(p == "2-HIGH", F.lit("")).otherwise(F.substring(p, 1, 1)).alias("priority_num"),
+    )
+
+
+def typed_layer(t: DataFrame) -> DataFrame:
+    """The typed projection (stateless, same function for batch and stream)."""
+    return t.select(
+        F.col("order_key").try_cast("bigint").alias("order_key"),
+        double_or_null("total_price").alias("total_price"),
+        parse_date("order_date", "yyyy-MM-dd").alias("order_date"),
+        bool_text("is_final").alias("is_final"),
+        lower_or_null("city").alias("city"),
+        int_or_null("priority_num").alias("priority_num"),
+    )
+
+
+@query("typed_layer", """
+WITH t AS (SELECT CAST(o_orderkey AS VARCHAR) AS order_key,
+   CASE WHEN o_orderstatus = 'P' THEN 'abc' WHEN o_orderstatus = 'O' AND o_orderpriority = '5-LOW' THEN ''
+        ELSE CAST(o_totalprice AS VARCHAR) END AS total_price,
+   strftime(o_orderdate, '%Y-%m-%d') AS order_date,
+   CASE WHEN o_orderstatus = 'F' THEN 'True' WHEN o_orderstatus = 'O' THEN 'false' END AS is_final,
+   CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN '' ELSE o_orderpriority END AS city,
+   CASE WHEN o_orderpriority = '2-HIGH' THEN '' ELSE substr(o_orderpriority, 1, 1) END AS priority_num
+   FROM orders)
+SELECT TRY_CAST(order_key AS BIGINT) AS order_key,
+  CASE WHEN total_price IS NOT NULL AND total_price <> '' THEN TRY_CAST(total_price AS DOUBLE) END AS total_price,
+  CAST(try_strptime(order_date, '%Y-%m-%d') AS DATE) AS order_date,
+  coalesce(lower(is_final) = 'true', false) AS is_final,
+  CASE WHEN city IS NOT NULL AND city <> '' THEN lower(city) END AS city,
+  CASE WHEN priority_num IS NOT NULL AND priority_num <> '' THEN TRY_CAST(priority_num AS INTEGER) END AS priority_num
+FROM t
+""")
+def q_typed_layer(spark, d):
+    return typed_layer(orders_text(table(spark, d, "orders")))
