@@ -23,11 +23,14 @@ from stargrain.functions.text import (bool_text, contains_any, double_or_null, f
                                       lat_from_point, long_from_point, lower_or_null, pad_left, parse_date,
                                       point_text, regex_replace)
 from stargrain.operators.cleanse import CANDIDATES, cleanse, field_types
-from stargrain.operators.dims import hash_dimension
+from stargrain.operators.dims import calendar_dates, calendar_dimension, hash_dimension
+from stargrain.operators.facts import Lookup, build_bridge, lookup_keys
 from stargrain.operators.joins import bounded_broadcast, lookup_key, semi_join
 from stargrain.operators.ordered import sequence
 from stargrain.operators.quality import Expectation, kept, metrics, quarantine
 from stargrain.operators.rows import distinct_keys, unique_first, with_total
+from stargrain.sources.changes import (COMMIT_TS, COMMIT_VERSION, apply_changes_snapshot, diff_snapshots,
+                                      read_changes)
 from stargrain.operators.summarize import (any_true, attach_summary, concat_agg, count_by, having, mode_agg,
                                            summarize)
 from stargrain.operators.profile import outlier_counts, pattern_histogram, profile
@@ -738,3 +741,371 @@ FROM t
 """)
 def q_typed_layer(spark, d):
     return typed_layer(orders_text(table(spark, d, "orders")))
+
+
+# ---------------------------------------------------------------------------
+# Dimensions (S14, B16-B20, §2.13)
+# ---------------------------------------------------------------------------
+@query("dim_date", """
+WITH b AS (SELECT CAST(min(o_orderdate) AS DATE) AS s, CAST(max(o_orderdate) AS DATE) AS e FROM orders),
+d AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS full_date FROM b)
+SELECT CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER) AS date_key, full_date,
+  CAST(year(full_date) AS INTEGER) AS year, strftime(full_date, '%Y') AS year_name,
+  CAST(quarter(full_date) AS INTEGER) AS quarter, 'Q' || quarter(full_date) AS quarter_name,
+  year(full_date) || '-Q' || quarter(full_date) AS year_quarter, CAST(month(full_date) AS INTEGER) AS month,
+  strftime(full_date, '%B') AS month_name, strftime(full_date, '%b') AS month_name_short,
+  strftime(full_date, '%Y-%m') AS year_month, CAST(day(full_date) AS INTEGER) AS day,
+  CAST(dayofweek(full_date) + 1 AS INTEGER) AS day_of_week, strftime(full_date, '%A') AS day_of_week_name,
+  strftime(full_date, '%a') AS day_of_week_short, CAST(weekofyear(full_date) AS INTEGER) AS week_of_year,
+  CAST(ceil(day(full_date) / 7) AS INTEGER) AS week_of_month, dayofweek(full_date) IN (0, 6) AS is_weekend,
+  dayofweek(full_date) IN (1, 2, 3, 4, 5) AS is_weekday,
+  CAST(CASE WHEN month(full_date) >= 10 THEN year(full_date) + 1 ELSE year(full_date) END AS INTEGER) AS fiscal_year,
+  CASE WHEN month(full_date) IN (10, 11, 12) THEN 1 WHEN month(full_date) IN (1, 2, 3) THEN 2
+       WHEN month(full_date) IN (4, 5, 6) THEN 3 ELSE 4 END AS fiscal_quarter
+FROM d
+""")
+def q_dim_date(spark, d):
+    """Calendar over the span of the order dates (the reference uses a fixed
+    2018-2028 span; :func:`calendar_dates` takes any bounds)."""
+    o = table(spark, d, "orders")
+    return calendar_dimension(calendar_dates(o, F.min("o_orderdate"), F.max("o_orderdate")))
+
+
+def _risk_sql(c: str) -> str:
+    lc = f"lower({c})"
+    return (f"CASE WHEN contains({lc}, 'high') OR contains({lc}, '1') THEN 'High' "
+            f"WHEN contains({lc}, 'medium') OR contains({lc}, '2') THEN 'Medium' "
+            f"WHEN contains({lc}, 'low') OR contains({lc}, '3') THEN 'Low' ELSE 'Unknown' END")
+
+
+_PRIORITY_SQL = "CAST(CASE {l} WHEN 'High' THEN 1 WHEN 'Medium' THEN 2 WHEN 'Low' THEN 3 ELSE 99 END AS INTEGER)"
+RISK_DIM_ROWS = len(R.RISK_LEVELS) + 1          # High, Medium, Low, Unknown
+RESULT_DIM_ROWS = len(R.CITY_A_RESULTS) + 1     # the mapped results + OTHER
+
+
+def priority_dimension(orders: DataFrame) -> DataFrame:
+    """dim_risk_category: order priority -> (risk level, priority), B19."""
+    t = orders.where(F.col("o_orderpriority").isNotNull()) \
+        .select(R.risk_level("o_orderpriority").alias("risk_level"))
+    t = t.withColumn("priority_level", R.risk_priority("risk_level"))
+    return hash_dimension(t, attrs={"risk_level": "risk_level", "priority_level": "priority_level"}, not_null=[],
+                          bk_name="risk_business_key",
+                          bk=K.business_key("risk_level", F.col("priority_level").cast("string")),
+                          sk_name="risk_category_key")
+
+
+_DIM_PRIORITY_SQL = f"""
+WITH t AS (SELECT DISTINCT {_risk_sql('o_orderpriority')} AS risk_level FROM orders WHERE o_orderpriority IS NOT NULL),
+u AS (SELECT risk_level, {_PRIORITY_SQL.format(l='risk_level')} AS priority_level FROM t)
+SELECT {_sk("md5(risk_level || '|' || CAST(priority_level AS VARCHAR))")} AS risk_category_key,
+       md5(risk_level || '|' || CAST(priority_level AS VARCHAR)) AS risk_business_key, risk_level, priority_level
+FROM u"""
+
+
+@query("dim_priority", _DIM_PRIORITY_SQL)
+def q_dim_priority(spark, d):
+    return priority_dimension(table(spark, d, "orders"))
+
+
+def status_dimension(orders: DataFrame) -> DataFrame:
+    """dim_inspection_result: standardised result -> category and score range, B18."""
+    t = orders.select(R.city_a_result(results_text()).alias("results_std"))
+    lo, hi = R.score_range("results_std")
+    return hash_dimension(t, attrs={"results_std": "results_std"}, not_null=["results_std"],
+                          bk_name="result_business_key", bk=K.business_key("results_std"),
+                          sk_name="inspection_result_key",
+                          derive={"result_code": F.col("results_std"), "result_name": F.col("results_std"),
+                                  "result_category": R.result_category("results_std"),
+                                  "score_range_min": lo, "score_range_max": hi},
+                          select=["inspection_result_key", "result_business_key", "result_code", "result_name",
+                                  "result_category", "score_range_min", "score_range_max"])
+
+
+_DIM_STATUS_SQL = f"""
+WITH r AS (SELECT {_RESULTS_SQL} AS results FROM orders),
+t AS (SELECT DISTINCT {_RESULT_STD_SQL} AS results_std FROM r)
+SELECT {_sk('md5(results_std)')} AS inspection_result_key, md5(results_std) AS result_business_key,
+  results_std AS result_code, results_std AS result_name,
+  CASE WHEN results_std IN ('PASS', 'PASS_CONDITIONS') THEN 'Pass' WHEN results_std = 'FAIL' THEN 'Fail' ELSE 'Other' END
+    AS result_category,
+  CAST(CASE results_std WHEN 'PASS' THEN 90 WHEN 'PASS_CONDITIONS' THEN 70 WHEN 'FAIL' THEN 0 END AS INTEGER)
+    AS score_range_min,
+  CAST(CASE results_std WHEN 'PASS' THEN 100 WHEN 'PASS_CONDITIONS' THEN 89 WHEN 'FAIL' THEN 69 END AS INTEGER)
+    AS score_range_max
+FROM t WHERE results_std IS NOT NULL"""
+
+
+@query("dim_status", _DIM_STATUS_SQL)
+def q_dim_status(spark, d):
+    return status_dimension(table(spark, d, "orders"))
+
+
+def _customer_nation(spark, d) -> DataFrame:
+    c = table(spark, d, "customer")
+    n = bounded_broadcast(table(spark, d, "nation"), 10_000)
+    r = bounded_broadcast(table(spark, d, "region"), 10_000)
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, F.col("n_regionkey") == r.r_regionkey, "left")
+
+
+def segment_dimension(cn: DataFrame) -> DataFrame:
+    """dim_inspection_type: (segment, city) with the B17 category."""
+    return hash_dimension(cn, attrs={"inspection_type": "c_mktsegment", "city": F.lower("n_name")},
+                          not_null=["inspection_type"], bk_name="inspection_type_business_key",
+                          bk=K.business_key("inspection_type", "city"), sk_name="inspection_type_key",
+                          derive={"inspection_category": R.inspection_category("inspection_type")},
+                          select=["inspection_type_key", "inspection_type_business_key", "inspection_type",
+                                  "inspection_category", "city"])
+
+
+_CN_SQL = "customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"
+
+
+def _first_sql(src: str, bk: str, order: str) -> str:
+    return f"SELECT * FROM ({src}) QUALIFY row_number() OVER (PARTITION BY {bk} ORDER BY {order}) = 1"
+
+
+_TYPE_SRC = (f"SELECT c_mktsegment AS inspection_type, lower(n_name) AS city, "
+             f"md5(concat_ws('|', c_mktsegment, lower(n_name))) AS bk FROM {_CN_SQL} WHERE c_mktsegment IS NOT NULL")
+
+
+@query("dim_segment", f"""
+WITH t AS ({_first_sql(_TYPE_SRC, 'bk', 'inspection_type, city')})
+SELECT {_sk('bk')} AS inspection_type_key, bk AS inspection_type_business_key, inspection_type,
+  CASE WHEN contains(lower(inspection_type), 'routine') THEN 'Routine'
+       WHEN contains(lower(inspection_type), 'follow') THEN 'Follow-up'
+       WHEN contains(lower(inspection_type), 'complaint') THEN 'Complaint'
+       WHEN contains(lower(inspection_type), 're-inspection') THEN 'Re-Inspection' ELSE 'Other' END
+    AS inspection_category, city
+FROM t
+""")
+def q_dim_segment(spark, d):
+    return segment_dimension(_customer_nation(spark, d))
+
+
+def part_dimension(part: DataFrame) -> DataFrame:
+    """dim_violation: (size code, type) with severity, category and critical flag."""
+    return hash_dimension(
+        part,
+        attrs={"violation_code": F.col("p_size").cast("string"), "violation_description": "p_name",
+               "violation_severity": R.points_severity(F.floor(F.col("p_size") / 5)), "city": F.lower("p_type")},
+        not_null=["violation_code", "violation_description"],
+        bk_name="violation_business_key", bk=K.business_key("violation_code", "city"), sk_name="violation_key",
+        derive={"violation_category": R.violation_category("violation_severity"),
+                "is_critical": R.is_critical_severity("violation_severity")},
+        select=["violation_key", "violation_business_key", "violation_code", "violation_description",
+                "violation_category", "violation_severity", "is_critical", "city"])
+
+
+_SEV_SQL = (f"CASE WHEN {_num_sql('floor(p_size / 5)')} >= 10 THEN 'Critical' "
+            f"WHEN {_num_sql('floor(p_size / 5)')} >= 6 THEN 'Serious' "
+            f"WHEN {_num_sql('floor(p_size / 5)')} >= 3 THEN 'Moderate' ELSE 'Minor' END")
+_PART_SRC = (f"SELECT CAST(p_size AS VARCHAR) AS violation_code, p_name AS violation_description, "
+             f"{_SEV_SQL} AS violation_severity, lower(p_type) AS city, "
+             f"md5(concat_ws('|', CAST(p_size AS VARCHAR), lower(p_type))) AS bk FROM part "
+             f"WHERE p_size IS NOT NULL AND p_name IS NOT NULL")
+
+
+@query("dim_part_type", f"""
+WITH t AS ({_first_sql(_PART_SRC, 'bk', 'violation_code, violation_description, violation_severity, city')})
+SELECT {_sk('bk')} AS violation_key, bk AS violation_business_key, violation_code, violation_description,
+  CASE violation_severity WHEN 'Critical' THEN 'Food Safety - Critical' WHEN 'Urgent' THEN 'Food Safety - Urgent'
+       WHEN 'Serious' THEN 'Food Safety - Serious' WHEN 'Moderate' THEN 'Sanitation - Moderate'
+       ELSE 'General Compliance' END AS violation_category,
+  violation_severity, coalesce(violation_severity IN ('Critical', 'Urgent'), false) AS is_critical, city
+FROM t
+""")
+def q_dim_part_type(spark, d):
+    return part_dimension(table(spark, d, "part"))
+
+
+def place_attrs() -> dict:
+    return {"address": F.concat(F.upper("c_mktsegment"), F.lit(" ROAD")), "city": F.col("n_name"),
+            "state": F.col("r_name"), "zip_code": F.lpad(F.col("c_nationkey").cast("string"), 5, "0"),
+            "latitude": F.col("c_acctbal"), "longitude": -F.col("c_acctbal")}
+
+
+def place_bk(address="address", city="city", state="state", zip_code="zip_code"):
+    return K.business_key(F.lower(F.col(address)), F.lower(F.col(city)), F.lower(F.col(state)), F.col(zip_code))
+
+
+def place_dimension(cn: DataFrame) -> DataFrame:
+    """dim_location: address x city x state x zip; NULL-safe ``concat_ws`` key (trap §4.3-5)."""
+    return hash_dimension(cn, attrs=place_attrs(), not_null=["address", "city", "state"],
+                          bk_name="location_business_key", bk=place_bk(), sk_name="location_key")
+
+
+_PLACE_SRC = (f"SELECT upper(c_mktsegment) || ' ROAD' AS address, n_name AS city, r_name AS state, "
+              f"lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS zip_code, c_acctbal AS latitude, -c_acctbal AS longitude "
+              f"FROM {_CN_SQL}")
+_PLACE_BK = "md5(concat_ws('|', lower(address), lower(city), lower(state), zip_code))"
+
+
+@query("dim_place", f"""
+WITH s AS (SELECT *, {_PLACE_BK} AS bk FROM ({_PLACE_SRC})
+           WHERE address IS NOT NULL AND city IS NOT NULL AND state IS NOT NULL),
+t AS ({_first_sql('SELECT * FROM s', 'bk', 'address, city, state, zip_code, latitude, longitude')})
+SELECT {_sk('bk')} AS location_key, bk AS location_business_key, address, city, state, zip_code, latitude, longitude
+FROM t
+""")
+def q_dim_place(spark, d):
+    return place_dimension(_customer_nation(spark, d))
+
+
+# ---------------------------------------------------------------------------
+# Fact and bridge (T9, T10, J3-J5, A6, date keys)
+# ---------------------------------------------------------------------------
+def order_silver(spark, d) -> DataFrame:
+    """Orders enriched with their customer's attributes (the denormalised
+    silver row of the reference); customer is joined by key (shuffle join at
+    scale), nation/region are size-checked broadcasts."""
+    o = table(spark, d, "orders")
+    cn = _customer_nation(spark, d).select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal", "n_name", "r_name")
+    return o.join(cn, o.o_custkey == cn.c_custkey, "left").drop("c_custkey")
+
+
+def fact_orders_df(spark, d) -> DataFrame:
+    o = table(spark, d, "orders")
+    cn = _customer_nation(spark, d)
+    s = order_silver(spark, d).withColumn(
+        "inspection_business_key", F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")))
+    f = unique_first(s, ["inspection_business_key"])          # A6: one row per inspection
+    attrs = place_attrs()
+    f = (f.withColumn("inspection_key", K.surrogate_key("inspection_business_key"))
+          .withColumn("date_key", K.date_key("o_orderdate"))
+          .withColumn("customer_bk", K.business_key("o_custkey"))
+          .withColumn("location_business_key", K.business_key(
+              F.lower(attrs["address"]), F.lower(attrs["city"]), F.lower(attrs["state"]), attrs["zip_code"]))
+          .withColumn("inspection_type_business_key", K.business_key("c_mktsegment", F.lower("n_name")))
+          .withColumn("results_std", R.city_a_result(results_text()))
+          .withColumn("result_business_key", K.business_key("results_std"))
+          .withColumn("risk_level", R.risk_level("o_orderpriority"))
+          .withColumn("risk_business_key", K.business_key("risk_level", R.risk_priority("risk_level").cast("string"))))
+    lookups = [
+        Lookup(customer_dimension(table(spark, d, "customer")), "customer_bk", "customer_key"),
+        Lookup(place_dimension(cn), "location_business_key", "location_key"),
+        Lookup(segment_dimension(cn), "inspection_type_business_key", "inspection_type_key"),
+        Lookup(status_dimension(o), "result_business_key", "inspection_result_key", known_bound=RESULT_DIM_ROWS),
+        Lookup(priority_dimension(o), "risk_business_key", "risk_category_key", known_bound=RISK_DIM_ROWS),
+    ]
+    f = lookup_keys(f, lookups)
+    return f.select("inspection_key", "inspection_business_key", "customer_key", "date_key", "location_key",
+                    "inspection_type_key", "inspection_result_key", "risk_category_key",
+                    F.col("o_totalprice").alias("order_total"), F.col("o_orderstatus").alias("order_status"),
+                    "o_orderkey", F.to_date("o_orderdate").alias("order_date"))
+
+
+_FACT_SQL = f"""
+WITH s AS (SELECT o.*, c_mktsegment, c_nationkey, c_acctbal, n_name, r_name
+           FROM orders o LEFT JOIN ({_CN_SQL}) ON o.o_custkey = c_custkey),
+f AS (SELECT *, 'order-' || CAST(o_orderkey AS VARCHAR) AS bk,
+        md5(CAST(o_custkey AS VARCHAR)) AS customer_bk,
+        md5(concat_ws('|', lower(upper(c_mktsegment) || ' ROAD'), lower(n_name), lower(r_name),
+                      lpad(CAST(c_nationkey AS VARCHAR), 5, '0'))) AS location_bk,
+        md5(concat_ws('|', c_mktsegment, lower(n_name))) AS type_bk,
+        {_RESULTS_SQL} AS results FROM s),
+g AS (SELECT *, md5({_RESULT_STD_SQL}) AS result_bk, {_risk_sql('o_orderpriority')} AS risk_level FROM f),
+h AS (SELECT *, md5(risk_level || '|' || CAST({_PRIORITY_SQL.format(l='risk_level')} AS VARCHAR)) AS risk_bk FROM g),
+dc AS (SELECT DISTINCT md5(CAST(c_custkey AS VARCHAR)) AS k FROM customer
+       WHERE c_custkey IS NOT NULL AND nullif(c_mktsegment, 'AUTOMOBILE') IS NOT NULL),
+dp AS (SELECT DISTINCT {_PLACE_BK} AS k FROM ({_PLACE_SRC})
+       WHERE address IS NOT NULL AND city IS NOT NULL AND state IS NOT NULL),
+dt AS (SELECT DISTINCT bk AS k FROM ({_TYPE_SRC})),
+dr AS (SELECT DISTINCT result_bk AS k FROM g),
+dk AS (SELECT DISTINCT risk_bk AS k FROM h WHERE o_orderpriority IS NOT NULL)
+SELECT {_sk('h.bk')} AS inspection_key, h.bk AS inspection_business_key,
+  CASE WHEN dc.k IS NOT NULL THEN {_sk('dc.k')} END AS customer_key,
+  CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER) AS date_key,
+  CASE WHEN dp.k IS NOT NULL THEN {_sk('dp.k')} END AS location_key,
+  CASE WHEN dt.k IS NOT NULL THEN {_sk('dt.k')} END AS inspection_type_key,
+  CASE WHEN dr.k IS NOT NULL THEN {_sk('dr.k')} END AS inspection_result_key,
+  CASE WHEN dk.k IS NOT NULL THEN {_sk('dk.k')} END AS risk_category_key,
+  o_totalprice AS order_total, o_orderstatus AS order_status, o_orderkey, CAST(o_orderdate AS DATE) AS order_date
+FROM h LEFT JOIN dc ON h.customer_bk = dc.k LEFT JOIN dp ON h.location_bk = dp.k LEFT JOIN dt ON h.type_bk = dt.k
+  LEFT JOIN dr ON h.result_bk = dr.k LEFT JOIN dk ON h.risk_bk = dk.k"""
+
+
+@query("fact_orders", _FACT_SQL)
+def q_fact_orders(spark, d):
+    return fact_orders_df(spark, d)
+
+
+@query("bridge_order_part", f"""
+WITH fact AS ({_FACT_SQL}),
+dv AS (SELECT DISTINCT bk AS k FROM ({_PART_SRC}))
+SELECT fact.inspection_key,
+  CASE WHEN dv.k IS NOT NULL THEN {_sk('dv.k')} END AS violation_key,
+  l_linenumber AS violation_sequence, coalesce(l_returnflag = 'R', false) AS is_violation_critical,
+  CAST(p_size AS VARCHAR) AS violation_code, l_quantity, l_partkey, l_suppkey
+FROM lineitem LEFT JOIN part ON l_partkey = p_partkey
+  JOIN fact ON 'order-' || CAST(l_orderkey AS VARCHAR) = fact.inspection_business_key
+  LEFT JOIN dv ON md5(concat_ws('|', CAST(p_size AS VARCHAR), lower(p_type))) = dv.k
+""")
+def q_bridge_order_part(spark, d):
+    li = table(spark, d, "lineitem")
+    p = table(spark, d, "part")
+    det = li.join(bounded_broadcast(p.select("p_partkey", "p_size", "p_type")), li.l_partkey == p.p_partkey, "left")
+    det = (det.withColumn("inspection_business_key", F.concat(F.lit("order-"), F.col("l_orderkey").cast("string")))
+              .withColumn("violation_business_key", K.business_key(F.col("p_size").cast("string"), F.lower("p_type"))))
+    out = build_bridge(det, fact_orders_df(spark, d), "inspection_business_key", "inspection_key",
+                       [Lookup(part_dimension(p), "violation_business_key", "violation_key")])
+    return out.select("inspection_key", "violation_key", F.col("l_linenumber").alias("violation_sequence"),
+                      F.coalesce(F.col("l_returnflag") == "R", F.lit(False)).alias("is_violation_critical"),
+                      F.col("p_size").cast("string").alias("violation_code"), "l_quantity", "l_partkey", "l_suppkey")
+
+
+# ---------------------------------------------------------------------------
+# Change feed between two snapshots
+# ---------------------------------------------------------------------------
+CHANGE_TS = "2024-02-01 00:00:00"
+
+
+def customer_snapshots(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Old = customer; new = AUTOMOBILE customers deleted, BUILDING balances
+    raised by 100, suppliers added as new keys."""
+    c = table(spark, d, "customer")
+    s = table(spark, d, "supplier")
+    new = c.where(F.col("c_mktsegment") != "AUTOMOBILE").withColumn(
+        "c_acctbal", F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_acctbal") + 100).otherwise(F.col("c_acctbal")))
+    added = s.select((F.col("s_suppkey") + 1_000_000_000).alias("c_custkey"), F.col("s_name").alias("c_name"),
+                     F.col("s_nationkey").alias("c_nationkey"), F.col("s_acctbal").alias("c_acctbal"),
+                     F.lit("SUPPLIER").alias("c_mktsegment"))
+    return c, new.unionByName(added)
+
+
+_NEW_SNAPSHOT_SQL = """
+SELECT c_custkey, c_name, c_nationkey,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal + 100 ELSE c_acctbal END AS c_acctbal, c_mktsegment
+FROM customer WHERE c_mktsegment <> 'AUTOMOBILE'
+UNION ALL
+SELECT s_suppkey + 1000000000, s_name, s_nationkey, s_acctbal, 'SUPPLIER' FROM supplier"""
+
+
+@query("changes_between", f"""
+WITH n AS ({_NEW_SNAPSHOT_SQL}), o AS (SELECT * FROM customer),
+j AS (SELECT coalesce(o.c_custkey, n.c_custkey) AS key, o.c_custkey AS ok, n.c_custkey AS nk,
+        o.c_name AS o_name, o.c_nationkey AS o_nat, o.c_acctbal AS o_bal, o.c_mktsegment AS o_seg,
+        n.c_name AS n_name, n.c_nationkey AS n_nat, n.c_acctbal AS n_bal, n.c_mktsegment AS n_seg
+      FROM o FULL OUTER JOIN n ON o.c_custkey = n.c_custkey)
+SELECT key AS c_custkey, n_name AS c_name, n_nat AS c_nationkey, n_bal AS c_acctbal, n_seg AS c_mktsegment,
+       'insert' AS _change_type FROM j WHERE ok IS NULL
+UNION ALL SELECT key, o_name, o_nat, o_bal, o_seg, 'delete' FROM j WHERE nk IS NULL
+UNION ALL SELECT key, o_name, o_nat, o_bal, o_seg, 'update_preimage' FROM j
+  WHERE ok IS NOT NULL AND nk IS NOT NULL AND (o_name, o_nat, o_bal, o_seg) IS DISTINCT FROM (n_name, n_nat, n_bal, n_seg)
+UNION ALL SELECT key, n_name, n_nat, n_bal, n_seg, 'update_postimage' FROM j
+  WHERE ok IS NOT NULL AND nk IS NOT NULL AND (o_name, o_nat, o_bal, o_seg) IS DISTINCT FROM (n_name, n_nat, n_bal, n_seg)
+""")
+def q_changes_between(spark, d):
+    old, new = customer_snapshots(spark, d)
+    ch = diff_snapshots(old, new, ["c_custkey"], version=2, commit_ts=CHANGE_TS)
+    return ch.drop(COMMIT_VERSION, COMMIT_TS)
+
+
+@query("changes_applied", _NEW_SNAPSHOT_SQL)
+def q_changes_applied(spark, d):
+    """Replaying the change feed (version 1 = full load as inserts, version 2 =
+    the diff) gives the new snapshot back."""
+    old, new = customer_snapshots(spark, d)
+    v1 = diff_snapshots(old.limit(0), old, ["c_custkey"], version=1, commit_ts=CHANGE_TS)
+    v2 = diff_snapshots(old, new, ["c_custkey"], version=2, commit_ts=CHANGE_TS)
+    feed = read_changes(v1.unionByName(v2), since_version=1)
+    return apply_changes_snapshot(feed, ["c_custkey"])
