@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stargrain.session import checkpoint_root
+
 _PID = "_sgo_pid"
 _LRN = "_sgo_lrn"
 _LCNT = "_sgo_lcnt"
@@ -38,12 +40,19 @@ def _partitions(df: DataFrame, parts: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _key_match(left: str, right: str, cols: Sequence[str]) -> Column:
+def _attach(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left-join the boundary table (at most one row per partition, so its
+    size is bounded by the partition count) onto ``big`` by (partition, keys),
+    NULL-safe.  The small side's join columns are renamed so no name is shared."""
+    cols = [_PID] + list(keys)
+    ren = small.select(*[F.col(c).alias(f"_sgo_j{i}") for i, c in enumerate(cols)],
+                       *[c for c in small.columns if c not in cols])
     cond = None
-    for c in cols:
-        e = F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    for i, c in enumerate(cols):
+        e = big[c].eqNullSafe(ren[f"_sgo_j{i}"])
         cond = e if cond is None else cond & e
-    return cond
+    joined = big.join(F.broadcast(ren), cond, "left")
+    return joined.drop(*[f"_sgo_j{i}" for i in range(len(cols))])
 
 
 def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
@@ -82,6 +91,13 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     fields = keys + order + [_LCNT] + list(prev.values()) + [f"_sgo_lc_{o}" for o in carry]
     fields = list(dict.fromkeys(fields))
     first_fields = list(dict.fromkeys(keys + order + list(nxt.values())))
+    # The boundary rows must come from the *same* partitioning as the data:
+    # evaluating the range exchange twice would sample new range bounds.  So
+    # the laid-out, locally numbered rows are written once to the session's
+    # shared checkpoint folder (reliable checkpoint: also a lineage cut that
+    # survives executor loss) and both branches read that copy.
+    checkpoint_root(df.sparkSession)
+    loc = loc.checkpoint(eager=True)
     bnd = loc.groupBy(_PID).agg(
         F.max(F.struct(*fields)).alias("last"),
         F.min(F.struct(*first_fields)).alias("first"),
@@ -110,15 +126,9 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
                           *[F.col(f"first.{c}").alias(f"_sgo_bn_{o}") for o, c in nxt.items()])
     outgoing = outgoing.where(F.col(_PID).isNotNull())
 
-    inc = F.broadcast(incoming.alias("inc"))
-    j = out.alias("m").join(inc, _key_match("m", "inc", [_PID] + keys), "left")
-    sel = [F.col(f"m.{c}") for c in out.columns]
-    sel += [F.col("inc._sgo_off")] + [F.col(f"inc._sgo_bp_{o}") for o in prev] + [F.col(f"inc._sgo_bc_{o}") for o in carry]
-    out = j.select(*sel)
+    out = _attach(out, incoming, keys)
     if nxt:
-        og = F.broadcast(outgoing.alias("og"))
-        j = out.alias("m").join(og, _key_match("m", "og", [_PID] + keys), "left")
-        out = j.select(*[F.col(f"m.{c}") for c in out.columns], *[F.col(f"og._sgo_bn_{o}") for o in nxt])
+        out = _attach(out, outgoing, keys)
 
     if seq:
         out = out.withColumn(seq, (F.col(_LRN) + F.coalesce(F.col("_sgo_off"), F.lit(0))).cast("int"))

@@ -89,8 +89,10 @@ def scd2_final(versions: DataFrame, key: str, *, as_date: bool = True, sk_name:
         names = ("effective_at", "expiration_at")
     out = (versions.withColumn(names[0], eff).withColumn(names[1], exp)
            .withColumn("is_current", F.col(END).isNull()))
-    out = out.withColumn(sk_name, surrogate_key(F.concat_ws("|", F.col(key).cast("string"),
-                                                            F.col(names[0]).cast("string")), sk_method))
+    # key text: date as yyyy-MM-dd, timestamp as epoch microseconds (engine-neutral text)
+    start_txt = F.col(names[0]).cast("string") if as_date else \
+        F.unix_micros(F.col(names[0]).cast("timestamp")).cast("string")
+    out = out.withColumn(sk_name, surrogate_key(F.concat_ws("|", F.col(key).cast("string"), start_txt), sk_method))
     if load_at:
         out = out.withColumn("load_at", F.current_timestamp())
     return out.drop(START, END)

@@ -31,6 +31,11 @@ from stargrain.operators.quality import Expectation, kept, metrics, quarantine
 from stargrain.operators.rows import distinct_keys, unique_first, with_total
 from stargrain.sources.changes import (COMMIT_TS, COMMIT_VERSION, apply_changes_snapshot, diff_snapshots,
                                       read_changes)
+from stargrain.operators.scd2 import (END, START, scd2_apply, scd2_final, scd2_lookup_as_of, scd2_lookup_current,
+                                     scd2_stage)
+from stargrain.operators.quality import observe_stream
+from stargrain.session import scratch_dir
+from stargrain.streaming.streams import incremental_scd2, run_available_now, run_foreach_batch, stream_source
 from stargrain.operators.summarize import (any_true, attach_summary, concat_agg, count_by, having, mode_agg,
                                            summarize)
 from stargrain.operators.profile import outlier_counts, pattern_histogram, profile
@@ -1109,3 +1114,174 @@ def q_changes_applied(spark, d):
     v2 = diff_snapshots(old, new, ["c_custkey"], version=2, commit_ts=CHANGE_TS)
     feed = read_changes(v1.unionByName(v2), since_version=1)
     return apply_changes_snapshot(feed, ["c_custkey"])
+
+
+# ---------------------------------------------------------------------------
+# SCD2 over the events change log
+# key user_id, sequence ts
+# ---------------------------------------------------------------------------
+def event_versions(spark, d, tracked: list[str] | None) -> DataFrame:
+    e = table(spark, d, "events")
+    attrs = ["event_type"] if tracked else ["event_type", "value", "props"]
+    stage = scd2_stage(e, ["user_id"], attrs, "ts")
+    return scd2_apply(stage, ["user_id"], "ts", tracked=tracked)
+
+
+_STAGE_SQL = "SELECT DISTINCT user_id, event_type, ts FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL"
+_TRACKED_SQL = f"""
+WITH s AS ({_STAGE_SQL}),
+t AS (SELECT user_id, ts, max(event_type) AS event_type FROM s GROUP BY user_id, ts),
+m AS (SELECT *, lag(event_type) OVER w AS prev, row_number() OVER w AS rn FROM t
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+v AS (SELECT user_id, event_type, ts FROM m WHERE rn = 1 OR prev IS DISTINCT FROM event_type)
+SELECT user_id, event_type, ts AS start_at, lead(ts) OVER w AS end_at,
+       CAST(row_number() OVER w AS INTEGER) AS row_version
+FROM v WINDOW w AS (PARTITION BY user_id ORDER BY ts)"""
+
+
+@query("scd2_stage", _STAGE_SQL)
+def q_scd2_stage(spark, d):
+    return scd2_stage(table(spark, d, "events"), ["user_id"], ["event_type"], "ts")
+
+
+@query("scd2_tracked", _TRACKED_SQL)
+def q_scd2_tracked(spark, d):
+    v = event_versions(spark, d, ["event_type"])
+    return v.select("user_id", "event_type", F.col(START).alias("start_at"), F.col(END).alias("end_at"), "row_version")
+
+
+@query("scd2_versions", """
+WITH s AS (SELECT DISTINCT user_id, event_type, value, props, ts FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY user_id, ts
+                                                ORDER BY event_type DESC, value DESC, props DESC) = 1),
+m AS (SELECT *, lag((event_type, value, props, ts)) OVER w AS prev, row_number() OVER w AS rn FROM t
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+v AS (SELECT * FROM m WHERE rn = 1 OR prev IS DISTINCT FROM (event_type, value, props, ts))
+SELECT user_id, event_type, value, props, ts AS start_at, lead(ts) OVER w AS end_at,
+       CAST(row_number() OVER w AS INTEGER) AS row_version
+FROM v WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+""")
+def q_scd2_versions(spark, d):
+    """All columns tracked, the sequence included (the reference's literal
+    configuration): every new sequence value opens a version."""
+    v = event_versions(spark, d, None)
+    return v.select("user_id", "event_type", "value", "props", F.col(START).alias("start_at"),
+                    F.col(END).alias("end_at"), "row_version")
+
+
+@query("scd2_final", f"""
+WITH v AS ({_TRACKED_SQL})
+SELECT user_id, event_type, start_at AS effective_at, coalesce(end_at, TIMESTAMP '9999-12-31 00:00:00') AS expiration_at,
+       end_at IS NULL AS is_current, row_version,
+       {_sk("CAST(user_id AS VARCHAR) || '|' || CAST(epoch_us(start_at) AS VARCHAR)")} AS version_key
+FROM v
+""")
+def q_scd2_final(spark, d):
+    v = event_versions(spark, d, ["event_type"])
+    f = scd2_final(v, "user_id", as_date=False)
+    return f.select("user_id", "event_type", "effective_at", "expiration_at", "is_current", "row_version",
+                    "version_key")
+
+
+@query("scd2_as_of", f"""
+WITH v AS ({_TRACKED_SQL})
+SELECT e.event_id, e.user_id, e.ts, v.row_version AS version_row, v.event_type AS version_type
+FROM events e LEFT JOIN v ON e.user_id = v.user_id AND e.ts >= v.start_at AND (v.end_at IS NULL OR e.ts < v.end_at)
+""")
+def q_scd2_as_of(spark, d):
+    v = event_versions(spark, d, ["event_type"])
+    facts = table(spark, d, "events").select("event_id", "user_id", "ts")
+    out = scd2_lookup_as_of(facts, v, ["user_id"], "ts", START, ["row_version", "event_type"])
+    return out.select("event_id", "user_id", "ts", F.col("row_version").alias("version_row"),
+                      F.col("event_type").alias("version_type"))
+
+
+@query("scd2_current_lookup", f"""
+WITH v AS ({_TRACKED_SQL})
+SELECT o.o_orderkey, o.o_custkey, v.row_version AS current_version, v.event_type AS current_type
+FROM orders o LEFT JOIN (SELECT * FROM v WHERE end_at IS NULL) v ON o.o_custkey = v.user_id
+""")
+def q_scd2_current_lookup(spark, d):
+    """P10 + J3: facts join the *current* version only (one per key)."""
+    v = scd2_final(event_versions(spark, d, ["event_type"]), "user_id", as_date=False)
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey"))
+    cur = v.select(F.col("user_id").alias("o_custkey"), F.col("row_version").alias("current_version"),
+                   F.col("event_type").alias("current_type"), "is_current")
+    return scd2_lookup_current(o, cur, ["o_custkey"], ["current_version", "current_type"])
+
+
+# ---------------------------------------------------------------------------
+# Streaming tables (T1-T4, S9, A6/T3, E1 in a stream, incremental SCD2)
+# Each runs readStream -> transform -> parquet sink (availableNow) under the
+# session's shared checkpoint folder and returns the sink read back.
+# ---------------------------------------------------------------------------
+def _stream_of(spark, d, name: str, max_files: int | None = None) -> DataFrame:
+    schema = table(spark, d, name).schema
+    return stream_source(spark, d, schema, glob=f"{name}.parquet", max_files_per_trigger=max_files)
+
+
+def _run_stream(spark, df: DataFrame, name: str) -> DataFrame:
+    root = scratch_dir(spark, name)
+    run_available_now(df, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+@query("stream_bronze", "SELECT *, 'events_feed' AS source_system FROM events")
+def q_stream_bronze(spark, d):
+    return _run_stream(spark, _stream_of(spark, d, "events").withColumn("source_system", F.lit("events_feed")),
+                       "stream_bronze")
+
+
+@query("stream_silver", ORACLE["expect_kept"])
+def q_stream_silver(spark, d):
+    src = observe_stream(_stream_of(spark, d, "lineitem"), LINE_RULES, "silver_expectations")
+    return _run_stream(spark, kept(src, LINE_RULES), "stream_silver")
+
+
+@query("stream_dim", f"""
+SELECT DISTINCT {_sk('md5(event_type)')} AS event_type_key, md5(event_type) AS event_type_business_key, event_type
+FROM events WHERE event_type IS NOT NULL
+""")
+def q_stream_dim(spark, d):
+    s = _stream_of(spark, d, "events").select("event_type").where(F.col("event_type").isNotNull())
+    s = s.withColumn("event_type_business_key", K.business_key("event_type"))
+    s = s.dropDuplicates(["event_type_business_key"])      # A6/T3: streaming dedup (state per key)
+    s = s.withColumn("event_type_key", K.surrogate_key("event_type_business_key"))
+    return _run_stream(spark, s.select("event_type_key", "event_type_business_key", "event_type"), "stream_dim")
+
+
+@query("stream_fact", f"""
+WITH f AS (SELECT o_orderkey, {_RESULTS_SQL} AS results, {_risk_sql('o_orderpriority')} AS risk_level,
+                  o_orderdate FROM orders)
+SELECT o_orderkey, {_sk(f"md5({_RESULT_STD_SQL})")} AS inspection_result_key,
+  {_sk(f"md5(risk_level || '|' || CAST({_PRIORITY_SQL.format(l='risk_level')} AS VARCHAR))")} AS risk_category_key,
+  CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + day(o_orderdate) AS INTEGER) AS date_key
+FROM f
+""")
+def q_stream_fact(spark, d):
+    """Stream-static joins: the streaming orders look up two rule-bounded
+    dimensions (broadcast, bound known by construction)."""
+    o = table(spark, d, "orders")
+    s = _stream_of(spark, d, "orders")
+    s = (s.withColumn("result_business_key", K.business_key(R.city_a_result(results_text())))
+          .withColumn("risk_level", R.risk_level("o_orderpriority"))
+          .withColumn("risk_business_key", K.business_key("risk_level", R.risk_priority("risk_level").cast("string")))
+          .withColumn("date_key", K.date_key("o_orderdate")))
+    s = lookup_keys(s, [
+        Lookup(status_dimension(o), "result_business_key", "inspection_result_key", known_bound=RESULT_DIM_ROWS),
+        Lookup(priority_dimension(o), "risk_business_key", "risk_category_key", known_bound=RISK_DIM_ROWS),
+    ])
+    return _run_stream(spark, s.select("o_orderkey", "inspection_result_key", "risk_category_key", "date_key"),
+                       "stream_fact")
+
+
+@query("stream_scd2", _TRACKED_SQL)
+def q_stream_scd2(spark, d):
+    """Streaming stage (dedup) -> foreachBatch: append to the bucketed change
+    log, recompute the touched buckets' versions."""
+    root = scratch_dir(spark, "stream_scd2")
+    stage = scd2_stage(_stream_of(spark, d, "events"), ["user_id"], ["event_type"], "ts")
+    body = incremental_scd2(f"{root}/log", f"{root}/versions", ["user_id"], "ts", tracked=["event_type"])
+    run_foreach_batch(stage, body, f"{root}/checkpoint")
+    v = spark.read.parquet(f"{root}/versions")
+    return v.select("user_id", "event_type", F.col(START).alias("start_at"), F.col(END).alias("end_at"), "row_version")
