@@ -444,27 +444,31 @@ def q_regex_replace_point(spark, d):
 # ---------------------------------------------------------------------------
 # Unpivot, cross tab, slot groups
 # ---------------------------------------------------------------------------
-LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]  # unique in lineitem
+LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+# No two lineitem rows are fully equal; these columns identify a row.
+LINE_ID = LINE_KEYS + ["l_returnflag", "l_linestatus", "l_shipdate"]
 MEASURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 @query("unpivot_measures", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, measure_name, measure_value
-FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax
-               FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate, measure_name,
+       measure_value
+FROM (UNPIVOT (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate,
+                      l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem)
       ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME measure_name VALUE measure_value)
 """)
 def q_unpivot_measures(spark, d):
-    return unpivot(table(spark, d, "lineitem"), LINE_KEYS, MEASURES, "measure_name", "measure_value")
+    return unpivot(table(spark, d, "lineitem"), LINE_ID, MEASURES, "measure_name", "measure_value")
 
 
 @query("cross_tab_measures", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate, l_quantity,
+       l_extendedprice, l_discount, l_tax FROM lineitem
 """)
 def q_cross_tab_measures(spark, d):
     """Unpivot then CrossTab back (First): the identity on a unique key."""
-    long = unpivot(table(spark, d, "lineitem"), LINE_KEYS, MEASURES, "measure_name", "measure_value")
-    return cross_tab(long, LINE_KEYS, "measure_name", "measure_value", MEASURES, agg="first")
+    long = unpivot(table(spark, d, "lineitem"), LINE_ID, MEASURES, "measure_name", "measure_value")
+    return cross_tab(long, LINE_ID, "measure_name", "measure_value", MEASURES, agg="first")
 
 
 @query("slots_to_rows", """
@@ -502,12 +506,14 @@ def q_unique_first(spark, d):
 
 @query("line_sequence", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS INTEGER) AS line_seq
+  CAST(row_number() OVER (PARTITION BY l_orderkey
+       ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate) AS INTEGER) AS line_seq
 FROM lineitem
 """)
 def q_line_sequence(spark, d):
-    li = table(spark, d, "lineitem").select(*LINE_KEYS)
-    return sequence(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey"], out="line_seq")
+    li = table(spark, d, "lineitem").select(*LINE_ID)
+    seq = sequence(li, ["l_orderkey"], LINE_ID[1:], out="line_seq")
+    return seq.select(*LINE_KEYS, "line_seq")
 
 
 def order_summary(li: DataFrame) -> DataFrame:
