@@ -40,28 +40,34 @@ def cleanse(df: DataFrame, cols: Sequence[str] | None = None, *, collapse: bool
     no value at all go — that one needs one aggregate job to decide.
     """
     str_cols = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"]
-    targets = [c for c in (cols or str_cols) if c in str_cols]
+    targets = set(c for c in (cols or str_cols) if c in str_cols)
     out = df
-    for c in targets:
-        v: Column = F.col(f"`{c}`")
-        if collapse:
-            v = F.regexp_replace(v, f"{WS}+", " ")
-        if trim:
-            v = F.trim(v)
-        if upper:
-            v = F.upper(v)
-        if blank_as_null:
-            v = F.nullif(v, F.lit(""))
-        out = out.withColumn(c, v)
     if drop_null_rows:
-        present = F.lit(False)
-        for c in out.columns:
-            col = F.col(f"`{c}`")
-            if c in str_cols:
-                present = present | (col.isNotNull() & (F.trim(col) != ""))
-            else:
-                present = present | col.isNotNull()
+        # Decided on the raw values, before the cleansing projection: a value is
+        # blank after cleansing iff it has no non-whitespace character.  One flat
+        # expression over raw columns (no deep OR chain, no aliases for the
+        # optimizer's constraint propagation to expand on wide rows).
+        texts = [F.col(f"`{c}`") for c in df.columns if c in str_cols]
+        others = [F.col(f"`{c}`") for c in df.columns if c not in str_cols]
+        present = F.concat_ws("", *texts).rlike(f"[^{WS[1:-1]}]") if texts else F.lit(False)
+        if others:
+            present = present | F.coalesce(*others).isNotNull()
         out = out.where(present)
+    sel = []
+    for c in df.columns:
+        v: Column = F.col(f"`{c}`")
+        if c in targets:
+            if collapse:
+                v = F.regexp_replace(v, f"{WS}+", " ")
+            if trim:
+                v = F.trim(v)
+            if upper:
+                v = F.upper(v)
+            if blank_as_null:
+                v = F.nullif(v, F.lit(""))
+            v = v.alias(c)
+        sel.append(v)
+    out = out.select(*sel)
     if drop_null_columns:
         counts = out.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in out.columns]).first()
         out = out.select(*[F.col(f"`{c}`") for c in out.columns if counts[c] > 0])
