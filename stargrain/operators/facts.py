@@ -26,12 +26,14 @@ class Lookup:
 
 
 def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup], max_rows: int = DEFAULT_BROADCAST_ROWS,
-                check_size: bool = True) -> DataFrame:
+                check_size: bool = False) -> DataFrame:
     """Add the surrogate keys of several dimensions.
 
-    Each dimension is reduced to (bk, sk); small ones are broadcast (behind a
-    size check), large ones are shuffle-joined — at scale only the large
-    dimensions cause exchanges of the fact.
+    Each dimension is reduced to (bk, sk).  Rule-bounded dimensions
+    (``known_bound``) are broadcast outright; the others are left to adaptive
+    execution, which broadcasts a dimension only once its materialised size
+    is known to be under the threshold and shuffle-joins it otherwise — at
+    scale only the large dimensions cause exchanges of the fact.
     """
     out = fact
     for lk in lookups:
@@ -49,7 +51,8 @@ def refresh_missing_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFram
     out = fact
     for lk in lookups:
         side = lk.dim.select(F.col(lk.bk), F.col(lk.sk).alias("_sg_new"))
-        side = bounded_broadcast(side, DEFAULT_BROADCAST_ROWS, lk.known_bound)
+        if lk.known_bound is not None:
+            side = bounded_broadcast(side, DEFAULT_BROADCAST_ROWS, lk.known_bound)
         out = out.join(side, lk.bk, "left") \
             .withColumn(lk.sk, F.coalesce(F.col(lk.sk), F.col("_sg_new"))).drop("_sg_new")
     return out

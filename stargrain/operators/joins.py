@@ -40,11 +40,15 @@ def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFra
 
 def lookup_key(fact: DataFrame, dim: DataFrame, bk: str, sk: str, *,
                how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS,
-               known_bound: int | None = None, check_size: bool = True) -> DataFrame:
+               known_bound: int | None = None, check_size: bool = False) -> DataFrame:
     """Add the surrogate key ``sk`` of ``dim`` to ``fact`` by business key ``bk``.
 
-    The dimension side is reduced to ``(bk, sk)`` first; it is broadcast only
-    behind :func:`bounded_broadcast`.
+    The dimension side is reduced to ``(bk, sk)`` first.  With a
+    ``known_bound`` it is broadcast outright; otherwise the size check is
+    Spark's own: adaptive execution turns the shuffle join into a broadcast
+    join once the dimension's real size is known and below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (``check_size=True``
+    runs :func:`bounded_broadcast`'s row count instead).
     """
     side = dim.select(bk, sk)
     if check_size or known_bound is not None:
