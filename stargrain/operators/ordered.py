@@ -55,12 +55,39 @@ def _attach(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     return joined.drop(*[f"_sgo_j{i}" for i in range(len(cols))])
 
 
+# A group up to this many rows is numbered by a plain window in one task.
+DEFAULT_MAX_GROUP_ROWS = 5_000_000
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the biggest key group: one aggregate over the key columns only
+    (column-pruned scan, combined map-side), one row to the driver."""
+    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
+    return int(r[0] or 0)
+
+
+def _plain(df: DataFrame, keys, order, seq, prev, nxt, carry) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*order)
+    out = df
+    if seq:
+        out = out.withColumn(seq, F.row_number().over(w).cast("int"))
+    for o, c in prev.items():
+        out = out.withColumn(o, F.lag(c, 1).over(w))
+    for o, c in nxt.items():
+        out = out.withColumn(o, F.lead(c, 1).over(w))
+    for o, c in carry.items():
+        out = out.withColumn(o, F.last(c, ignorenulls=True).over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return out
+
+
 def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
             seq: str | None = None,
             prev: dict[str, str] | None = None,
             nxt: dict[str, str] | None = None,
             carry: dict[str, str] | None = None,
-            parts: int | None = None) -> DataFrame:
+            parts: int | None = None,
+            max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """Add per-key ordered columns to ``df``.
 
     * ``seq``: name of a 1-based row number within the key.
@@ -68,9 +95,16 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     * ``nxt``: ``{out: col}`` — value of ``col`` in the next row of the key (lead 1).
     * ``carry``: ``{out: col}`` — last non-NULL value of ``col`` up to and including
       this row (forward fill).
+
+    Skew-adaptive: when the largest key group has at most ``max_group_rows``
+    rows (checked with :func:`largest_group`), plain windows are used — one
+    shuffle, no task larger than that bound.  Otherwise (or with
+    ``max_group_rows=None``) the range layout below splits hot keys.
     """
     keys, order = list(keys), list(order)
     prev, nxt, carry = prev or {}, nxt or {}, carry or {}
+    if max_group_rows is not None and largest_group(df, keys) <= max_group_rows:
+        return _plain(df, keys, order, seq, prev, nxt, carry)
     n = _partitions(df, parts)
 
     laid = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys + order]) \
@@ -144,6 +178,6 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
 
 
 def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "seq",
-             parts: int | None = None) -> DataFrame:
+             parts: int | None = None, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """1-based position of each row within its key, skew-safe."""
-    return ordered(df, keys, order, seq=out, parts=parts)
+    return ordered(df, keys, order, seq=out, parts=parts, max_group_rows=max_group_rows)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.functions.keys import surrogate_key
-from stargrain.operators.ordered import ordered
+from stargrain.operators.ordered import DEFAULT_MAX_GROUP_ROWS, ordered
 
 START, END = "__START_AT", "__END_AT"
 FAR_FUTURE_DATE = "9999-12-31"
@@ -40,7 +40,7 @@ def scd2_stage(df: DataFrame, keys: Sequence[str], attrs: Sequence[str], sequenc
 
 def scd2_apply(log: DataFrame, keys: Sequence[str], sequence_by: str,
                tracked: Sequence[str] | None = None, ignore_null_updates: bool = False,
-               parts: int | None = None) -> DataFrame:
+               parts: int | None = None, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """T5 ``apply_changes(stored_as_scd_type=2)`` as a batch query over the log.
 
     ``tracked=None`` tracks every non-key column, the sequence column
@@ -57,16 +57,19 @@ def scd2_apply(log: DataFrame, keys: Sequence[str], sequence_by: str,
     trk = list(tracked) if tracked is not None else [*others, sequence_by]
     if ignore_null_updates:
         # a NULL attribute means "unchanged": fill it from the last non-NULL value of the key
-        snap = ordered(snap, keys, [sequence_by], carry={f"_sg_f_{c}": c for c in others}, parts=parts)
+        snap = ordered(snap, keys, [sequence_by], carry={f"_sg_f_{c}": c for c in others}, parts=parts,
+                       max_group_rows=max_group_rows)
         for c in others:
             snap = snap.withColumn(c, F.col(f"_sg_f_{c}")).drop(f"_sg_f_{c}")
     snap = snap.withColumn("_sg_trk", F.struct(*trk))
     # 2. keep snapshots whose tracked values differ from the previous snapshot.
-    marked = ordered(snap, keys, [sequence_by], prev={"_sg_prev": "_sg_trk"}, parts=parts)
+    marked = ordered(snap, keys, [sequence_by], prev={"_sg_prev": "_sg_trk"}, parts=parts,
+                     max_group_rows=max_group_rows)
     changed = marked.where(F.col("_sg_prev").isNull() | ~F.col("_sg_prev").eqNullSafe(F.col("_sg_trk")))
     changed = changed.drop("_sg_prev", "_sg_trk")
     # 3. version end = next version start; row_version numbers the versions.
-    versions = ordered(changed, keys, [sequence_by], seq="row_version", nxt={END: sequence_by}, parts=parts)
+    versions = ordered(changed, keys, [sequence_by], seq="row_version", nxt={END: sequence_by}, parts=parts,
+                       max_group_rows=max_group_rows)
     return versions.withColumn(START, F.col(sequence_by))
 
 
@@ -111,7 +114,8 @@ def scd2_lookup_current(facts: DataFrame, versions: DataFrame, keys: Sequence[st
 
 
 def scd2_lookup_as_of(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at: str,
-                      start: str, cols: Sequence[str], parts: int | None = None) -> DataFrame:
+                      start: str, cols: Sequence[str], parts: int | None = None,
+                      max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """J6 as-of lookup: for each fact, the version of its key valid at ``at``
     (``start <= at < next start``).
 
@@ -126,7 +130,8 @@ def scd2_lookup_as_of(facts: DataFrame, versions: DataFrame, keys: Sequence[str]
                         F.struct(*cols).alias("_sg_v"))
     f = facts.select(*[F.col(f"`{c}`") for c in fact_cols], F.col(at).alias("_sg_t"), F.lit(1).alias("_sg_tag"))
     u = f.unionByName(v, allowMissingColumns=True)
-    res = ordered(u, keys, ["_sg_t", "_sg_tag"], carry={"_sg_cv": "_sg_v"}, parts=parts)
+    res = ordered(u, keys, ["_sg_t", "_sg_tag"], carry={"_sg_cv": "_sg_v"}, parts=parts,
+                  max_group_rows=max_group_rows)
     res = res.where(F.col("_sg_tag") == 1)
     return res.select(*[F.col(f"`{c}`") for c in fact_cols],
                       *[F.col(f"_sg_cv.{c}").alias(c) for c in cols])

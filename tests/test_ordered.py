@@ -1,10 +1,11 @@
 """The skew-safe ordered layout must equal plain windows, also when one key
 holds a third of the rows and is cut across many partitions."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stargrain.operators.ordered import ordered
+from stargrain.operators.ordered import largest_group, ordered
 from stargrain.operators.rows import unique_first
 
 
@@ -18,9 +19,11 @@ def _data(spark, n=3000):
     )
 
 
-def test_ordered_equals_windows_under_skew(spark):
+@pytest.mark.parametrize("max_group_rows", [None, 100, 10_000])
+def test_ordered_equals_windows_under_skew(spark, max_group_rows):
     df = _data(spark)
-    res = ordered(df, ["k"], ["t", "id"], seq="s", prev={"p": "v"}, nxt={"n": "t"}, carry={"c": "v"}, parts=16)
+    res = ordered(df, ["k"], ["t", "id"], seq="s", prev={"p": "v"}, nxt={"n": "t"}, carry={"c": "v"}, parts=16,
+                  max_group_rows=max_group_rows)
     w = Window.partitionBy("k").orderBy("t", "id")
     ref = df.select("id", F.row_number().over(w).alias("s2"), F.lag("v").over(w).alias("p2"),
                     F.lead("t").over(w).alias("n2"),
@@ -45,3 +48,7 @@ def test_unique_first_deterministic(spark):
     assert got == [(1, 1, "z"), (2, 5, "x")]
     got2 = sorted(tuple(r) for r in unique_first(df.where("o = 2"), ["k"], ["o"]).collect())
     assert got2 == [(1, 2, "a")]  # ties broken by the remaining columns
+
+
+def test_largest_group(spark):
+    assert largest_group(_data(spark), ["k"]) == 1000
