@@ -1296,3 +1296,17 @@ def q_stream_scd2(spark, d):
     run_foreach_batch(stage, body, f"{root}/checkpoint")
     v = spark.read.parquet(f"{root}/versions")
     return v.select("user_id", "event_type", F.col(START).alias("start_at"), F.col(END).alias("end_at"), "row_version")
+
+
+@query("stream_risk_dim", _DIM_PRIORITY_SQL)
+def q_stream_risk_dim(spark, d):
+    """``distinct()`` then ``dropDuplicates(bk)`` chained in one stream
+    (two stateful operators in append mode), as the risk dimension does."""
+    s = _stream_of(spark, d, "orders").where(F.col("o_orderpriority").isNotNull())
+    s = s.select(R.risk_level("o_orderpriority").alias("risk_level"))
+    s = s.withColumn("priority_level", R.risk_priority("risk_level")).distinct()
+    s = s.withColumn("risk_business_key", K.business_key("risk_level", F.col("priority_level").cast("string")))
+    s = s.dropDuplicates(["risk_business_key"])
+    s = s.withColumn("risk_category_key", K.surrogate_key("risk_business_key"))
+    return _run_stream(spark, s.select("risk_category_key", "risk_business_key", "risk_level", "priority_level"),
+                       "stream_risk_dim")

@@ -67,3 +67,26 @@ def test_incremental_scd2_out_of_order_batches(spark, tmp_path):
                       tracked=["event_type"]).select("user_id", "event_type", START, END, "row_version")
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_inferred_csv_table_sink_audit_describe(spark, tmp_path):
+    from stargrain.sources.delimited import describe, read_inferred_csv, save_table, with_audit
+    p = tmp_path / "u.csv"
+    p.write_text("a,b,c\n1,x,2.5\n2,y,3.0\n")
+    df = read_inferred_csv(spark, str(p))
+    assert describe(df) == [("a", "int"), ("b", "string"), ("c", "double")]
+    out = str(tmp_path / "t")
+    save_table(with_audit(df, "bronze", "Alteryx_ETL"), out)
+    back = spark.read.parquet(out)
+    assert back.count() == 2 and {"bronze_load_timestamp", "bronze_load_date", "source_system"} <= set(back.columns)
+
+
+def test_stream_observed_expectations(spark, tmp_path):
+    from stargrain.operators.quality import Expectation, kept, observe_stream
+    src = str(tmp_path / "src")
+    spark.range(10).selectExpr("id", "id % 3 AS m").write.parquet(src)
+    rules = [Expectation("m_not_zero", "m <> 0", "drop")]
+    s = observe_stream(spark.readStream.schema("id long, m long").parquet(src), rules, "dq")
+    prog = run_available_now(kept(s, rules), str(tmp_path / "out"), str(tmp_path / "ck"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 6
+    assert prog["observedMetrics"]["dq"]["m_not_zero"] == 4
