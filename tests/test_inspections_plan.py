@@ -133,3 +133,22 @@ def test_silver_typed_and_star(spark, uni):
     rest = g["dim_restaurant"]
     assert rest.groupBy("restaurant_id").agg(F.sum(F.col("is_current").cast("int")).alias("c")) \
         .where("c != 1").count() == 0
+
+
+def test_streaming_tables_equal_batch_keys(spark, uni, tmp_path):
+    udir = str(tmp_path / "unified")
+    uni.repartition(3).write.parquet(udir)
+    out = P.stream_tables(spark, udir, str(tmp_path / "gold"))
+    t = P.typed(P.silver(P.bronze(spark.read.parquet(udir))))
+    batch = P.star(t)
+    for name, bk in [("dim_location", "location_business_key"), ("dim_violation", "violation_business_key"),
+                     ("dim_inspection_type", "inspection_type_business_key"),
+                     ("dim_inspection_result", "result_business_key"), ("dim_risk_category", "risk_business_key")]:
+        s = {r[0] for r in spark.read.parquet(out[name]).select(bk).collect()}
+        b = {r[0] for r in batch[name].select(bk).collect()}
+        assert s == b, name
+    sf = spark.read.parquet(out["fact_food_inspections"])
+    assert sf.count() == batch["fact_food_inspections"].count()
+    assert spark.read.parquet(out["bridge_inspection_violation"]).count() == batch["bridge_inspection_violation"].count()
+    sv = spark.read.parquet(out["dim_restaurant"]).count()
+    assert sv == batch["dim_restaurant"].count()
