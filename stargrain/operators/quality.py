@@ -35,11 +35,15 @@ def _drop_rules(rules: Sequence[Expectation]) -> list[Expectation]:
 
 
 def kept(df: DataFrame, rules: Sequence[Expectation]) -> DataFrame:
-    """Rows that pass every ``drop`` rule (works on streams too)."""
-    cond = F.lit(True)
+    """Rows that pass every ``drop`` rule (works on streams too).
+
+    The raw predicates are used: a filter keeps only TRUE, which is the same
+    as ``coalesce(p, false)`` but leaves the predicates pushable to the scan.
+    """
+    out = df
     for r in _drop_rules(rules):
-        cond = cond & r.passes()
-    return df.where(cond)
+        out = out.where(F.expr(r.predicate))
+    return out
 
 
 def quarantine(df: DataFrame, rules: Sequence[Expectation], col: str = "failed_rules") -> DataFrame:

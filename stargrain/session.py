@@ -43,6 +43,27 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+# Settings meant for a large cluster (100 TB inputs).  Applied by the cluster's
+# own configuration; listed here so the plan assumptions are explicit.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    # start wide, let AQE coalesce to ~256 MB per reducer
+    "spark.sql.shuffle.partitions": "200000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    # split a reducer partition that is 5x the median and above 512 MB
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    # runtime broadcast only for dimensions that really are small
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # survive executor loss: shuffle files outlive executors
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; set a local one only if unset."""
     root = None
