@@ -65,22 +65,24 @@ CLUSTER_CONF = {
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of the session; set a local one only if unset."""
-    root = None
+    """The shared checkpoint folder of the session (``spark.checkpoint.dir``).
+
+    Read from the session; a machine-local folder is created only when the
+    setting is unset (tests, local runs).  The folder is also installed as
+    the context's checkpoint directory so ``DataFrame.checkpoint()`` works.
+    """
+    sc = None
     try:
-        root = spark.sparkContext.getCheckpointDir()
+        sc = spark.sparkContext
+        root = sc.getCheckpointDir()
     except Exception:  # Spark Connect has no SparkContext
         root = None
-    if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="stargrain-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-            root = spark.sparkContext.getCheckpointDir() or root
-        except Exception:
-            pass
+    if root:
+        return root.rstrip("/")
+    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stargrain-ckpt-")
+    if sc is not None:
+        sc.setCheckpointDir(root)
+        root = sc.getCheckpointDir() or root
     return root.rstrip("/")
 
 
