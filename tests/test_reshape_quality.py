@@ -94,3 +94,18 @@ def test_expectations_partition_the_input(spark):
         raise AssertionError("expected failure")
     except ValueError:
         pass
+
+
+def test_outlier_counts_brute_force(spark):
+    import numpy as np
+    from stargrain.operators.profile import outlier_counts
+    vals = [1.0, 2.0, 2.0, 3.0, 3.0, 3.0, 4.0, 4.0, 5.0, 40.0, -30.0]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    r = outlier_counts(df, ["x"]).first()
+    s = sorted(vals)
+
+    def q(p):  # percentile_approx returns an actual element: the smallest v with rank >= p * n
+        return s[max(0, int(np.ceil(p * len(s))) - 1)]
+    lo, hi = q(0.25) - 1.5 * (q(0.75) - q(0.25)), q(0.75) + 1.5 * (q(0.75) - q(0.25))
+    assert (r.lower_fence, r.upper_fence) == (lo, hi)
+    assert r.n_outliers == sum(1 for v in vals if v < lo or v > hi) == 2
