@@ -74,31 +74,47 @@ def cleanse(df: DataFrame, cols: Sequence[str] | None = None, *, collapse: bool
     return out
 
 
+def _value_class(s: Column) -> Column:
+    """Index into CANDIDATES of the narrowest type one text value fits
+    (len(CANDIDATES) when none fits).  Patterns are tried lazily, in order."""
+    v = s.try_cast("decimal(38,0)")
+    int_rank = (F.when(v.between(-128, 127), 1).when(v.between(-32768, 32767), 2)
+                 .when(v.between(-2147483648, 2147483647), 3).otherwise(4))
+    return (F.when(s.isNull(), F.lit(None))
+             .when(F.lower(s).isin("true", "false"), 0)
+             .when(s.rlike(INT_PAT), int_rank)
+             .when(s.rlike(DEC_PAT), 5)
+             .when(s.rlike(DATE_PAT), 6)
+             .when(s.rlike(TS_PAT), 7)
+             .otherwise(len(CANDIDATES)))
+
+
 def field_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """R5 decision as a DataFrame: ``(column_name, inferred_type, n_values)``.
+    """R5 decision as a DataFrame: ``(ordinal, column_name, inferred_type, n_values)``.
 
-    One aggregate pass: for every column and candidate, ``every(value fits)``
-    over non-NULL values; the first candidate that fits wins, else string.
+    One aggregate pass.  Each value gets the index of the narrowest candidate
+    it fits; the numeric candidates (tinyint .. double) nest, so a column's
+    type is the widest class seen when all classes are numeric, the single
+    class when all values share it, and string otherwise — the first
+    candidate that fits every non-NULL value.
     """
     cols = list(cols or df.columns)
     aggs = []
     for i, c in enumerate(cols):
         s = F.col(f"`{c}`").cast("string")
-        aggs.append(F.count(s).alias(f"n{i}"))
-        for j, (_, pat, rng) in enumerate(CANDIDATES):
-            ok = s.rlike(pat)
-            if rng:
-                v = s.try_cast("decimal(38,0)")
-                ok = ok & v.between(rng[0], rng[1])
-            aggs.append(F.coalesce(F.every(F.when(s.isNotNull(), ok)), F.lit(False)).alias(f"c{i}_{j}"))
+        k = _value_class(s)
+        aggs += [F.count(s).alias(f"n{i}"), F.min(k).alias(f"lo{i}"), F.max(k).alias(f"hi{i}")]
     stats = df.agg(*aggs)
+    names = F.array(*[F.lit(n) for n, _, _ in CANDIDATES])
     rows = []
     for i, c in enumerate(cols):
-        t = F.lit("string")
-        for j in reversed(range(len(CANDIDATES))):
-            t = F.when(F.col(f"c{i}_{j}") & (F.col(f"n{i}") > 0), F.lit(CANDIDATES[j][0])).otherwise(t)
+        lo, hi, n = F.col(f"lo{i}"), F.col(f"hi{i}"), F.col(f"n{i}")
+        numeric = (lo >= 1) & (hi <= 5)
+        t = (F.when(n == 0, F.lit("string"))
+              .when(numeric | ((lo == hi) & (hi < len(CANDIDATES))), F.element_at(names, hi + 1))
+              .otherwise(F.lit("string")))
         rows.append(F.struct(F.lit(i + 1).alias("ordinal"), F.lit(c).alias("column_name"),
-                             t.alias("inferred_type"), F.col(f"n{i}").alias("n_values")))
+                             t.alias("inferred_type"), n.alias("n_values")))
     return stats.select(F.inline(F.array(*rows)))
 
 

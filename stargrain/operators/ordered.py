@@ -57,6 +57,8 @@ def _attach(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 # A group up to this many rows is numbered by a plain window in one task.
 DEFAULT_MAX_GROUP_ROWS = 5_000_000
+# ``max_group_rows=PLAIN``: the caller already knows the groups are bounded.
+PLAIN = float("inf")
 
 
 def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
@@ -103,7 +105,7 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     """
     keys, order = list(keys), list(order)
     prev, nxt, carry = prev or {}, nxt or {}, carry or {}
-    if max_group_rows is not None and largest_group(df, keys) <= max_group_rows:
+    if max_group_rows is not None and (max_group_rows == PLAIN or largest_group(df, keys) <= max_group_rows):
         return _plain(df, keys, order, seq, prev, nxt, carry)
     n = _partitions(df, parts)
 

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.functions.keys import surrogate_key
-from stargrain.operators.ordered import DEFAULT_MAX_GROUP_ROWS, ordered
+from stargrain.operators.ordered import DEFAULT_MAX_GROUP_ROWS, PLAIN, largest_group, ordered
 
 START, END = "__START_AT", "__END_AT"
 FAR_FUTURE_DATE = "9999-12-31"
@@ -51,6 +51,9 @@ def scd2_apply(log: DataFrame, keys: Sequence[str], sequence_by: str,
     """
     keys = list(keys)
     others = [c for c in log.columns if c not in keys and c != sequence_by]
+    if max_group_rows is not None and max_group_rows != PLAIN:
+        # decide the layout once: the later steps only shrink the groups
+        max_group_rows = PLAIN if largest_group(log, keys) <= max_group_rows else None
     # 1. one snapshot per (key, sequence): the largest attribute tuple wins.
     snap = log.groupBy(*keys, sequence_by).agg(F.max(F.struct(*others)).alias("_sg_a")) \
         .select(*keys, sequence_by, "_sg_a.*") if others else log.select(*keys, sequence_by).distinct()

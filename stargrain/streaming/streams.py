@@ -76,25 +76,36 @@ def incremental_scd2(log_dir: str, versions_dir: str, keys: Sequence[str], seque
     bucket); then only the buckets it touched are recomputed from the log
     and rewritten with dynamic partition overwrite.  Late or out-of-order
     snapshots are correct because a touched bucket is rebuilt from its full
-    log.  A re-run of a micro-batch after a failure rewrites the same
-    buckets with the same content (idempotent).
+    log.  A re-run of a micro-batch after a failure appends rows the log
+    already has (removed by the de-duplication on read) and rewrites the
+    same buckets with the same content (idempotent).
     """
     keys = list(keys)
 
     def body(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        staged = batch.withColumn("sg_bucket", key_bucket(keys, buckets)).withColumn("sg_epoch", F.lit(epoch))
-        # idempotent append: a retried epoch replaces its own partition
-        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sg_bucket", "sg_epoch").parquet(log_dir)
-        touched = [r["sg_bucket"] for r in staged.select("sg_bucket").distinct().collect()]  # <= buckets values
+        staged = batch.withColumn("sg_bucket", key_bucket(keys, buckets)).persist()
+        try:
+            # append to the log; a retried epoch appends the same rows again, which the
+            # de-duplication on read removes, so a retry is harmless
+            # few files per bucket: range-partition on (bucket, key, sequence) so each
+            # task writes a contiguous slice and a hot bucket is still split over tasks
+            (staged.repartitionByRange("sg_bucket", *keys, sequence_by)
+             .write.mode("append").partitionBy("sg_bucket").parquet(log_dir))
+            touched = sorted(r["sg_bucket"] for r in staged.select("sg_bucket").distinct().collect())
+        finally:
+            staged.unpersist()
         if not touched:
             return
-        log = spark.read.parquet(log_dir).where(F.col("sg_bucket").isin(touched)).drop("sg_epoch")
-        log = log.dropDuplicates()
-        trk = [c for c in (tracked if tracked is not None else [c for c in log.columns if c not in keys
-                                                               and c != "sg_bucket"])]
-        versions = scd2_apply(log.drop("sg_bucket"), keys, sequence_by, tracked=trk)
-        versions = versions.withColumn("sg_bucket", key_bucket(keys, buckets))
-        versions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("sg_bucket").parquet(versions_dir)
+        # list and read only the touched buckets' folders
+        log = (spark.read.option("basePath", log_dir)
+               .parquet(*[f"{log_dir}/sg_bucket={b}" for b in touched])
+               .drop("sg_bucket").dropDuplicates())
+        trk = list(tracked) if tracked is not None else [c for c in log.columns if c not in keys]
+        versions = scd2_apply(log, keys, sequence_by, tracked=trk)
+        versions = versions.withColumn("sg_bucket", key_bucket(keys, buckets)) \
+            .repartitionByRange("sg_bucket", *keys, sequence_by)
+        (versions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("sg_bucket").parquet(versions_dir))
 
     return body
