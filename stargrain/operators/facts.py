@@ -37,7 +37,8 @@ def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup], max_rows: int = DEFA
     """
     out = fact
     for lk in lookups:
-        side = lk.dim.select(lk.bk, lk.sk)
+        # one surrogate key per business key, so a lookup never multiplies facts
+        side = lk.dim.groupBy(lk.bk).agg(F.min(lk.sk).alias(lk.sk))
         if lk.known_bound is not None or check_size:
             side = bounded_broadcast(side, max_rows, lk.known_bound)
         out = out.join(side, lk.bk, lk.how)

@@ -28,8 +28,13 @@ def diff_snapshots(old: DataFrame, new: DataFrame, keys: Sequence[str], *, versi
     keys = list(keys)
     vals = [c for c in new.columns if c not in keys]
     comp = list(compare) if compare is not None else vals
-    o = old.select(*keys, F.struct(*vals).alias("_o"), F.struct(*comp).alias("_oc"))
-    n = new.select(*keys, F.struct(*vals).alias("_n"), F.struct(*comp).alias("_nc"))
+    # at most one row per key and side (a dirty snapshot with repeated keys must
+    # not pair every old row with every new row); the aggregate leaves both
+    # sides hash-partitioned by the keys, so the join adds no exchange
+    o = old.groupBy(*keys).agg(F.min(F.struct(*vals)).alias("_o")).withColumn("_oc", F.struct(
+        *[F.col(f"_o.{c}").alias(c) for c in comp]))
+    n = new.groupBy(*keys).agg(F.min(F.struct(*vals)).alias("_n")).withColumn("_nc", F.struct(
+        *[F.col(f"_n.{c}").alias(c) for c in comp]))
     j = o.join(n, keys, "full_outer")
     kind = (F.when(F.col("_o").isNull(), "insert").when(F.col("_n").isNull(), "delete")
             .when(~F.col("_oc").eqNullSafe(F.col("_nc")), "update").otherwise(None))
