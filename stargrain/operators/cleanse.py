@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stargrain.functions.text import WS, collapse_ws
+from stargrain.functions.text import WS
 
 # AutoField candidates, narrowest first, each a whole-string pattern on the
 # text form plus an optional numeric range.  Decided by patterns (not by an
