@@ -19,6 +19,8 @@ A_ROWS = [
      "", "", ""],
     ["1004", "", None, "", "Restaurant", None, "4 Elm St", "chicago", "IL", "abc", "bad-date", "License",
      "Out of Business", None, "", "", ""],
+    ["1005", "Soup Bar", None, "505", "Restaurant", None, "5 Pine St", "Chicago", "IL", "60601",
+     "2024/03/01", "Canvass", "Pass", "2. WATER - Comments: fine", "", "", ""],
 ]
 B_SLOT_COLS = [c for i in range(1, 26) for c in P.city_b_slot_columns(i).values()]
 B_HEADER = P.CITY_B_IDS[:-1] + B_SLOT_COLS
@@ -77,7 +79,7 @@ def test_unified_shape_and_parse(uni):
     assert uni.columns == P.UNIFIED_COLUMNS
     a = {(r.inspection_id, r.violation_code): r for r in uni.where("source_city = 'Chicago'").collect()}
     # hyphen before "- Comments:" and missing comments do not parse; lower-case comments: does
-    assert set(a) == {("1001", "1"), ("1001", "15"), ("1002", "30"), ("1003", "14")}
+    assert set(a) == {("1001", "1"), ("1001", "15"), ("1002", "30"), ("1003", "14"), ("1005", "2")}
     assert a[("1001", "15")].violation_severity == "Critical"
     assert a[("1001", "1")].violation_severity == "Priority Foundation"
     assert a[("1002", "30")].violation_comments_original == "URGENT fix"       # keep-first of the duplicate code
@@ -130,6 +132,14 @@ def test_silver_typed_and_star(spark, uni):
     assert fact.where("city = 'dallas' AND restaurant_key IS NULL").count() == 0
     br_rows = g["bridge_inspection_violation"].count()
     assert br_rows == t.count()
+    # trap 6: the fact maps a NULL risk to Unknown|99, the dimension drops NULL
+    # risks, so without another source of "Unknown" the foreign key is NULL
+    r1005 = fact.where("inspection_id = '1005'").first()
+    assert r1005 is not None and r1005.risk_category_key is None
+    assert g["dim_risk_category"].where("risk_level = 'Unknown'").count() == 0
+    # trap 2: a city B restaurant id is unique per inspection date -> one version each
+    rest_b = g["dim_restaurant"].where("city = 'dallas'")
+    assert rest_b.count() == rest_b.select("restaurant_id").distinct().count()
     rest = g["dim_restaurant"]
     assert rest.groupBy("restaurant_id").agg(F.sum(F.col("is_current").cast("int")).alias("c")) \
         .where("c != 1").count() == 0
