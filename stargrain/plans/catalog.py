@@ -26,7 +26,7 @@ from stargrain.operators.cleanse import CANDIDATES, cleanse, field_types
 from stargrain.operators.dims import calendar_dates, calendar_dimension, hash_dimension
 from stargrain.operators.facts import Lookup, build_bridge, lookup_keys
 from stargrain.operators.joins import bounded_broadcast, lookup_key, semi_join
-from stargrain.operators.ordered import sequence
+from stargrain.operators.ordered import ordered, sequence
 from stargrain.operators.quality import Expectation, kept, metrics, quarantine
 from stargrain.operators.rows import distinct_keys, unique_first, with_total
 from stargrain.sources.changes import (COMMIT_TS, COMMIT_VERSION, apply_changes_snapshot, diff_snapshots,
@@ -518,6 +518,28 @@ def q_line_sequence(spark, d):
     return seq.select(*LINE_KEYS, "line_seq")
 
 
+_HOT_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
+
+
+@query("hot_key_sequence", f"""
+WITH t AS (SELECT CASE WHEN l_returnflag = 'N' THEN -1 ELSE l_orderkey END AS hot_key, * FROM lineitem)
+SELECT hot_key, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate,
+  CAST(row_number() OVER w AS INTEGER) AS seq, lag(l_quantity) OVER w AS prev_qty,
+  lead(l_shipdate) OVER w AS next_ship
+FROM t WINDOW w AS (PARTITION BY hot_key ORDER BY {", ".join(_HOT_ORDER)})
+""")
+def q_hot_key_sequence(spark, d):
+    """Sequence, lag and lead where one key holds about half of lineitem (all
+    'N' lines share key -1): forced through the range layout, so the hot key
+    is split over many tasks and stitched back by the boundary table."""
+    li = table(spark, d, "lineitem")
+    t = li.select(F.when(F.col("l_returnflag") == "N", F.lit(-1)).otherwise(F.col("l_orderkey")).alias("hot_key"),
+                  *LINE_ID, "l_quantity")
+    out = ordered(t, ["hot_key"], _HOT_ORDER, seq="seq", prev={"prev_qty": "l_quantity"},
+                  nxt={"next_ship": "l_shipdate"}, max_group_rows=None)
+    return out.drop("l_quantity")
+
+
 def order_summary(li: DataFrame) -> DataFrame:
     return summarize(li, ["l_orderkey"], {
         "line_count": F.count("l_partkey"),
