@@ -386,8 +386,7 @@ def q_split_url_segments(spark, d):
     return split_to_rows(pages, "segment", "/", pos="seg_no").select("page_id", "seg_no", "segment")
 
 
-# The violation pattern of the reference's packed violation text.
-VIOLATION_PATTERN = r"(\d+)\.\s*([^-]+?)\s*-\s*Comments:\s*(.+?)\s*$"
+VIOLATION_PATTERN = R.VIOLATION_PATTERN
 
 
 def _packed_part_sql() -> str:

@@ -76,7 +76,7 @@ def test_inferred_csv_table_sink_audit_describe(spark, tmp_path):
     df = read_inferred_csv(spark, str(p))
     assert describe(df) == [("a", "int"), ("b", "string"), ("c", "double")]
     out = str(tmp_path / "t")
-    save_table(with_audit(df, "bronze", "Alteryx_ETL"), out)
+    save_table(with_audit(df, "bronze", "desktop_etl"), out)
     back = spark.read.parquet(out)
     assert back.count() == 2 and {"bronze_load_timestamp", "bronze_load_date", "source_system"} <= set(back.columns)
 
