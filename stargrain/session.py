@@ -58,6 +58,10 @@ CLUSTER_CONF = {
     # runtime broadcast only for dimensions that really are small
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # streaming dedup / SCD2 stage state off the JVM heap, checkpointed incrementally
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # survive executor loss: shuffle files outlive executors
     "spark.decommission.enabled": "true",
     "spark.storage.decommission.shuffleBlocks.enabled": "true",

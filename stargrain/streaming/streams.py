@@ -64,6 +64,22 @@ def run_foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], check
             q.stop()
 
 
+def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str | None = None,
+                 delay: str | None = None) -> DataFrame:
+    """T3 streaming dedup.  Without ``event_time`` it is ``dropDuplicates`` with
+    state per key kept forever (the reference's behaviour: fine for dimension
+    members, unbounded for facts); with ``event_time`` and ``delay`` the state
+    is bounded by the watermark (``dropDuplicatesWithinWatermark``)."""
+    if event_time and delay:
+        if df.schema[event_time].dataType.simpleString() == "timestamp":
+            return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+        # watermarks need TIMESTAMP: watch a session-time copy of a TIMESTAMP_NTZ/DATE column
+        wm = df.withColumn("_sg_event_time", F.col(event_time).cast("timestamp"))
+        return wm.withWatermark("_sg_event_time", delay).dropDuplicatesWithinWatermark(list(keys)) \
+            .drop("_sg_event_time")
+    return df.dropDuplicates(list(keys))
+
+
 def key_bucket(keys: Sequence[str], buckets: int) -> F.Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
 

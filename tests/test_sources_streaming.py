@@ -90,3 +90,16 @@ def test_stream_observed_expectations(spark, tmp_path):
     prog = run_available_now(kept(s, rules), str(tmp_path / "out"), str(tmp_path / "ck"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 6
     assert prog["observedMetrics"]["dq"]["m_not_zero"] == 4
+
+
+def test_dedup_stream_with_watermark(spark, tmp_path):
+    from stargrain.streaming.streams import dedup_stream
+    src = str(tmp_path / "src")
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts", "user_id")
+    ev.write.parquet(src + "/a")
+    ev.write.parquet(src + "/b")          # every event arrives twice
+    s = spark.readStream.schema(ev.schema).option("recursiveFileLookup", True).parquet(src)
+    for et, delay in [(None, None), ("ts", "40 days")]:
+        out = str(tmp_path / f"out_{et}")
+        run_available_now(dedup_stream(s, ["event_id"], et, delay), out, out + "_ck")
+        assert spark.read.parquet(out).count() == ev.count()
