@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,22 +27,34 @@ def all_string_schema(columns: Sequence[str]) -> StructType:
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], *, sep: str = "\t",
                    encoding: str = "ISO-8859-1", multiline: bool = False,
                    columns: Sequence[str] | None = None, source_file: str | None = "FileName") -> DataFrame:
-    """Header + delimiter + encoding, every column a string.
-
-    Several files with one header are one multi-path scan (O4 without a
-    union).  ``multiline`` lets quoted fields hold record breaks (S2; such
-    files are not split).  ``source_file`` adds the file name of each row
-    from the scan's ``_metadata``.
+    """S1-S4 + O4: header + delimiter + encoding, every column a string.
+
+    Files that share a header are one multi-path scan.  Files whose headers
+    differ are scanned per header and unioned by name (a column missing in
+    one group is NULL there) with a warning, as the workflow's union does.
+    ``multiline`` lets quoted fields hold record breaks (S2; such files are
+    not split).  ``source_file`` adds the file name of each row from the
+    scan's ``_metadata``.  Reading the headers touches one line per file.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    cols = list(columns) if columns else header_columns(spark, paths[0], sep, encoding)
+    if columns:
+        groups = {tuple(columns): paths}
+    else:
+        groups: dict[tuple[str, ...], list[str]] = {}
+        for p in paths:
+            groups.setdefault(tuple(header_columns(spark, p, sep, encoding)), []).append(p)
+    if len(groups) > 1:
+        warnings.warn(f"read_delimited: {len(groups)} different headers; unioning by column name")
     reader = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
               .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-              .option("mode", "PERMISSIVE").schema(all_string_schema(cols)))
-    df = reader.csv(paths)
-    if source_file:
-        df = df.withColumn(source_file, F.col("_metadata.file_name"))
-    return df
+              .option("mode", "PERMISSIVE"))
+    out = None
+    for cols, group in groups.items():
+        df = reader.schema(all_string_schema(cols)).csv(group)
+        if source_file:
+            df = df.withColumn(source_file, F.col("_metadata.file_name"))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 def read_inferred_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:

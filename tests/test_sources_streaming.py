@@ -103,3 +103,16 @@ def test_dedup_stream_with_watermark(spark, tmp_path):
         out = str(tmp_path / f"out_{et}")
         run_available_now(dedup_stream(s, ["event_id"], et, delay), out, out + "_ck")
         assert spark.read.parquet(out).count() == ev.count()
+
+
+def test_read_delimited_unions_different_headers(spark, tmp_path):
+    import warnings
+    (tmp_path / "a.tsv").write_bytes(b"A\tB\n1\t2\n")
+    (tmp_path / "b.tsv").write_bytes(b"B\tC\n3\t4\n")
+    (tmp_path / "c.tsv").write_bytes(b"A\tB\n5\t6\n")
+    with warnings.catch_warnings(record=True) as w:
+        warnings.simplefilter("always")
+        df = read_delimited(spark, [str(tmp_path / n) for n in ["a.tsv", "b.tsv", "c.tsv"]])
+    assert any("different headers" in str(x.message) for x in w)
+    got = sorted((tuple(r) for r in df.select("A", "B", "C", "FileName").collect()), key=lambda t: t[3])
+    assert got == [("1", "2", None, "a.tsv"), (None, "3", "4", "b.tsv"), ("5", "6", None, "c.tsv")]
