@@ -17,6 +17,15 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def _default_driver_memory() -> str:
+    """Half the machine's memory, capped at 16 GB (local mode runs in the driver JVM)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        return f"{max(1, min(16, total // 2 // 2**30))}g"
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "stargrain") -> SparkSession:
     active = SparkSession.getActiveSession()
@@ -35,7 +44,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", _default_driver_memory()))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     spark = builder.getOrCreate()
