@@ -511,9 +511,9 @@ FROM lineitem
 """)
 def q_line_sequence(spark, d):
     li = table(spark, d, "lineitem").select(*LINE_ID)
-    # always through the skew-safe range layout (hot keys split across tasks),
-    # so the SQL gate checks that path too
-    seq = sequence(li, ["l_orderkey"], LINE_ID[1:], out="line_seq", max_group_rows=None)
+    # skew-adaptive: orders have a handful of lines, so this takes the plain
+    # window path; hot_key_sequence below checks the range layout
+    seq = sequence(li, ["l_orderkey"], LINE_ID[1:], out="line_seq")
     return seq.select(*LINE_KEYS, "line_seq")
 
 
@@ -529,8 +529,10 @@ FROM t WINDOW w AS (PARTITION BY hot_key ORDER BY {", ".join(_HOT_ORDER)})
 """)
 def q_hot_key_sequence(spark, d):
     """Sequence, lag and lead where one key holds about half of lineitem (all
-    'N' lines share key -1): forced through the range layout, so the hot key
-    is split over many tasks and stitched back by the boundary table."""
+    'N' lines share key -1).  At scale the size check alone picks the range
+    layout for such a key; here it is forced (``max_group_rows=None``) so the
+    SQL gate checks that path at every scale factor: the hot key is split over
+    many tasks and stitched back by the boundary table."""
     li = table(spark, d, "lineitem")
     t = li.select(F.when(F.col("l_returnflag") == "N", F.lit(-1)).otherwise(F.col("l_orderkey")).alias("hot_key"),
                   *LINE_ID, "l_quantity")
