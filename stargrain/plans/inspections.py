@@ -528,3 +528,38 @@ def stream_tables(spark: SparkSession, unified_dir: str, root: str) -> dict[str,
         "violation_score", "violation_code", "violation_description", "violation_comments_original",
         "violation_severity"), "bridge_inspection_violation")
     return out
+
+
+# ---------------------------------------------------------------------------
+# Tables for ad-hoc SQL (§3.3)
+# ---------------------------------------------------------------------------
+TABLE_NAMES = {
+    "source": "source_food_inspections_data",
+    "bronze": "bronze_food_inspections",
+    "silver": "silver_food_inspections",
+    "typed": "silver_food_inspections_transformed",
+}
+
+
+def publish(spark: SparkSession, unified_df: DataFrame, root: str) -> dict[str, str]:
+    """Write every layer as a parquet table under ``root`` (shared storage) and
+    register a temp view per table under the pipeline's table names, so the
+    same ad-hoc SQL runs against them.  Each table is read back from its
+    files before the next layer is built (a lineage cut per layer)."""
+    paths: dict[str, str] = {}
+
+    def save(df: DataFrame, name: str) -> DataFrame:
+        path = f"{root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        paths[name] = path
+        back = spark.read.parquet(path)
+        back.createOrReplaceTempView(name)
+        return back
+
+    src = save(unified_df, TABLE_NAMES["source"])
+    br = save(bronze(src), TABLE_NAMES["bronze"])
+    sv = save(silver(br), TABLE_NAMES["silver"])
+    t = save(typed(sv), TABLE_NAMES["typed"])
+    for name, df in star(t).items():
+        save(df, name)
+    return paths

@@ -162,3 +162,38 @@ def test_streaming_tables_equal_batch_keys(spark, uni, tmp_path):
     assert spark.read.parquet(out["bridge_inspection_violation"]).count() == batch["bridge_inspection_violation"].count()
     sv = spark.read.parquet(out["dim_restaurant"]).count()
     assert sv == batch["dim_restaurant"].count()
+
+
+def test_published_tables_answer_adhoc_sql(spark, uni, tmp_path):
+    P.publish(spark, uni, str(tmp_path / "tables"))
+    q = spark.sql
+    flags = q("SELECT critical_violation, COUNT(*) AS n FROM source_food_inspections_data "
+              "GROUP BY critical_violation ORDER BY COUNT(*) DESC").collect()
+    assert sum(r.n for r in flags) == uni.count()
+    cities = {r.source_city: r.n for r in q("SELECT COUNT(*) AS n, source_city FROM source_food_inspections_data "
+                                            "GROUP BY source_city ORDER BY COUNT(*) DESC").collect()}
+    assert set(cities) == {"Chicago", "Dallas"}
+    assert q("SELECT * FROM silver_food_inspections WHERE int(violation_score) >= 90 "
+             "AND int(violation_count) > 3").count() == 0
+    hist = q("""SELECT restaurant_key, restaurant_id, dba_name, effective_date, expiration_date, is_current, row_version
+                FROM dim_restaurant WHERE restaurant_id IN (
+                  SELECT restaurant_id FROM dim_restaurant GROUP BY restaurant_id HAVING COUNT(*) > 1
+                  ORDER BY restaurant_id LIMIT 5)
+                ORDER BY restaurant_id, row_version""").collect()
+    assert all(r.row_version >= 1 for r in hist)
+    pick = q("""SELECT license_number, dba_name, facility_type, risk_category, city, COUNT(*) AS inspection_count
+                FROM silver_food_inspections_transformed WHERE inspection_date IS NOT NULL
+                GROUP BY license_number, dba_name, facility_type, risk_category, city
+                HAVING COUNT(*) >= 1 ORDER BY inspection_count DESC, license_number LIMIT 1""").collect()
+    assert len(pick) == 1
+    one = q(f"SELECT * FROM dim_restaurant WHERE restaurant_id = '{pick[0].license_number}-{pick[0].city}' "
+            "ORDER BY row_version").collect()
+    assert len(one) >= 1
+    u = q("SELECT COUNT(DISTINCT inspection_id) AS u, COUNT(*) AS t FROM silver_food_inspections_transformed").first()
+    f = q("SELECT COUNT(*) AS n FROM fact_food_inspections").first()
+    assert u.t >= f.n >= 1
+    tot = q("SELECT inspection_key, inspection_business_key, inspection_id, city, COUNT(*) OVER () AS total_rows "
+            "FROM fact_food_inspections").collect()
+    assert {r.total_rows for r in tot} == {f.n}
+    assert [r.col_name for r in q("DESCRIBE TABLE fact_food_inspections").collect()][:2] == [
+        "inspection_key", "inspection_business_key"]
