@@ -76,20 +76,36 @@ def header_name(c: Column) -> Column:
     return F.regexp_replace(c, r"\s", "_")
 
 
-def cross_tab(df: DataFrame, keys: Sequence[str], header: str, value: str, values: Sequence[str],
+PIVOT_MAX_VALUES = 10_000   # same bound as spark.sql.pivotMaxValues
+
+
+def cross_tab(df: DataFrame, keys: Sequence[str], header: str, value: str, values: Sequence | None = None,
               agg: str = "first") -> DataFrame:
     """R3 CrossTab: one column per header value.
 
-    ``values`` must be given (no extra job to discover them).  ``first``
-    takes the first non-NULL value — deterministic only when (keys, header)
-    is unique; other methods: ``sum``, ``max``, ``min``, ``count``, ``concat``.
+    One grouped aggregate with a conditional aggregate per header value (one
+    shuffle; fixed-width buffers stay in the hash aggregate).  ``first`` takes
+    the first non-NULL value — deterministic only when (keys, header) is
+    unique; other methods: ``sum``, ``max``, ``min``, ``count``, ``concat``.
+    Without ``values`` the header values are discovered by one bounded
+    distinct query (at most ``PIVOT_MAX_VALUES``, like Spark's own pivot).
     """
-    aggf = {
-        "first": lambda c: F.first(c, ignorenulls=True),
-        "sum": F.sum, "max": F.max, "min": F.min, "count": F.count,
-        "concat": lambda c: F.array_join(F.array_sort(F.collect_list(c.cast("string"))), ","),
-    }[agg]
-    return df.groupBy(*keys).pivot(header, list(values)).agg(aggf(F.col(value)))
+    if values is None:
+        found = [r[0] for r in df.select(header).distinct().limit(PIVOT_MAX_VALUES + 1).collect()]
+        if len(found) > PIVOT_MAX_VALUES:
+            raise ValueError(f"cross_tab: more than {PIVOT_MAX_VALUES} header values")
+        values = sorted(v for v in found if v is not None)
+    h, v = F.col(header), F.col(value)
+
+    def pick(x):
+        c = F.when(h == F.lit(x), v)
+        if agg == "first":
+            return F.first(c, ignorenulls=True)
+        if agg == "concat":
+            return F.array_join(F.array_sort(F.collect_list(c.cast("string"))), ",")
+        return {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[agg](c)
+
+    return df.groupBy(*keys).agg(*[pick(x).alias(str(x)) for x in values])
 
 
 def slots_to_rows(df: DataFrame, ids: Sequence[str], slots: Sequence[dict[str, Column | str]],
