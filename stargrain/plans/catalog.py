@@ -86,17 +86,14 @@ WITH dim AS (
   SELECT DISTINCT md5(CAST(c_custkey AS VARCHAR)) AS customer_bk
   FROM customer WHERE c_custkey IS NOT NULL AND nullif(c_mktsegment, 'AUTOMOBILE') IS NOT NULL
 )
-SELECT o.o_orderkey, o.o_custkey, d.customer_bk, {_sk('d.customer_bk')} AS customer_key, o.o_totalprice
+SELECT o.o_orderkey, o.o_custkey, {_sk('d.customer_bk')} AS customer_key, o.o_totalprice
 FROM orders o LEFT JOIN dim d ON md5(CAST(o.o_custkey AS VARCHAR)) = d.customer_bk
 """)
 def q_fact_key_lookup(spark, d):
     dim = customer_dimension(table(spark, d, "customer"))
     fact = table(spark, d, "orders").withColumn("customer_bk", K.business_key("o_custkey"))
     out = lookup_key(fact, dim, "customer_bk", "customer_key")
-    return out.select("o_orderkey", "o_custkey", F.col("customer_bk").alias("customer_bk_raw"),
-                      "customer_key", "o_totalprice") \
-        .withColumn("customer_bk", F.when(F.col("customer_key").isNotNull(), F.col("customer_bk_raw"))) \
-        .select("o_orderkey", "o_custkey", "customer_bk", "customer_key", "o_totalprice")
+    return out.select("o_orderkey", "o_custkey", "customer_key", "o_totalprice")
 
 
 # ---------------------------------------------------------------------------
