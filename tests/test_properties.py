@@ -39,7 +39,7 @@ def test_scd2_invariants(spark, rows, layout):
 
 
 @SETTINGS
-@given(keys=st.lists(st.integers(0, 3), min_size=1, max_size=60), parts=st.integers(2, 7))
+@given(keys=st.lists(st.one_of(st.none(), st.integers(0, 3)), min_size=1, max_size=60), parts=st.integers(2, 7))
 def test_ordered_equals_windows(spark, keys, parts):
     df = spark.createDataFrame([(k, i, (i * 7) % 5 if i % 3 else None) for i, k in enumerate(keys)],
                                "k int, t int, v int")
