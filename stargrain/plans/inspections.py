@@ -117,6 +117,7 @@ def city_a_unified(raw: DataFrame, output_file: str = "Chicago.csv") -> DataFram
     df = df.withColumn("_code_num", F.col("violation_code").try_cast("int"))               # R5: code is numeric
     df = unique_first(df, ["Inspection ID", "violation_code"], ["FileName", "_piece"])     # A5
     df = sequence(df, ["Inspection ID"], ["_code_num", "violation_code"], out="violation_sequence")  # O1 + W1
+    df = df.where(F.col("violation_sequence") >= 1)                                       # P8 guard
     summary = df.groupBy(*[_c(c) for c in CITY_A_GROUP]).agg(                              # A1
         F.count("violation_code").alias("violation_count"),
         concat_agg("violation_code", "|", ["violation_sequence"]).alias("all_violation_codes"),
@@ -190,6 +191,7 @@ def city_b_unified(raw: DataFrame, output_file: str = "Dallas.csv") -> DataFrame
             .withColumn("facility_type", F.lit("Restaurant")))
     df = unique_first(df, ["inspection_id", "violation_code"], ["_slot"])                   # O1 + A5 after sort
     df = sequence(df, ["inspection_id"], ["violation_code", "_slot"], out="violation_sequence")  # W1
+    df = df.where(F.col("violation_sequence") >= 1)                                       # P8 guard
     summary = df.groupBy("inspection_id").agg(                                              # A2
         F.count("violation_code").alias("violation_count"),
         any_true("is_violation_critical").alias("critical_violation"),
