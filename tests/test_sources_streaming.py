@@ -116,3 +116,18 @@ def test_read_delimited_unions_different_headers(spark, tmp_path):
     assert any("different headers" in str(x.message) for x in w)
     got = sorted((tuple(r) for r in df.select("A", "B", "C", "FileName").collect()), key=lambda t: t[3])
     assert got == [("1", "2", None, "a.tsv"), (None, "3", "4", "b.tsv"), ("5", "6", None, "c.tsv")]
+
+
+def test_change_feed_stream_into_bronze(spark, tmp_path):
+    from stargrain.sources.changes import diff_snapshots, stream_changes
+    old = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    new = spark.createDataFrame([(1, "a"), (2, "B"), (3, "c")], "k int, v string")
+    log = str(tmp_path / "changes")                       # append-only change log, one commit per write
+    diff_snapshots(old.limit(0), old, ["k"], version=1, commit_ts="2024-01-01 00:00:00").write.parquet(log)
+    diff_snapshots(old, new, ["k"], version=2, commit_ts="2024-01-02 00:00:00").write.mode("append").parquet(log)
+    schema = spark.read.parquet(log).schema
+    assert spark.read.parquet(log).count() == 5
+    bronze = stream_changes(spark, log, schema, since_version=2, types=["insert", "update_postimage"])
+    run_available_now(bronze, str(tmp_path / "bronze"), str(tmp_path / "ck"))
+    got = sorted((r.k, r.v, r._change_type) for r in spark.read.parquet(str(tmp_path / "bronze")).collect())
+    assert got == [(2, "B", "update_postimage"), (3, "c", "insert")]
