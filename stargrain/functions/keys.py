@@ -49,3 +49,20 @@ def date_key(d: ColLike) -> Column:
     """yyyymmdd as int; NULL date gives NULL."""
     d = _c(d)
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")
+
+
+def epoch_micros(c: ColLike, type_name: str) -> Column:
+    """Microseconds since 1970-01-01 00:00, independent of the session time zone.
+
+    ``timestamp`` is an instant (``unix_micros``); ``timestamp_ntz`` is wall-clock
+    time, read as UTC from its calendar parts (a cast to ``timestamp`` would
+    use the session zone); ``date`` is midnight of that day.
+    """
+    c = _c(c)
+    if type_name == "timestamp":
+        return F.unix_micros(c)
+    day = F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400_000_000)
+    if type_name == "date":
+        return day
+    clock = (F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)).cast("bigint") * F.lit(1_000_000)
+    return day + clock + F.date_format(c, "SSSSSS").cast("bigint")

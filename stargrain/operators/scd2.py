@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stargrain.functions.keys import surrogate_key
+from stargrain.functions.keys import epoch_micros, surrogate_key
 from stargrain.operators.ordered import DEFAULT_MAX_GROUP_ROWS, PLAIN, largest_group, ordered
 
 START, END = "__START_AT", "__END_AT"
@@ -97,7 +97,7 @@ def scd2_final(versions: DataFrame, key: str, *, as_date: bool = True, sk_name:
            .withColumn("is_current", F.col(END).isNull()))
     # key text: date as yyyy-MM-dd, timestamp as epoch microseconds (engine-neutral text)
     start_txt = F.col(names[0]).cast("string") if as_date else \
-        F.unix_micros(F.col(names[0]).cast("timestamp")).cast("string")
+        epoch_micros(names[0], versions.schema[START].dataType.simpleString()).cast("string")
     out = out.withColumn(sk_name, surrogate_key(F.concat_ws("|", F.col(key).cast("string"), start_txt), sk_method))
     if load_at:
         out = out.withColumn("load_at", F.current_timestamp())

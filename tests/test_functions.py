@@ -105,3 +105,18 @@ def test_parse_date_lenient(spark):
 def test_city_b_comments(spark):
     df = spark.createDataFrame([("d", "m"), ("d", ""), ("", "m"), ("", "")], "d string, m string")
     assert [r[0] for r in df.select(R.city_b_comments("d", "m")).collect()] == ["d | m", "d |", "m", ""]
+
+
+def test_epoch_micros_ignores_session_zone(spark):
+    df = spark.sql("select timestamp_ntz'2024-01-02 03:04:05.123456' t, timestamp'2024-01-02 03:04:05.123456' z")
+    want = 1704164645123456
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ["UTC", "America/Chicago", "Asia/Kolkata"]:
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = df.select(K.epoch_micros("t", "timestamp_ntz").alias("a")).first()
+            assert r.a == want
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert df.select(K.epoch_micros("z", "timestamp").alias("b")).first().b == want
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
