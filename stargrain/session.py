@@ -46,6 +46,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", _default_driver_memory()))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -71,6 +72,8 @@ CLUSTER_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # the range layout's checkpoint files go once their DataFrame is unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # survive executor loss: shuffle files outlive executors
     "spark.decommission.enabled": "true",
     "spark.storage.decommission.shuffleBlocks.enabled": "true",
