@@ -538,6 +538,18 @@ def q_hot_key_sequence(spark, d):
     return out.drop("l_quantity")
 
 
+@query("conversation_turns", """
+SELECT conv_id, turn, role, CAST(row_number() OVER w AS INTEGER) AS turn_seq, lag(role) OVER w AS prev_role,
+       lead(turn) OVER w AS next_turn, CAST(length(text) AS INTEGER) AS text_chars
+FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+""")
+def q_conversation_turns(spark, d):
+    """Keyed sequence with previous/next values (W1, W4, W5) on conversation
+    turns, skew-adaptive: plain windows while no conversation is huge."""
+    c = table(spark, d, "conversations").select("conv_id", "turn", "role", F.length("text").alias("text_chars"))
+    return ordered(c, ["conv_id"], ["turn"], seq="turn_seq", prev={"prev_role": "role"}, nxt={"next_turn": "turn"})
+
+
 def order_summary(li: DataFrame) -> DataFrame:
     return summarize(li, ["l_orderkey"], {
         "line_count": F.count("l_partkey"),
