@@ -550,6 +550,24 @@ def q_conversation_turns(spark, d):
     return ordered(c, ["conv_id"], ["turn"], seq="turn_seq", prev={"prev_role": "role"}, nxt={"next_turn": "turn"})
 
 
+@query("source_label_summary", """
+WITH l AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id)
+SELECT d.source, count(*) AS n_docs, count(l.doc_id) AS n_labeled,
+       coalesce(bool_or(l.toxic = 1), false) AS any_toxic, CAST(sum(l.quality) AS BIGINT) AS quality_sum
+FROM documents d LEFT JOIN l ON d.doc_id = l.doc_id GROUP BY d.source
+""")
+def q_source_label_summary(spark, d):
+    """Left lookup of partial labels (one row per document first, so the join
+    cannot multiply documents), then a grouped summary with Max(bool)."""
+    labels = table(spark, d, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"),
+                                                              F.max("toxic").alias("toxic"))
+    docs = table(spark, d, "documents").select("doc_id", "source")
+    j = docs.join(labels.withColumn("labeled", F.lit(1)), "doc_id", "left")
+    return summarize(j, ["source"], {"n_docs": F.count(F.lit(1)), "n_labeled": F.count("labeled"),
+                                     "any_toxic": any_true(F.col("toxic") == 1),
+                                     "quality_sum": F.sum("quality").cast("bigint")})
+
+
 def order_summary(li: DataFrame) -> DataFrame:
     return summarize(li, ["l_orderkey"], {
         "line_count": F.count("l_partkey"),
