@@ -21,7 +21,15 @@ A_ROWS = [
      "Out of Business", None, "", "", ""],
     ["1005", "Soup Bar", None, "505", "Restaurant", None, "5 Pine St", "Chicago", "IL", "60601",
      "2024/03/01", "Canvass", "Pass", "2. WATER - Comments: fine", "", "", ""],
+    ["1006", "Noodle Hut", None, "506", "Restaurant", "All", "6 Oak St", "Chicago", "IL", None,
+     "2024/03/02", "Routine", "No Entry", "29. SERIOUS HAZARD - Comments: fix now", "", "", ""],
+    ["1007", "Pie Co", None, "507", "Bakery", "Risk 2 (Medium)", "7 Oak St", "Chicago", "IL", "60602",
+     "2024/03/03", "Follow-up", "Business Not Located", "3. TEMPS - Comments: ok", "", "", ""],
 ]
+# the same inspection id in a second file (keep-first takes the first file's row)
+A_REPEAT = ["1001", "Cafe One", None, "501", "Restaurant", "Risk 1 (High)", "1 Main St", "Chicago", "IL", "60614",
+            "2024/01/05", "Canvass", "Pass", "1. FOOD SAFE - Comments: second file copy", "41.9", "-87.6",
+            "(41.9, -87.6)"]
 B_SLOT_COLS = [c for i in range(1, 26) for c in P.city_b_slot_columns(i).values()]
 B_HEADER = P.CITY_B_IDS[:-1] + B_SLOT_COLS
 
@@ -47,6 +55,9 @@ B_ROWS = [
     b_row("Burger Hub", "2024-03-01", "101", [("No number here", "", "", "")]),
     b_row("Burger Hub", "2024-04-01", "92", [("*1 PRIORITY item", "6", "", ""), ("", "", "", ""),
                                              ("*2 ok", "0", "", "")], loc="unknown"),
+    b_row("Grill A", "2024-05-01", None, [("*3 Hands", "3", "", "")]),
+    b_row("Grill B", "2024-05-02", "69", [("*4 Sink", "2", "", "")]),
+    b_row("Grill C", "2024-05-03", "70", [("*5 Floor", "1", "", "")]),
 ]
 
 
@@ -65,7 +76,7 @@ def _tsv(rows, header):
 def files(tmp_path_factory):
     d = tmp_path_factory.mktemp("cities")
     (d / "a1.tsv").write_bytes(_tsv(A_ROWS[:2], P.CITY_A_COLUMNS))
-    (d / "a2.tsv").write_bytes(_tsv(A_ROWS[2:], P.CITY_A_COLUMNS))
+    (d / "a2.tsv").write_bytes(_tsv(A_ROWS[2:] + [A_REPEAT], P.CITY_A_COLUMNS))
     (d / "b1.tsv").write_bytes(_tsv(B_ROWS, B_HEADER))
     return [str(d / "a1.tsv"), str(d / "a2.tsv")], [str(d / "b1.tsv")]
 
@@ -79,7 +90,12 @@ def test_unified_shape_and_parse(uni):
     assert uni.columns == P.UNIFIED_COLUMNS
     a = {(r.inspection_id, r.violation_code): r for r in uni.where("source_city = 'Chicago'").collect()}
     # hyphen before "- Comments:" and missing comments do not parse; lower-case comments: does
-    assert set(a) == {("1001", "1"), ("1001", "15"), ("1002", "30"), ("1003", "14"), ("1005", "2")}
+    assert set(a) == {("1001", "1"), ("1001", "15"), ("1002", "30"), ("1003", "14"), ("1005", "2"),
+                      ("1006", "29"), ("1007", "3")}
+    assert a[("1001", "1")].violation_comments_original == "all good"      # first file wins
+    assert a[("1006", "29")].violation_severity == "Critical"               # SERIOUS -> critical flag
+    assert a[("1006", "29")].results_std == "NO_ENTRY" and a[("1006", "29")].violation_score == "0"
+    assert a[("1007", "3")].results_std == "NOT_LOCATED" and a[("1007", "3")].violation_score is None
     assert a[("1001", "15")].violation_severity == "Critical"
     assert a[("1001", "1")].violation_severity == "Priority Foundation"
     assert a[("1002", "30")].violation_comments_original == "URGENT fix"       # keep-first of the duplicate code
@@ -103,6 +119,10 @@ def test_city_b_rules(uni):
     assert {r.violation_sequence for r in taco} == {"1", "2", "3"}
     assert all(r.license_number == "DALLAS-" + r.inspection_id for r in b)
     assert {r.zip_code for r in taco} <= {"75201", "05201"}
+    res = {r.dba_name: r.results_std for r in b}
+    assert res["GRILL A"] == "UNKNOWN" and res["GRILL B"] == "FAIL" and res["GRILL C"] == "PASS_CONDITIONS"
+    risk = {r.dba_name: r.risk_category for r in b}
+    assert risk["GRILL A"] == "High Risk" and risk["GRILL C"] == "Medium Risk"
     bh = [r for r in b if r.dba_name == "BURGER HUB"]
     assert sorted(r.violation_code for r in bh) == ["0", "1", "2"]
     assert [r.latitude for r in bh if r.violation_code == "1"] == [""]
@@ -134,9 +154,15 @@ def test_silver_typed_and_star(spark, uni):
     assert br_rows == t.count()
     # trap 6: the fact maps a NULL risk to Unknown|99, the dimension drops NULL
     # risks, so without another source of "Unknown" the foreign key is NULL
+    # ("All" maps to Unknown, so here the NULL-risk fact row does find a key)
     r1005 = fact.where("inspection_id = '1005'").first()
-    assert r1005 is not None and r1005.risk_category_key is None
-    assert g["dim_risk_category"].where("risk_level = 'Unknown'").count() == 0
+    unknown = g["dim_risk_category"].where("risk_level = 'Unknown'").collect()
+    assert len(unknown) == 1 and r1005 is not None
+    assert r1005.risk_category_key == unknown[0].risk_category_key
+    # without the "All" row nothing maps to Unknown and the same fact row gets a NULL key
+    g2 = P.star(t.where("inspection_id != '1006'"))
+    assert g2["dim_risk_category"].where("risk_level = 'Unknown'").count() == 0
+    assert g2["fact_food_inspections"].where("inspection_id = '1005'").first().risk_category_key is None
     # trap 2: a city B restaurant id is unique per inspection date -> one version each
     rest_b = g["dim_restaurant"].where("city = 'dallas'")
     assert rest_b.count() == rest_b.select("restaurant_id").distinct().count()
