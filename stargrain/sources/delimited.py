@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import csv
-import io
 import warnings
 from collections.abc import Sequence
 
@@ -13,11 +11,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 
 def header_columns(spark: SparkSession, path: str, sep: str = "\t", encoding: str = "ISO-8859-1") -> list[str]:
-    """Column names from the first line of one file (reads one line on the driver)."""
-    line = spark.read.option("encoding", encoding).text(path).limit(1).first()
-    if line is None:
-        return []
-    return next(csv.reader(io.StringIO(line[0]), delimiter=sep))
+    """Column names from the first record of one file, parsed by the CSV reader
+    itself (same delimiter, quoting and encoding as the data); one row to the driver."""
+    first = (spark.read.option("header", False).option("sep", sep).option("encoding", encoding)
+             .option("quote", '"').option("escape", '"').csv(path).limit(1).first())
+    return [] if first is None else [c if c is not None else f"_c{i}" for i, c in enumerate(first)]
 
 
 def all_string_schema(columns: Sequence[str]) -> StructType:

@@ -131,3 +131,11 @@ def test_change_feed_stream_into_bronze(spark, tmp_path):
     run_available_now(bronze, str(tmp_path / "bronze"), str(tmp_path / "ck"))
     got = sorted((r.k, r.v, r._change_type) for r in spark.read.parquet(str(tmp_path / "bronze")).collect())
     assert got == [(2, "B", "update_postimage"), (3, "c", "insert")]
+
+
+def test_header_latin1_and_quoted(spark, tmp_path):
+    from stargrain.sources.delimited import header_columns
+    (tmp_path / "h.tsv").write_bytes('Caf\xe9 Name\t"Zip\tCode"\r\nx\ty\r\n'.encode("latin-1"))
+    assert header_columns(spark, str(tmp_path / "h.tsv")) == ["Café Name", "Zip\tCode"]
+    df = read_delimited(spark, str(tmp_path / "h.tsv"))
+    assert [tuple(r) for r in df.collect()] == [("x", "y", "h.tsv")]
