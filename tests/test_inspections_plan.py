@@ -223,3 +223,16 @@ def test_published_tables_answer_adhoc_sql(spark, uni, tmp_path):
     assert {r.total_rows for r in tot} == {f.n}
     assert [r.col_name for r in q("DESCRIBE TABLE fact_food_inspections").collect()][:2] == [
         "inspection_key", "inspection_business_key"]
+
+
+def test_unified_csv_round_trip(spark, uni, tmp_path):
+    """The file boundary between the workflows and the cluster load: the
+    unified table written as CRLF/Latin-1 CSV and read back all-string."""
+    from stargrain.sources.delimited import read_delimited, write_delimited
+    out = str(tmp_path / "unified_csv")
+    write_delimited(uni.coalesce(1), out)
+    back = read_delimited(spark, f"{out}/*.csv", sep=",", multiline=True, source_file=None)
+    assert back.columns == P.UNIFIED_COLUMNS
+    norm = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in P.UNIFIED_COLUMNS]   # CSV has no NULL vs ''
+    a, b = uni.select(*norm), back.select(*norm)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
