@@ -19,8 +19,9 @@ def _c(c: ColLike) -> Column:
 
 
 def is_blank(c: ColLike) -> Column:
-    """NULL or the empty string.  Empty is *not* NULL in Spark."""
-    c = _c(c)
+    """NULL or the empty string.  Empty is *not* NULL in Spark.  Works on
+    any type (the value's text is compared, no ANSI cast of '')."""
+    c = _c(c).cast("string")
     return c.isNull() | (c == F.lit(""))
 
 
@@ -89,26 +90,30 @@ def try_cast(c: ColLike, type_name: str) -> Column:
     return _c(c).try_cast(type_name)
 
 
+# The typed-layer helpers compare with '' on the *text* of the value: on a
+# column a type-inferring load made numeric, ``c != ''`` would be an ANSI cast
+# error (CAST_INVALID_INPUT), so the value is turned into text first.
+
 def lower_or_null(c: ColLike) -> Column:
     """Typed layer: lower-case, blank -> NULL."""
-    c = _c(c)
+    c = _c(c).cast("string")
     return F.when(c.isNotNull() & (c != ""), F.lower(c)).otherwise(F.lit(None).cast("string"))
 
 
 def int_or_null(c: ColLike) -> Column:
     """Typed layer: NULL / '' / non-numeric -> NULL, else int."""
-    c = _c(c)
+    c = _c(c).cast("string")
     return F.when(c.isNotNull() & (c != ""), c.try_cast("int")).otherwise(F.lit(None).cast("int"))
 
 
 def double_or_null(c: ColLike) -> Column:
-    c = _c(c)
+    c = _c(c).cast("string")
     return F.when(c.isNotNull() & (c != ""), c.try_cast("double")).otherwise(F.lit(None).cast("double"))
 
 
 def bool_text(c: ColLike) -> Column:
     """Typed layer: ``lower(x) = 'true'`` -> true, everything else (NULL too) -> false."""
-    return F.coalesce(F.lower(_c(c)) == F.lit("true"), F.lit(False))
+    return F.coalesce(F.lower(_c(c).cast("string")) == F.lit("true"), F.lit(False))
 
 
 def lat_from_point(c: ColLike) -> Column:

@@ -120,3 +120,17 @@ def test_epoch_micros_ignores_session_zone(spark):
         assert df.select(K.epoch_micros("z", "timestamp").alias("b")).first().b == want
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_typed_helpers_on_inferred_numeric_columns(spark):
+    # a type-inferring load makes these numeric/boolean; the helpers must not
+    # raise CAST_INVALID_INPUT under ANSI mode
+    df = spark.createDataFrame([(95, 41.5, True, None)], "score int, lat double, flag boolean, city string")
+    r = df.select(T.int_or_null("score").alias("s"), T.double_or_null("lat").alias("l"),
+                  T.bool_text("flag").alias("f"), T.lower_or_null("city").alias("c")).first()
+    assert (r.s, r.l, r.f, r.c) == (95, 41.5, True, None)
+
+
+def test_is_blank_on_numbers(spark):
+    df = spark.createDataFrame([(1,), (None,)], "n int")
+    assert [r[0] for r in df.select(T.is_blank("n")).collect()] == [False, True]
