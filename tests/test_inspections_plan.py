@@ -236,3 +236,18 @@ def test_unified_csv_round_trip(spark, uni, tmp_path):
     norm = [F.coalesce(F.col(c), F.lit("")).alias(c) for c in P.UNIFIED_COLUMNS]   # CSV has no NULL vs ''
     a, b = uni.select(*norm), back.select(*norm)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_star_over_type_inferred_load(spark, uni, tmp_path):
+    """The reference loads the unified CSV with inferSchema (numbers, dates and
+    booleans come back typed); the silver rules and the typed layer must still
+    work under ANSI mode (no CAST_INVALID_INPUT from comparisons with '')."""
+    from stargrain.sources.delimited import read_inferred_csv, write_delimited
+    out = str(tmp_path / "u")
+    write_delimited(uni.coalesce(1), out, encoding="UTF-8", line_sep="\n")
+    inferred = read_inferred_csv(spark, out)
+    assert dict(inferred.dtypes)["violation_count"] in ("int", "bigint")
+    t = P.typed(P.silver(P.bronze(inferred)))
+    g = P.star(t)
+    assert g["fact_food_inspections"].count() == \
+        P.star(P.typed(P.silver(P.bronze(uni))))["fact_food_inspections"].count()
