@@ -32,3 +32,11 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert df.columns == E.entry(spark).columns
+
+
+def test_registry_consistency():
+    import re
+    qs = E.queries()
+    assert set(SQL) <= set(qs)
+    assert set(qs) - set(SQL) == {"profile_outliers"}       # approximate sketch: tested by brute force
+    assert not any("pipeline" in n or re.match(r"op\d+_", n) for n in qs)
