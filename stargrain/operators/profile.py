@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _numeric(type_name: str) -> bool:
+    return type_name in ("tinyint", "smallint", "int", "bigint", "float", "double") or type_name.startswith("decimal")
+
+
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """One row per column — ordinal, name, type, rows, NULLs, blanks,
-    distinct values, min/max text length.
+    distinct values, min/max text length, min/max of numeric columns.
 
     One aggregate over the data (partial aggregation, one output row), then
     ``inline`` to one row per column.  ``exact=False`` uses HyperLogLog
@@ -29,13 +33,16 @@ def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True
             (F.count_distinct(col) if exact else F.approx_count_distinct(col)).alias(f"nd{i}"),
             F.min(F.length(col)).alias(f"lo{i}") if types[c] == "string" else F.lit(None).cast("int").alias(f"lo{i}"),
             F.max(F.length(col)).alias(f"hi{i}") if types[c] == "string" else F.lit(None).cast("int").alias(f"hi{i}"),
+            F.min(col).cast("double").alias(f"mn{i}") if _numeric(types[c]) else F.lit(None).cast("double").alias(f"mn{i}"),
+            F.max(col).cast("double").alias(f"mx{i}") if _numeric(types[c]) else F.lit(None).cast("double").alias(f"mx{i}"),
         ]
     stats = df.agg(*aggs)
     rows = [F.struct(F.lit(i + 1).alias("ordinal"), F.lit(c).alias("column_name"),
                      F.lit(types[c]).alias("data_type"), F.col("n_rows").alias("n_rows"),
                      F.col(f"nn{i}").alias("n_nulls"), F.col(f"nb{i}").alias("n_blank"),
                      F.col(f"nd{i}").alias("n_distinct"), F.col(f"lo{i}").alias("min_len"),
-                     F.col(f"hi{i}").alias("max_len"))
+                     F.col(f"hi{i}").alias("max_len"), F.col(f"mn{i}").alias("min_value"),
+                     F.col(f"mx{i}").alias("max_value"))
             for i, c in enumerate(cols)]
     return stats.select(F.inline(F.array(*rows)))
 

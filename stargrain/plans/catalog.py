@@ -156,8 +156,11 @@ def _profile_sql(tbl: str, cols: list[tuple[str, str]]) -> str:
             f"count(*) FILTER (WHERE {c} IS NULL) AS n_nulls, "
             + (f"count(*) FILTER (WHERE trim(CAST({c} AS VARCHAR)) = '') AS n_blank, " if s else "CAST(0 AS BIGINT) AS n_blank, ")
             + f"count(DISTINCT {c}) AS n_distinct, "
-            + (f"CAST(min(length({c})) AS INTEGER) AS min_len, CAST(max(length({c})) AS INTEGER) AS max_len "
-               if s else "CAST(NULL AS INTEGER) AS min_len, CAST(NULL AS INTEGER) AS max_len ")
+            + (f"CAST(min(length({c})) AS INTEGER) AS min_len, CAST(max(length({c})) AS INTEGER) AS max_len, "
+               if s else "CAST(NULL AS INTEGER) AS min_len, CAST(NULL AS INTEGER) AS max_len, ")
+            + (f"CAST(min({c}) AS DOUBLE) AS min_value, CAST(max({c}) AS DOUBLE) AS max_value "
+               if t in ("bigint", "int", "double") else
+               "CAST(NULL AS DOUBLE) AS min_value, CAST(NULL AS DOUBLE) AS max_value ")
             + f"FROM {tbl}")
     return "\nUNION ALL\n".join(parts)
 
