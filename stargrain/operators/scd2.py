@@ -76,6 +76,17 @@ def scd2_apply(log: DataFrame, keys: Sequence[str], sequence_by: str,
     return versions.withColumn(START, F.col(sequence_by))
 
 
+def scd2_transformed(versions: DataFrame, load_at: bool = True) -> DataFrame:
+    """Validity as ``start_dt`` / ``end_dt`` and an ``is_active`` Y/N flag
+    (open version), plus the load time; the ``__START_AT``/``__END_AT``
+    columns are dropped."""
+    out = (versions.withColumn("start_dt", F.col(START)).withColumn("end_dt", F.col(END))
+           .withColumn("is_active", F.when(F.col(END).isNull(), F.lit("Y")).otherwise(F.lit("N"))))
+    if load_at:
+        out = out.withColumn("load_at", F.current_timestamp())
+    return out.drop(START, END)
+
+
 def scd2_final(versions: DataFrame, key: str, *, as_date: bool = True, sk_name: str = "version_key",
                sk_method: str = "md5_60", load_at: bool = False) -> DataFrame:
     """Validity columns of the final dimension.

@@ -78,3 +78,12 @@ def test_diff_and_replay(spark):
     snap = apply_changes_snapshot(read_changes(v1.unionByName(ch), since_version=1), ["k"])
     assert sorted(tuple(r) for r in snap.collect()) == sorted(tuple(r) for r in new.collect())
     assert read_changes(ch, types=["insert"]).count() == 1
+
+
+def test_scd2_transformed_flags(spark):
+    from stargrain.operators.scd2 import scd2_transformed
+    v = scd2_transformed(scd2_apply(_log(spark), ["rid"], "d", tracked=["name"], parts=4))
+    rows = v.collect()
+    assert {r.is_active for r in rows if r.end_dt is None} == {"Y"}
+    assert {r.is_active for r in rows if r.end_dt is not None} == {"N"}
+    assert "load_at" in v.columns and START not in v.columns
