@@ -258,21 +258,29 @@ SILVER_RULES = [
 ]
 
 
-def bronze(df: DataFrame) -> DataFrame:
-    """Raw rows as received (the all-string unified table) + source system."""
-    return df.withColumn("source_system", F.lit(SOURCE_SYSTEM))
+def bronze(df: DataFrame, audit: bool = False) -> DataFrame:
+    """Raw rows as received (the all-string unified table) + source system;
+    ``audit`` adds the load timestamp and date (S13)."""
+    out = df.withColumn("source_system", F.lit(SOURCE_SYSTEM))
+    if audit:
+        out = out.withColumn("bronze_load_timestamp", F.current_timestamp()) \
+            .withColumn("bronze_load_date", F.current_date())
+    return out
 
 
-def silver(bronze_df: DataFrame) -> DataFrame:
-    return kept(bronze_df, SILVER_RULES)
+def silver(bronze_df: DataFrame, audit: bool = False) -> DataFrame:
+    out = kept(bronze_df, SILVER_RULES)
+    return out.withColumn("silver_load_timestamp", F.current_timestamp()) if audit else out
 
 
 def silver_metrics(bronze_df: DataFrame) -> DataFrame:
     return metrics(bronze_df, SILVER_RULES)
 
 
-def typed(silver_df: DataFrame) -> DataFrame:
+def typed(silver_df: DataFrame, audit: bool = False) -> DataFrame:
     """T2 typed silver (same function for batch and stream)."""
+    if audit:
+        silver_df = silver_df.withColumn("typed_load_timestamp", F.current_timestamp())
     return (silver_df
             .withColumn("violation_count", F.col("violation_count").try_cast("int"))
             .withColumn("violation_sequence", F.col("violation_sequence").try_cast("int"))
@@ -375,8 +383,9 @@ def dim_restaurant(t: DataFrame, tracked: list[str] | None = None, sk: str = "md
                         "is_current", "row_version")
 
 
-def star(t: DataFrame) -> dict[str, DataFrame]:
-    """All gold tables from the typed silver table."""
+def star(t: DataFrame, audit: bool = False) -> dict[str, DataFrame]:
+    """All gold tables from the typed silver table (``audit`` adds the load
+    timestamps of the fact, the bridge and the restaurant dimension)."""
     spark = t.sparkSession
     dims = {
         "dim_date": dim_date(spark),
@@ -417,6 +426,10 @@ def star(t: DataFrame) -> dict[str, DataFrame]:
     bridge = bridge.select("inspection_key", "violation_key", "violation_sequence", "is_violation_critical",
                            "is_violation_urgent", "violation_score", "violation_code", "violation_description",
                            "violation_comments_original", "violation_severity")
+    if audit:
+        fact = fact.withColumn("load_timestamp", F.current_timestamp())
+        bridge = bridge.withColumn("load_timestamp", F.current_timestamp())
+        dims["dim_restaurant"] = dims["dim_restaurant"].withColumn("load_at", F.current_timestamp())
     return {**dims, "fact_food_inspections": fact, "bridge_inspection_violation": bridge}
 
 
@@ -559,9 +572,9 @@ def publish(spark: SparkSession, unified_df: DataFrame, root: str) -> dict[str,
         return back
 
     src = save(unified_df, TABLE_NAMES["source"])
-    br = save(bronze(src), TABLE_NAMES["bronze"])
-    sv = save(silver(br), TABLE_NAMES["silver"])
-    t = save(typed(sv), TABLE_NAMES["typed"])
-    for name, df in star(t).items():
+    br = save(bronze(src, audit=True), TABLE_NAMES["bronze"])
+    sv = save(silver(br, audit=True), TABLE_NAMES["silver"])
+    t = save(typed(sv, audit=True), TABLE_NAMES["typed"])
+    for name, df in star(t, audit=True).items():
         save(df, name)
     return paths

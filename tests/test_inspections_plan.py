@@ -251,3 +251,15 @@ def test_star_over_type_inferred_load(spark, uni, tmp_path):
     g = P.star(t)
     assert g["fact_food_inspections"].count() == \
         P.star(P.typed(P.silver(P.bronze(uni))))["fact_food_inspections"].count()
+
+
+def test_audit_columns_in_published_tables(spark, uni, tmp_path):
+    P.publish(spark, uni, str(tmp_path / "t2"))
+    cols = {n: set(spark.table(n).columns) for n in ["bronze_food_inspections", "silver_food_inspections",
+                                                       "silver_food_inspections_transformed", "fact_food_inspections",
+                                                       "bridge_inspection_violation", "dim_restaurant"]}
+    assert {"bronze_load_timestamp", "bronze_load_date", "source_system"} <= cols["bronze_food_inspections"]
+    assert "silver_load_timestamp" in cols["silver_food_inspections"]
+    assert "typed_load_timestamp" in cols["silver_food_inspections_transformed"]
+    assert "load_timestamp" in cols["fact_food_inspections"] and "load_timestamp" in cols["bridge_inspection_violation"]
+    assert "load_at" in cols["dim_restaurant"]
