@@ -528,7 +528,7 @@ SELECT hot_key, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_
 FROM t WINDOW w AS (PARTITION BY hot_key ORDER BY {", ".join(_HOT_ORDER)})
 """)
 def q_hot_key_sequence(spark, d):
-    """Sequence, lag and lead where one key holds about half of lineitem (all
+    """Sequence, lag and lead where one key holds over a third of lineitem (all
     'N' lines share key -1).  At scale the size check alone picks the range
     layout for such a key; here it is forced (``max_group_rows=None``) so the
     SQL gate checks that path at every scale factor: the hot key is split over

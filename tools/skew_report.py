@@ -3,7 +3,7 @@
 usage: python tools/skew_report.py [--sf DIR]
 
 Runs ``ordered`` over lineitem re-keyed so that every 'N' line shares one
-key (about half of the rows), once with plain windows and once through the
+key (over a third of the rows), once with plain windows and once through the
 range layout, with Spark's event log written to a fresh scratch folder.
 Prints, per run, the largest number of shuffle records one task read and
 the median over tasks of the stages that read shuffle data.
