@@ -1217,6 +1217,29 @@ def q_scd2_tracked(spark, d):
     return v.select("user_id", "event_type", F.col(START).alias("start_at"), F.col(END).alias("end_at"), "row_version")
 
 
+@query("scd2_ignore_nulls", """
+WITH s AS (SELECT DISTINCT user_id, nullif(event_type, 'view') AS event_type, ts FROM events
+           WHERE user_id IS NOT NULL AND ts IS NOT NULL),
+t AS (SELECT user_id, ts, max(event_type) AS event_type FROM s GROUP BY user_id, ts),
+f AS (SELECT user_id, ts, last_value(event_type IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS event_type FROM t),
+m AS (SELECT *, lag(event_type) OVER w AS prev, row_number() OVER w AS rn FROM f
+      WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+v AS (SELECT user_id, event_type, ts FROM m WHERE rn = 1 OR prev IS DISTINCT FROM event_type)
+SELECT user_id, event_type, ts AS start_at, lead(ts) OVER w AS end_at,
+       CAST(row_number() OVER w AS INTEGER) AS row_version
+FROM v WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+""")
+def q_scd2_ignore_nulls(spark, d):
+    """``ignore_null_updates=True``: a NULL attribute in a snapshot means
+    "unchanged" (here every 'view' event carries a NULL type), so the last
+    non-NULL value is carried forward before changes are detected."""
+    e = table(spark, d, "events").withColumn("event_type", F.nullif(F.col("event_type"), F.lit("view")))
+    stage = scd2_stage(e, ["user_id"], ["event_type"], "ts")
+    v = scd2_apply(stage, ["user_id"], "ts", tracked=["event_type"], ignore_null_updates=True)
+    return v.select("user_id", "event_type", F.col(START).alias("start_at"), F.col(END).alias("end_at"), "row_version")
+
+
 @query("scd2_versions", """
 WITH s AS (SELECT DISTINCT user_id, event_type, value, props, ts FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
 t AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY user_id, ts
