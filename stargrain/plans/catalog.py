@@ -571,6 +571,26 @@ def q_source_label_summary(spark, d):
                                      "quality_sum": F.sum("quality").cast("bigint")})
 
 
+@query("hot_key_fill", f"""
+WITH t AS (SELECT CASE WHEN l_returnflag = 'N' THEN -1 ELSE l_orderkey END AS hot_key, *,
+                  CASE WHEN l_discount < 0.05 THEN NULL ELSE l_discount END AS disc FROM lineitem)
+SELECT hot_key, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate,
+  last_value(disc IGNORE NULLS) OVER (PARTITION BY hot_key ORDER BY {", ".join(_HOT_ORDER)}
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS disc_filled
+FROM t
+""")
+def q_hot_key_fill(spark, d):
+    """Forward fill (the carry step of the as-of lookup) over the same hot key:
+    the last non-NULL discount so far, with small discounts NULLed; forced
+    through the range layout so the carried value crosses piece boundaries."""
+    li = table(spark, d, "lineitem")
+    t = li.select(F.when(F.col("l_returnflag") == "N", F.lit(-1)).otherwise(F.col("l_orderkey")).alias("hot_key"),
+                  *LINE_ID, F.when(F.col("l_discount") < 0.05, F.lit(None)).otherwise(F.col("l_discount"))
+                  .alias("disc"))
+    out = ordered(t, ["hot_key"], _HOT_ORDER, carry={"disc_filled": "disc"}, max_group_rows=None)
+    return out.drop("disc")
+
+
 def order_summary(li: DataFrame) -> DataFrame:
     return summarize(li, ["l_orderkey"], {
         "line_count": F.count("l_partkey"),
