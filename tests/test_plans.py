@@ -35,10 +35,15 @@ def test_total_without_single_partition_window(spark):
     assert "Window" not in p and "partial_count" in p
 
 
-def test_range_layout_splits_keys(spark):
+def test_ordered_picks_its_path_from_the_largest_group(spark):
     df = spark.range(2000).select((F.col("id") % 2).alias("k"), F.col("id").alias("t"))
-    p = plan(ordered(df, ["k"], ["t"], seq="s", parts=8, max_group_rows=None))
-    assert "rangepartitioning" in p.lower() or "Scan ExistingRDD" in p  # checkpointed layout
+    # groups of 1000 rows under a bound of 10,000: plain windows, one exchange, no checkpoint
+    plain = plan(ordered(df, ["k"], ["t"], seq="s", parts=8, max_group_rows=10_000))
+    assert "Window" in plain and "ExistingRDD" not in plain
+    # over the bound: the range layout, read back from its checkpoint and stitched by
+    # broadcast joins with the (partition-bounded) boundary tables
+    layout = plan(ordered(df, ["k"], ["t"], seq="s", parts=8, max_group_rows=100))
+    assert "ExistingRDD" in layout and "BroadcastHashJoin" in layout
 
 
 @pytest.mark.parametrize("name", ["scd2_as_of", "fact_orders", "bridge_order_part", "changes_between",
