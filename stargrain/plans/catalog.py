@@ -1061,15 +1061,19 @@ def fact_orders_df(spark, d) -> DataFrame:
                                                                    "customer_key")
     f = f.join(cust, "o_custkey", "left")                     # J3 on the key the bk derives from
     attrs = place_attrs()
-    f = (f.withColumn("inspection_key", K.surrogate_key("inspection_business_key"))
-          .withColumn("date_key", K.date_key("o_orderdate"))
-          .withColumn("location_business_key", K.business_key(
-              F.lower(attrs["address"]), F.lower(attrs["city"]), F.lower(attrs["state"]), attrs["zip_code"]))
-          .withColumn("inspection_type_business_key", K.business_key("c_mktsegment", F.lower("n_name")))
-          .withColumn("results_std", R.city_a_result(results_text()))
-          .withColumn("result_business_key", K.business_key("results_std"))
-          .withColumn("risk_level", R.risk_level("o_orderpriority"))
-          .withColumn("risk_business_key", K.business_key("risk_level", R.risk_priority("risk_level").cast("string"))))
+    f = f.withColumns({
+        "inspection_key": K.surrogate_key("inspection_business_key"),
+        "date_key": K.date_key("o_orderdate"),
+        "location_business_key": K.business_key(F.lower(attrs["address"]), F.lower(attrs["city"]),
+                                                F.lower(attrs["state"]), attrs["zip_code"]),
+        "inspection_type_business_key": K.business_key("c_mktsegment", F.lower("n_name")),
+        "results_std": R.city_a_result(results_text()),
+        "risk_level": R.risk_level("o_orderpriority"),
+    })
+    f = f.withColumns({
+        "result_business_key": K.business_key("results_std"),
+        "risk_business_key": K.business_key("risk_level", R.risk_priority("risk_level").cast("string")),
+    })
     lookups = [
         Lookup(place_dimension(cn), "location_business_key", "location_key"),
         Lookup(segment_dimension(cn), "inspection_type_business_key", "inspection_type_key"),

@@ -399,13 +399,15 @@ def star(t: DataFrame, audit: bool = False) -> dict[str, DataFrame]:
     f = t.withColumn("inspection_business_key", F.concat(F.col("inspection_id"), F.lit("-"), F.col("city")))
     f = unique_first(f, ["inspection_business_key"], ["violation_sequence"])               # A6 (deterministic)
     lvl = R.risk_level("risk_category")
-    f = (f.withColumn("inspection_key", K.surrogate_key("inspection_business_key"))
-          .withColumn("date_key", K.date_key("inspection_date"))
-          .withColumn("restaurant_id", restaurant_id())
-          .withColumn("location_business_key", location_bk())
-          .withColumn("inspection_type_business_key", K.business_key("inspection_type", "city"))
-          .withColumn("result_business_key", K.business_key("results_std"))
-          .withColumn("risk_business_key", risk_bk(lvl)))
+    f = f.withColumns({
+        "inspection_key": K.surrogate_key("inspection_business_key"),
+        "date_key": K.date_key("inspection_date"),
+        "restaurant_id": restaurant_id(),
+        "location_business_key": location_bk(),
+        "inspection_type_business_key": K.business_key("inspection_type", "city"),
+        "result_business_key": K.business_key("results_std"),
+        "risk_business_key": risk_bk(lvl),
+    })
     cur = scd2_current(dims["dim_restaurant"]).select("restaurant_id", "restaurant_key")
     f = lookup_keys(f, [
         Lookup(cur, "restaurant_id", "restaurant_key"),
