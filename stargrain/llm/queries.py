@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stargrain.llm import decontaminate, language_id, mixing, simhash, token_output
+from stargrain.llm import chat, decontaminate, fingerprint, language_id, licenses, mixing, pii, secrets, simhash, token_output
 from stargrain.llm.common import table
 
 # Target weights by level; names that are not listed weigh 1.
@@ -27,6 +27,22 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.plan(table(spark, sf_dir, "documents"), weights=MIX_WEIGHTS, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.report(table(spark, sf_dir, "documents"))
+
+
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -39,8 +55,14 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.report(table(spark, sf_dir, "documents"))
 
 
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_language_id, op2_mixing, op7_decontamination, op8_simhash, op9_token_output)
+    f.__name__: f for f in (
+        op1_language_id, op2_mixing, op3_secrets, op4_pii, op5_fingerprints, op6_chat, op7_decontamination, op8_simhash,
+        op9_token_output, op10_licenses)
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_chat": chat.ROTATE_SQL}
