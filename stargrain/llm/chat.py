@@ -79,12 +79,12 @@ segments AS (
          r.body || '<|im_end|>' AS body
   FROM rows r JOIN speakers s ON r.conv_id IS NOT DISTINCT FROM s.conv_id),
 placed AS (
-  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER w, 0) + length(head) AS at,
+  SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER w, 0) + length(head) AS pos,
          row_number() OVER (PARTITION BY conv_id, perspective, block ORDER BY turn NULLS FIRST, role, raw) AS k
   FROM segments
   WINDOW w AS (PARTITION BY conv_id, perspective, block ORDER BY turn NULLS FIRST, role, raw ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
 SELECT conv_id, perspective, block, count(*) AS n_turns, string_agg(head || body || chr(10), '' ORDER BY k) AS rendered,
-       coalesce(string_agg(CASE WHEN own THEN (at::BIGINT)::VARCHAR || ':' || (at::BIGINT + length(body))::VARCHAR END, ',' ORDER BY k), '') AS mask,
+       coalesce(string_agg(CASE WHEN own THEN (pos::BIGINT)::VARCHAR || ':' || (pos::BIGINT + length(body))::VARCHAR END, ',' ORDER BY k), '') AS mask,
        coalesce(sum(CASE WHEN own THEN length(body) END), 0)::BIGINT AS n_masked
 FROM placed GROUP BY conv_id, perspective, block
 """

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import os
+from collections.abc import Callable, Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +49,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_arrow(df: DataFrame, function: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` for a function that needs this package: workers get the folder it was loaded from on their
+    path, for sessions on one machine; a cluster's executors have the package installed or shipped with the job."""
+    environment = df.sparkSession.sparkContext.environment
+    root, known = str(Path(__file__).resolve().parents[2]), environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    return df.mapInArrow(function, schema)
+
+
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once (a lambda variable holds it)."""
     return F.element_at(F.transform(F.array(value), body), 1)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stargrain.llm import textbuf
-from stargrain.llm.common import free_name, q, stored, utf8_words
+from stargrain.llm.common import free_name, in_arrow, q, stored, utf8_words
 from stargrain.llm.fm_index import END, FIRST, SEPARATOR, FMIndex, fold
 
 WINDOW = 13
@@ -174,7 +174,7 @@ def overlaps(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id:
     def scan(frame: DataFrame, column: str, patterns: Patterns) -> DataFrame:
         sent = spark.sparkContext.broadcast(patterns)
         schema = T.StructType([*frame.schema.fields, T.StructField(inner, _FOUND)])
-        return frame.mapInArrow(lambda batches: _found(batches, sent.value, column), schema)
+        return in_arrow(frame, lambda batches: _found(batches, sent.value, column), schema)
 
     if len(blocks) == 1:
         return scan(docs, text, blocks[0]).withColumnRenamed(inner, name), name

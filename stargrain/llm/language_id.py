@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stargrain.llm.common import free_name, q
+from stargrain.llm.common import free_name, in_arrow, q
 
 UNDETERMINED = "und"
 # hashed tables: 3-grams, and the 2-letter contexts they are conditioned on
@@ -143,7 +143,7 @@ def fit(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", lang: st
     for name, n in many.items():
         share = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < int(max_labelled / n * (1 << 30))
         rows = rows.where((F.col("lang") != name) | share)
-    sums = rows.select("text", "lang").mapInArrow(_counts, "lang string, slot bigint, n bigint") \
+    sums = in_arrow(rows.select("text", "lang"), _counts, "lang string, slot bigint, n bigint") \
         .groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()  # languages x table size rows at most
     names, slots, ns = (sums.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "slot", "n"))
     counts: dict[str, np.ndarray] = {}
@@ -242,7 +242,7 @@ def predict(docs: DataFrame, model: Model, *, text: str = "text") -> tuple[DataF
     sent = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StructType([
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("languages", T.StringType())]))])
-    return docs.mapInArrow(lambda batches: _predicted(batches, sent.value, text, name), schema), name
+    return in_arrow(docs, lambda batches: _predicted(batches, sent.value, text, name), schema), name
 
 
 def held_out(doc_id) -> object:

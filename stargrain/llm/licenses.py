@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.llm import textbuf
-from stargrain.llm.common import q
+from stargrain.llm.common import in_arrow, q
 
 GRAM, WINNOW = 3, 2
 BAND = 8
@@ -203,5 +203,5 @@ def scan(docs: DataFrame, *, templates: Mapping[str, str] = TEMPLATES, doc_id: s
     own = docs.select(F.col(q(doc_id)).alias("doc_id"), F.col(q(text)).alias("text"))
     index = Index(templates)
     kind = own.schema["doc_id"].dataType.simpleString()
-    return own.mapInArrow(lambda batches: _matches(batches, index, least_coverage),
+    return in_arrow(own, lambda batches: _matches(batches, index, least_coverage),
                           f"doc_id {kind}, license string, coverage double, start bigint, end bigint, words bigint")

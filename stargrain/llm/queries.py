@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stargrain.llm import chat, decontaminate, fingerprint, language_id, licenses, mixing, pii, secrets, simhash, token_output
+from stargrain.llm import chat, decontaminate, fingerprint, language_id, licenses, mixing, pii, secrets, simhash, sql, token_output
 from stargrain.llm.common import table
 
 # Target weights by level; names that are not listed weigh 1.
@@ -65,4 +65,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_token_output, op10_licenses)
 }
 
-ORACLE: dict[str, str] = {"op6_chat": chat.ROTATE_SQL}
+# The others need XXH64, a trained model, statistics or a tokenizer; tests hold them against brute force.
+ORACLE: dict[str, str] = {
+    "op2_mixing": sql.mixing_sql(MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED),
+    "op6_chat": chat.ROTATE_SQL,
+    "op7_decontamination": sql.overlap_sql(),
+}

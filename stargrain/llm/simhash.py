@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stargrain.llm import textbuf
-from stargrain.llm.common import cut, free_name, q
+from stargrain.llm.common import cut, free_name, in_arrow, q
 from stargrain.llm.components import connected_components
 
 SHINGLE, MAX_DISTANCE, SEED = 3, 3, 42
@@ -73,7 +73,7 @@ def _fingerprints(batches: Iterator[pa.RecordBatch], text: str, shingle: int) ->
 def fingerprints(docs: DataFrame, text: str, shingle: int = SHINGLE) -> DataFrame:
     """The other columns of ``docs`` with ``fp``: the fingerprint's 64 bits as a bigint."""
     schema = T.StructType([f for f in docs.schema.fields if f.name != text] + [T.StructField("fp", T.LongType())])
-    return docs.mapInArrow(lambda batches: _fingerprints(batches, text, shingle), schema)
+    return in_arrow(docs, lambda batches: _fingerprints(batches, text, shingle), schema)
 
 
 # ---------------------------------------------------------------- vantage-point trees
@@ -212,7 +212,7 @@ def links(points: DataFrame, max_distance: int = MAX_DISTANCE, *, sample_points:
                 yield pa.RecordBatch.from_arrays([pa.array(shard[keep]), pa.array(part[row[keep]]), pa.array(home[keep])],
                                                  names=["shard", "fp", "home"])
 
-    routed = points.select("fp").mapInArrow(route, "shard bigint, fp bigint, home boolean")
+    routed = in_arrow(points.select("fp"), route, "shard bigint, fp bigint, home boolean")
     return routed.groupBy("shard").applyInPandas(lambda pdf: _shard_edges(pdf, max_distance), "u bigint, v bigint")
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stargrain.llm import textbuf
-from stargrain.llm.common import q
+from stargrain.llm.common import in_arrow, q
 from stargrain.session import scratch_dir
 
 END_ID = 1
@@ -276,7 +276,7 @@ def encode(docs: DataFrame, text: str, path: str, end_id: int = END_ID) -> DataF
     """The other columns of ``docs`` with n_tokens (the end id counts) and ids."""
     schema = T.StructType([f for f in docs.schema.fields if f.name != text]
                           + [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return docs.mapInArrow(lambda batches: _encoded(batches, path, end_id, text), schema)
+    return in_arrow(docs, lambda batches: _encoded(batches, path, end_id, text), schema)
 
 
 def write_tokens(docs: DataFrame, path: str, *, tokenizer: str | None = None, doc_id: str = "doc_id", text: str = "text",
@@ -329,9 +329,8 @@ def report(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
     path = path or scratch_dir(spark, "tokens")
     write_tokens(docs, path, **options)
     tokens = read_tokens(spark, path)
-    sums = tokens.select("doc_id", "n_tokens", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"), "ids") \
-        .mapInArrow(_crc, T.StructType([tokens.schema["doc_id"], tokens.schema["n_tokens"], T.StructField("file", T.StringType()),
-                                        T.StructField("row", T.LongType()), T.StructField("ids_crc32", T.LongType())]))
+    found = tokens.select("doc_id", "n_tokens", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"), "ids")
+    sums = in_arrow(found, _crc, T.StructType([f for f in found.schema.fields if f.name != "ids"] + [T.StructField("ids_crc32", T.LongType())]))
     return starts(sums, read_tokens(spark, path)).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
