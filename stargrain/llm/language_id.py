@@ -128,8 +128,8 @@ class Model:
 
     def word_scores(self, found: Letters) -> np.ndarray:
         """(languages, words) log-likelihoods."""
-        if not len(found.word_start):
-            return np.zeros((len(self.langs), 0), np.float32)
+        if not len(found.word_start) or not self.langs:
+            return np.zeros((len(self.langs), len(found.word_start)), np.float32)
         return np.stack([np.add.reduceat(self.gram[i][found.gram] - self.context[i][found.context], found.word_start)
                          for i in range(len(self.langs))])
 

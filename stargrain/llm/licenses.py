@@ -151,12 +151,14 @@ def scan_words(hashes: np.ndarray, index: Index, least_coverage: float = LEAST_C
     matches = []
     for t, offsets in proposals.items():
         offsets = sorted(set(offsets))
+        # offsets of one occurrence differ by words added or left out; those of repeated ones by a template's length
+        reach = min(band, len(index.words[t]) // 2)
         group = [offsets[0]]
         for o in [*offsets[1:], None]:
-            if o is not None and o - group[0] <= band:
+            if o is not None and o - group[0] <= reach:
                 group.append(o)
                 continue
-            score, matched, first, end = align(index.words[t], hashes, group[len(group) // 2], band)
+            score, matched, first, end = align(index.words[t], hashes, group[len(group) // 2], max(1, reach))
             coverage = matched / len(index.words[t])
             if coverage >= least_coverage:
                 matches.append((score, t, coverage, first, end))
