@@ -196,7 +196,7 @@ def test_long_conversations_are_cut_into_blocks(spark):
 def test_licenses_are_found_where_they_stand(spark):
     noise = "lorem ipsum dolor sit amet " * 30
     apache = licenses.TEMPLATES["Apache-2.0-header"]
-    texts = [noise + "Licensed under CC BY-NC 4.0. " + noise, "é😀 RELEASED under  the MIT-License!", noise + apache.replace("compliance", "strict compliance") + noise,
+    texts = [noise + "Licensed under CC BY-NC 4.0. " + noise, "é😀 RELEASED under  the MIT-License!", noise + apache.replace("compliance", "strict compliance") + " " + noise,
              noise, "", None, "Released under the", "MIT License. " * 3 + "Released under the MIT License. " * 2]
     got = {}
     for r in licenses.scan(frame(spark, texts)).collect():
