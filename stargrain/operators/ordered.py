@@ -55,24 +55,16 @@ def _attach(big: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     return joined.drop(*[f"_sgo_j{i}" for i in range(len(cols))])
 
 
-# A group up to this many rows is numbered by a plain window in one task.
-DEFAULT_MAX_GROUP_ROWS = 5_000_000
-# ``max_group_rows=PLAIN``: the caller already knows the groups are bounded.
-PLAIN = float("inf")
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the biggest key group: one aggregate over the key columns only
-    (column-pruned scan, combined map-side), one row to the driver."""
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return int(r[0] or 0)
+# The layouts: a window per key, or the range layout described above.
+PLAIN, RANGE = "plain", "range"
 
 
 def _plain(df: DataFrame, keys, order, seq, prev, nxt, carry) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     out = df
     if seq:
-        out = out.withColumn(seq, F.row_number().over(w).cast("int"))
+        out = out.withColumn(seq, F.sum(F.lit(1).cast("bigint")).over(
+            w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     for o, c in prev.items():
         out = out.withColumn(o, F.lag(c, 1).over(w))
     for o, c in nxt.items():
@@ -89,7 +81,7 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
             nxt: dict[str, str] | None = None,
             carry: dict[str, str] | None = None,
             parts: int | None = None,
-            max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+            layout: str = PLAIN) -> DataFrame:
     """Add per-key ordered columns to ``df``.
 
     * ``seq``: name of a 1-based row number within the key.
@@ -98,15 +90,18 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
     * ``carry``: ``{out: col}`` — last non-NULL value of ``col`` up to and including
       this row (forward fill).
 
-    Skew-adaptive: when the largest key group has at most ``max_group_rows``
-    rows (checked with :func:`largest_group`), plain windows are used — one
-    shuffle, no task larger than that bound.  Otherwise (or with
-    ``max_group_rows=None``) the range layout below splits hot keys.
+    The caller names the layout, from what it knows of the data: ``PLAIN`` is one
+    shuffle and a window per key, lazy, for keys whose groups the data model
+    bounds (the lines of an order, the turns of a conversation); ``RANGE`` splits
+    hot keys over many tasks, at the price of a sampling pass and a
+    checkpoint.  Both give the same rows; numbers are ``bigint``.
     """
     keys, order = list(keys), list(order)
     prev, nxt, carry = prev or {}, nxt or {}, carry or {}
-    if max_group_rows is not None and (max_group_rows == PLAIN or largest_group(df, keys) <= max_group_rows):
+    if layout == PLAIN:
         return _plain(df, keys, order, seq, prev, nxt, carry)
+    if layout != RANGE:
+        raise ValueError(f"layout is {PLAIN!r} or {RANGE!r}")
     n = _partitions(df, parts)
 
     laid = df.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys + order]) \
@@ -167,7 +162,7 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
         out = _attach(out, outgoing, keys)
 
     if seq:
-        out = out.withColumn(seq, (F.col(_LRN) + F.coalesce(F.col("_sgo_off"), F.lit(0))).cast("int"))
+        out = out.withColumn(seq, (F.col(_LRN) + F.coalesce(F.col("_sgo_off"), F.lit(0))).cast("bigint"))
     for o in prev:
         out = out.withColumn(o, F.when(F.col(_LRN) == 1, F.col(f"_sgo_bp_{o}")).otherwise(F.col(f"_sgo_lp_{o}")))
     for o in nxt:
@@ -180,6 +175,6 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], *,
 
 
 def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "seq",
-             parts: int | None = None, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
-    """1-based position of each row within its key, skew-safe."""
-    return ordered(df, keys, order, seq=out, parts=parts, max_group_rows=max_group_rows)
+             parts: int | None = None, layout: str = PLAIN) -> DataFrame:
+    """1-based position (``bigint``) of each row within its key."""
+    return ordered(df, keys, order, seq=out, parts=parts, layout=layout)

@@ -18,11 +18,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stargrain.functions.keys import epoch_micros, surrogate_key
-from stargrain.operators.ordered import DEFAULT_MAX_GROUP_ROWS, PLAIN, largest_group, ordered
+from stargrain.operators.ordered import PLAIN, ordered
 
 START, END = "__START_AT", "__END_AT"
 FAR_FUTURE_DATE = "9999-12-31"
@@ -40,7 +40,7 @@ def scd2_stage(df: DataFrame, keys: Sequence[str], attrs: Sequence[str], sequenc
 
 def scd2_apply(log: DataFrame, keys: Sequence[str], sequence_by: str,
                tracked: Sequence[str] | None = None, ignore_null_updates: bool = False,
-               parts: int | None = None, max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+               parts: int | None = None, layout: str = PLAIN) -> DataFrame:
     """T5 ``apply_changes(stored_as_scd_type=2)`` as a batch query over the log.
 
     ``tracked=None`` tracks every non-key column, the sequence column
@@ -51,9 +51,6 @@ def scd2_apply(log: DataFrame, keys: Sequence[str], sequence_by: str,
     """
     keys = list(keys)
     others = [c for c in log.columns if c not in keys and c != sequence_by]
-    if max_group_rows is not None and max_group_rows != PLAIN:
-        # decide the layout once: the later steps only shrink the groups
-        max_group_rows = PLAIN if largest_group(log, keys) <= max_group_rows else None
     # 1. one snapshot per (key, sequence): the largest attribute tuple wins.
     snap = log.groupBy(*keys, sequence_by).agg(F.max(F.struct(*others)).alias("_sg_a")) \
         .select(*keys, sequence_by, "_sg_a.*") if others else log.select(*keys, sequence_by).distinct()
@@ -61,18 +58,18 @@ def scd2_apply(log: DataFrame, keys: Sequence[str], sequence_by: str,
     if ignore_null_updates:
         # a NULL attribute means "unchanged": fill it from the last non-NULL value of the key
         snap = ordered(snap, keys, [sequence_by], carry={f"_sg_f_{c}": c for c in others}, parts=parts,
-                       max_group_rows=max_group_rows)
+                       layout=layout)
         for c in others:
             snap = snap.withColumn(c, F.col(f"_sg_f_{c}")).drop(f"_sg_f_{c}")
     snap = snap.withColumn("_sg_trk", F.struct(*trk))
     # 2. keep snapshots whose tracked values differ from the previous snapshot.
     marked = ordered(snap, keys, [sequence_by], prev={"_sg_prev": "_sg_trk"}, parts=parts,
-                     max_group_rows=max_group_rows)
+                     layout=layout)
     changed = marked.where(F.col("_sg_prev").isNull() | ~F.col("_sg_prev").eqNullSafe(F.col("_sg_trk")))
     changed = changed.drop("_sg_prev", "_sg_trk")
     # 3. version end = next version start; row_version numbers the versions.
     versions = ordered(changed, keys, [sequence_by], seq="row_version", nxt={END: sequence_by}, parts=parts,
-                       max_group_rows=max_group_rows)
+                       layout=layout)
     return versions.withColumn(START, F.col(sequence_by))
 
 
@@ -129,7 +126,7 @@ def scd2_lookup_current(facts: DataFrame, versions: DataFrame, keys: Sequence[st
 
 def scd2_lookup_as_of(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at: str,
                       start: str, cols: Sequence[str], parts: int | None = None,
-                      max_group_rows: int | None = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
+                      layout: str = PLAIN) -> DataFrame:
     """J6 as-of lookup: for each fact, the version of its key valid at ``at``
     (``start <= at < next start``).
 
@@ -144,12 +141,8 @@ def scd2_lookup_as_of(facts: DataFrame, versions: DataFrame, keys: Sequence[str]
                         F.struct(*cols).alias("_sg_v"))
     f = facts.select(*[F.col(f"`{c}`") for c in fact_cols], F.col(at).alias("_sg_t"), F.lit(1).alias("_sg_tag"))
     u = f.unionByName(v, allowMissingColumns=True)
-    res = ordered(u, keys, ["_sg_t", "_sg_tag"], carry={"_sg_cv": "_sg_v"}, parts=parts,
-                  max_group_rows=max_group_rows)
+    res = ordered(u, keys, ["_sg_t", "_sg_tag"], carry={"_sg_cv": "_sg_v"}, parts=parts, layout=layout)
     res = res.where(F.col("_sg_tag") == 1)
     return res.select(*[F.col(f"`{c}`") for c in fact_cols],
                       *[F.col(f"_sg_cv.{c}").alias(c) for c in cols])
 
-
-def version_key(key: Column, start: Column, method: str = "md5_60") -> Column:
-    return surrogate_key(F.concat_ws("|", key.cast("string"), start.cast("string")), method)

@@ -32,9 +32,21 @@ def stream_source(spark: SparkSession, directory: str, schema: StructType, glob:
     return r.parquet(directory)
 
 
+def _finish(q, limit_s: float | None) -> None:
+    """Wait until the query ends; with ``limit_s`` stop it and raise after so many seconds."""
+    try:
+        if limit_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(limit_s):
+            raise TimeoutError(f"the streaming query did not end within {limit_s} s")
+    finally:
+        if q.isActive:
+            q.stop()
+
+
 def run_available_now(df: DataFrame, out: str, checkpoint: str, *, mode: str = "append",
                       partition_by: Sequence[str] = (), fmt: str = "parquet",
-                      timeout_s: float | None = 600) -> dict | None:
+                      limit_s: float | None = None) -> dict | None:
     """Run a streaming DataFrame to completion into ``out``.  Returns the
     last progress (its ``observedMetrics`` carry expectation counters)."""
     w = df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", checkpoint) \
@@ -42,26 +54,14 @@ def run_available_now(df: DataFrame, out: str, checkpoint: str, *, mode: str = "
     if partition_by:
         w = w.partitionBy(*partition_by)
     q = w.start()
-    try:
-        finished = q.awaitTermination(timeout_s)
-        if finished is False:
-            raise TimeoutError(f"streaming query into {out} did not finish in {timeout_s}s")
-        return q.lastProgress
-    finally:
-        if q.isActive:
-            q.stop()
+    _finish(q, limit_s)
+    return q.lastProgress
 
 
 def run_foreach_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
-                      timeout_s: float | None = 600) -> None:
-    q = df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint) \
-        .trigger(availableNow=True).start()
-    try:
-        if q.awaitTermination(timeout_s) is False:
-            raise TimeoutError("foreachBatch query did not finish")
-    finally:
-        if q.isActive:
-            q.stop()
+                      limit_s: float | None = None) -> None:
+    _finish(df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start(), limit_s)
 
 
 def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str | None = None,
@@ -80,48 +80,52 @@ def dedup_stream(df: DataFrame, keys: Sequence[str], event_time: str | None = No
     return df.dropDuplicates(list(keys))
 
 
-def key_bucket(keys: Sequence[str], buckets: int) -> F.Column:
-    return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets)).cast("int")
+EPOCH = "sg_epoch"
+
+
+def _has_data(spark: SparkSession, path: str) -> bool:
+    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(jvm_path))
 
 
 def incremental_scd2(log_dir: str, versions_dir: str, keys: Sequence[str], sequence_by: str,
-                     tracked: Sequence[str] | None = None, buckets: int = 64) -> Callable[[DataFrame, int], None]:
+                     tracked: Sequence[str] | None = None) -> Callable[[DataFrame, int], None]:
     """foreachBatch body for SCD2 on a stream of staged snapshots.
 
-    Each micro-batch is appended to the change log (partitioned by key
-    bucket); then only the buckets it touched are recomputed from the log
-    and rewritten with dynamic partition overwrite.  Late or out-of-order
-    snapshots are correct because a touched bucket is rebuilt from its full
-    log.  A re-run of a micro-batch after a failure appends rows the log
-    already has (removed by the de-duplication on read) and rewrites the
-    same buckets with the same content (idempotent).
+    Each micro-batch is one partition of the change log (its epoch), and the
+    full history of the keys it touched — found by a semi-join of the log —
+    is one partition of the version store.  Nothing else is rewritten; a key's
+    current history is the one of its latest epoch (:func:`scd2_store`).  Late and
+    out-of-order snapshots are right because a touched key is rebuilt from
+    its whole log.  A micro-batch that is run again after a failure overwrites
+    the partitions of its own epoch, so nothing is doubled.
     """
     keys = list(keys)
 
+    def write(df: DataFrame, path: str, epoch: int) -> None:
+        (df.withColumn(EPOCH, F.lit(epoch).cast("bigint")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(EPOCH).parquet(path))
+
     def body(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        staged = batch.withColumn("sg_bucket", key_bucket(keys, buckets)).persist()
-        try:
-            # append to the log; a retried epoch appends the same rows again, which the
-            # de-duplication on read removes, so a retry is harmless
-            # few files per bucket: range-partition on (bucket, key, sequence) so each
-            # task writes a contiguous slice and a hot bucket is still split over tasks
-            (staged.repartitionByRange("sg_bucket", *keys, sequence_by)
-             .write.mode("append").partitionBy("sg_bucket").parquet(log_dir))
-            touched = sorted(r["sg_bucket"] for r in staged.select("sg_bucket").distinct().collect())
-        finally:
-            staged.unpersist()
-        if not touched:
-            return
-        # list and read only the touched buckets' folders
-        log = (spark.read.option("basePath", log_dir)
-               .parquet(*[f"{log_dir}/sg_bucket={b}" for b in touched])
-               .drop("sg_bucket").dropDuplicates())
-        trk = list(tracked) if tracked is not None else [c for c in log.columns if c not in keys]
-        versions = scd2_apply(log, keys, sequence_by, tracked=trk)
-        versions = versions.withColumn("sg_bucket", key_bucket(keys, buckets)) \
-            .repartitionByRange("sg_bucket", *keys, sequence_by)
-        (versions.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("sg_bucket").parquet(versions_dir))
+        write(batch, log_dir, epoch)
+        log = spark.read.parquet(log_dir).where(F.col(EPOCH) <= epoch)
+        touched = log.where(F.col(EPOCH) == epoch).select(*keys).distinct()
+        mine = log.drop(EPOCH).join(touched, keys, "left_semi").dropDuplicates()
+        trk = list(tracked) if tracked is not None else [c for c in mine.columns if c not in keys]
+        write(scd2_apply(mine, keys, sequence_by, tracked=trk), versions_dir, epoch)
 
     return body
+
+
+def scd2_store(spark: SparkSession, versions_dir: str, keys: Sequence[str]) -> DataFrame:
+    """The versions as they stand: of each key the history written by the latest epoch that touched it."""
+    every = spark.read.parquet(versions_dir)
+    latest = every.groupBy(*keys).agg(F.max(EPOCH).alias(EPOCH))
+    return every.join(latest, [*keys, EPOCH], "left_semi").drop(EPOCH)
+
+
+def stored(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table that may not have been written yet (no micro-batch had rows)."""
+    return spark.read.parquet(path) if _has_data(spark, path) else spark.createDataFrame([], schema)

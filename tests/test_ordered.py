@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stargrain.operators.ordered import largest_group, ordered
+from stargrain.operators.ordered import PLAIN, RANGE, ordered
 from stargrain.operators.rows import unique_first
 
 
@@ -19,15 +19,16 @@ def _data(spark, n=3000):
     )
 
 
-@pytest.mark.parametrize("max_group_rows", [None, 100, 10_000])
-def test_ordered_equals_windows_under_skew(spark, max_group_rows):
+@pytest.mark.parametrize("layout", [PLAIN, RANGE])
+def test_ordered_equals_windows_under_skew(spark, layout):
     df = _data(spark)
     res = ordered(df, ["k"], ["t", "id"], seq="s", prev={"p": "v"}, nxt={"n": "t"}, carry={"c": "v"}, parts=16,
-                  max_group_rows=max_group_rows)
+                  layout=layout)
     w = Window.partitionBy("k").orderBy("t", "id")
     ref = df.select("id", F.row_number().over(w).alias("s2"), F.lag("v").over(w).alias("p2"),
                     F.lead("t").over(w).alias("n2"),
                     F.last("v", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("c2"))
+    assert dict(res.dtypes)["s"] == "bigint"      # a hot key may pass 2**31 rows
     j = res.join(ref, "id")
     bad = j.where(~(F.col("s").eqNullSafe(F.col("s2")) & F.col("p").eqNullSafe(F.col("p2"))
                     & F.col("n").eqNullSafe(F.col("n2")) & F.col("c").eqNullSafe(F.col("c2"))))
@@ -48,7 +49,3 @@ def test_unique_first_deterministic(spark):
     assert got == [(1, 1, "z"), (2, 5, "x")]
     got2 = sorted(tuple(r) for r in unique_first(df.where("o = 2"), ["k"], ["o"]).collect())
     assert got2 == [(1, 2, "a")]  # ties broken by the remaining columns
-
-
-def test_largest_group(spark):
-    assert largest_group(_data(spark), ["k"]) == 1000

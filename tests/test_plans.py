@@ -1,10 +1,12 @@
 """Physical-plan properties the design relies on at scale."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from stargrain.operators.ordered import ordered
+from stargrain.operators.ordered import RANGE, ordered
 from stargrain.operators.quality import Expectation, kept
 from stargrain.operators.rows import unique_first, with_total
 
@@ -15,10 +17,10 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_keep_first_is_a_partial_aggregate(spark):
+def test_keep_first_is_trimmed_before_the_shuffle(spark):
     li = spark.read.parquet(f"{SF}/lineitem.parquet")
     p = plan(unique_first(li, ["l_orderkey"], ["l_shipdate"]))
-    assert "partial_min" in p and "Window" not in p
+    assert "WindowGroupLimit" in p and p.rindex("WindowGroupLimit") > p.rindex("Exchange hashpartitioning")
 
 
 def test_drop_rules_reach_the_scan(spark):
@@ -35,15 +37,29 @@ def test_total_without_single_partition_window(spark):
     assert "Window" not in p and "partial_count" in p
 
 
-def test_ordered_picks_its_path_from_the_largest_group(spark):
+def test_the_layout_is_the_callers_choice(spark):
     df = spark.range(2000).select((F.col("id") % 2).alias("k"), F.col("id").alias("t"))
-    # groups of 1000 rows under a bound of 10,000: plain windows, one exchange, no checkpoint
-    plain = plan(ordered(df, ["k"], ["t"], seq="s", parts=8, max_group_rows=10_000))
+    # plain windows: one exchange, no checkpoint
+    plain = plan(ordered(df, ["k"], ["t"], seq="s", parts=8))
     assert "Window" in plain and "ExistingRDD" not in plain
-    # over the bound: the range layout, read back from its checkpoint and stitched by
-    # broadcast joins with the (partition-bounded) boundary tables
-    layout = plan(ordered(df, ["k"], ["t"], seq="s", parts=8, max_group_rows=100))
+    # the range layout, read back from its checkpoint and stitched by broadcast joins with
+    # the (partition-bounded) boundary tables
+    layout = plan(ordered(df, ["k"], ["t"], seq="s", parts=8, layout=RANGE))
     assert "ExistingRDD" in layout and "BroadcastHashJoin" in layout
+    with pytest.raises(ValueError):
+        ordered(df, ["k"], ["t"], seq="s", layout="other")
+
+
+def test_building_a_plan_runs_no_job(spark):
+    names = ["scd2_as_of", "scd2_tracked", "line_sequence", "conversation_turns", "unique_first", "auto_field_types", "profile_outliers"]
+    tracker = spark.sparkContext.statusTracker()
+    for name in names:
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        # reading a Parquet file's schema may take a job of its own
+        E.queries()[name](spark, SF)
+        jobs = tracker.getJobIdsForGroup(f"build-{name}")
+        assert len(jobs) <= 2, (name, jobs)
+    spark.sparkContext.setJobGroup("rest", "rest")
 
 
 @pytest.mark.parametrize("name", ["scd2_as_of", "fact_orders", "bridge_order_part", "changes_between",
@@ -53,6 +69,7 @@ def test_no_pairs_within_groups(spark, name):
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
-def test_rule_bounded_dimensions_are_broadcast(spark):
+def test_the_fact_scans_each_source_once(spark):
     p = plan(E.queries()["fact_orders"](spark, SF))
-    assert p.count("BroadcastHashJoin") >= 2
+    for name in ("orders", "customer", "nation", "region"):
+        assert len(re.findall(rf"FileScan parquet[^\n]*/{name}\.parquet", p)) == 1, name

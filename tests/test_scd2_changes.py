@@ -6,7 +6,7 @@ from stargrain.operators.scd2 import END, START, scd2_apply, scd2_final, scd2_lo
 from stargrain.sources.changes import apply_changes_snapshot, diff_snapshots, read_changes
 
 D = dt.date
-MGR = None  # force the skew-safe range layout on these small inputs
+MGR = "range"  # the skew-safe layout
 
 
 def _log(spark):
@@ -24,7 +24,7 @@ def _log(spark):
 
 
 def test_scd2_tracked_versions(spark):
-    v = scd2_apply(_log(spark), ["rid"], "d", tracked=["name"], parts=4, max_group_rows=MGR)
+    v = scd2_apply(_log(spark), ["rid"], "d", tracked=["name"], parts=4, layout=MGR)
     by = {(r.rid, r.row_version): (r.name, r[START], r[END]) for r in v.collect()}
     assert by[("r1", 1)] == ("A", D(2024, 1, 1), D(2024, 1, 7))
     assert by[("r1", 2)] == ("C", D(2024, 1, 7), D(2024, 1, 9))
@@ -36,12 +36,12 @@ def test_scd2_tracked_versions(spark):
 
 
 def test_scd2_all_columns_tracked_opens_version_per_date(spark):
-    v = scd2_apply(_log(spark), ["rid"], "d", tracked=None, parts=4, max_group_rows=MGR)
+    v = scd2_apply(_log(spark), ["rid"], "d", tracked=None, parts=4, layout=MGR)
     assert v.where("rid = 'r1'").count() == 6
 
 
 def test_scd2_properties(spark):
-    v = scd2_final(scd2_apply(_log(spark), ["rid"], "d", tracked=["name"], parts=4, max_group_rows=MGR), "rid")
+    v = scd2_final(scd2_apply(_log(spark), ["rid"], "d", tracked=["name"], parts=4, layout=MGR), "rid")
     cur = v.groupBy("rid").agg(F.sum(F.col("is_current").cast("int")).alias("c")).collect()
     assert all(r.c == 1 for r in cur)
     rows = sorted(v.collect(), key=lambda r: (r.rid, r.effective_date))
@@ -51,13 +51,13 @@ def test_scd2_properties(spark):
 
 
 def test_ignore_null_updates(spark):
-    v = scd2_apply(_log(spark).where("rid = 'r1'"), ["rid"], "d", tracked=["name"], ignore_null_updates=True, parts=4, max_group_rows=MGR)
+    v = scd2_apply(_log(spark).where("rid = 'r1'"), ["rid"], "d", tracked=["name"], ignore_null_updates=True, parts=4, layout=MGR)
     names = [r.name for r in sorted(v.collect(), key=lambda r: r[START])]
     assert names == ["A", "C", "B", "A"]  # the NULL update keeps B, then A opens a version
 
 
 def test_as_of_matches_brute_force(spark):
-    v = scd2_apply(_log(spark), ["rid"], "d", tracked=["name"], parts=4, max_group_rows=MGR)
+    v = scd2_apply(_log(spark), ["rid"], "d", tracked=["name"], parts=4, layout=MGR)
     facts = spark.createDataFrame([(1, "r1", D(2023, 12, 31)), (2, "r1", D(2024, 1, 7)), (3, "r1", D(2024, 1, 8)),
                                    (4, "r1", D(2024, 2, 1)), (5, "r2", D(2024, 1, 3)), (6, None, D(2024, 1, 3))],
                                   "fid int, rid string, at date")

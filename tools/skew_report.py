@@ -61,8 +61,7 @@ def main() -> None:
         t = li.select(F.when(F.col("l_returnflag") == "N", F.lit(-1)).otherwise(F.col("l_orderkey")).alias("k"),
                       *LINE_ID)
         order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus"]
-        mgr = float("inf") if mode == "plain" else None
-        ordered(t, ["k"], order, seq="s", max_group_rows=mgr).write.format("noop").mode("overwrite").save()
+        ordered(t, ["k"], order, seq="s", layout=mode).write.format("noop").mode("overwrite").save()
         spark.stop()
         reads = task_reads(log_dir)
         worst = max((max(v), sid) for sid, v in reads.items())
