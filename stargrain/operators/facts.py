@@ -8,40 +8,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stargrain.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from stargrain.operators.joins import key_side, lookup_key
 
 
 @dataclass(frozen=True)
 class Lookup:
-    """One dimension lookup: ``fact.bk -> dim.sk``.
-
-    ``known_bound``: rows the dimension can have by construction (rule-table
-    dimensions); ``None`` means "check at run time".
-    """
+    """One dimension lookup: ``fact.bk -> dim.sk``."""
     dim: DataFrame
     bk: str
     sk: str
-    known_bound: int | None = None
     how: str = "left"
 
 
-def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup], max_rows: int = DEFAULT_BROADCAST_ROWS,
-                check_size: bool = False) -> DataFrame:
-    """Add the surrogate keys of several dimensions.
-
-    Each dimension is reduced to (bk, sk).  Rule-bounded dimensions
-    (``known_bound``) are broadcast outright; the others are left to adaptive
-    execution, which broadcasts a dimension only once its materialised size
-    is known to be under the threshold and shuffle-joins it otherwise — at
-    scale only the large dimensions cause exchanges of the fact.
-    """
+def lookup_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
+    """Add the surrogate keys of several dimensions, best read from their stored tables."""
     out = fact
     for lk in lookups:
-        # one surrogate key per business key, so a lookup never multiplies facts
-        side = lk.dim.groupBy(lk.bk).agg(F.min(lk.sk).alias(lk.sk))
-        if lk.known_bound is not None or check_size:
-            side = bounded_broadcast(side, max_rows, lk.known_bound)
-        out = out.join(side, lk.bk, lk.how)
+        out = lookup_key(out, lk.dim, lk.bk, lk.sk, how=lk.how)
     return out
 
 
@@ -51,9 +34,7 @@ def refresh_missing_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFram
     and keep existing keys."""
     out = fact
     for lk in lookups:
-        side = lk.dim.select(F.col(lk.bk), F.col(lk.sk).alias("_sg_new"))
-        if lk.known_bound is not None:
-            side = bounded_broadcast(side, DEFAULT_BROADCAST_ROWS, lk.known_bound)
+        side = key_side(lk.dim, lk.bk, lk.sk).withColumnRenamed(lk.sk, "_sg_new")
         out = out.join(side, lk.bk, "left") \
             .withColumn(lk.sk, F.coalesce(F.col(lk.sk), F.col("_sg_new"))).drop("_sg_new")
     return out

@@ -1,4 +1,9 @@
-"""Join helpers (J1-J5): semi-joins, key lookups, size-checked broadcast."""
+"""Join helpers (J1-J5): semi-joins and key lookups.
+
+No side is broadcast by hand: adaptive execution broadcasts a side once its
+materialised size is known to be below ``spark.sql.adaptive.autoBroadcastJoinThreshold``
+and shuffles both sides otherwise, whatever the row counts.
+"""
 
 from __future__ import annotations
 
@@ -7,50 +12,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Above this many rows a dimension is joined with a shuffle (or AQE decides).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      known_bound: int | None = None) -> DataFrame:
-    """Broadcast ``df`` only when its size is proven to be small.
-
-    * ``known_bound``: the caller can prove the row count by construction
-      (e.g. a dimension keyed by a fixed rule table); broadcast when
-      ``known_bound <= max_rows`` without running anything.
-    * otherwise run ``limit(max_rows + 1).count()`` — reads at most
-      ``max_rows + 1`` rows — and broadcast only when it is within the bound.
-      Beyond it the plain DataFrame is returned; the join then shuffles both
-      sides and AQE may still convert it at runtime from real sizes.
-    """
-    if known_bound is not None:
-        return F.broadcast(df) if known_bound <= max_rows else df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def semi_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keep left rows whose key exists on the right; left columns only."""
     return left.join(right.select(*keys), list(keys), "left_semi")
 
 
-def anti_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return left.join(right.select(*keys), list(keys), "left_anti")
-
+def key_side(dim: DataFrame, bk: str, sk: str) -> DataFrame:
+    """A dimension reduced to one (business key, surrogate key) per business key,
+    so that a lookup never multiplies facts."""
+    return dim.groupBy(bk).agg(F.min(sk).alias(sk))
 
-def lookup_key(fact: DataFrame, dim: DataFrame, bk: str, sk: str, *,
-               how: str = "left", max_rows: int = DEFAULT_BROADCAST_ROWS,
-               known_bound: int | None = None, check_size: bool = False) -> DataFrame:
-    """Add the surrogate key ``sk`` of ``dim`` to ``fact`` by business key ``bk``.
 
-    The dimension side is reduced to ``(bk, sk)`` first.  With a
-    ``known_bound`` it is broadcast outright; otherwise the size check is
-    Spark's own: adaptive execution turns the shuffle join into a broadcast
-    join once the dimension's real size is known and below
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (``check_size=True``
-    runs :func:`bounded_broadcast`'s row count instead).
-    """
-    side = dim.select(bk, sk)
-    if check_size or known_bound is not None:
-        side = bounded_broadcast(side, max_rows, known_bound)
-    return fact.join(side, bk, how)
+def lookup_key(fact: DataFrame, dim: DataFrame, bk: str, sk: str, *, how: str = "left") -> DataFrame:
+    """Add the surrogate key ``sk`` of ``dim`` to ``fact`` by business key ``bk``."""
+    return fact.join(key_side(dim, bk, sk), bk, how)

@@ -12,14 +12,14 @@ def _numeric(type_name: str) -> bool:
     return type_name in ("tinyint", "smallint", "int", "bigint", "float", "double") or type_name.startswith("decimal")
 
 
-def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
+def profile(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = False) -> DataFrame:
     """One row per column — ordinal, name, type, rows, NULLs, blanks,
     distinct values, min/max text length, min/max of numeric columns.
 
     One aggregate over the data (partial aggregation, one output row), then
-    ``inline`` to one row per column.  ``exact=False`` uses HyperLogLog
-    (``approx_count_distinct``) instead of exact distinct counts, which at
-    scale avoids the per-column expansion of exact distinct aggregation.
+    ``inline`` to one row per column.  Distinct values are estimated in that
+    pass (``approx_count_distinct``); ``exact=True`` counts them, which costs
+    a row per column and value before the shuffle.
     """
     cols = list(cols or df.columns)
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
@@ -73,15 +73,16 @@ def outlier_counts(df: DataFrame, cols: Sequence[str], accuracy: int = 10000) ->
     """
     q = df.agg(*[F.percentile_approx(F.col(f"`{c}`"), [0.25, 0.75], accuracy).alias(f"q{i}")
                  for i, c in enumerate(cols)])
-    # The quartiles are one row; attach them as scalar subqueries (no join).
-    out_aggs = []
-    for i, c in enumerate(cols):
-        lo = q.select((F.col(f"q{i}")[0] - 1.5 * (F.col(f"q{i}")[1] - F.col(f"q{i}")[0]))).scalar()
-        hi = q.select((F.col(f"q{i}")[1] + 1.5 * (F.col(f"q{i}")[1] - F.col(f"q{i}")[0]))).scalar()
-        v = F.col(f"`{c}`")
-        out_aggs.append(F.struct(F.lit(c).alias("column_name"), lo.alias("lower_fence"), hi.alias("upper_fence"),
-                                 F.count_if((v < lo) | (v > hi)).alias("n_outliers")))
-    return df.agg(F.array(*out_aggs).alias("a")).select(F.inline("a"))
+    # one scalar subquery holds all fences
+    fences = q.select(F.array(*[F.struct((F.col(f"q{i}")[0] - 1.5 * (F.col(f"q{i}")[1] - F.col(f"q{i}")[0])).cast("double").alias("lo"),
+                                         (F.col(f"q{i}")[1] + 1.5 * (F.col(f"q{i}")[1] - F.col(f"q{i}")[0])).cast("double").alias("hi"))
+                                for i in range(len(cols))])).scalar()
+    held = df.select(*[F.col(f"`{c}`").alias(f"v{i}") for i, c in enumerate(cols)]).withColumn("f", fences)
+    rows = [F.struct(F.lit(c).alias("column_name"), F.first(F.get(F.col("f"), F.lit(i))["lo"]).alias("lower_fence"),
+                     F.first(F.get(F.col("f"), F.lit(i))["hi"]).alias("upper_fence"),
+                     F.count_if((F.col(f"v{i}") < F.get(F.col("f"), F.lit(i))["lo"]) | (F.col(f"v{i}") > F.get(F.col("f"), F.lit(i))["hi"])).alias("n_outliers"))
+            for i, c in enumerate(cols)]
+    return held.agg(F.array(*rows).alias("a")).select(F.inline("a"))
 
 
 def field_info(df: DataFrame) -> list[tuple[int, str, str, bool]]:

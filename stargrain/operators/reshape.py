@@ -20,13 +20,6 @@ def select_map(df: DataFrame, mapping: dict[str, str], keep_unknown: bool = Fals
     return df.select(*cols)
 
 
-def with_columns_ordered(df: DataFrame, exprs: Sequence[tuple[str, Column]]) -> DataFrame:
-    """P5 Formula tool: expressions applied in order, later ones see earlier ones."""
-    for name, e in exprs:
-        df = df.withColumn(name, e)
-    return df
-
-
 def union_all(dfs: Sequence[DataFrame], allow_missing: bool = True) -> DataFrame:
     """Union by name; columns missing on one side become NULL."""
     out = dfs[0]
@@ -76,7 +69,7 @@ def header_name(c: Column) -> Column:
     return F.regexp_replace(c, r"\s", "_")
 
 
-PIVOT_MAX_VALUES = 10_000   # same bound as spark.sql.pivotMaxValues
+NULL_HEADER = "null"
 
 
 def cross_tab(df: DataFrame, keys: Sequence[str], header: str, value: str, values: Sequence | None = None,
@@ -87,25 +80,24 @@ def cross_tab(df: DataFrame, keys: Sequence[str], header: str, value: str, value
     shuffle; fixed-width buffers stay in the hash aggregate).  ``first`` takes
     the first non-NULL value — deterministic only when (keys, header) is
     unique; other methods: ``sum``, ``max``, ``min``, ``count``, ``concat``.
-    Without ``values`` the header values are discovered by one bounded
-    distinct query (at most ``PIVOT_MAX_VALUES``, like Spark's own pivot).
+    Without ``values`` the header values are found by a distinct query; they
+    become columns, so there can be as many as a plan can hold.  Rows with a
+    NULL header go to a column named ``null`` (None in ``values``).
     """
     if values is None:
-        found = [r[0] for r in df.select(header).distinct().limit(PIVOT_MAX_VALUES + 1).collect()]
-        if len(found) > PIVOT_MAX_VALUES:
-            raise ValueError(f"cross_tab: more than {PIVOT_MAX_VALUES} header values")
-        values = sorted(v for v in found if v is not None)
+        found = [r[0] for r in df.select(header).distinct().collect()]
+        values = sorted(v for v in found if v is not None) + ([None] if None in found else [])
     h, v = F.col(header), F.col(value)
 
     def pick(x):
-        c = F.when(h == F.lit(x), v)
+        c = F.when(h.isNull() if x is None else h == F.lit(x), v)
         if agg == "first":
             return F.first(c, ignorenulls=True)
         if agg == "concat":
             return F.array_join(F.array_sort(F.collect_list(c.cast("string"))), ",")
         return {"sum": F.sum, "max": F.max, "min": F.min, "count": F.count}[agg](c)
 
-    return df.groupBy(*keys).agg(*[pick(x).alias(str(x)) for x in values])
+    return df.groupBy(*keys).agg(*[pick(x).alias(NULL_HEADER if x is None else str(x)) for x in values])
 
 
 def slots_to_rows(df: DataFrame, ids: Sequence[str], slots: Sequence[dict[str, Column | str]],

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -12,17 +12,17 @@ def unique_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] | None
     """A5 Unique: keep the first row of every key.
 
     "First" is the smallest ``(order..., remaining columns...)`` tuple, so the
-    result is deterministic even when ``order`` has ties.  Written as a
-    ``min(struct)`` aggregate rather than ``row_number() = 1``: the aggregate
-    is combined map-side, so a hot key never gathers its rows in one task.
+    result is deterministic even when ``order`` has ties.  ``row_number() = 1`` is
+    trimmed before the shuffle as well (a group limit of one row per key and
+    map task), so a hot key never gathers its rows in one task.
     """
     keys = list(keys)
     order = [c for c in (order or []) if c not in keys]
     rest = [c for c in df.columns if c not in keys and c not in order]
     if not order and not rest:
         return df.select(*keys).distinct()
-    picked = df.groupBy(*keys).agg(F.min(F.struct(*order, *rest)).alias("_sg_first"))
-    return picked.select(*keys, "_sg_first.*").select(*df.columns)
+    w = Window.partitionBy(*[F.col(f"`{k}`") for k in keys]).orderBy(*[F.col(f"`{c}`") for c in [*order, *rest]])
+    return df.withColumn("_sg_first", F.row_number().over(w)).where("_sg_first = 1").drop("_sg_first")
 
 
 def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,12 +30,6 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def drop_duplicates(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
-    """``dropDuplicates`` — arbitrary survivor per key.  In batch prefer
-    :func:`unique_first`; in a stream this is the stateful operator."""
-    return df.dropDuplicates(list(keys)) if keys else df.dropDuplicates()
-
-
 def with_total(df: DataFrame, name: str = "total_rows") -> DataFrame:
     """W3 ``COUNT(*) OVER ()``: the row count on every row.
 

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
 from stargrain.operators.facts import Lookup, build_bridge, lookup_keys, refresh_missing_keys
-from stargrain.operators.joins import bounded_broadcast, semi_join
+from stargrain.operators.joins import lookup_key, semi_join
 from stargrain.operators.reshape import header_name
 from stargrain.operators.rows import global_count, with_total
 from stargrain.operators.summarize import attach_summary, concat_agg, count_by, having, mode_agg, summarize
@@ -11,11 +11,10 @@ def _plan(df):
     return df._jdf.queryExecution().analyzed().toString()
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(5)
-    assert "broadcast" in _plan(bounded_broadcast(small, 10).join(spark.range(100), "id")).lower()
-    assert "broadcast" not in _plan(bounded_broadcast(spark.range(50), 10)).lower()
-    assert "broadcast" in _plan(bounded_broadcast(spark.range(50), 10, known_bound=4)).lower()
+def test_a_lookup_never_multiplies_facts(spark):
+    fact = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, bk string")
+    dim = spark.createDataFrame([("a", 10), ("a", 7), ("b", 20)], "bk string, sk int")
+    assert sorted((r.id, r.sk) for r in lookup_key(fact, dim, "bk", "sk").collect()) == [(1, 7), (2, 20), (3, None)]
 
 
 def test_lookup_refresh_and_bridge(spark):
