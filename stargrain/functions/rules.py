@@ -79,6 +79,11 @@ def validity_flags(name: ColLike, date: ColLike, results: ColLike, zip_code: Col
     return flags
 
 
+def record_flags(violations: ColLike, license_number: ColLike) -> dict[str, Column]:
+    """The two flags beside them that no validity depends on."""
+    return {"has_violations": ~is_blank(violations), "is_license_null": is_blank(license_number)}
+
+
 # B2 / B3 ----------------------------------------------------------------------
 def city_a_score(results: ColLike) -> Column:
     r = _c(results)

@@ -11,7 +11,8 @@ ColLike = Column | str
 
 # Whitespace class used by every cleanse/collapse step.  Written out (instead
 # of \s) so that the JVM and RE2-based engines agree on it.
-WS = "[ \\t\\n\\r\\f]"
+# The no-break space (character 160) counts: it is common in Latin-1 input.
+WS = "[ \\t\\n\\r\\f\\x{A0}]"
 
 
 def _c(c: ColLike) -> Column:
@@ -25,12 +26,6 @@ def is_blank(c: ColLike) -> Column:
     return c.isNull() | (c == F.lit(""))
 
 
-def blank_to_null(c: ColLike, trim: bool = False) -> Column:
-    c = _c(c)
-    v = F.trim(c) if trim else c
-    return F.when(v == F.lit(""), F.lit(None).cast("string")).otherwise(c)
-
-
 def full_match(c: ColLike, pattern: str) -> Column:
     """whole-string regex match (anchors added)."""
     return _c(c).rlike(f"^(?:{pattern})$")
@@ -116,17 +111,25 @@ def bool_text(c: ColLike) -> Column:
     return F.coalesce(F.lower(_c(c).cast("string")) == F.lit("true"), F.lit(False))
 
 
+_COORDINATE = "[-0-9.]+"
+
+
+def _point_part(c: Column, closed: bool, part: str) -> Column:
+    """A coordinate of ``"(lat, long)"`` text; text with the marks but no such coordinate comes back trimmed,
+    other text as ''."""
+    marks = c.contains("(") & c.contains(",") & (c.contains(")") if closed else F.lit(True))
+    found = F.regexp_extract(c, part, 1)
+    return F.when(F.coalesce(marks, F.lit(False)), F.when(found != "", found).otherwise(F.trim(c))).otherwise(F.lit(""))
+
+
 def lat_from_point(c: ColLike) -> Column:
-    """F16: latitude out of ``"(lat, long)"`` text, '' when the text has no point."""
-    c = _c(c)
-    ok = c.isNotNull() & (c != "") & c.contains("(") & c.contains(",")
-    return F.when(ok, F.trim(F.regexp_replace(c, r"^.*\(([\-\d\.]+)\s*,.*$", "$1"))).otherwise(F.lit(""))
+    """F16: the number between the last ``(`` it can follow and a comma."""
+    return _point_part(_c(c), False, rf"^[^\n]*\(({_COORDINATE})\s*,")
 
 
 def long_from_point(c: ColLike) -> Column:
-    c = _c(c)
-    ok = c.isNotNull() & (c != "") & c.contains("(") & c.contains(",") & c.contains(")")
-    return F.when(ok, F.trim(F.regexp_replace(c, r"^[^\(]*\([^\,]*,\s*([\-\d\.]+)[\)\s].*$", "$1"))).otherwise(F.lit(""))
+    """F16: the number after the first comma behind the first ``(``."""
+    return _point_part(_c(c), True, rf"^[^(]*\([^,]*,\s*({_COORDINATE})[)\s]")
 
 
 def point_text(lat: ColLike, lon: ColLike) -> Column:

@@ -9,24 +9,13 @@ from pyspark.sql import functions as F
 
 from stargrain.functions.text import WS
 
-# AutoField candidates, narrowest first, each a whole-string pattern on the
-# text form plus an optional numeric range.  Decided by patterns (not by an
-# engine's cast rules) so the decision is the same in every SQL engine.
-INT_PAT = r"^[+-]?[0-9]+$"
-DEC_PAT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-DATE_PAT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
-TS_PAT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?$"
-BOOL_PAT = r"^(?i)(true|false)$"
-CANDIDATES = [
-    ("boolean", BOOL_PAT, None),
-    ("tinyint", INT_PAT, (-128, 127)),
-    ("smallint", INT_PAT, (-32768, 32767)),
-    ("int", INT_PAT, (-2147483648, 2147483647)),
-    ("bigint", INT_PAT, None),
-    ("double", DEC_PAT, None),
-    ("date", DATE_PAT, None),
-    ("timestamp", TS_PAT, None),
-]
+# AutoField candidates, narrowest first.  A type fits a column only if it holds every
+# non-NULL value: the cast succeeds and its text stands for the same value.
+CANDIDATES = ["boolean", "tinyint", "smallint", "int", "bigint", "double", "date", "timestamp"]
+_WHOLE = "^[+-]?(0|[1-9][0-9]{0,18})$"
+_NUMBER = r"^[+-]?(0|[1-9][0-9]*)(\.[0-9]*)?([eE][+-]?[0-9]{1,3})?$|^[+-]?\.[0-9]+([eE][+-]?[0-9]{1,3})?$"
+_DAY = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+_MOMENT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]{1,6})?$"
 
 
 def cleanse(df: DataFrame, cols: Sequence[str] | None = None, *, collapse: bool = True,
@@ -50,8 +39,8 @@ def cleanse(df: DataFrame, cols: Sequence[str] | None = None, *, collapse: bool
         texts = [F.col(f"`{c}`") for c in df.columns if c in str_cols]
         others = [F.col(f"`{c}`") for c in df.columns if c not in str_cols]
         present = F.concat_ws("", *texts).rlike(f"[^{WS[1:-1]}]") if texts else F.lit(False)
-        if others:
-            present = present | F.coalesce(*others).isNotNull()
+        if others:  # of any types
+            present = present | F.coalesce(*[F.when(c.isNotNull(), F.lit(1)) for c in others]).isNotNull()
         out = out.where(present)
     sel = []
     for c in df.columns:
@@ -60,7 +49,7 @@ def cleanse(df: DataFrame, cols: Sequence[str] | None = None, *, collapse: bool
             if collapse:
                 v = F.regexp_replace(v, f"{WS}+", " ")
             if trim:
-                v = F.trim(v)
+                v = F.btrim(v, F.lit(" \t\n\r\f\u00a0"))
             if upper:
                 v = F.upper(v)
             if blank_as_null:
@@ -75,17 +64,22 @@ def cleanse(df: DataFrame, cols: Sequence[str] | None = None, *, collapse: bool
 
 
 def _value_class(s: Column) -> Column:
-    """Index into CANDIDATES of the narrowest type one text value fits
-    (len(CANDIDATES) when none fits).  Patterns are tried lazily, in order."""
-    v = s.try_cast("decimal(38,0)")
-    int_rank = (F.when(v.between(-128, 127), 1).when(v.between(-32768, 32767), 2)
-                 .when(v.between(-2147483648, 2147483647), 3).otherwise(4))
+    """Index into CANDIDATES of the narrowest type that holds one text value
+    (len(CANDIDATES) when none does).  Leading zeros make a text (``00501`` is a
+    code, not 501); an impossible date is a text; whole numbers beyond 64 bits are
+    doubles as long as a double holds them exactly, numbers beyond its range
+    are texts."""
+    whole = s.rlike(_WHOLE)
+    big, real = s.try_cast("bigint"), s.try_cast("double")
+    finite = real.isNotNull() & ~F.isnan(real) & (F.abs(real) < F.lit(float("inf")))
+    exact = ~s.rlike("^[+-]?[0-9]+$") | (s.try_cast("decimal(38,0)") == real.try_cast("decimal(38,0)"))
     return (F.when(s.isNull(), F.lit(None))
              .when(F.lower(s).isin("true", "false"), 0)
-             .when(s.rlike(INT_PAT), int_rank)
-             .when(s.rlike(DEC_PAT), 5)
-             .when(s.rlike(DATE_PAT), 6)
-             .when(s.rlike(TS_PAT), 7)
+             .when(whole & big.between(-128, 127), 1).when(whole & big.between(-32768, 32767), 2)
+             .when(whole & big.between(-2147483648, 2147483647), 3).when(whole & big.isNotNull(), 4)
+             .when(s.rlike(_NUMBER) & finite & F.coalesce(exact, F.lit(False)), 5)
+             .when(s.rlike(_DAY) & s.try_cast("date").isNotNull(), 6)
+             .when(s.rlike(_MOMENT) & s.try_cast("timestamp_ntz").isNotNull(), 7)
              .otherwise(len(CANDIDATES)))
 
 
@@ -105,7 +99,7 @@ def field_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         k = _value_class(s)
         aggs += [F.count(s).alias(f"n{i}"), F.min(k).alias(f"lo{i}"), F.max(k).alias(f"hi{i}")]
     stats = df.agg(*aggs)
-    names = F.array(*[F.lit(n) for n, _, _ in CANDIDATES])
+    names = F.array(*[F.lit(n) for n in CANDIDATES])
     rows = []
     for i, c in enumerate(cols):
         lo, hi, n = F.col(f"lo{i}"), F.col(f"hi{i}"), F.col(f"n{i}")
@@ -118,6 +112,20 @@ def field_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return stats.select(F.inline(F.array(*rows)))
 
 
+def auto_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """R5 for a flow that goes on as text: columns whose values are all numbers are written in
+    plain form (``+7`` as ``7``, ``60614.0`` as ``60614``).  The decision is a scalar subquery, so no job
+    runs while the plan is built."""
+    stats = df.agg(*[F.coalesce((F.min(k) >= 1) & (F.max(k) <= 5), F.lit(False)).alias(f"n{i}")
+                     for i, k in enumerate(_value_class(F.col(f"`{c}`").cast("string")) for c in cols)])
+    decided = stats.select(F.array(*[F.col(f"n{i}") for i in range(len(cols))])).scalar()
+
+    def plain(i: int, c: Column) -> Column:
+        return F.when(F.get(decided, F.lit(i)), F.regexp_replace(c, r"^[+]|\.0*$", "")).otherwise(c)
+
+    return df.withColumns({c: plain(i, F.col(f"`{c}`").cast("string")) for i, c in enumerate(cols)})
+
+
 def auto_field(df: DataFrame, cols: Sequence[str] | None = None) -> tuple[DataFrame, dict[str, str]]:
     """R5 AutoField: cast each column to its narrowest fitting type.
 
@@ -125,10 +133,10 @@ def auto_field(df: DataFrame, cols: Sequence[str] | None = None) -> tuple[DataFr
     aggregate of :func:`field_types` and returns ``(typed_df, types)``.
     """
     decided = {r["column_name"]: r["inferred_type"] for r in field_types(df, cols).collect()}
-    out = df
-    for c, t in decided.items():
-        if t == "string":
-            continue
-        v = F.col(f"`{c}`").cast("string")
-        out = out.withColumn(c, (F.lower(v) == "true") if t == "boolean" else v.try_cast(t))
-    return out, decided
+    return df.withColumns({c: typed_value(F.col(f"`{c}`"), t) for c, t in decided.items() if t != "string"}), decided
+
+
+def typed_value(c: Column, t: str) -> Column:
+    """A text value as its column's decided type."""
+    v = c.cast("string")
+    return (F.lower(v) == "true") if t == "boolean" else v.try_cast("timestamp_ntz" if t == "timestamp" else t)

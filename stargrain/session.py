@@ -95,7 +95,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = None
     if root:
         return root.rstrip("/")
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="stargrain-ckpt-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="stargrain-ckpt-")
     if sc is not None:
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import warnings
 from collections.abc import Sequence
 
@@ -10,12 +11,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """The files behind paths, folders and globs, in name order (hidden files left out)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        for status in fs.globStatus(path) or []:
+            inner = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
+            found += [str(x.getPath()) for x in inner if not x.isDirectory() and x.getPath().getName()[0] not in "._"]
+    if not found:
+        raise FileNotFoundError(f"no files: {list(paths)}")
+    return sorted(found)
+
+
 def header_columns(spark: SparkSession, path: str, sep: str = "\t", encoding: str = "ISO-8859-1") -> list[str]:
-    """Column names from the first record of one file, parsed by the CSV reader
-    itself (same delimiter, quoting and encoding as the data); one row to the driver."""
-    first = (spark.read.option("header", False).option("sep", sep).option("encoding", encoding)
-             .option("quote", '"').option("escape", '"').csv(path).limit(1).first())
-    return [] if first is None else [c if c is not None else f"_c{i}" for i, c in enumerate(first)]
+    """Column names from the first line of one file, read by the driver alone (no job)."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop.getFileSystem(conf).open(hadoop)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(hadoop)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, encoding))
+        line = reader.readLine()
+    finally:
+        stream.close()
+    if line is None:
+        return []
+    return [c if c != "" else f"_c{i}" for i, c in enumerate(next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep)))]
 
 
 def all_string_schema(columns: Sequence[str]) -> StructType:
@@ -24,31 +48,33 @@ def all_string_schema(columns: Sequence[str]) -> StructType:
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], *, sep: str = "\t",
                    encoding: str = "ISO-8859-1", multiline: bool = False,
-                   columns: Sequence[str] | None = None, source_file: str | None = "FileName") -> DataFrame:
+                   columns: Sequence[str] | None = None, source_file: str | None = "FileName",
+                   corrupt: str | None = None) -> DataFrame:
     """S1-S4 + O4: header + delimiter + encoding, every column a string.
 
-    Files that share a header are one multi-path scan.  Files whose headers
-    differ are scanned per header and unioned by name (a column missing in
-    one group is NULL there) with a warning, as the workflow's union does.
-    ``multiline`` lets quoted fields hold record breaks (S2; such files are
-    not split).  ``source_file`` adds the file name of each row from the
-    scan's ``_metadata``.  Reading the headers touches one line per file.
+    Globs and folders are expanded first and files are grouped by their own
+    header: files that share one are one multi-path scan, others are scanned per
+    header and unioned by name (a column missing in one group is NULL there)
+    with a warning, as the workflow's union does.  The reader checks each
+    file's header against the schema.  A record with more or fewer fields than
+    the header stops the read, or with ``corrupt`` is kept and its text put in the
+    column of that name.  ``multiline`` lets quoted fields hold record breaks (S2;
+    such files are not split).  ``source_file`` adds the file name of each row.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    if columns:
-        groups = {tuple(columns): paths}
-    else:
-        groups: dict[tuple[str, ...], list[str]] = {}
-        for p in paths:
-            groups.setdefault(tuple(header_columns(spark, p, sep, encoding)), []).append(p)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in _files(spark, paths):
+        groups.setdefault(tuple(columns or header_columns(spark, p, sep, encoding)), []).append(p)
     if len(groups) > 1:
         warnings.warn(f"read_delimited: {len(groups)} different headers; unioning by column name")
     reader = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
               .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-              .option("mode", "PERMISSIVE"))
+              .option("enforceSchema", columns is not None).option("mode", "PERMISSIVE" if corrupt else "FAILFAST"))
+    if corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt)
     out = None
     for cols, group in groups.items():
-        df = reader.schema(all_string_schema(cols)).csv(group)
+        df = reader.schema(all_string_schema([*cols, corrupt] if corrupt else cols)).csv(group)
         if source_file:
             df = df.withColumn(source_file, F.col("_metadata.file_name"))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
@@ -75,6 +101,21 @@ def save_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     w.parquet(path)
 
 
+def save_named(df: DataFrame, name: str, mode: str = "overwrite", partition_by: Sequence[str] = (), path: str | None = None) -> None:
+    """Overwrite a table of the session's catalog by name (its files at ``path``, else in the warehouse)."""
+    w = df.write.mode(mode).format("parquet")
+    if path:
+        w = w.option("path", path)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
+
+
+def scan_named(spark: SparkSession, name: str) -> DataFrame:
+    """A table of the session's catalog."""
+    return spark.table(name)
+
+
 def describe(df: DataFrame) -> list[tuple[str, str]]:
     """S12 ``DESCRIBE TABLE``: (column, type) from the schema."""
     return [(f.name, f.dataType.simpleString()) for f in df.schema.fields]

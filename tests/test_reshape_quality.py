@@ -64,7 +64,7 @@ def test_cleanse_and_auto_field(spark):
 
 def test_profile_and_schemas(spark):
     df = spark.createDataFrame([("a1", 1), ("", None), ("b22", 3)], "s string, n int")
-    p = {r["column_name"]: r for r in profile(df).collect()}
+    p = {r["column_name"]: r for r in profile(df, exact=True).collect()}
     assert p["s"]["n_blank"] == 1 and p["n"]["n_nulls"] == 1 and p["s"]["max_len"] == 3
     h = {(r["column_name"], r["pattern"]): r["n"] for r in pattern_histogram(df, ["s"]).collect()}
     assert h[("s", "A9")] == 1 and h[("s", "A99")] == 1
@@ -109,3 +109,27 @@ def test_outlier_counts_brute_force(spark):
     lo, hi = q(0.25) - 1.5 * (q(0.75) - q(0.25)), q(0.75) + 1.5 * (q(0.75) - q(0.25))
     assert (r.lower_fence, r.upper_fence) == (lo, hi)
     assert r.n_outliers == sum(1 for v in vals if v < lo or v > hi) == 2
+
+
+def test_auto_field_keeps_what_a_type_cannot_hold(spark):
+    df = spark.createDataFrame([("99999999999999999999", "2024-02-30", "1e400", "00501", "+7", "1.5", "2024-02-29 10:00:00", "1e300"),
+                                ("1", "2024-02-28", "1", "10001", "-128", "2", "2024-01-01T00:00:00.5", "2"), (None,) * 8],
+                               "huge string, day string, real string, zip string, tiny string, half string, at string, big string")
+    out, types = auto_field(df)
+    assert types == {"huge": "string", "day": "string", "real": "string", "zip": "string", "tiny": "tinyint", "half": "double", "at": "timestamp",
+                     "big": "double"}
+    for c in out.columns:  # nothing is lost
+        assert out.where(F.col(c).isNull()).count() == 1
+
+
+def test_cleanse_on_mixed_types_and_no_break_spaces(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(1, 2.5, dt.datetime(2024, 1, 1), "\u00a0FOOD \u00a0 SAFE\u00a0"), (None, None, None, " \u00a0\t"), (None, None, dt.datetime(2024, 1, 1), None)],
+                               "a bigint, b double, c timestamp, d string")
+    assert sorted((r.d or "") for r in cleanse(df).collect()) == ["", "FOOD SAFE"]
+
+
+def test_cross_tab_keeps_the_null_header(spark):
+    from stargrain.operators.reshape import cross_tab
+    df = spark.createDataFrame([(1, "x", 5), (1, None, 7)], "k int, h string, v int")
+    assert cross_tab(df, ["k"], "h", "v").first().asDict() == {"k": 1, "x": 5, "null": 7}

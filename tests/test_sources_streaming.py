@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from stargrain.operators.scd2 import END, START, scd2_apply, scd2_stage
 from stargrain.plans.catalog import orders_text, typed_layer
 from stargrain.sources.delimited import read_delimited, write_delimited
-from stargrain.streaming.streams import incremental_scd2, run_available_now, run_foreach_batch, stream_source
+from stargrain.streaming.streams import (incremental_scd2, run_available_now, run_foreach_batch, scd2_store,
+                                         stream_source)
 
 
 def test_read_delimited_latin1_quotes_multiline(spark, tmp_path):
@@ -53,8 +54,7 @@ def test_incremental_scd2_out_of_order_batches(spark, tmp_path):
     early = events.where(F.dayofmonth("ts") < 15)
     late_first.write.mode("overwrite").parquet(src + "/p1")
     schema = events.schema
-    body = incremental_scd2(str(tmp_path / "log"), str(tmp_path / "ver"), ["user_id"], "ts", tracked=["event_type"],
-                            buckets=8)
+    body = incremental_scd2(str(tmp_path / "log"), str(tmp_path / "ver"), ["user_id"], "ts", tracked=["event_type"])
     stage = scd2_stage(spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(src),
                        ["user_id"], ["event_type"], "ts")
     run_foreach_batch(stage, body, str(tmp_path / "ckpt"))
@@ -62,7 +62,11 @@ def test_incremental_scd2_out_of_order_batches(spark, tmp_path):
     stage = scd2_stage(spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(src),
                        ["user_id"], ["event_type"], "ts")
     run_foreach_batch(stage, body, str(tmp_path / "ckpt"))
-    got = spark.read.parquet(str(tmp_path / "ver")).select("user_id", "event_type", START, END, "row_version")
+    # an epoch that is run again changes nothing; later epochs hold only the keys they touched
+    body(scd2_stage(early, ["user_id"], ["event_type"], "ts"), 1)
+    epochs = spark.read.parquet(str(tmp_path / "ver"))
+    assert epochs.where("sg_epoch = 1").select("user_id").distinct().count() == early.select("user_id").distinct().count()
+    got = scd2_store(spark, str(tmp_path / "ver"), ["user_id"]).select("user_id", "event_type", START, END, "row_version")
     want = scd2_apply(scd2_stage(events, ["user_id"], ["event_type"], "ts"), ["user_id"], "ts",
                       tracked=["event_type"]).select("user_id", "event_type", START, END, "row_version")
     assert got.count() == want.count()
@@ -139,3 +143,61 @@ def test_header_latin1_and_quoted(spark, tmp_path):
     assert header_columns(spark, str(tmp_path / "h.tsv")) == ["Café Name", "Zip\tCode"]
     df = read_delimited(spark, str(tmp_path / "h.tsv"))
     assert [tuple(r) for r in df.collect()] == [("x", "y", "h.tsv")]
+
+
+def test_headers_in_another_order_are_not_mixed_up(spark, tmp_path):
+    (tmp_path / "a.tsv").write_bytes(b"a\tb\n1\t2\n")
+    (tmp_path / "b.tsv").write_bytes(b"b\ta\n10\t20\n")
+    df = read_delimited(spark, str(tmp_path / "*.tsv"), source_file=None)
+    assert sorted((r.a, r.b) for r in df.collect()) == [("1", "2"), ("20", "10")]
+
+
+def test_records_of_another_width_are_seen(spark, tmp_path):
+    import pytest
+    (tmp_path / "m.csv").write_bytes(b"a,b\n1,2\n1,2,3\n4\n")
+    with pytest.raises(Exception):
+        read_delimited(spark, str(tmp_path / "m.csv"), sep=",").collect()
+    rows = read_delimited(spark, str(tmp_path / "m.csv"), sep=",", corrupt="bad", source_file=None).collect()
+    assert [r.bad for r in rows] == [None, "1,2,3", "4"]
+
+
+def test_header_of_a_compressed_file(spark, tmp_path):
+    import gzip
+    (tmp_path / "z.tsv.gz").write_bytes(gzip.compress("é\tb\n1\t2\n".encode("latin-1")))
+    assert [tuple(r) for r in read_delimited(spark, str(tmp_path / "z.tsv.gz"), source_file=None).collect()] == [("1", "2")]
+
+
+def test_named_tables(spark):
+    from stargrain.sources.delimited import save_named, scan_named
+    save_named(spark.range(3), "sg_named_probe")
+    save_named(spark.range(5), "sg_named_probe")
+    assert scan_named(spark, "sg_named_probe").count() == 5
+    spark.sql("DROP TABLE sg_named_probe")
+
+
+def test_streams_wait_unless_told_otherwise(spark, tmp_path):
+    import inspect
+    assert inspect.signature(run_available_now).parameters["limit_s"].default is None
+    assert inspect.signature(run_foreach_batch).parameters["limit_s"].default is None
+
+
+def test_a_cluster_must_name_its_checkpoint_folder():
+    import pytest
+    from stargrain import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "yarn"}.get(key, default)
+
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Session())
