@@ -22,11 +22,11 @@ from stargrain.functions import rules as R
 from stargrain.functions.text import (bool_text, contains_any, double_or_null, first_match, int_or_null,
                                       lat_from_point, long_from_point, lower_or_null, pad_left, parse_date,
                                       point_text, regex_replace)
-from stargrain.operators.cleanse import CANDIDATES, cleanse, field_types
+from stargrain.operators.cleanse import auto_field, cleanse, field_types
 from stargrain.operators.dims import calendar_dates, calendar_dimension, hash_dimension
-from stargrain.operators.facts import Lookup, build_bridge, lookup_keys
-from stargrain.operators.joins import bounded_broadcast, lookup_key, semi_join
-from stargrain.operators.ordered import ordered, sequence
+from stargrain.operators.facts import Lookup, build_bridge, lookup_keys, refresh_missing_keys
+from stargrain.operators.joins import lookup_key, semi_join
+from stargrain.operators.ordered import RANGE, ordered, sequence
 from stargrain.operators.quality import Expectation, kept, metrics, quarantine
 from stargrain.operators.rows import distinct_keys, unique_first, with_total
 from stargrain.sources.changes import (COMMIT_TS, COMMIT_VERSION, apply_changes_snapshot, diff_snapshots,
@@ -35,7 +35,8 @@ from stargrain.operators.scd2 import (END, START, scd2_apply, scd2_final, scd2_l
                                      scd2_stage)
 from stargrain.operators.quality import observe_stream
 from stargrain.session import scratch_dir
-from stargrain.streaming.streams import incremental_scd2, run_available_now, run_foreach_batch, stream_source
+from stargrain.streaming.streams import (incremental_scd2, run_available_now, run_foreach_batch, scd2_store,
+                                         stream_source)
 from stargrain.operators.summarize import (any_true, attach_summary, concat_agg, count_by, having, mode_agg,
                                            summarize)
 from stargrain.operators.profile import outlier_counts, pattern_histogram, profile
@@ -167,7 +168,7 @@ def _profile_sql(tbl: str, cols: list[tuple[str, str]]) -> str:
 
 @query("profile_orders", _profile_sql("orders", _ORDERS_COLS))
 def q_profile_orders(spark, d):
-    return profile(table(spark, d, "orders"))
+    return profile(table(spark, d, "orders"), exact=True)
 
 
 _PAT_SQL = "regexp_replace(regexp_replace(CAST({c} AS VARCHAR), '[0-9]', '9', 'g'), '[A-Za-z]', 'A', 'g')"
@@ -180,10 +181,15 @@ def q_profile_patterns(spark, d):
     return pattern_histogram(table(spark, d, "customer"), ["c_custkey", "c_name", "c_mktsegment"])
 
 
-@query("profile_outliers")
+@query("profile_outliers", "\nUNION ALL\n".join(f"""
+SELECT '{c}' AS column_name, lo AS lower_fence, hi AS upper_fence, count(*) FILTER (WHERE {c} < lo OR {c} > hi) AS n_outliers
+FROM lineitem, (SELECT q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi
+  FROM (SELECT quantile_disc({c}, 0.25)::DOUBLE AS q1, quantile_disc({c}, 0.75)::DOUBLE AS q3 FROM lineitem)) GROUP BY lo, hi"""
+    for c in ("l_quantity", "l_extendedprice", "l_discount")))
 def q_profile_outliers(spark, d):
     """IQR fences from an approximate quantile sketch: no exact SQL twin."""
-    return outlier_counts(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"])
+    # ranks exact up to a million rows, then within a millionth of them
+    return outlier_counts(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], accuracy=1_000_000)
 
 
 def _orders_as_text(orders: DataFrame) -> DataFrame:
@@ -194,30 +200,59 @@ def _orders_as_text(orders: DataFrame) -> DataFrame:
     )
 
 
+# Texts that only look like numbers or dates, by the row's key.
+_AUTO_TRAPS = {
+    "huge_number": ["99999999999999999999", "12"], "impossible_day": ["2024-02-30", "2024-02-28"], "leading_zero": ["00501", "10001"],
+    "wide_number": ["9223372036854775807", "-9223372036854775808"], "big_double": ["1e308", "-2.5"], "beyond_double": ["1e400", "3"],
+    "moment": ["2024-02-29 23:59:59", "1999-12-31T00:00:00.25"], "small": ["-128", "127"], "signed": ["+7", "-32768"],
+}
+
+
+def _auto_source(orders: DataFrame) -> DataFrame:
+    return _orders_as_text(orders).withColumns({
+        name: F.when(F.col("o_orderkey").cast("bigint") % 2 == 0, F.lit(a)).otherwise(F.lit(b)) for name, (a, b) in _AUTO_TRAPS.items()})
+
+
+_AUTO_SQL_SRC = ", ".join([f"CAST({c} AS VARCHAR) AS {c}" for c, _ in _ORDERS_COLS]
+                          + ["CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_day", "CAST(o_orderstatus = 'F' AS VARCHAR) AS is_final"]
+                          + [f"CASE WHEN o_orderkey % 2 = 0 THEN '{a}' ELSE '{b}' END AS {n}" for n, (a, b) in _AUTO_TRAPS.items()])
+_AUTO_COLS = [c for c, _ in _ORDERS_COLS] + ["order_day", "is_final", *_AUTO_TRAPS]
+
+
 def _auto_field_sql() -> str:
-    cols = [c for c, _ in _ORDERS_COLS] + ["order_day", "is_final"]
-    src = ", ".join([f"CAST({c} AS VARCHAR) AS {c}" for c, _ in _ORDERS_COLS]
-                    + ["CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS order_day",
-                       "CAST(o_orderstatus = 'F' AS VARCHAR) AS is_final"])
+    """The narrowest type whose TRY_CAST holds every value: no leading zeros, whole numbers exact."""
+    tests = [("boolean", "lower({c}) IN ('true', 'false')")]
+    tests += [(spark_type, "TRY_CAST({c} AS " + duck + ") IS NOT NULL AND NOT contains({c}, '.') AND NOT contains(lower({c}), 'e')"
+               " AND NOT regexp_matches({c}, '^[+-]?0[0-9]')") for spark_type, duck in
+              (("tinyint", "TINYINT"), ("smallint", "SMALLINT"), ("int", "INTEGER"), ("bigint", "BIGINT"))]
+    tests.append(("double", "coalesce(isfinite(TRY_CAST({c} AS DOUBLE)), false) AND NOT regexp_matches({c}, '^[+-]?0[0-9]') AND "
+                            "(contains({c}, '.') OR contains(lower({c}), 'e') OR TRY_CAST({c} AS HUGEINT) = TRY_CAST(TRY_CAST({c} AS DOUBLE) AS HUGEINT))"))
+    tests += [("date", "length({c}) = 10 AND TRY_CAST({c} AS DATE) IS NOT NULL"), ("timestamp", "length({c}) > 10 AND TRY_CAST({c} AS TIMESTAMP) IS NOT NULL")]
     parts = []
-    for i, c in enumerate(cols, start=1):
-        cases = []
-        for name, pat, rng in CANDIDATES:
-            if name == "boolean":
-                ok = f"lower({c}) IN ('true', 'false')"
-            else:
-                ok = f"regexp_matches({c}, '{pat}')"
-                if rng:
-                    ok += f" AND TRY_CAST({c} AS DECIMAL(38,0)) BETWEEN {rng[0]} AND {rng[1]}"
-            cases.append(f"WHEN coalesce(bool_and({ok}) FILTER (WHERE {c} IS NOT NULL), false) THEN '{name}'")
+    for i, c in enumerate(_AUTO_COLS, start=1):
+        cases = [f"WHEN coalesce(bool_and({t.format(c=c)}) FILTER (WHERE {c} IS NOT NULL), false) THEN '{name}'" for name, t in tests]
         parts.append(f"SELECT {i} AS ordinal, '{c}' AS column_name, CASE WHEN count({c}) = 0 THEN 'string' "
                      + " ".join(cases) + f" ELSE 'string' END AS inferred_type, count({c}) AS n_values FROM t")
-    return f"WITH t AS (SELECT {src} FROM orders)\n" + "\nUNION ALL\n".join(parts)
+    return f"WITH t AS (SELECT {_AUTO_SQL_SRC} FROM orders)\n" + "\nUNION ALL\n".join(parts)
 
 
 @query("auto_field_types", _auto_field_sql())
 def q_auto_field_types(spark, d):
-    return field_types(_orders_as_text(table(spark, d, "orders")))
+    return field_types(_auto_source(table(spark, d, "orders")))
+
+
+@query("auto_field_cast", """
+SELECT o_orderkey::BIGINT AS o_orderkey, o_custkey::BIGINT AS o_custkey, CAST(o_orderdate AS DATE) AS order_day, o_orderstatus = 'F' AS is_final,
+  CASE WHEN o_orderkey % 2 = 0 THEN '99999999999999999999' ELSE '12' END AS huge_number, CASE WHEN o_orderkey % 2 = 0 THEN '2024-02-30' ELSE '2024-02-28' END AS impossible_day,
+  CASE WHEN o_orderkey % 2 = 0 THEN '00501' ELSE '10001' END AS leading_zero, CASE WHEN o_orderkey % 2 = 0 THEN 9223372036854775807 ELSE -9223372036854775808 END AS wide_number,
+  (CASE WHEN o_orderkey % 2 = 0 THEN -128 ELSE 127 END)::TINYINT AS small
+FROM orders
+""")
+def q_auto_field_cast(spark, d):
+    """The casts themselves: texts that fit no type stay as they are."""
+    out, types = auto_field(_auto_source(table(spark, d, "orders")))
+    keys = [F.col(c).cast("bigint").alias(c) for c in ("o_orderkey", "o_custkey")]
+    return out.select(*keys, "order_day", "is_final", "huge_number", "impossible_day", "leading_zero", "wide_number", "small")
 
 
 # ---------------------------------------------------------------------------
@@ -342,7 +377,21 @@ def _contains_sql(c: str, words) -> str:
     return "coalesce(" + " OR ".join(f"contains(upper({c}), '{w.upper()}')" for w in words) + ", false)"
 
 
+# A word for each arm of the word rules, dealt out by document.
+_RULE_WORDS = ["", "Critical", "urgent", "SERIOUS", "Priority", "major", "Imminent", "priority foundation"]
+_NOTE_WORDS = ["", "critical", "", "URGENT", "", ""]
+
+
+def _dealt_sql(words: list[str]) -> str:
+    return f"CASE doc_id % {len(words)} " + " ".join(f"WHEN {i} THEN ' {w}'" for i, w in enumerate(words)) + " END"
+
+
+def _dealt(words: list[str]):
+    return F.element_at(F.array(*[F.lit(f" {w}") for w in words]), (F.col("doc_id") % len(words) + 1).cast("int"))
+
+
 @query("keyword_flags", f"""
+WITH documents AS (SELECT doc_id, text || {_dealt_sql(_RULE_WORDS)} AS text, source || {_dealt_sql(_NOTE_WORDS)} AS source, n_chars FROM documents)
 SELECT doc_id,
   {_contains_sql('text', R.CITY_A_TEXT_CRITICAL)} AS text_critical,
   {_contains_sql('text', R.CITY_A_TEXT_URGENT)} AS text_urgent,
@@ -355,7 +404,8 @@ SELECT doc_id,
 FROM documents
 """)
 def q_keyword_flags(spark, d):
-    docs = table(spark, d, "documents")
+    docs = table(spark, d, "documents").select("doc_id", F.concat("text", _dealt(_RULE_WORDS)).alias("text"),
+                                               F.concat("source", _dealt(_NOTE_WORDS)).alias("source"), "n_chars")
     crit, urg = R.city_a_text_flags("text")
     points = (F.col("n_chars") % 13).cast("string")
     bcrit, burg = R.city_b_violation_flags("text", "source", points)
@@ -505,14 +555,13 @@ def q_unique_first(spark, d):
 
 @query("line_sequence", """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-  CAST(row_number() OVER (PARTITION BY l_orderkey
-       ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate) AS INTEGER) AS line_seq
+  row_number() OVER (PARTITION BY l_orderkey
+       ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate) AS line_seq
 FROM lineitem
 """)
 def q_line_sequence(spark, d):
     li = table(spark, d, "lineitem").select(*LINE_ID)
-    # skew-adaptive: orders have a handful of lines, so this takes the plain
-    # window path; hot_key_sequence below checks the range layout
+    # orders have a handful of lines: plain windows; hot_key_sequence below checks the range layout
     seq = sequence(li, ["l_orderkey"], LINE_ID[1:], out="line_seq")
     return seq.select(*LINE_KEYS, "line_seq")
 
@@ -523,32 +572,29 @@ _HOT_ORDER = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppke
 @query("hot_key_sequence", f"""
 WITH t AS (SELECT CASE WHEN l_returnflag = 'N' THEN -1 ELSE l_orderkey END AS hot_key, * FROM lineitem)
 SELECT hot_key, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate,
-  CAST(row_number() OVER w AS INTEGER) AS seq, lag(l_quantity) OVER w AS prev_qty,
+  row_number() OVER w AS seq, lag(l_quantity) OVER w AS prev_qty,
   lead(l_shipdate) OVER w AS next_ship
 FROM t WINDOW w AS (PARTITION BY hot_key ORDER BY {", ".join(_HOT_ORDER)})
 """)
 def q_hot_key_sequence(spark, d):
     """Sequence, lag and lead where one key holds over a third of lineitem (all
-    'N' lines share key -1).  At scale the size check alone picks the range
-    layout for such a key; here it is forced (``max_group_rows=None``) so the
-    SQL gate checks that path at every scale factor: the hot key is split over
-    many tasks and stitched back by the boundary table."""
+    'N' lines share key -1): the range layout splits the hot key over many tasks
+    and the boundary table stitches it back."""
     li = table(spark, d, "lineitem")
     t = li.select(F.when(F.col("l_returnflag") == "N", F.lit(-1)).otherwise(F.col("l_orderkey")).alias("hot_key"),
                   *LINE_ID, "l_quantity")
     out = ordered(t, ["hot_key"], _HOT_ORDER, seq="seq", prev={"prev_qty": "l_quantity"},
-                  nxt={"next_ship": "l_shipdate"}, max_group_rows=None)
+                  nxt={"next_ship": "l_shipdate"}, layout=RANGE)
     return out.drop("l_quantity")
 
 
 @query("conversation_turns", """
-SELECT conv_id, turn, role, CAST(row_number() OVER w AS INTEGER) AS turn_seq, lag(role) OVER w AS prev_role,
+SELECT conv_id, turn, role, row_number() OVER w AS turn_seq, lag(role) OVER w AS prev_role,
        lead(turn) OVER w AS next_turn, CAST(length(text) AS INTEGER) AS text_chars
 FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
 """)
 def q_conversation_turns(spark, d):
-    """Keyed sequence with previous/next values (W1, W4, W5) on conversation
-    turns, skew-adaptive: plain windows while no conversation is huge."""
+    """Keyed sequence with previous/next values (W1, W4, W5) on conversation turns."""
     c = table(spark, d, "conversations").select("conv_id", "turn", "role", F.length("text").alias("text_chars"))
     return ordered(c, ["conv_id"], ["turn"], seq="turn_seq", prev={"prev_role": "role"}, nxt={"next_turn": "turn"})
 
@@ -587,7 +633,7 @@ def q_hot_key_fill(spark, d):
     t = li.select(F.when(F.col("l_returnflag") == "N", F.lit(-1)).otherwise(F.col("l_orderkey")).alias("hot_key"),
                   *LINE_ID, F.when(F.col("l_discount") < 0.05, F.lit(None)).otherwise(F.col("l_discount"))
                   .alias("disc"))
-    out = ordered(t, ["hot_key"], _HOT_ORDER, carry={"disc_filled": "disc"}, max_group_rows=None)
+    out = ordered(t, ["hot_key"], _HOT_ORDER, carry={"disc_filled": "disc"}, layout=RANGE)
     return out.drop("disc")
 
 
@@ -654,7 +700,7 @@ def q_in_having_limit(spark, d):
     5 rows by construction, so it is broadcast."""
     o = table(spark, d, "orders")
     keys = having(o, ["o_custkey"], 1).select("o_custkey").orderBy("o_custkey").limit(5)
-    return o.join(bounded_broadcast(keys, 5, known_bound=5), "o_custkey", "left_semi")
+    return semi_join(o, keys, ["o_custkey"])
 
 
 @query("flag_counts", """
@@ -865,8 +911,6 @@ def _risk_sql(c: str) -> str:
 
 
 _PRIORITY_SQL = "CAST(CASE {l} WHEN 'High' THEN 1 WHEN 'Medium' THEN 2 WHEN 'Low' THEN 3 ELSE 99 END AS INTEGER)"
-RISK_DIM_ROWS = len(R.RISK_LEVELS) + 1          # High, Medium, Low, Unknown
-RESULT_DIM_ROWS = len(R.CITY_A_RESULTS) + 1     # the mapped results + OTHER
 
 
 def priority_dimension(orders: DataFrame) -> DataFrame:
@@ -933,9 +977,19 @@ def _customer_nation(spark, d) -> DataFrame:
     return c.join(n, c.c_nationkey == n.n_nationkey, "left").join(r, F.col("n_regionkey") == r.r_regionkey, "left")
 
 
+# Segments as kinds of inspection, so that every category occurs.
+_SEGMENT_KINDS = {"AUTOMOBILE": "Routine ", "BUILDING": "Follow-up ", "FURNITURE": "Complaint ", "MACHINERY": "Re-Inspection "}
+_SEGMENT_TYPE_SQL = "(CASE " + " ".join(f"WHEN c_mktsegment = '{k}' THEN '{v}'" for k, v in _SEGMENT_KINDS.items()) + " ELSE '' END || c_mktsegment)"
+
+
+def segment_type():
+    kind = first_match([(F.col("c_mktsegment") == k, v) for k, v in _SEGMENT_KINDS.items()], "")
+    return F.concat(kind, F.col("c_mktsegment"))
+
+
 def segment_dimension(cn: DataFrame) -> DataFrame:
     """dim_inspection_type: (segment, city) with the B17 category."""
-    return hash_dimension(cn, attrs={"inspection_type": "c_mktsegment", "city": F.lower("n_name")},
+    return hash_dimension(cn, attrs={"inspection_type": segment_type(), "city": F.lower("n_name")},
                           not_null=["inspection_type"], bk_name="inspection_type_business_key",
                           bk=K.business_key("inspection_type", "city"), sk_name="inspection_type_key",
                           derive={"inspection_category": R.inspection_category("inspection_type")},
@@ -950,8 +1004,8 @@ def _first_sql(src: str, bk: str, order: str) -> str:
     return f"SELECT * FROM ({src}) QUALIFY row_number() OVER (PARTITION BY {bk} ORDER BY {order}) = 1"
 
 
-_TYPE_SRC = (f"SELECT c_mktsegment AS inspection_type, lower(n_name) AS city, "
-             f"md5(concat_ws('|', c_mktsegment, lower(n_name))) AS bk FROM {_CN_SQL} WHERE c_mktsegment IS NOT NULL")
+_TYPE_SRC = (f"SELECT {_SEGMENT_TYPE_SQL} AS inspection_type, lower(n_name) AS city, "
+             f"md5(concat_ws('|', {_SEGMENT_TYPE_SQL}, lower(n_name))) AS bk FROM {_CN_SQL} WHERE c_mktsegment IS NOT NULL")
 
 
 @query("dim_segment", f"""
@@ -1040,33 +1094,41 @@ def q_dim_place(spark, d):
 # ---------------------------------------------------------------------------
 # Fact and bridge (T9, T10, J3-J5, A6, date keys)
 # ---------------------------------------------------------------------------
-def fact_orders_df(spark, d) -> DataFrame:
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared checkpoint folder and read back."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def order_dimensions(spark, d) -> dict[str, DataFrame]:
+    """The dimensions of the order fact as stored tables."""
+    o, cn = table(spark, d, "orders"), _customer_nation(spark, d)
+    return {name: _stored(df, name) for name, df in {
+        "dim_customer": customer_dimension(table(spark, d, "customer")), "dim_place": place_dimension(cn), "dim_segment": segment_dimension(cn),
+        "dim_status": status_dimension(o), "dim_priority": priority_dimension(o)}.items()}
+
+
+def fact_orders_df(spark, d, dims: dict[str, DataFrame] | None = None) -> DataFrame:
     """T9 on the analogue: one row per order with the keys of five dimensions.
 
-    Plan shape for scale: keep-first on the narrow order rows (one exchange by
-    the business key), then the customer join and the customer-dimension
-    lookup both on the customer key — the second join reuses the first one's
-    partitioning (the customer business key is a function of the customer
-    key), so the fact is shuffled once for both.  Rule-bounded dimensions are
-    broadcast; the location and segment dimensions are left to adaptive
-    execution (small in practice, broadcast once their size is known).
+    The dimensions are read from their stored tables, so the fact's plan scans
+    each source once; keep-first works on the order rows, and adaptive
+    execution broadcasts a dimension once its size is known to be small.
     """
-    o = table(spark, d, "orders")
-    cn = _customer_nation(spark, d)
-    f = o.withColumn("inspection_business_key", F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")))
+    dims = dims or order_dimensions(spark, d)
+    f = table(spark, d, "orders").withColumn("inspection_business_key", F.concat(F.lit("order-"), F.col("o_orderkey").cast("string")))
     f = unique_first(f, ["inspection_business_key"])          # A6: one row per inspection
-    f = f.join(cn.select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal", "n_name", "r_name"),
-               f.o_custkey == cn.c_custkey, "left").drop("c_custkey")
-    cust = customer_dimension(table(spark, d, "customer")).select(F.col("c_custkey").alias("o_custkey"),
-                                                                   "customer_key")
-    f = f.join(cust, "o_custkey", "left")                     # J3 on the key the bk derives from
+    cn = _customer_nation(spark, d).select("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal", "n_name", "r_name")
+    f = f.join(cn, f.o_custkey == cn.c_custkey, "left").drop("c_custkey")
     attrs = place_attrs()
     f = f.withColumns({
         "inspection_key": K.surrogate_key("inspection_business_key"),
         "date_key": K.date_key("o_orderdate"),
+        "customer_bk": K.business_key(F.col("o_custkey").cast("string")),
         "location_business_key": K.business_key(F.lower(attrs["address"]), F.lower(attrs["city"]),
                                                 F.lower(attrs["state"]), attrs["zip_code"]),
-        "inspection_type_business_key": K.business_key("c_mktsegment", F.lower("n_name")),
+        "inspection_type_business_key": K.business_key(segment_type(), F.lower("n_name")),
         "results_std": R.city_a_result(results_text()),
         "risk_level": R.risk_level("o_orderpriority"),
     })
@@ -1074,13 +1136,13 @@ def fact_orders_df(spark, d) -> DataFrame:
         "result_business_key": K.business_key("results_std"),
         "risk_business_key": K.business_key("risk_level", R.risk_priority("risk_level").cast("string")),
     })
-    lookups = [
-        Lookup(place_dimension(cn), "location_business_key", "location_key"),
-        Lookup(segment_dimension(cn), "inspection_type_business_key", "inspection_type_key"),
-        Lookup(status_dimension(o), "result_business_key", "inspection_result_key", known_bound=RESULT_DIM_ROWS),
-        Lookup(priority_dimension(o), "risk_business_key", "risk_category_key", known_bound=RISK_DIM_ROWS),
-    ]
-    f = lookup_keys(f, lookups)
+    f = lookup_keys(f, [
+        Lookup(dims["dim_customer"], "customer_bk", "customer_key"),
+        Lookup(dims["dim_place"], "location_business_key", "location_key"),
+        Lookup(dims["dim_segment"], "inspection_type_business_key", "inspection_type_key"),
+        Lookup(dims["dim_status"], "result_business_key", "inspection_result_key"),
+        Lookup(dims["dim_priority"], "risk_business_key", "risk_category_key"),
+    ])
     return f.select("inspection_key", "inspection_business_key", "customer_key", "date_key", "location_key",
                     "inspection_type_key", "inspection_result_key", "risk_category_key",
                     F.col("o_totalprice").alias("order_total"), F.col("o_orderstatus").alias("order_status"),
@@ -1094,7 +1156,7 @@ f AS (SELECT *, 'order-' || CAST(o_orderkey AS VARCHAR) AS bk,
         md5(CAST(o_custkey AS VARCHAR)) AS customer_bk,
         md5(concat_ws('|', lower(upper(c_mktsegment) || ' ROAD'), lower(n_name), lower(r_name),
                       lpad(CAST(c_nationkey AS VARCHAR), 5, '0'))) AS location_bk,
-        md5(concat_ws('|', c_mktsegment, lower(n_name))) AS type_bk,
+        md5(concat_ws('|', {_SEGMENT_TYPE_SQL}, lower(n_name))) AS type_bk,
         {_RESULTS_SQL} AS results FROM s),
 g AS (SELECT *, md5({_RESULT_STD_SQL}) AS result_bk, {_risk_sql('o_orderpriority')} AS risk_level FROM f),
 h AS (SELECT *, md5(risk_level || '|' || CAST({_PRIORITY_SQL.format(l='risk_level')} AS VARCHAR)) AS risk_bk FROM g),
@@ -1141,9 +1203,9 @@ def q_bridge_order_part(spark, d):
     # the inspection business key is 'order-' || orderkey, a one-to-one function
     # of the order key: join the fact on the numeric key (cheaper to hash and
     # compare than the string), same rows
-    fact = fact_orders_df(spark, d).withColumnRenamed("o_orderkey", "l_orderkey")
+    fact = _stored(fact_orders_df(spark, d).select("inspection_key", F.col("o_orderkey").alias("l_orderkey")), "fact_orders")
     out = build_bridge(det, fact, "l_orderkey", "inspection_key",
-                       [Lookup(part_dimension(p), "violation_business_key", "violation_key")])
+                       [Lookup(_stored(part_dimension(p), "dim_part_type"), "violation_business_key", "violation_key")])
     return out.select("inspection_key", "violation_key", F.col("l_linenumber").alias("violation_sequence"),
                       F.coalesce(F.col("l_returnflag") == "R", F.lit(False)).alias("is_violation_critical"),
                       F.col("p_size").cast("string").alias("violation_code"), "l_quantity", "l_partkey", "l_suppkey")
@@ -1226,7 +1288,7 @@ m AS (SELECT *, lag(event_type) OVER w AS prev, row_number() OVER w AS rn FROM t
       WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 v AS (SELECT user_id, event_type, ts FROM m WHERE rn = 1 OR prev IS DISTINCT FROM event_type)
 SELECT user_id, event_type, ts AS start_at, lead(ts) OVER w AS end_at,
-       CAST(row_number() OVER w AS INTEGER) AS row_version
+       row_number() OVER w AS row_version
 FROM v WINDOW w AS (PARTITION BY user_id ORDER BY ts)"""
 
 
@@ -1251,7 +1313,7 @@ m AS (SELECT *, lag(event_type) OVER w AS prev, row_number() OVER w AS rn FROM f
       WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 v AS (SELECT user_id, event_type, ts FROM m WHERE rn = 1 OR prev IS DISTINCT FROM event_type)
 SELECT user_id, event_type, ts AS start_at, lead(ts) OVER w AS end_at,
-       CAST(row_number() OVER w AS INTEGER) AS row_version
+       row_number() OVER w AS row_version
 FROM v WINDOW w AS (PARTITION BY user_id ORDER BY ts)
 """)
 def q_scd2_ignore_nulls(spark, d):
@@ -1272,7 +1334,7 @@ m AS (SELECT *, lag((event_type, value, props, ts)) OVER w AS prev, row_number()
       WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 v AS (SELECT * FROM m WHERE rn = 1 OR prev IS DISTINCT FROM (event_type, value, props, ts))
 SELECT user_id, event_type, value, props, ts AS start_at, lead(ts) OVER w AS end_at,
-       CAST(row_number() OVER w AS INTEGER) AS row_version
+       row_number() OVER w AS row_version
 FROM v WINDOW w AS (PARTITION BY user_id ORDER BY ts)
 """)
 def q_scd2_versions(spark, d):
@@ -1373,8 +1435,7 @@ SELECT o_orderkey, {_sk(f"md5({_RESULT_STD_SQL})")} AS inspection_result_key,
 FROM f
 """)
 def q_stream_fact(spark, d):
-    """Stream-static joins: the streaming orders look up two rule-bounded
-    dimensions (broadcast, bound known by construction)."""
+    """Stream-static joins: the streaming orders look up two dimensions."""
     o = table(spark, d, "orders")
     s = _stream_of(spark, d, "orders")
     s = (s.withColumn("result_business_key", K.business_key(R.city_a_result(results_text())))
@@ -1382,8 +1443,8 @@ def q_stream_fact(spark, d):
           .withColumn("risk_business_key", K.business_key("risk_level", R.risk_priority("risk_level").cast("string")))
           .withColumn("date_key", K.date_key("o_orderdate")))
     s = lookup_keys(s, [
-        Lookup(status_dimension(o), "result_business_key", "inspection_result_key", known_bound=RESULT_DIM_ROWS),
-        Lookup(priority_dimension(o), "risk_business_key", "risk_category_key", known_bound=RISK_DIM_ROWS),
+        Lookup(status_dimension(o), "result_business_key", "inspection_result_key"),
+        Lookup(priority_dimension(o), "risk_business_key", "risk_category_key"),
     ])
     return _run_stream(spark, s.select("o_orderkey", "inspection_result_key", "risk_category_key", "date_key"),
                        "stream_fact")
@@ -1391,13 +1452,13 @@ def q_stream_fact(spark, d):
 
 @query("stream_scd2", _TRACKED_SQL)
 def q_stream_scd2(spark, d):
-    """Streaming stage (dedup) -> foreachBatch: append to the bucketed change
-    log, recompute the touched buckets' versions."""
+    """Streaming stage (dedup) -> foreachBatch: add the batch to the change log,
+    recompute the history of the keys it touched."""
     root = scratch_dir(spark, "stream_scd2")
     stage = scd2_stage(_stream_of(spark, d, "events"), ["user_id"], ["event_type"], "ts")
     body = incremental_scd2(f"{root}/log", f"{root}/versions", ["user_id"], "ts", tracked=["event_type"])
     run_foreach_batch(stage, body, f"{root}/checkpoint")
-    v = spark.read.parquet(f"{root}/versions")
+    v = scd2_store(spark, f"{root}/versions", ["user_id"])
     return v.select("user_id", "event_type", F.col(START).alias("start_at"), F.col(END).alias("end_at"), "row_version")
 
 

@@ -20,7 +20,7 @@ from stargrain.functions import rules as R
 from stargrain.functions.text import (bool_text, double_or_null, int_or_null, is_blank, lat_from_point,
                                       long_from_point, lower_or_null, pad_left, parse_date, point_text,
                                       to_number_lenient)
-from stargrain.operators.cleanse import cleanse
+from stargrain.operators.cleanse import auto_text, cleanse
 from stargrain.operators.dims import calendar_dimension, hash_dimension
 from stargrain.operators.facts import Lookup, build_bridge, lookup_keys
 from stargrain.operators.ordered import sequence
@@ -45,6 +45,9 @@ CITY_B_IDS = ["Restaurant Name", "Inspection Type", "Inspection Date", "Inspecti
               "Street Name", "Street Direction", "Street Type", "Street Unit", "Street Address", "Zip Code",
               "Inspection Month", "Inspection Year", "Lat Long Location", "FileName"]
 CITY_B_SLOTS = 25
+# the fields that AutoField finds to be numbers
+CITY_A_NUMBERS = ["Inspection ID", "License #", "Zip"]
+CITY_B_NUMBERS = ["Inspection Score", "Street Number", "Zip Code"]
 VIOLATION_PATTERN = R.VIOLATION_PATTERN
 UNIFIED_COLUMNS = [
     "inspection_id", "dba_name", "aka_name", "license_number", "facility_type", "risk_category", "address", "city",
@@ -56,6 +59,18 @@ UNIFIED_COLUMNS = [
     "filename"]
 CALENDAR_START, CALENDAR_END = "2018-01-01", "2028-12-31"
 SOURCE_SYSTEM = "desktop_etl"   # audit label of the bronze rows (never compared)
+# names of the data quality rules
+RULE_NAMES = ["valid_restaurant_name", "valid_inspection_date", "valid_inspection_type", "valid_zip_code", "valid_chicago_results",
+              "valid_dallas_score", "has_at_least_one_violation", "valid_dallas_high_score_violations", "valid_dallas_pass_no_critical_urgent"]
+# columns of the published star tables
+FACT_COLUMNS = ["inspection_key", "inspection_business_key", "restaurant_key", "date_key", "location_key", "inspection_type_key",
+                "inspection_result_key", "risk_category_key", "violation_score", "violation_count", "critical_violation",
+                "urgent_violation", "inspection_id", "license_number", "city", "inspection_date"]
+BRIDGE_COLUMNS = ["inspection_key", "violation_key", "violation_sequence", "is_violation_critical", "is_violation_urgent", "violation_score",
+                  "violation_code", "violation_description", "violation_comments_original", "violation_severity"]
+RESTAURANT_COLUMNS = ["restaurant_key", "restaurant_id", "license_number", "dba_name", "aka_name", "facility_type", "risk_category", "city",
+                      "effective_date", "expiration_date", "is_current", "row_version"]
+RESTAURANT_ATTRIBUTES = ["license_number", "dba_name", "aka_name", "facility_type", "risk_category", "city"]
 # ---------------------------------------------------------------------------
 
 
@@ -69,17 +84,6 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _null_safe_join(left: DataFrame, right: DataFrame, cols: list[str]) -> DataFrame:
-    """Join on ``cols`` where NULL matches NULL (summary join-back on group columns)."""
-    r = right.select(*[_c(c).alias(f"_r{i}") for i, c in enumerate(cols)],
-                     *[_c(c) for c in right.columns if c not in cols])
-    cond = None
-    for i, c in enumerate(cols):
-        e = left[f"`{c}`"].eqNullSafe(r[f"_r{i}"])
-        cond = e if cond is None else cond & e
-    return left.join(r, cond, "inner").drop(*[f"_r{i}" for i in range(len(cols))])
-
-
 def _text(c: Column) -> Column:
     """Value as written to the unified delimited file (booleans as True/False)."""
     return c.cast("string")
@@ -92,8 +96,10 @@ def _bool_text(c: Column) -> Column:
 # ---------------------------------------------------------------------------
 # City A: packed violation text
 # ---------------------------------------------------------------------------
-def city_a_unified(raw: DataFrame, output_file: str = "Chicago.csv") -> DataFrame:
+def city_a_unified(raw: DataFrame, output_file: str = "Chicago.csv", field_width: int | None = None) -> DataFrame:
+    """``field_width`` cuts the parsed violation fields (the workflow's own field size is 254); by default they stay whole."""
     df = cleanse(raw, collapse=True, trim=True, drop_null_rows=True)                      # R7
+    df = auto_text(df, CITY_A_NUMBERS)                                                     # R5
     df = (df.withColumn("inspection_date_std", parse_date(_c("Inspection Date"), "yyyy/MM/dd"))   # F7
             .withColumn("inspection_year", F.year("inspection_date_std"))
             .withColumn("inspection_month", F.month("inspection_date_std"))
@@ -103,7 +109,7 @@ def city_a_unified(raw: DataFrame, output_file: str = "Chicago.csv") -> DataFram
     df = split_to_rows(df, "Violations", "|", pos="_piece")                                # R1
     df = regex_parse(df, "Violations", VIOLATION_PATTERN,                                  # R6
                      ["violation_code", "violation_description", "violation_comments"], ignore_case=True,
-                     max_len=254)
+                     max_len=field_width)
     df = cleanse(df, ["violation_code", "violation_description", "violation_comments"],   # R8
                  collapse=True, trim=True, drop_null_rows=False)
     df = df.withColumn("violation_comments", F.when(is_blank("violation_comments"), F.lit(""))
@@ -114,7 +120,7 @@ def city_a_unified(raw: DataFrame, output_file: str = "Chicago.csv") -> DataFram
                                                                  "violation_code")))       # B6
     df = df.where(~is_blank("violation_code") & (F.trim("violation_code") != "")          # P6
                   & ~is_blank("violation_description") & (F.trim("violation_description") != ""))
-    df = df.withColumn("_code_num", F.col("violation_code").try_cast("int"))               # R5: code is numeric
+    df = df.withColumn("_code_num", F.col("violation_code").try_cast("bigint"))
     df = unique_first(df, ["Inspection ID", "violation_code"], ["FileName", "_piece"])     # A5
     df = sequence(df, ["Inspection ID"], ["_code_num", "violation_code"], out="violation_sequence")  # O1 + W1
     df = df.where(F.col("violation_sequence") >= 1)                                       # P8 guard
@@ -125,13 +131,16 @@ def city_a_unified(raw: DataFrame, output_file: str = "Chicago.csv") -> DataFram
         any_true("is_violation_urgent").alias("urgent_violation"),
         concat_agg("violation_description", "|", ["violation_sequence"]).alias("all_violation_descriptions"),
         F.max("violation_sequence").alias("total_violations"))
-    df = _null_safe_join(df, summary, CITY_A_GROUP)                                        # J2
+    # J2, on the id alone as the workflow does: an id with two sets of attributes has two
+    # summaries, and each of its rows meets both
+    added = [c for c in summary.columns if c not in CITY_A_GROUP]
+    df = df.join(summary.select("Inspection ID", *added), "Inspection ID", "inner")
     out = df.select(
         _c("Inspection ID").alias("inspection_id"), _c("DBA Name").alias("dba_name"),
         _c("AKA Name").alias("aka_name"), _c("License #").alias("license_number"),
         _c("Facility Type").alias("facility_type"), _c("Risk").alias("risk_category"),
         _c("Address").alias("address"), _c("City").alias("city"), _c("State").alias("state"),
-        _c("Zip").alias("zip_code"), _c("Inspection Date").alias("inspection_date"),
+        _c("Zip").alias("zip_code"), F.col("inspection_date_std").cast("string").alias("inspection_date"),
         _c("Inspection Type").alias("inspection_type"), _c("Latitude").alias("latitude"),
         _c("Longitude").alias("longitude"), _c("Location").alias("location"),
         _c("FileName").alias("source_filename"),
@@ -153,13 +162,18 @@ def city_a_unified(raw: DataFrame, output_file: str = "Chicago.csv") -> DataFram
 # ---------------------------------------------------------------------------
 # City B: 25 slot groups side by side
 # ---------------------------------------------------------------------------
-def city_b_unified(raw: DataFrame, output_file: str = "Dallas.csv") -> DataFrame:
+def city_b_unified(raw: DataFrame, output_file: str = "Dallas.csv", comment_width: int | None = None,
+                   alias_width: int | None = None) -> DataFrame:
+    """``comment_width`` and ``alias_width`` cut the comments and the alias (the workflow's own field sizes are 2000
+    and 50); by default they stay whole.  A slot column that the file lacks counts as empty."""
+    cut = lambda c, n: c if n is None else F.substring(c, 1, n)
     df = cleanse(raw, collapse=True, trim=True, drop_null_rows=True)                      # R7
     slots = [city_b_slot_columns(i) for i in range(1, CITY_B_SLOTS + 1)]
-    present = [s for s in slots if all(c in df.columns for c in s.values())]
-    df = slots_to_rows(df, CITY_B_IDS, present, slot_col="_slot")                          # R2+R3 fused (R4)
+    df = auto_text(df, [c for c in CITY_B_NUMBERS if c in df.columns])                         # R5
+    typed_slots = [{f: _c(c) if c in df.columns else F.lit(None).cast("string") for f, c in s.items()} for s in slots]
+    df = slots_to_rows(df, CITY_B_IDS, typed_slots, slot_col="_slot")                      # R2+R3 fused (R4)
     desc_num = to_number_lenient(F.regexp_replace("Violation_Description", r"\*(\d+)", "$1"))
-    df = df.withColumn("violation_number", desc_num.cast("int"))                           # B14 (overwrites slot no.)
+    df = df.withColumn("violation_number", desc_num.try_cast("bigint"))                    # B14 (overwrites slot no.)
     df = df.where(~is_blank("Violation_Description") & (F.trim("Violation_Description") != ""))  # P7
     date_txt = F.date_format(parse_date(_c("Inspection Date"), "yyyy-MM-dd"), "yyyy-MM-dd")
     df = (df.withColumn("inspection_id", F.md5(F.concat(F.coalesce(_c("Restaurant Name"), F.lit("")), F.lit("|"),
@@ -176,7 +190,7 @@ def city_b_unified(raw: DataFrame, output_file: str = "Dallas.csv") -> DataFrame
             .withColumn("Violation_Detail", F.coalesce(F.trim("Violation_Detail"), F.lit("")))
             .withColumn("Violation_Memo", F.coalesce(F.trim("Violation_Memo"), F.lit("")))
             .withColumn("violation_comments_clean",
-                        F.substring(R.city_b_comments("Violation_Detail", "Violation_Memo"), 1, 2000)))  # B9
+                        cut(R.city_b_comments("Violation_Detail", "Violation_Memo"), comment_width)))    # B9
     crit, urg = R.city_b_violation_flags("Violation_Description", "violation_comments_clean", "Violation_Points")
     df = (df.withColumn("is_violation_critical", crit).withColumn("is_violation_urgent", urg)      # B10
             .withColumn("violation_severity", R.points_severity("Violation_Points"))                # B11
@@ -186,7 +200,7 @@ def city_b_unified(raw: DataFrame, output_file: str = "Dallas.csv") -> DataFrame
                         .otherwise(F.lit("")))
             .withColumn("license_number", F.concat(F.lit("DALLAS-"), F.col("inspection_id")))
             .withColumn("dba_name", F.trim(F.upper(_c("Restaurant Name"))))
-            .withColumn("aka_name", F.substring("dba_name", 1, 50))
+            .withColumn("aka_name", cut(F.col("dba_name"), alias_width))
             .withColumn("risk_category", R.score_risk(_c("Inspection Score")))                     # B13
             .withColumn("facility_type", F.lit("Restaurant")))
     df = unique_first(df, ["inspection_id", "violation_code"], ["_slot"])                   # O1 + A5 after sort
@@ -235,27 +249,27 @@ def unified(spark: SparkSession, city_a_paths: list[str], city_b_paths: list[str
 # ---------------------------------------------------------------------------
 # Bronze / silver / typed silver
 # ---------------------------------------------------------------------------
-SILVER_RULES = [
-    Expectation("valid_restaurant_name", "dba_name IS NOT NULL AND LENGTH(dba_name) > 0", "warn"),
-    Expectation("valid_inspection_date", "inspection_date IS NOT NULL AND LENGTH(inspection_date) > 0", "warn"),
-    Expectation("valid_inspection_type", "inspection_type IS NOT NULL AND LENGTH(inspection_type) > 0", "warn"),
-    Expectation("valid_zip_code",
-                "zip_code IS NOT NULL AND (LENGTH(zip_code) = 5 OR LENGTH(zip_code) = 4)", "warn"),
-    Expectation("valid_chicago_results",
-                "source_city != 'Chicago' OR (source_city = 'Chicago' AND results_std IS NOT NULL)", "drop"),
-    Expectation("valid_dallas_score",
-                "source_city != 'Dallas' OR (source_city = 'Dallas' AND violation_score IS NOT NULL "
-                "AND TRY_CAST(violation_score AS INT) <= 100)", "drop"),
-    Expectation("has_at_least_one_violation",
-                "violation_count IS NOT NULL AND TRY_CAST(violation_count AS INT) >= 1", "drop"),
-    Expectation("valid_dallas_high_score_violations",
-                "source_city != 'Dallas' OR (source_city = 'Dallas' AND (violation_score IS NULL OR "
-                "violation_count IS NULL OR TRY_CAST(violation_score AS INT) < 90 OR "
-                "TRY_CAST(violation_count AS INT) <= 3))", "drop"),
-    Expectation("valid_dallas_pass_no_critical_urgent",
-                "source_city != 'Dallas' OR (source_city = 'Dallas' AND (results_std != 'PASS' OR "
-                "(critical_violation = 'False' AND urgent_violation = 'False')))", "drop"),
+def _filled(column: str) -> str:
+    return f"coalesce(length({column}), 0) > 0"
+
+
+def _only_in(city: str, condition: str) -> str:
+    """A rule for one city's rows: true for those of another (unknown if the city is)."""
+    return f"CASE WHEN source_city <> '{city}' THEN true WHEN source_city = '{city}' THEN ({condition}) END"
+
+
+def _number(column: str) -> str:
+    return f"try_cast({column} AS int)"
+
+
+_CONDITIONS = [
+    _filled("dba_name"), _filled("inspection_date"), _filled("inspection_type"), "length(zip_code) IN (4, 5)",
+    _only_in("Chicago", "results_std IS NOT NULL"), _only_in("Dallas", f"{_number('violation_score')} <= 100"), f"{_number('violation_count')} >= 1",
+    _only_in("Dallas", f"violation_score IS NULL OR violation_count IS NULL OR {_number('violation_score')} < 90 OR {_number('violation_count')} <= 3"),
+    _only_in("Dallas", "results_std <> 'PASS' OR (critical_violation = 'False' AND urgent_violation = 'False')"),
 ]
+# the first four only count, the others drop
+SILVER_RULES = [Expectation(name, condition, "warn" if i < 4 else "drop") for i, (name, condition) in enumerate(zip(RULE_NAMES, _CONDITIONS))]
 
 
 def bronze(df: DataFrame, audit: bool = False) -> DataFrame:
@@ -277,25 +291,20 @@ def silver_metrics(bronze_df: DataFrame) -> DataFrame:
     return metrics(bronze_df, SILVER_RULES)
 
 
+# how each text column of the unified table is typed; the others stay text
+_TYPES = {
+    bool_text: [c for c in UNIFIED_COLUMNS if c.endswith(("_critical", "_urgent")) or c in ("critical_violation", "urgent_violation")],
+    int_or_null: ["violation_score", *[c for c in UNIFIED_COLUMNS if c.endswith(("_count", "_sequence", "_year", "_month", "_quarter"))]],
+    double_or_null: ["latitude", "longitude"],
+    lower_or_null: ["city"],
+    (lambda c: F.try_to_date(F.col(c).cast("string"))): ["inspection_date"],
+}
+
+
 def typed(silver_df: DataFrame, audit: bool = False) -> DataFrame:
     """T2 typed silver (same function for batch and stream)."""
-    if audit:
-        silver_df = silver_df.withColumn("typed_load_timestamp", F.current_timestamp())
-    return (silver_df
-            .withColumn("violation_count", F.col("violation_count").try_cast("int"))
-            .withColumn("violation_sequence", F.col("violation_sequence").try_cast("int"))
-            .withColumn("inspection_year", F.col("inspection_year").try_cast("int"))
-            .withColumn("inspection_month", F.col("inspection_month").try_cast("int"))
-            .withColumn("inspection_quarter", F.col("inspection_quarter").try_cast("int"))
-            .withColumn("violation_score", int_or_null("violation_score"))
-            .withColumn("is_violation_critical", bool_text("is_violation_critical"))
-            .withColumn("is_violation_urgent", bool_text("is_violation_urgent"))
-            .withColumn("critical_violation", bool_text("critical_violation"))
-            .withColumn("urgent_violation", bool_text("urgent_violation"))
-            .withColumn("inspection_date", F.try_to_date(F.col("inspection_date")))
-            .withColumn("latitude", double_or_null("latitude"))
-            .withColumn("longitude", double_or_null("longitude"))
-            .withColumn("city", lower_or_null("city")))
+    out = silver_df.withColumns({c: how(c) for how, columns in _TYPES.items() for c in columns})
+    return out.withColumn("typed_load_timestamp", F.current_timestamp()) if audit else out
 
 
 # ---------------------------------------------------------------------------
@@ -309,51 +318,51 @@ def risk_bk(level: Column) -> Column:
     return K.business_key(level, R.risk_priority(level).cast("string"))
 
 
-def dim_location(t: DataFrame, sk: str = "md5_60") -> DataFrame:
-    return hash_dimension(t, attrs={c: c for c in ["address", "city", "state", "zip_code", "latitude", "longitude",
-                                                    "location"]},
-                          not_null=["address", "city", "state"], bk_name="location_business_key", bk=location_bk(),
-                          sk_name="location_key", sk_method=sk)
-
-
-def dim_violation(t: DataFrame, sk: str = "md5_60") -> DataFrame:
-    return hash_dimension(
-        t, attrs={c: c for c in ["violation_code", "violation_description", "violation_severity", "city"]},
-        not_null=["violation_code", "violation_description"], bk_name="violation_business_key",
-        bk=K.business_key("violation_code", "city"), sk_name="violation_key", sk_method=sk,
-        derive={"is_critical": R.is_critical_severity("violation_severity"),
-                "violation_category": R.violation_category("violation_severity")},
-        select=["violation_key", "violation_business_key", "violation_code", "violation_description",
-                "violation_category", "violation_severity", "is_critical", "city"])
-
-
-def dim_inspection_type(t: DataFrame, sk: str = "md5_60") -> DataFrame:
-    return hash_dimension(t, attrs={"inspection_type": "inspection_type", "city": "city"},
-                          not_null=["inspection_type"], bk_name="inspection_type_business_key",
-                          bk=K.business_key("inspection_type", "city"), sk_name="inspection_type_key",
-                          sk_method=sk, derive={"inspection_category": R.inspection_category("inspection_type")},
-                          select=["inspection_type_key", "inspection_type_business_key", "inspection_type",
-                                  "inspection_category", "city"])
-
-
-def dim_inspection_result(t: DataFrame, sk: str = "md5_60") -> DataFrame:
-    lo, hi = R.score_range("results_std")
-    return hash_dimension(t, attrs={"results_std": "results_std"}, not_null=["results_std"],
-                          bk_name="result_business_key", bk=K.business_key("results_std"),
-                          sk_name="inspection_result_key", sk_method=sk,
-                          derive={"result_code": F.col("results_std"), "result_name": F.col("results_std"),
-                                  "result_category": R.result_category("results_std"),
-                                  "score_range_min": lo, "score_range_max": hi},
-                          select=["inspection_result_key", "result_business_key", "result_code", "result_name",
-                                  "result_category", "score_range_min", "score_range_max"])
+def _risk_levels(t: DataFrame) -> DataFrame:
+    levels = t.where(F.col("risk_category").isNotNull()).select(R.risk_level("risk_category").alias("risk_level"))
+    return levels.withColumn("priority_level", R.risk_priority("risk_level")).distinct()          # A7
+
+
+def dimension_specs() -> dict[str, dict]:
+    """The hash dimensions: the same description builds them in batch and as streams."""
+    low, high = R.score_range("results_std")
+    return {
+        "dim_location": {
+            "attrs": ["address", "city", "state", "zip_code", "latitude", "longitude", "location"], "not_null": ["address", "city", "state"],
+            "bk_name": "location_business_key", "bk": location_bk(), "sk_name": "location_key"},
+        "dim_violation": {
+            "attrs": ["violation_code", "violation_description", "violation_severity", "city"],
+            "not_null": ["violation_code", "violation_description"], "bk_name": "violation_business_key",
+            "bk": K.business_key("violation_code", "city"), "sk_name": "violation_key",
+            "derive": {"is_critical": R.is_critical_severity("violation_severity"), "violation_category": R.violation_category("violation_severity")},
+            "select": ["violation_key", "violation_business_key", "violation_code", "violation_description", "violation_category",
+                       "violation_severity", "is_critical", "city"]},
+        "dim_inspection_type": {
+            "attrs": ["inspection_type", "city"], "not_null": ["inspection_type"], "bk_name": "inspection_type_business_key",
+            "bk": K.business_key("inspection_type", "city"), "sk_name": "inspection_type_key",
+            "derive": {"inspection_category": R.inspection_category("inspection_type")},
+            "select": ["inspection_type_key", "inspection_type_business_key", "inspection_type", "inspection_category", "city"]},
+        "dim_inspection_result": {
+            "attrs": ["results_std"], "not_null": ["results_std"], "bk_name": "result_business_key", "bk": K.business_key("results_std"),
+            "sk_name": "inspection_result_key",
+            "derive": {"result_code": F.col("results_std"), "result_name": F.col("results_std"), "result_category": R.result_category("results_std"),
+                       "score_range_min": low, "score_range_max": high},
+            "select": ["inspection_result_key", "result_business_key", "result_code", "result_name", "result_category", "score_range_min",
+                       "score_range_max"]},
+        "dim_risk_category": {
+            "source": _risk_levels, "attrs": ["risk_level", "priority_level"], "not_null": [], "bk_name": "risk_business_key",
+            "bk": risk_bk(F.col("risk_level")), "sk_name": "risk_category_key"},
+    }
 
 
-def dim_risk_category(t: DataFrame, sk: str = "md5_60") -> DataFrame:
-    lv = t.where(F.col("risk_category").isNotNull()).select(R.risk_level("risk_category").alias("risk_level"))
-    lv = lv.withColumn("priority_level", R.risk_priority("risk_level"))
-    return hash_dimension(lv, attrs={"risk_level": "risk_level", "priority_level": "priority_level"}, not_null=[],
-                          bk_name="risk_business_key", bk=risk_bk(F.col("risk_level")),
-                          sk_name="risk_category_key", sk_method=sk)
+def hash_dimensions(t: DataFrame) -> dict[str, DataFrame]:
+    out = {}
+    for name, spec in dimension_specs().items():
+        spec = dict(spec)
+        source = spec.pop("source", lambda x: x)
+        spec["attrs"] = {c: c for c in spec["attrs"]}
+        out[name] = hash_dimension(source(t), **spec)
+    return out
 
 
 def dim_date(spark: SparkSession) -> DataFrame:
@@ -368,71 +377,68 @@ def restaurant_id() -> Column:
     return F.concat(F.col("license_number"), F.lit("-"), F.col("city"))
 
 
+def restaurant_stage(t: DataFrame) -> DataFrame:
+    """Snapshots of the restaurants, in batch or as a stream."""
+    known = t.where(F.col("license_number").isNotNull() & F.col("dba_name").isNotNull()
+                    & F.col("city").isNotNull() & F.col("inspection_date").isNotNull())
+    return scd2_stage(known.withColumn("restaurant_id", restaurant_id()), ["restaurant_id"], RESTAURANT_ATTRIBUTES, "inspection_date")
+
+
+def restaurant_final(versions: DataFrame, sk: str = "md5_60") -> DataFrame:
+    return scd2_final(versions, "restaurant_id", as_date=True, sk_name="restaurant_key", sk_method=sk).select(*RESTAURANT_COLUMNS)
+
+
 def dim_restaurant(t: DataFrame, tracked: list[str] | None = None, sk: str = "md5_60") -> DataFrame:
     """SCD2 stage -> apply -> final (T5-T8).  ``tracked=None`` tracks every
     staged column incl. the inspection date (the reference's configuration)."""
-    st = t.where(F.col("license_number").isNotNull() & F.col("dba_name").isNotNull()
-                 & F.col("city").isNotNull() & F.col("inspection_date").isNotNull()) \
-        .withColumn("restaurant_id", restaurant_id())
-    st = scd2_stage(st, ["restaurant_id"], ["license_number", "dba_name", "aka_name", "facility_type",
-                                            "risk_category", "city"], "inspection_date")
-    versions = scd2_apply(st, ["restaurant_id"], "inspection_date", tracked=tracked)
-    final = scd2_final(versions, "restaurant_id", as_date=True, sk_name="restaurant_key", sk_method=sk)
-    return final.select("restaurant_key", "restaurant_id", "license_number", "dba_name", "aka_name",
-                        "facility_type", "risk_category", "city", "effective_date", "expiration_date",
-                        "is_current", "row_version")
-
-
-def star(t: DataFrame, audit: bool = False) -> dict[str, DataFrame]:
-    """All gold tables from the typed silver table (``audit`` adds the load
-    timestamps of the fact, the bridge and the restaurant dimension)."""
-    spark = t.sparkSession
-    dims = {
-        "dim_date": dim_date(spark),
-        "dim_location": dim_location(t),
-        "dim_violation": dim_violation(t),
-        "dim_inspection_type": dim_inspection_type(t),
-        "dim_inspection_result": dim_inspection_result(t),
-        "dim_risk_category": dim_risk_category(t),
-        "dim_restaurant": dim_restaurant(t),
-    }
-    f = t.withColumn("inspection_business_key", F.concat(F.col("inspection_id"), F.lit("-"), F.col("city")))
-    f = unique_first(f, ["inspection_business_key"], ["violation_sequence"])               # A6 (deterministic)
-    lvl = R.risk_level("risk_category")
-    f = f.withColumns({
-        "inspection_key": K.surrogate_key("inspection_business_key"),
+    return restaurant_final(scd2_apply(restaurant_stage(t), ["restaurant_id"], "inspection_date", tracked=tracked), sk)
+
+
+def dimensions(t: DataFrame) -> dict[str, DataFrame]:
+    return {"dim_date": dim_date(t.sparkSession), **hash_dimensions(t), "dim_restaurant": dim_restaurant(t)}
+
+
+def inspection_rows(t: DataFrame) -> DataFrame:
+    """The typed rows with the business keys of their inspection and its dimensions."""
+    return t.withColumns({
+        "inspection_business_key": F.concat(F.col("inspection_id"), F.lit("-"), F.col("city")),
         "date_key": K.date_key("inspection_date"),
         "restaurant_id": restaurant_id(),
         "location_business_key": location_bk(),
         "inspection_type_business_key": K.business_key("inspection_type", "city"),
         "result_business_key": K.business_key("results_std"),
-        "risk_business_key": risk_bk(lvl),
-    })
-    cur = scd2_current(dims["dim_restaurant"]).select("restaurant_id", "restaurant_key")
-    f = lookup_keys(f, [
-        Lookup(cur, "restaurant_id", "restaurant_key"),
-        Lookup(dims["dim_location"], "location_business_key", "location_key"),
-        Lookup(dims["dim_inspection_type"], "inspection_type_business_key", "inspection_type_key"),
-        Lookup(dims["dim_inspection_result"], "result_business_key", "inspection_result_key",
-               known_bound=len(R.CITY_A_RESULTS) + 4),
-        Lookup(dims["dim_risk_category"], "risk_business_key", "risk_category_key", known_bound=4),
-    ])
-    fact = f.select("inspection_key", "inspection_business_key", "restaurant_key", "date_key", "location_key",
-                    "inspection_type_key", "inspection_result_key", "risk_category_key", "violation_score",
-                    "violation_count", "critical_violation", "urgent_violation", "inspection_id", "license_number",
-                    "city", "inspection_date")
-    det = (t.withColumn("inspection_business_key", F.concat(F.col("inspection_id"), F.lit("-"), F.col("city")))
-            .withColumn("violation_business_key", K.business_key("violation_code", "city")))
-    bridge = build_bridge(det, fact, "inspection_business_key", "inspection_key",
-                          [Lookup(dims["dim_violation"], "violation_business_key", "violation_key")])
-    bridge = bridge.select("inspection_key", "violation_key", "violation_sequence", "is_violation_critical",
-                           "is_violation_urgent", "violation_score", "violation_code", "violation_description",
-                           "violation_comments_original", "violation_severity")
-    if audit:
-        fact = fact.withColumn("load_timestamp", F.current_timestamp())
-        bridge = bridge.withColumn("load_timestamp", F.current_timestamp())
-        dims["dim_restaurant"] = dims["dim_restaurant"].withColumn("load_at", F.current_timestamp())
-    return {**dims, "fact_food_inspections": fact, "bridge_inspection_violation": bridge}
+        "risk_business_key": risk_bk(R.risk_level("risk_category")),
+    }).withColumn("inspection_key", K.surrogate_key("inspection_business_key"))
+
+
+def fact_lookups(dims: dict[str, DataFrame]) -> list[Lookup]:
+    keys = [("dim_location", "location"), ("dim_inspection_type", "inspection_type"), ("dim_inspection_result", "result"), ("dim_risk_category", "risk")]
+    names = {"result": "inspection_result_key", "risk": "risk_category_key"}
+    return [Lookup(scd2_current(dims["dim_restaurant"]), "restaurant_id", "restaurant_key"),
+            *[Lookup(dims[d], f"{k}_business_key", names.get(k, f"{k}_key")) for d, k in keys]]
+
+
+def fact(t: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """One row per inspection (its first violation) with the keys of the given dimensions."""
+    first = unique_first(t.withColumn("inspection_business_key", F.concat(F.col("inspection_id"), F.lit("-"), F.col("city"))),
+                         ["inspection_business_key"], ["violation_sequence"])                # A6 (deterministic)
+    return lookup_keys(inspection_rows(first), fact_lookups(dims)).select(*FACT_COLUMNS)
+
+
+def bridge(t: DataFrame, fact_table: DataFrame, dim_violation: DataFrame) -> DataFrame:
+    """The violations of the inspections that have a fact row."""
+    detail = t.withColumn("inspection_business_key", F.concat(F.col("inspection_id"), F.lit("-"), F.col("city"))) \
+        .withColumn("violation_business_key", K.business_key("violation_code", "city"))
+    return build_bridge(detail, fact_table, "inspection_business_key", "inspection_key",
+                        [Lookup(dim_violation, "violation_business_key", "violation_key")]).select(*BRIDGE_COLUMNS)
+
+
+def star(t: DataFrame) -> dict[str, DataFrame]:
+    """All gold tables as queries on the typed silver table.  :func:`publish` stores the
+    dimensions first and builds the fact and the bridge from the stored tables."""
+    dims = dimensions(t)
+    facts = fact(t, dims)
+    return {**dims, "fact_food_inspections": facts, "bridge_inspection_violation": bridge(t, facts, dims["dim_violation"])}
 
 
 # ---------------------------------------------------------------------------
@@ -441,26 +447,28 @@ def star(t: DataFrame, audit: bool = False) -> dict[str, DataFrame]:
 # streaming dedups (state per business key); fact and bridge are
 # stream-static joins against the dimension tables as they are at run time.
 # ---------------------------------------------------------------------------
-def _stream_dim(src: DataFrame, attrs: list[str], not_null: list[str], bk_name: str, bk: Column, sk_name: str,
-                derive: dict[str, Column] | None = None) -> DataFrame:
-    s = src.select(*attrs)
+def stream_dimension(t: DataFrame, attrs: list[str], not_null: list[str], bk_name: str, bk: Column, sk_name: str,
+                     source=None, derive: dict[str, Column] | None = None, select: list[str] | None = None) -> DataFrame:
+    """One of :func:`dimension_specs` over a stream (A6/T3: arbitrary survivor per key)."""
+    rows = (source(t) if source else t).select(*attrs)
     for c in not_null:
-        s = s.where(F.col(c).isNotNull())
-    s = s.withColumn(bk_name, bk).dropDuplicates([bk_name])          # A6/T3: arbitrary survivor per key
-    s = s.withColumn(sk_name, K.surrogate_key(bk_name))
-    for k, v in (derive or {}).items():
-        s = s.withColumn(k, v)
-    return s
+        rows = rows.where(F.col(c).isNotNull())
+    rows = rows.withColumn(bk_name, bk).dropDuplicates([bk_name])
+    rows = rows.withColumns({sk_name: K.surrogate_key(bk_name), **(derive or {})})
+    return rows.select(*(select or [sk_name, bk_name, *attrs, *(derive or {})]))
 
 
-def stream_tables(spark: SparkSession, unified_dir: str, root: str) -> dict[str, str]:
+def stream_tables(spark: SparkSession, unified_dir: str, root: str, change_feed: bool = False) -> dict[str, str]:
     """Run bronze -> silver -> typed -> dims -> fact -> bridge as streams.
 
     ``unified_dir`` holds the unified table as parquet files (new files are
-    picked up by the next run); ``root`` is a folder on shared storage.
-    Returns the output folder of every table.
+    picked up by the next run), or with ``change_feed`` its change log (S10:
+    inserts and post-images become bronze rows); ``root`` is a folder on shared
+    storage.  Returns the output folder of every table; all have the columns
+    of the batch tables.
     """
-    from stargrain.streaming.streams import run_available_now
+    from stargrain.sources.changes import CHANGE_TYPE, COMMIT_TS, COMMIT_VERSION, stream_changes
+    from stargrain.streaming.streams import incremental_scd2, run_available_now, run_foreach_batch, scd2_store, stored
 
     def run(df, name):
         run_available_now(df, f"{root}/{name}", f"{root}/_checkpoints/{name}")
@@ -470,80 +478,34 @@ def stream_tables(spark: SparkSession, unified_dir: str, root: str) -> dict[str,
         return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
     out = {}
-    out["bronze"] = run(bronze(src(unified_dir)), "bronze")
+    if change_feed:
+        feed = stream_changes(spark, unified_dir, spark.read.parquet(unified_dir).schema, types=["insert", "update_postimage"])
+        feed = feed.drop(CHANGE_TYPE, COMMIT_VERSION, COMMIT_TS)
+    else:
+        feed = src(unified_dir)
+    out["bronze"] = run(bronze(feed), "bronze")
     out["silver"] = run(silver(src(out["bronze"])), "silver")
     out["typed"] = run(typed(src(out["silver"])), "typed")
     t = src(out["typed"])
-    out["dim_location"] = run(_stream_dim(
-        t, ["address", "city", "state", "zip_code", "latitude", "longitude", "location"],
-        ["address", "city", "state"], "location_business_key", location_bk(), "location_key"), "dim_location")
-    out["dim_violation"] = run(_stream_dim(
-        t, ["violation_code", "violation_description", "violation_severity", "city"],
-        ["violation_code", "violation_description"], "violation_business_key",
-        K.business_key("violation_code", "city"), "violation_key",
-        {"is_critical": R.is_critical_severity("violation_severity"),
-         "violation_category": R.violation_category("violation_severity")}), "dim_violation")
-    out["dim_inspection_type"] = run(_stream_dim(
-        t, ["inspection_type", "city"], ["inspection_type"], "inspection_type_business_key",
-        K.business_key("inspection_type", "city"), "inspection_type_key",
-        {"inspection_category": R.inspection_category("inspection_type")}), "dim_inspection_type")
-    lo, hi = R.score_range("results_std")
-    out["dim_inspection_result"] = run(_stream_dim(
-        t, ["results_std"], ["results_std"], "result_business_key", K.business_key("results_std"),
-        "inspection_result_key", {"result_category": R.result_category("results_std"),
-                                  "score_range_min": lo, "score_range_max": hi}), "dim_inspection_result")
-    risk = t.where(F.col("risk_category").isNotNull()).select(R.risk_level("risk_category").alias("risk_level"))
-    risk = risk.withColumn("priority_level", R.risk_priority("risk_level")).distinct()     # A7: two stateful ops
-    out["dim_risk_category"] = run(_stream_dim(
-        risk, ["risk_level", "priority_level"], [], "risk_business_key", risk_bk(F.col("risk_level")),
-        "risk_category_key"), "dim_risk_category")
-    # SCD2 restaurant dimension: streaming stage into the bucketed log, versions rebuilt per touched bucket
-    from stargrain.streaming.streams import incremental_scd2, run_foreach_batch
-    st = t.where(F.col("license_number").isNotNull() & F.col("dba_name").isNotNull()
-                 & F.col("city").isNotNull() & F.col("inspection_date").isNotNull()) \
-        .withColumn("restaurant_id", restaurant_id())
-    st = scd2_stage(st, ["restaurant_id"], ["license_number", "dba_name", "aka_name", "facility_type",
-                                            "risk_category", "city"], "inspection_date")
-    run_foreach_batch(st, incremental_scd2(f"{root}/restaurant_log", f"{root}/restaurant_versions",
-                                           ["restaurant_id"], "inspection_date"),
+    for name, spec in dimension_specs().items():
+        out[name] = run(stream_dimension(t, **spec), name)
+    # SCD2 restaurant dimension: a streaming stage into the change log, the touched restaurants' history rebuilt
+    run_foreach_batch(restaurant_stage(t), incremental_scd2(f"{root}/restaurant_log", f"{root}/restaurant_versions",
+                                                            ["restaurant_id"], "inspection_date"),
                       f"{root}/_checkpoints/restaurant")
-    out["dim_restaurant"] = f"{root}/restaurant_versions"
+    empty = scd2_apply(restaurant_stage(spark.read.parquet(out["typed"]).where("false")), ["restaurant_id"], "inspection_date")
+    versions = stored(spark, f"{root}/restaurant_versions", empty.schema)
+    if "sg_epoch" in versions.columns:
+        versions = scd2_store(spark, f"{root}/restaurant_versions", ["restaurant_id"])
+    for name, df in (("dim_restaurant", restaurant_final(versions)), ("dim_date", dim_date(spark))):
+        out[name] = f"{root}/{name}"
+        df.write.mode("overwrite").parquet(out[name])
     # fact: streaming dedup per inspection + stream-static lookups (point in time, §4.3-8)
-    rd = scd2_final(spark.read.parquet(out["dim_restaurant"]).drop("sg_bucket"), "restaurant_id",
-                    sk_name="restaurant_key")
-    f = t.withColumn("inspection_business_key", F.concat(F.col("inspection_id"), F.lit("-"), F.col("city")))
-    f = f.dropDuplicates(["inspection_business_key"])
-    f = (f.withColumn("inspection_key", K.surrogate_key("inspection_business_key"))
-          .withColumn("date_key", K.date_key("inspection_date"))
-          .withColumn("restaurant_id", restaurant_id())
-          .withColumn("location_business_key", location_bk())
-          .withColumn("inspection_type_business_key", K.business_key("inspection_type", "city"))
-          .withColumn("result_business_key", K.business_key("results_std"))
-          .withColumn("risk_business_key", risk_bk(R.risk_level("risk_category"))))
-    f = lookup_keys(f, [
-        Lookup(scd2_current(rd).select("restaurant_id", "restaurant_key"), "restaurant_id", "restaurant_key"),
-        Lookup(spark.read.parquet(out["dim_location"]), "location_business_key", "location_key"),
-        Lookup(spark.read.parquet(out["dim_inspection_type"]), "inspection_type_business_key",
-               "inspection_type_key"),
-        Lookup(spark.read.parquet(out["dim_inspection_result"]), "result_business_key", "inspection_result_key",
-               known_bound=len(R.CITY_A_RESULTS) + 4),
-        Lookup(spark.read.parquet(out["dim_risk_category"]), "risk_business_key", "risk_category_key",
-               known_bound=4),
-    ])
-    out["fact_food_inspections"] = run(f.select(
-        "inspection_key", "inspection_business_key", "restaurant_key", "date_key", "location_key",
-        "inspection_type_key", "inspection_result_key", "risk_category_key", "violation_score", "violation_count",
-        "critical_violation", "urgent_violation", "inspection_id", "license_number", "city", "inspection_date"),
-        "fact_food_inspections")
-    det = (t.withColumn("inspection_business_key", F.concat(F.col("inspection_id"), F.lit("-"), F.col("city")))
-            .withColumn("violation_business_key", K.business_key("violation_code", "city")))
-    br = build_bridge(det, spark.read.parquet(out["fact_food_inspections"]), "inspection_business_key",
-                      "inspection_key", [Lookup(spark.read.parquet(out["dim_violation"]), "violation_business_key",
-                                                "violation_key")])
-    out["bridge_inspection_violation"] = run(br.select(
-        "inspection_key", "violation_key", "violation_sequence", "is_violation_critical", "is_violation_urgent",
-        "violation_score", "violation_code", "violation_description", "violation_comments_original",
-        "violation_severity"), "bridge_inspection_violation")
+    dims = {name: spark.read.parquet(path) for name, path in out.items() if name.startswith("dim_")}
+    f = inspection_rows(t).dropDuplicates(["inspection_business_key"])
+    out["fact_food_inspections"] = run(lookup_keys(f, fact_lookups(dims)).select(*FACT_COLUMNS), "fact_food_inspections")
+    out["bridge_inspection_violation"] = run(bridge(t, spark.read.parquet(out["fact_food_inspections"]), dims["dim_violation"]),
+                                             "bridge_inspection_violation")
     return out
 
 
@@ -577,6 +539,8 @@ def publish(spark: SparkSession, unified_df: DataFrame, root: str) -> dict[str,
     br = save(bronze(src, audit=True), TABLE_NAMES["bronze"])
     sv = save(silver(br, audit=True), TABLE_NAMES["silver"])
     t = save(typed(sv, audit=True), TABLE_NAMES["typed"])
-    for name, df in star(t, audit=True).items():
-        save(df, name)
+    stamp = lambda df, name: df.withColumn(name, F.current_timestamp())
+    dims = {name: save(stamp(df, "load_at") if name == "dim_restaurant" else df, name) for name, df in dimensions(t).items()}
+    facts = save(stamp(fact(t, dims), "load_timestamp"), "fact_food_inspections")
+    save(stamp(bridge(t, facts, dims["dim_violation"]), "load_timestamp"), "bridge_inspection_violation")
     return paths
