@@ -130,7 +130,7 @@ _FOUND_ARROW = pa.struct([("n_words", pa.int64()), ("word_spans", pa.list_(pa.li
                           ("items", pa.list_(pa.string())), ("char_spans", pa.list_(pa.list_(pa.int64())))])
 
 
-def _found(batches: Iterator[pa.RecordBatch], patterns: Patterns, text: str) -> Iterator[pa.RecordBatch]:
+def _found(batches: Iterator[pa.RecordBatch], patterns: Patterns, text: str, name: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = textbuf.buffer_of(batch.column(batch.schema.get_field_index(text)))
         rows = [None] * len(batch)
@@ -148,7 +148,7 @@ def _found(batches: Iterator[pa.RecordBatch], patterns: Patterns, text: str) ->
                                                  textbuf.code_point_offset(part, own[t], own[t] + b[y - 1])) for x, y in found]}
             at = to
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows, _FOUND_ARROW)],
-                                         names=[*batch.schema.names, "found"])
+                                         names=[*batch.schema.names, name])
 
 
 def _blocks(items: DataFrame, item_id: str, text: str, block_bytes: int):
@@ -174,7 +174,7 @@ def overlaps(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id:
     def scan(frame: DataFrame, column: str, patterns: Patterns) -> DataFrame:
         sent = spark.sparkContext.broadcast(patterns)
         schema = T.StructType([*frame.schema.fields, T.StructField(inner, _FOUND)])
-        return in_arrow(frame, lambda batches: _found(batches, sent.value, column), schema)
+        return in_arrow(frame, lambda batches: _found(batches, sent.value, column, inner), schema)
 
     if len(blocks) == 1:
         return scan(docs, text, blocks[0]).withColumnRenamed(inner, name), name

@@ -396,3 +396,39 @@ def test_run_writes_every_stage(spark):
     import corpus_pipeline
     rows = corpus_pipeline.run(spark, SF).collect()
     assert rows and set(rows[0].asDict()) == {"doc_id", "start", "n_tokens", "ids_crc32"}
+
+
+# ---------------------------------------------------------------- empty tables, clashing columns, long texts
+
+def test_empty_tables(spark):
+    docs, none = documents(spark, []), spark.createDataFrame([], "item_id bigint, text string")
+    some = documents(spark, [(1, "a b c", "en", "src1")])
+    assert decontaminate.report(docs, none).count() == 0 and simhash.report(docs).count() == 0
+    assert mixing.plan(docs, weights={}).count() == 0 and simhash.keep_one(docs).count() == 0
+    assert [r["contaminated"] for r in decontaminate.report(some, none).collect()] == [False]
+    assert decontaminate.clean(some, none).collect() == some.collect()
+
+
+def test_clashing_and_nested_columns_pass_through(spark):
+    text = "the quick brown fox jumps over the lazy dog"
+    rows = [(1, text, "en", "src1", 9, "x", [1, 2], {"a": 1}), (2, text, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, DOCS + ", `fp` string, `row_key` array<int>, `found` map<string,int>")
+    items = spark.createDataFrame([(1, "something else")], "item_id bigint, text string")
+    for kept, n in ((simhash.keep_one(docs), 1), (decontaminate.clean(docs, items), 2), (language_id.keep_identified(docs), 2), (mixing.mixed(docs, weights={}), 2)):
+        out = kept.collect()
+        assert kept.columns == docs.columns and len(out) == n
+        assert next(r for r in out if r["doc_id"] == 1)["found"] == {"a": 1}
+
+
+def test_a_very_long_text(spark):
+    text = " ".join(f"w{i % 997}" for i in range(300_000))  # longer than a shard of the index
+    passage = " ".join(f"p{i}" for i in range(13))
+    words = text.split()
+    words[250_000:250_000] = passage.split()
+    docs = documents(spark, [(1, " ".join(words), "en", "src1"), (2, "y" * 500_000, "en", "src1")])
+    got = {r["doc_id"]: r for r in decontaminate.report(docs, spark.createDataFrame([(5, passage)], "item_id bigint, text string")).collect()}
+    assert (got[1]["n_words"], got[1]["n_hit"], got[2]["n_words"]) == (300_013, 13, 1)
+    prints = {r["doc_id"]: int(r["fingerprint"], 16) for r in simhash.report(docs).collect()}
+    assert prints == {1: contract_print(" ".join(words)), 2: contract_print("y" * 500_000)}
+    assert {r["doc_id"]: r["n_tokens"] for r in token_output.report(docs).collect()} == {i: len(direct([t])[0]) for i, t in ((1, " ".join(words)), (2, "y" * 500_000))}
+    assert {r["lang_pred"] for r in language_id.report(docs).collect()} == {"en"}
