@@ -30,6 +30,11 @@ def distinct_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).distinct()
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
+    """The keys that more than one row has (a primary-key check: empty if all is well)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)).where(F.col(name) > 1)
+
+
 def with_total(df: DataFrame, name: str = "total_rows") -> DataFrame:
     """W3 ``COUNT(*) OVER ()``: the row count on every row.
 

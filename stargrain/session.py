@@ -53,12 +53,16 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def shuffle_partitions(input_bytes: int, per_partition: int = 512 << 20) -> int:
+    """``spark.sql.shuffle.partitions`` for a job that shuffles about ``input_bytes`` (AQE merges small ones)."""
+    return max(200, -(-input_bytes // per_partition))
+
+
 # Settings meant for a large cluster (100 TB inputs).  Applied by the cluster's
-# own configuration; listed here so the plan assumptions are explicit.
+# own configuration; listed here so the plan assumptions are explicit.  The number
+# of shuffle partitions is set for each job by :func:`shuffle_partitions`.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
-    # start wide, let AQE coalesce to ~256 MB per reducer
-    "spark.sql.shuffle.partitions": "200000",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # split a reducer partition that is 5x the median and above 512 MB

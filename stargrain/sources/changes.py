@@ -18,9 +18,12 @@ CHANGE_TYPE, COMMIT_VERSION, COMMIT_TS = "_change_type", "_commit_version", "_co
 
 
 def diff_snapshots(old: DataFrame, new: DataFrame, keys: Sequence[str], *, version: int,
-                   commit_ts=None, compare: Sequence[str] | None = None) -> DataFrame:
+                   commit_ts=None, compare: Sequence[str] | None = None, repeats: str = "error") -> DataFrame:
     """Change rows turning snapshot ``old`` into ``new``.
 
+    A snapshot has one row per key: a repeated key stops the job, or with
+    ``repeats="least"`` its least row stands for it.
+
     One full outer join on the keys (a snapshot has one row per key, so the
     join never multiplies rows); an update yields a pre- and a post-image,
     emitted with ``inline`` from the joined row (narrow).
@@ -31,9 +34,18 @@ def diff_snapshots(old: DataFrame, new: DataFrame, keys: Sequence[str], *, versi
     # at most one row per key and side (a dirty snapshot with repeated keys must
     # not pair every old row with every new row); the aggregate leaves both
     # sides hash-partitioned by the keys, so the join adds no exchange
-    o = old.groupBy(*keys).agg(F.min(F.struct(*vals)).alias("_o")).withColumn("_oc", F.struct(
+    if repeats not in ("error", "least"):
+        raise ValueError("repeats is 'error' or 'least'")
+
+    def one(name: str):
+        least = F.min(F.struct(*vals))
+        if repeats == "least":
+            return least.alias(name)
+        return F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"diff_snapshots: a key of {keys} is repeated"))).otherwise(least).alias(name)
+
+    o = old.groupBy(*keys).agg(one("_o")).withColumn("_oc", F.struct(
         *[F.col(f"_o.{c}").alias(c) for c in comp]))
-    n = new.groupBy(*keys).agg(F.min(F.struct(*vals)).alias("_n")).withColumn("_nc", F.struct(
+    n = new.groupBy(*keys).agg(one("_n")).withColumn("_nc", F.struct(
         *[F.col(f"_n.{c}").alias(c) for c in comp]))
     j = o.join(n, keys, "full_outer")
     kind = (F.when(F.col("_o").isNull(), "insert").when(F.col("_n").isNull(), "delete")
@@ -43,9 +55,9 @@ def diff_snapshots(old: DataFrame, new: DataFrame, keys: Sequence[str], *, versi
         F.struct(F.lit("update_preimage").alias("t"), F.col("_o").alias("v")),
         F.struct(F.lit("update_postimage").alias("t"), F.col("_n").alias("v")),
     )
-    one = F.array(F.struct(F.when(F.col("_k") == "insert", "insert").otherwise("delete").alias("t"),
+    alone = F.array(F.struct(F.when(F.col("_k") == "insert", "insert").otherwise("delete").alias("t"),
                            F.coalesce(F.col("_n"), F.col("_o")).alias("v")))
-    rows = j.select(*keys, F.explode(F.when(F.col("_k") == "update", img).otherwise(one)).alias("_r"))
+    rows = j.select(*keys, F.explode(F.when(F.col("_k") == "update", img).otherwise(alone)).alias("_r"))
     ts = F.lit(commit_ts).cast("timestamp") if commit_ts is not None else F.current_timestamp()
     return rows.select(*keys, *[F.col(f"_r.v.{c}").alias(c) for c in vals],
                        F.col("_r.t").alias(CHANGE_TYPE), F.lit(version).cast("bigint").alias(COMMIT_VERSION),

@@ -87,3 +87,21 @@ def test_scd2_transformed_flags(spark):
     assert {r.is_active for r in rows if r.end_dt is None} == {"Y"}
     assert {r.is_active for r in rows if r.end_dt is not None} == {"N"}
     assert "load_at" in v.columns and START not in v.columns
+
+
+def test_a_repeated_snapshot_key_is_reported(spark):
+    import pytest
+    from stargrain.sources.changes import diff_snapshots
+    old, new = spark.createDataFrame([(1, "a")], "k int, v string"), spark.createDataFrame([(1, "b"), (1, "c")], "k int, v string")
+    with pytest.raises(Exception, match="repeated"):
+        diff_snapshots(old, new, ["k"], version=1).collect()
+    assert diff_snapshots(old, new, ["k"], version=1, repeats="least").count() == 2
+
+
+def test_wide_keys_and_their_check(spark):
+    import hashlib
+    from stargrain.functions.keys import surrogate_key
+    from stargrain.operators.rows import repeated_keys
+    df = spark.createDataFrame([("a",), ("b",), ("b",)], "k string").withColumn("sk", surrogate_key("k", "md5_120"))
+    assert {r.k: int(r.sk) for r in df.collect()} == {x: int(hashlib.md5(x.encode()).hexdigest()[:30], 16) for x in "ab"}
+    assert [(r.k, r.n) for r in repeated_keys(df, ["k"]).collect()] == [("b", 2)]
