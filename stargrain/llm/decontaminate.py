@@ -32,8 +32,8 @@ from stargrain.llm.fm_index import END, FIRST, SEPARATOR, FMIndex, fold
 WINDOW = 13
 # words in one shard of the index: bounds a task's memory (about 150 MB), not the input
 SHARD_WORDS = 400_000
-# bytes of benchmark text sent to the tasks at once
-BLOCK_BYTES = 8_000_000
+# bytes of benchmark text sent to the tasks at once (some 350,000 windows, about 100 MB in a task)
+BLOCK_BYTES = 2_000_000
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
@@ -57,7 +57,7 @@ class Patterns:
         self.longest = int(self.lengths.max()) if len(self.windows) else 0
         vocabulary = list({w for x in self.windows for w in x})
         symbol = dict(zip(vocabulary, fold(textbuf.hash_words(vocabulary)).tolist()))
-        self.symbols = np.zeros((len(self.windows), self.longest), dtype=np.int64)
+        self.symbols = np.zeros((len(self.windows), self.longest), dtype=np.int16)
         for i, x in enumerate(self.windows):
             self.symbols[i, :len(x)] = [symbol[w] for w in x]
 

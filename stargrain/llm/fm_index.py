@@ -100,7 +100,7 @@ class FMIndex:
         high[lengths <= 0] = 0
         back = 1
         while len(live):
-            symbol = patterns[live, lengths[live] - back]
+            symbol = patterns[live, lengths[live] - back].astype(np.int64)
             low[live], high[live] = self.step(symbol, low[live], high[live])
             back += 1
             live = live[(low[live] < high[live]) & (lengths[live] >= back)]
