@@ -118,6 +118,8 @@ def plan(docs: DataFrame, *, weights: Mapping[str, Mapping[str, int]], budget: i
         .withColumn("epoch", F.explode(F.sequence(F.lit(0), need - 1))) \
         .withColumn("digest", _digest(seed, F.col("epoch"), F.col("doc_id"))) \
         .withColumn("range", (F.col("digest") / F.lit(float(1 << 60)) * ranges).cast("bigint"))
+    # dealt by range: else the windows below would stay in the join's partitions, a whole leaf in each
+    rows = rows.repartition(*names, "epoch", "range")
     by_range = rows.groupBy(*names, "epoch", "range").agg(F.sum("tokens").alias("n"))
     earlier = Window.partitionBy(*names, "epoch").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     by_range = by_range.select(*names, "epoch", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
