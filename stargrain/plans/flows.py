@@ -168,14 +168,16 @@ _SILVER_COLUMNS = {
     "critical_violation": "CASE WHEN o_orderkey % 3 = 0 THEN 'True' ELSE 'False' END", "urgent_violation": "CASE WHEN o_orderkey % 31 = 0 THEN 'True' ELSE 'False' END",
 }
 _SILVER_SRC = "SELECT " + ", ".join(f"{sql} AS {name}" for name, sql in _SILVER_COLUMNS.items()) + " FROM orders"
+_IN = "source_city IS NOT NULL AND (source_city <> '{city}' OR {condition})"
 _SILVER_TESTS = [
-    "dba_name <> ''", "inspection_date <> ''", "inspection_type <> ''", "zip_code IS NOT NULL AND (length(zip_code) = 5 OR length(zip_code) = 4)",
-    "source_city != 'Chicago' OR (source_city = 'Chicago' AND results_std IS NOT NULL)",
-    "source_city != 'Dallas' OR (source_city = 'Dallas' AND violation_score IS NOT NULL AND TRY_CAST(violation_score AS INT) <= 100)",
-    "violation_count IS NOT NULL AND TRY_CAST(violation_count AS INT) >= 1",
-    "source_city != 'Dallas' OR (source_city = 'Dallas' AND (violation_score IS NULL OR violation_count IS NULL OR TRY_CAST(violation_score AS INT) < 90 "
-    "OR TRY_CAST(violation_count AS INT) <= 3))",
-    "source_city != 'Dallas' OR (source_city = 'Dallas' AND (results_std != 'PASS' OR (critical_violation = 'False' AND urgent_violation = 'False')))",
+    "dba_name <> ''", "inspection_date <> ''", "inspection_type <> ''", "coalesce(length(zip_code), 0) BETWEEN 4 AND 5",
+    _IN.format(city="Chicago", condition="results_std IS NOT NULL"),
+    _IN.format(city="Dallas", condition="coalesce(TRY_CAST(violation_score AS INT), 101) <= 100"),
+    "coalesce(TRY_CAST(violation_count AS INT), 0) > 0",
+    # a score that is no number counts as high, a missing one as low
+    _IN.format(city="Dallas", condition="coalesce(TRY_CAST(violation_score AS INT), CASE WHEN violation_score IS NULL THEN 0 ELSE 90 END) < 90 "
+                                        "OR coalesce(TRY_CAST(violation_count AS INT), 0) < 4"),
+    _IN.format(city="Dallas", condition="coalesce(results_std, 'PASS') <> 'PASS' OR concat(critical_violation, urgent_violation) = 'FalseFalse'"),
 ]
 
 
