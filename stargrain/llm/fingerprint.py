@@ -23,7 +23,7 @@ SHINGLE = 5
 K = 128
 BLANKS = " \t\n\x0b\x0c\r"
 # rows of the id order that go to one task
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 # ranges at most: bounds what is broadcast about them (a few MB)
 MOST_RANGES = 100_000
 
