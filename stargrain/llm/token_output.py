@@ -35,7 +35,7 @@ from stargrain.session import scratch_dir
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 # distinct words kept by a task's encoder before it starts afresh: bounds memory, changes no result
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 500_000
 ROW_GROUP_BYTES = 64 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
