@@ -36,7 +36,7 @@ ALPHABET = 64  # letters expected after a context, for smoothing
 ITERATIONS = 15
 # the most labelled documents used for each language
 MAX_LABELLED = 1_000_000
-_CHUNK = 1 << 20  # characters worked on at once, one text at least
+_CHUNK = 1 << 19  # characters worked on at once, one text at least
 
 _letters: np.ndarray | None = None
 
