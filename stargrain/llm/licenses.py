@@ -5,7 +5,8 @@ the least hash of every ``WINNOW`` neighbouring ones, so any shared passage of G
 a kept hash.  The templates' kept hashes form an inverted index (hash to template and place); a
 document's kept hashes are looked up there, and every hit proposes a template at an offset.  Around each
 cluster of offsets a banded local alignment of words scores the match and gives what share of the
-template it covers and where in the document it stands.
+template it covers and where in the document it stands.  The grams of templates too short to be sure of a
+shared kept hash are looked up at every place of a document.
 
 The index and the templates are a parameter of bounded size; documents are not shuffled.
 
@@ -52,7 +53,8 @@ TEMPLATES = {
     "CC-BY-work": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC0-1.0": "To the extent possible under law, the author has dedicated all copyright and related rights to the public domain.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
-    "all-rights-reserved": "Copyright. All rights reserved.",
+    "all-rights-reserved": "All rights reserved.",
+    "copyright-all-rights-reserved": "Copyright. All rights reserved.",
 }
 
 
@@ -83,17 +85,21 @@ class Index:
         self.gram, self.window = gram, window
         self.names = sorted(templates)
         self.words = []
-        hashes, owners, places = [], [], []
+        hashes, owners, places, short = [], [], [], []
         for t, name in enumerate(self.names):
             words, _, _ = words_of(templates[name])
             self.words.append(words)
             g = grams(words, gram)
             kept = winnow(g, window)
+            if len(g) < window:
+                short.append(g[kept])
             hashes.append(g[kept]), owners.append(np.full(len(kept), t)), places.append(kept)
         order = np.argsort(np.concatenate(hashes), kind="stable") if hashes else np.zeros(0, np.int64)
         self.hashes = np.concatenate(hashes)[order] if hashes else np.zeros(0, np.uint64)
         self.owners = np.concatenate(owners)[order] if hashes else order
         self.places = np.concatenate(places)[order] if hashes else order
+        # kept grams of templates of less than a window: a document's winnowing may leave them out
+        self.short = np.unique(np.concatenate(short)) if short else np.zeros(0, np.uint64)
 
     def hits(self, values: np.ndarray) -> np.ndarray:
         """Which values are in the index."""
@@ -143,6 +149,8 @@ def scan_words(hashes: np.ndarray, index: Index, least_coverage: float = LEAST_C
     values = grams(hashes, index.gram)
     kept = winnow(values, index.window)
     kept = kept[index.hits(values[kept])]
+    if len(index.short):
+        kept = np.union1d(kept, np.flatnonzero(np.isin(values, index.short)))
     proposals: dict[int, list[int]] = {}
     for place in kept.tolist():
         a, b = np.searchsorted(index.hashes, values[place], "left"), np.searchsorted(index.hashes, values[place], "right")

@@ -207,6 +207,34 @@ def test_licenses_are_found_where_they_stand(spark):
     assert got[2][0]["coverage"] == 1.0 and got[2][0]["words"] == len(licenses.words_of(apache)[0]) + 1
 
 
+def test_every_notice_wording_of_the_given_documents_is_found(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    got = {}
+    for r in licenses.scan(docs).collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], r["end"], r["license"]))
+    want = []
+    for name, notice in licenses.TEMPLATES.items():
+        words = re.findall("[a-z0-9]+", notice.lower())
+        plain = re.compile(r"(?<![^\x00-/:-@\[-`{-\x7f])" + r"[\x00-/:-@\[-`{-\x7f]+".join(words) + r"(?![^\x00-/:-@\[-`{-\x7f])", re.I | re.A)
+        want += [(i, m.start(), m.end(), name) for i, text in texts.items() if words[-2] in text.lower() for m in plain.finditer(text)]
+    # a wording within a longer one is reported as the longer one
+    missed = [w for w in want if not any(a <= w[1] and w[2] <= b for a, b, _ in got.get(w[0], []))]
+    assert not missed and len(want) > 30
+    assert {(i, a, b, n) for i, a, b, n in want if n == "all-rights-reserved"} <= {(i, *m) for i, ms in got.items() for m in ms}
+
+
+def test_a_notice_of_one_gram_is_found_between_any_words(spark):
+    rng = random.Random(8)
+    say = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(9))
+    texts = [f"{say()} All rights reserved. {say()}" for _ in range(60)] + ["Copyright 2024 Foo Inc. All rights reserved.", "Copyright. All rights reserved."]
+    got = {}
+    for r in licenses.scan(frame(spark, texts)).collect():
+        got.setdefault(r["doc_id"], []).append((r["license"], texts[r["doc_id"]][r["start"]:r["end"]]))
+    assert got == {**{i: [("all-rights-reserved", "All rights reserved")] for i in range(61)},
+                   61: [("copyright-all-rights-reserved", "Copyright. All rights reserved")]}
+
+
 def test_winnowing_keeps_a_hash_of_every_window():
     import numpy as np
     rng = np.random.default_rng(0)
