@@ -219,7 +219,7 @@ def links(points: DataFrame, max_distance: int = MAX_DISTANCE, *, sample_points:
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     max_distance: int = MAX_DISTANCE, row_key: bool = False, **options) -> DataFrame:
     """Per document: doc_id, fp (bigint) and component_id (the least doc_id reachable over links);
-    with ``row_key`` also a digest of id and text."""
+    with ``row_key`` also a digest of id and text, and the component's root fingerprint."""
     columns = [F.col(q(doc_id)).alias("doc_id"), F.col(q(text)).alias("text")]
     if row_key:
         columns.append(_row_key(doc_id, text).alias("row_key"))
@@ -229,12 +229,14 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     by_point = points.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
         .select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = by_point.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = cut(by_point.join(least, "root").select("fp", "component_id"))
+    named = cut(by_point.join(least, "root").select("fp", "component_id", *(["root"] if row_key else [])))
     return prints.join(named, "fp")
 
 
 def _row_key(doc_id: str, text: str):
-    return F.sha2(F.concat_ws(":", F.coalesce(F.col(q(doc_id)).cast("string"), F.lit("null")), F.coalesce(F.col(q(text)), F.lit(""))), 256)
+    # the id's length parts id and text, whatever they hold
+    id_ = F.col(q(doc_id)).cast("string")
+    return F.sha2(F.concat_ws(":", F.coalesce(F.length(id_).cast("string"), F.lit("null")), id_, F.coalesce(F.col(q(text)), F.lit(""))), 256)
 
 
 def report(docs: DataFrame, **options) -> DataFrame:
@@ -244,10 +246,12 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with the document of least id of each component; of rows that share that id, the one whose
-    text has the least digest stays, once."""
-    kept = near_duplicates(docs, doc_id=doc_id, text=text, row_key=True, **options) \
-        .where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.min("row_key").alias("k")).select("k")
+    """``docs`` with the document of least id of each component (one without an id only if none has one); of
+    rows that share that id, the one whose text has the least digest stays, once."""
+    # components are told apart by their root: ids may be null or repeated
+    found = near_duplicates(docs, doc_id=doc_id, text=text, row_key=True, **options)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key"))
+    kept = found.groupBy("root").agg(first.alias("first")).select(F.col("first.row_key").alias("k"))
     key = free_name(docs.columns, "row_key")
     rows = docs.withColumn(key, _row_key(doc_id, text)).join(kept.withColumnRenamed("k", key), key, "left_semi")
     return rows.dropDuplicates([key]).select(*[F.col(q(c)) for c in docs.columns])

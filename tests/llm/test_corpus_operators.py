@@ -199,6 +199,20 @@ def test_one_document_of_each_group_stays(spark):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [3, 9]
 
 
+def test_one_document_stays_of_groups_with_null_and_repeated_ids(spark):
+    rng = random.Random(11)
+    say = lambda: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(40))
+    a, b, c, d, e, f = (say() for _ in range(6))
+    rows = [(None, a), (None, b), (None, c), (None, c), (7, d), (7, e), (8, e), (None, e), (9, f)]
+    want = sorted([("None", a), ("None", b), ("None", c), ("7", d), ("7", e), ("9", f)])
+    kept = simhash.keep_one(documents(spark, [(i, t, None, None) for i, t in rows]).repartition(3)).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == want
+    # ids and texts that read the same when joined
+    docs = spark.createDataFrame([("x", f"y:{a}"), ("x:y", a), ("null", b), (None, c)], "doc_id string, text string")
+    prints = {r["fingerprint"] for r in simhash.report(docs).collect()}
+    assert simhash.keep_one(docs).count() == len(prints) == 4
+
+
 # ---------------------------------------------------------------- language ID
 
 def test_language_id_on_the_given_documents(spark):
