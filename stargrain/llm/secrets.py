@@ -1,8 +1,9 @@
 """Secret scans: base patterns, and a randomness test battery over other tokens, in DataFrame functions only.
 
 Base kinds are found by pattern.  Other long tokens become candidates: an encoding is inferred for each
-(hexadecimal, decimal, base32, letters, alphanumeric, base64 and its URL form), and three tests ask
-whether the token can still be structured text of that encoding:
+(hexadecimal, decimal, base32, letters, alphanumeric, base64 and its URL form, or all these symbols
+mixed), and three tests ask whether the token can still be structured text of that encoding.  A sign of
+equality is part of a token only as padding at its end, so a name and its value are tokens of their own:
 
 * chi-squared: its alphabet use is less even than random use by as much as natural text's is;
 * runs: the runs above and below the alphabet's middle are too few or too many;
@@ -32,7 +33,9 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ASSIGN_CHARS = 6
 ACCESS = "AKIA[A-Z0-9]{16,}"  # 20 characters and more; shorter runs can hold no longer match
 HEX = "[0-9a-f]{24,}"
-TOKEN = "[A-Za-z0-9+/=_-]{20,}"
+# 20 characters and more, '=' at the end included (no more than two of the 20; no value may follow it)
+SYMBOL, PADDING = "[A-Za-z0-9+/_-]", "(?![A-Za-z0-9+/_-])"
+TOKEN = f"{SYMBOL}{{20,}}+(?:=++{PADDING})?|{SYMBOL}{{19}}=++{PADDING}|{SYMBOL}{{18}}={{2,}}+{PADDING}"
 
 FALSE_DISCOVERY = 0.05
 # Concentration of natural text: the sum of squared letter shares, as used in cryptanalysis.
@@ -55,12 +58,13 @@ ENCODINGS = (
     ("alphanumeric", "^[A-Za-z0-9]+$", UPPER + LOWER + DIGITS),
     ("base64", "^[A-Za-z0-9+/]+=*$", UPPER + LOWER + DIGITS + "+/"),
     ("base64_url", "^[A-Za-z0-9_-]+=*$", UPPER + LOWER + DIGITS + "-_"),
+    ("mixed", "^[A-Za-z0-9+/_-]+=*$", UPPER + LOWER + DIGITS + "+/-_"),
 )
 
 
 def _encoding(value: Column) -> tuple[Column, Column]:
-    """(name, alphabet) of a token; ``mixed`` and an empty alphabet for others."""
-    name, alphabet = F.lit("mixed"), F.lit("")
+    """(name, alphabet) of a token; the last encoding holds every token."""
+    name, alphabet = F.lit(""), F.lit("")
     for n, pattern, letters in reversed(ENCODINGS):
         name = F.when(value.rlike(pattern), F.lit(n)).otherwise(name)
         alphabet = F.when(value.rlike(pattern), F.lit(letters)).otherwise(alphabet)

@@ -64,6 +64,33 @@ def test_random_tokens_are_found_and_structured_ones_left(spark):
     assert f"see {keys[one]} here"[int(a):int(b)] == keys[one]
 
 
+def test_random_values_behind_names_and_of_mixed_symbols_are_found(spark):
+    rng = random.Random(6)
+    symbols = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_"
+    keys = [base64.b64encode(rng.randbytes(37)).decode() for _ in range(20)]
+    mixed = ["+_" + "".join(rng.choice(symbols) for _ in range(46)) for _ in range(10)]
+    forms = ["sig={}", "auth={} next", "aws_key={}", "https://x.y/z?a=1&Signature={}&b=2", "a_name_of_twenty_letters_and_more={}"]
+    values = keys + mixed
+    texts = [forms[i % len(forms)].format(v) for i, v in enumerate(values)]
+    plain = ["path=some_long-slug-of-words-here/and-more-words/of-text", "name=another_identifier_with_underscores_in_it"]
+    got = by_id(secrets.report(frame(spark, texts + plain)))
+    right = 0
+    for i, v in enumerate(values):
+        spans = [s.split(":") for s in got[i]["spans"].split(",") if s.startswith("random")]
+        right += [texts[i][int(a):int(b)] for _, a, b in spans] == [v]
+    assert right >= 27
+    assert all(got[len(texts) + i]["n_random"] == 0 for i in range(len(plain)))
+
+
+@pytest.mark.parametrize("text,want", [
+    ("x=" + "a" * 20, ["a" * 20]), ("a" * 18 + "==", ["a" * 18 + "=="]), ("a" * 19 + "= b", ["a" * 19 + "="]), ("a" * 18 + "=", []),
+    ("a" * 19 + "=b", []), ("a" * 20 + "==b", ["a" * 20]), ("n" * 25 + "=" + "v" * 22 + "==&", ["n" * 25, "v" * 22 + "=="]), ("=" * 30, []),
+])
+def test_tokens_take_padding_only_at_their_end(spark, text, want):
+    spans = spark.createDataFrame([(text,)], "t string").select(secrets.candidates(F.col("t")).alias("c")).first()["c"]
+    assert [text[s["start"]:s["end"]] for s in spans] == want
+
+
 def test_discovery_rule_keeps_the_share_of_false_ones(spark):
     counts = spark.createDataFrame([("hex", 1, 60, 5), ("hex", 1, 30, 5), ("hex", 1, 2, 90), ("hex", 2, 1, 50)], "encoding string, size int, bin int, n bigint")
     # 10 ** -1.5 * 100 tokens = 3.2 expected among 10: too many at 0.05; 10 ** -3 * 100 = 0.1 among 5 is fine
