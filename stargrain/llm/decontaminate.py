@@ -188,21 +188,22 @@ def overlaps(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id:
         both = both.unionByName(p)
 
     def merged(spans):
+        # (first word, end word, first character, end character), merged by word numbers as within one block
         def add(acc, s):
             last = F.element_at(acc, -1)
-            joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.array(last[0], F.greatest(last[1], s[1]))))
+            joined = F.concat(F.slice(acc, 1, F.size(acc) - 1),
+                              F.array(F.array(last[0], F.greatest(last[1], s[1]), last[2], F.greatest(last[3], s[3]))))
             return F.when((F.size(acc) > 0) & (s[0] <= F.get(F.get(acc, F.size(acc) - 1), F.lit(1))), joined) \
                 .otherwise(F.concat(acc, F.array(s)))
         return F.aggregate(F.array_sort(spans), F.array().cast("array<array<bigint>>"), add)
 
     # blocks, not documents, are gathered here: as many rows for a text as the benchmark has blocks
     found = both.groupBy("k").agg(F.max("f.n_words").alias("n_words"),
-                                  F.flatten(F.collect_list("f.word_spans")).alias("w"),
-                                  F.flatten(F.collect_list("f.items")).alias("i"),
-                                  F.flatten(F.collect_list("f.char_spans")).alias("c")) \
-        .select(F.col("k").alias(key), F.struct("n_words", merged(F.col("w")).alias("word_spans"),
-                                                F.array_sort(F.array_distinct("i")).alias("items"),
-                                                merged(F.col("c")).alias("char_spans")).alias(name))
+                                  F.flatten(F.collect_list(F.zip_with("f.word_spans", "f.char_spans", lambda w, c: F.concat(w, c)))).alias("s"),
+                                  F.flatten(F.collect_list("f.items")).alias("i")) \
+        .select("k", "n_words", merged(F.col("s")).alias("s"), F.array_sort(F.array_distinct("i")).alias("items")) \
+        .select(F.col("k").alias(key), F.struct("n_words", F.transform("s", lambda s: F.slice(s, 1, 2)).alias("word_spans"), "items",
+                                                F.transform("s", lambda s: F.slice(s, 3, 2)).alias("char_spans")).alias(name))
     return docs.withColumn(key, digest).join(found, key, "left").drop(key).select(
         *[F.col(q(c)) for c in docs.columns], F.col(q(name))), name
 

@@ -107,6 +107,17 @@ def test_decontamination_equals_brute_force(spark, block_bytes):
         assert sum(len(contract_words(w)) for w in words) == r["n_hit"]
 
 
+def test_several_blocks_give_the_spans_of_one(spark):
+    items = [(k, " ".join(f"i{k}w{n}" for n in range(14))) for k in range(8)]
+    texts = [f"é start {a} --  {b}, {c} end" for (_, a), (_, b), (_, c) in zip(items, items[1:], items[2:])] + [items[0][1] + " x " + items[1][1]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    one, many = ({r["doc_id"]: tuple(r) for r in decontaminate.report(docs, benchmark, block_bytes=n).collect()} for n in (8_000_000, 150))
+    assert one == many and one[0][-1] == f"8:{len(texts[0]) - 4}"
+    cut = decontaminate.clean(docs, benchmark, share=0, cut_spans=True, block_bytes=150)
+    assert {r["doc_id"]: r["text"] for r in cut.collect()} == {i: " x " if i == 6 else "é start  end" for i in range(7)}
+
+
 def test_small_shards_find_the_same(spark):
     docs, items = overlap_case()
     patterns = decontaminate.Patterns([(str(i), t) for i, t in items])
