@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stargrain.llm import chat, decontaminate, fingerprint, language_id, licenses, mixing, pii, secrets, simhash, sql, token_output
+from stargrain.llm import (chat, decontaminate, fingerprint, language_id, licenses, merkle, mixing, pii, quality_rules, secrets, simhash, sql,
+                           token_output)
 from stargrain.llm.common import table
 
 # Target weights by level; names that are not listed weigh 1.
@@ -59,10 +60,18 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.report(table(spark, sf_dir, "documents"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_mixing, op3_secrets, op4_pii, op5_fingerprints, op6_chat, op7_decontamination, op8_simhash,
-        op9_token_output, op10_licenses)
+        op9_token_output, op10_licenses, op12_merkle, op13_quality)
 }
 
 # The others need XXH64, a trained model, statistics or a tokenizer; tests hold them against brute force.
@@ -70,4 +79,6 @@ ORACLE: dict[str, str] = {
     "op2_mixing": sql.mixing_sql(MIX_WEIGHTS, MIX_EPOCHS, MIX_SEED),
     "op6_chat": chat.ROTATE_SQL,
     "op7_decontamination": sql.overlap_sql(),
+    "op12_merkle": merkle.REPORT_SQL,
+    "op13_quality": quality_rules.REPORT_SQL,
 }
