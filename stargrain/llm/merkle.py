@@ -34,7 +34,6 @@ from stargrain.operators.ordered import RANGE, sequence
 FANOUT = 8
 LEVELS = 3  # levels climbed in a round
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-_STEP = "array<struct<left:string,right:string>>"
 
 
 def field(column: Column) -> Column:
@@ -58,41 +57,31 @@ def proof(path: Column) -> Column:
 
 
 def _round(nodes: DataFrame, carried: Sequence[str], fanout: int, levels: int) -> DataFrame:
-    """``nodes`` (grp, pos, h) with chunk, slot_in_chunk, path (the levels inside the chunk) and, on a chunk's first row,
-    top: the chunk's node."""
+    """``nodes`` (grp, pos, h and the ``carried`` columns) with chunk, place in the chunk, path (the levels inside the
+    chunk) and, on a chunk's first row, top: the chunk's node."""
     width = fanout ** levels
-    rows = nodes.select("grp", "pos", "h", *carried, F.floor(F.col("pos") / width).cast("bigint").alias("chunk"),
-                        (F.col("pos") % width).cast("int").alias("place"))
-    order = Window.partitionBy("grp", "chunk").orderBy("place")
-    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    rows = rows.withColumn("size", F.count(F.lit(1)).over(whole))
-    keep, none = ["grp", "pos", *carried, "chunk", "place"], F.lit(None).cast("string")
-    node = F.col("h")
+    order = "PARTITION BY grp, chunk ORDER BY place"
+    keep = ["grp", "pos", "h", "chunk", "place", *[q(c) for c in carried]]
+    rows = nodes.selectExpr("grp", "pos", "h", *[q(c) for c in carried], f"pos div {width} AS chunk", f"int(pos % {width}) AS place")
+    rows = rows.selectExpr(*keep, "h AS h0", f"count(1) OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS size")
     steps: list[str] = []
     for level in range(levels):
-        apart = fanout ** level
-        # on a node's first row: its slot in its run; a neighbour beyond the chunk's last node is not there (null)
-        slot = F.floor(F.col("place") / apart) % fanout
-        first = F.col("place") % apart == 0
-        exists = (F.col("chunk") > 0) | (F.col("size") > apart)
-        left = F.concat(*[F.when(slot >= j, F.coalesce(F.lag(node, j * apart).over(order), F.lit(""))).otherwise(F.lit(""))
-                          for j in range(fanout - 1, 0, -1)])
-        right = F.concat(*[F.when(slot + j < fanout, F.coalesce(F.lead(node, j * apart).over(order), F.lit(""))).otherwise(F.lit(""))
-                           for j in range(1, fanout)])
-        step, up = f"step{level}", f"h{level + 1}"
-        rows = rows.withColumn("left", F.when(first, left)).withColumn("right", F.when(first, right))
-        parent = F.when(F.col("place") % (apart * fanout) == 0, F.when(exists, F.sha2(F.concat(node, F.col("right")), 256)).otherwise(node)).otherwise(none)
-        rows = rows.withColumn(up, parent) \
-            .withColumn(step, F.when(first & exists, F.struct("left", "right"))) \
-            .select(*keep, "size", "h", *steps, step, *[f"h{i}" for i in range(1, level + 2)])
-        steps.append(step)
-        node = F.col(up)
-    # a row's siblings on a level stand on the first row below the same node, the last such row before it
-    filled = rows.select(*keep, F.col("h"), F.col(f"h{levels}").alias("top"), "size",
-                         *[F.last(s, ignorenulls=True).over(upto).alias(s) for s in steps])
-    there = [F.when((F.col("chunk") > 0) | (F.col("size") > fanout ** i), F.col(s)) for i, s in enumerate(steps)]
-    return filled.select(*keep, "h", "top", F.filter(F.array(*there), lambda s: s.isNotNull()).cast(_STEP).alias("path"))
+        apart = fanout ** level  # rows between neighbouring nodes
+        slot, first = f"(place div {apart} % {fanout})", f"place % {apart} = 0"
+        exists = f"(chunk > 0 OR size > {apart})"
+        # on a node's first row; a neighbour beyond the chunk's last node is not there (null)
+        left = ", ".join(f"if({slot} >= {j}, coalesce(lag(h{level}, {j * apart}) OVER ({order}), ''), '')" for j in range(fanout - 1, 0, -1))
+        right = ", ".join(f"if({slot} + {j} < {fanout}, coalesce(lead(h{level}, {j * apart}) OVER ({order}), ''), '')" for j in range(1, fanout))
+        rows = rows.selectExpr(*keep, "size", f"h{level}", *steps, f"concat({left}) AS left", f"concat({right}) AS right")
+        rows = rows.selectExpr(
+            *keep, "size", *steps, f"if({first} AND {exists}, struct(left, right), NULL) AS step{level}",
+            f"CASE WHEN place % {apart * fanout} = 0 THEN if({exists}, sha2(concat(h{level}, right), 256), h{level}) END AS h{level + 1}")
+        steps.append(f"step{level}")
+    # a row's siblings on a level stand on the first row below the same node: the last such row up to it
+    upto = f"({order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    filled = rows.selectExpr(*keep, "size", f"h{levels} AS top", *[f"last({s}, true) OVER {upto} AS {s}" for s in steps])
+    there = ", ".join(f"if(chunk > 0 OR size > {fanout ** i}, {s}, NULL)" for i, s in enumerate(steps))
+    return filled.selectExpr(*keep, "top", f"filter(array({there}), s -> s IS NOT NULL) AS path")
 
 
 def climb(nodes: DataFrame, carried: Sequence[str] = (), *, fanout: int = FANOUT, levels: int = LEVELS) -> DataFrame:
@@ -102,8 +91,8 @@ def climb(nodes: DataFrame, carried: Sequence[str] = (), *, fanout: int = FANOUT
     inside = _round(nodes, carried, fanout, levels)
     if last is None or last < fanout ** levels:
         # every group is one chunk: its top is the root
-        whole = Window.partitionBy("grp", "chunk").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return inside.select("grp", "pos", "h", *carried, "path", F.first("top").over(whole).alias("subroot"))
+        upto = Window.partitionBy("grp", "chunk").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return inside.select("grp", "pos", "h", *carried, "path", F.first("top").over(upto).alias("subroot"))
     tops = stored(inside.where("place = 0").select("grp", F.col("chunk").alias("pos"), F.col("top").alias("h")), "merkle")
     above = climb(tops, fanout=fanout, levels=levels).select("grp", F.col("pos").alias("chunk"), F.col("path").alias("above"), "subroot")
     return inside.join(above, ["grp", "chunk"]).select("grp", "pos", "h", *carried, F.concat("path", "above").alias("path"), "subroot")
