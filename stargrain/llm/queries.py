@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stargrain.llm import (chat, decontaminate, fingerprint, language_id, licenses, merkle, mixing, pii, quality_rules, secrets, simhash, sql,
+from stargrain.llm import (chat, decontaminate, fingerprint, language_id, licenses, merkle, mixing, periodic, pii, quality_rules, secrets, simhash, sql,
                            token_output)
 from stargrain.llm.common import table
 
@@ -60,6 +60,10 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.report(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.report(table(spark, sf_dir, "documents"))
 
@@ -71,7 +75,7 @@ def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_language_id, op2_mixing, op3_secrets, op4_pii, op5_fingerprints, op6_chat, op7_decontamination, op8_simhash,
-        op9_token_output, op10_licenses, op12_merkle, op13_quality)
+        op9_token_output, op10_licenses, op11_periodic, op12_merkle, op13_quality)
 }
 
 # The others need XXH64, a trained model, statistics or a tokenizer; tests hold them against brute force.
