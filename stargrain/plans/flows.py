@@ -220,6 +220,20 @@ def q_delimited_round_trip(spark, d):
     return read_delimited(spark, path, sep=",", multiline=True, source_file=None)
 
 
+@query("split_quoted_scan", """
+SELECT l_orderkey::VARCHAR AS l_orderkey, l_linenumber::VARCHAR AS l_linenumber,
+  CASE l_partkey % 3 WHEN 0 THEN 'size 5\" pipe' WHEN 1 THEN 'first' || chr(10) || chr(10) || '\"second\", ' || l_suppkey::VARCHAR ELSE ',' || chr(10) || 'z' END AS note
+FROM lineitem
+""")
+def q_split_quoted_scan(spark, d):
+    """Notes with record breaks, quotes and separators, out of files whose byte ranges are read by many tasks."""
+    kind = F.col("l_partkey") % 3
+    note = F.when(kind == 0, F.lit('size 5" pipe')).when(kind == 1, F.concat(F.lit('first\n\n"second", '), F.col("l_suppkey").cast("string"))).otherwise(F.lit(",\nz"))
+    path = scratch_dir(spark, "quoted")
+    write_delimited(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", note.alias("note")), path, line_sep="\n")
+    return read_delimited(spark, path, sep=",", multiline=True, source_file=None)
+
+
 @query("delimited_headers", """
 SELECT c_custkey::VARCHAR AS c_custkey, c_name, NULL::VARCHAR AS s_phone FROM customer
 UNION ALL SELECT s_suppkey::VARCHAR, s_name, 'x' || s_nationkey::VARCHAR FROM supplier

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from stargrain.sources.quoted import SPLIT_ENCODINGS, read_quoted
+
 
 def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     """The files behind paths, folders and globs, in name order (hidden files left out)."""
@@ -49,7 +51,7 @@ def all_string_schema(columns: Sequence[str]) -> StructType:
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], *, sep: str = "\t",
                    encoding: str = "ISO-8859-1", multiline: bool = False,
                    columns: Sequence[str] | None = None, source_file: str | None = "FileName",
-                   corrupt: str | None = None) -> DataFrame:
+                   corrupt: str | None = None, split: bool = True) -> DataFrame:
     """S1-S4 + O4: header + delimiter + encoding, every column a string.
 
     Globs and folders are expanded first and files are grouped by their own
@@ -58,8 +60,10 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], *, sep: str
     with a warning, as the workflow's union does.  The reader checks each
     file's header against the schema.  A record with more or fewer fields than
     the header stops the read, or with ``corrupt`` is kept and its text put in the
-    column of that name.  ``multiline`` lets quoted fields hold record breaks (S2;
-    such files are not split).  ``source_file`` adds the file name of each row.
+    column of that name.  ``multiline`` lets quoted fields hold record breaks (S2):
+    such files are split as well (:mod:`stargrain.sources.quoted`); ``split=False``, or an
+    encoding in which a quote is not one byte, takes each file in one task.
+    ``source_file`` adds the file name of each row.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     groups: dict[tuple[str, ...], list[str]] = {}
@@ -74,6 +78,11 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], *, sep: str
         reader = reader.option("columnNameOfCorruptRecord", corrupt)
     out = None
     for cols, group in groups.items():
+        if multiline and split and encoding.upper() in SPLIT_ENCODINGS:
+            df = read_quoted(spark, group, all_string_schema([*cols, corrupt] if corrupt else cols), sep=sep, encoding=encoding.upper(),
+                             header=cols if columns is None else None, corrupt=corrupt, source_file=source_file)
+            out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+            continue
         df = reader.schema(all_string_schema([*cols, corrupt] if corrupt else cols)).csv(group)
         if source_file:
             df = df.withColumn(source_file, F.col("_metadata.file_name"))
