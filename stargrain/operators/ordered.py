@@ -178,3 +178,27 @@ def sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str
              parts: int | None = None, layout: str = PLAIN) -> DataFrame:
     """1-based position (``bigint``) of each row within its key."""
     return ordered(df, keys, order, seq=out, parts=parts, layout=layout)
+
+
+def run_sequence(df: DataFrame, keys: Sequence[str], arrival: Sequence[str], out: str = "seq", run: str | None = None,
+                 parts: int | None = None) -> DataFrame:
+    """W1, run-based form: rows are taken in ``arrival`` order (file, position), unsorted by key; the number starts
+    again whenever a key differs from the row before, so a key that comes back later opens a new run.
+
+    Gaps and islands in the range layout, with no window over all rows: the row before comes across a
+    partition's end from the boundary table, and so do the row numbers and the last run's start.  ``run`` adds the
+    1-based number of the run.  ``arrival`` must order the rows totally; NULL keys are equal to each other.
+    """
+    keys, arrival = list(keys), list(arrival)
+    row = df.withColumn("_sg_key", F.struct(*[F.col(f"`{k}`") for k in keys]))
+    marked = ordered(row, [], arrival, seq="_sg_row", prev={"_sg_before": "_sg_key"}, parts=parts, layout=RANGE)
+    opens = (F.col("_sg_row") == 1) | ~F.col("_sg_before").eqNullSafe(F.col("_sg_key"))
+    marked = marked.withColumn("_sg_open", F.when(opens, F.col("_sg_row")))
+    starts = ordered(marked, [], ["_sg_row"], carry={"_sg_start": "_sg_open"}, parts=parts, layout=RANGE)
+    found = starts.withColumn(out, F.col("_sg_row") - F.col("_sg_start") + 1)
+    if run:
+        # runs are few where rows are many: their starts alone are numbered
+        ids = ordered(starts.where(F.col("_sg_open").isNotNull()).select(F.col("_sg_open").alias("_sg_first")), [], ["_sg_first"], seq=run,
+                      parts=parts, layout=RANGE)
+        found = found.join(ids, F.col("_sg_start") == F.col("_sg_first")).drop("_sg_first")
+    return found.drop("_sg_key", "_sg_row", "_sg_before", "_sg_open", "_sg_start")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +15,9 @@ def concat_agg(c: ColLike, sep: str = "|", order_by: Sequence[ColLike] | None =
 
     Built on ``collect_list`` (combined map-side) + ``array_sort`` of
     ``(order, value)`` structs, so the order is explicit and stable.
-    The output of one group is as long as the group: it is meant for
-    naturally small groups (violations of one inspection, lines of one order).
+    The output of one group is as long as the group, and so is its array in one
+    task: it is meant for naturally small groups (violations of one inspection,
+    lines of one order); :func:`concat_by` is for the others.
     """
     v = _c(c).cast("string")
     if not order_by:
@@ -25,6 +26,36 @@ def concat_agg(c: ColLike, sep: str = "|", order_by: Sequence[ColLike] | None =
     return F.array_join(F.transform(F.array_sort(F.collect_list(keyed)), lambda x: x["v"]), sep)
 
 
+def concat_by(df: DataFrame, by: Sequence[str], concats: Mapping[str, tuple[str, str]], order_by: Sequence[str],
+              parts: int | None = None) -> DataFrame:
+    """A2 Concat for groups of any size: the columns of ``concat_agg`` (``concats``: output name to (column, separator)), in
+    two ordered steps.
+
+    A range exchange by (group, order) cuts a hot group into ordered pieces; each piece is concatenated in
+    the task that holds it (``collect_list`` is combined before the second exchange, so a piece moves as one
+    row), and the pieces of a group, one row each, are joined in their order.  No task sorts or holds
+    a whole group's rows; the group's text itself is one value, as long as the group.  Rows that are equal in
+    ``by`` and ``order_by`` are ordered by the concatenated values.
+    """
+    by, order_by = list(by), list(order_by)
+    columns = list(dict.fromkeys(c for c, _ in concats.values()))
+    ordering = [*order_by, *[c for c in columns if c not in order_by]]
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [F.col(f"`{c}`") for c in by]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(ordering)],
+                   *[F.col(f"`{c}`").cast("string").alias(f"v{i}") for i, c in enumerate(columns)])
+    pieces = df.repartitionByRange(n, *[F.col(f"`{c}`").asc_nulls_first() for c in [*by, *ordering]]) \
+        .groupBy(*keys, F.spark_partition_id().alias("_sg_piece")).agg(F.array_sort(F.collect_list(row)).alias("_sg_rows"))
+    # a piece without any value has no text; array_join leaves it out, as it leaves NULL values out
+    texts, joined = [], []
+    for name, (c, sep) in concats.items():
+        values = F.col(f"_sg_rows.v{columns.index(c)}")
+        texts.append(F.when(F.exists(values, lambda v: v.isNotNull()), F.array_join(values, sep)).alias(f"_sg_{name}"))
+        pieces_of = F.array_sort(F.collect_list(F.struct("_sg_piece", F.col(f"_sg_{name}").alias("text"))))
+        joined.append(F.array_join(F.transform(pieces_of, lambda p: p["text"]), sep).alias(name))
+    return pieces.select(*keys, "_sg_piece", *texts).groupBy(*keys).agg(*joined)
+
+
 def mode_agg(c: ColLike) -> Column:
     """Mode, lowest value on ties.  Spark's ``mode`` keeps a value->count map
     per group and merges partial maps, so its memory is bounded by the
@@ -37,9 +68,19 @@ def any_true(c: ColLike) -> Column:
     return F.coalesce(F.max(_c(c).cast("boolean")), F.lit(False))
 
 
-def summarize(df: DataFrame, by: Sequence[str], aggs: dict[str, Column]) -> DataFrame:
-    """A1/A2: ``groupBy(by).agg(...)`` with every output aliased."""
-    return df.groupBy(*by).agg(*[col.alias(name) for name, col in aggs.items()])
+def summarize(df: DataFrame, by: Sequence[str], aggs: dict[str, Column], concats: Mapping[str, tuple[str, str]] | None = None,
+              order_by: Sequence[str] = (), parts: int | None = None) -> DataFrame:
+    """A1/A2: ``groupBy(by).agg(...)`` with every output aliased.  ``concats`` adds texts for groups that may be hot
+    (:func:`concat_by`); both halves have one row per group and are joined NULL-safe."""
+    out = df.groupBy(*by).agg(*[col.alias(name) for name, col in aggs.items()])
+    if not concats:
+        return out
+    texts = concat_by(df, by, concats, order_by, parts)
+    named = texts.select(*[F.col(f"`{c}`").alias(f"_sg_by{i}") for i, c in enumerate(by)], *concats)
+    same = F.lit(True)
+    for i, c in enumerate(by):
+        same = same & F.col(f"`{c}`").eqNullSafe(F.col(f"_sg_by{i}"))
+    return out.join(named, same).drop(*[f"_sg_by{i}" for i in range(len(by))])
 
 
 def attach_summary(df: DataFrame, summary: DataFrame, by: Sequence[str]) -> DataFrame:

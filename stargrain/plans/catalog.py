@@ -529,13 +529,17 @@ FROM lineitem GROUP BY l_orderkey, l_linenumber
 """)
 def q_slots_to_rows(spark, d):
     """Lines of an order side by side (one slot group per line number, CrossTab
-    with sum/max), then the slot groups back to rows (R4, narrow ``inline``)."""
+    with sum/max), then the slot groups back to rows (R4, narrow ``inline``).
+    A wide row has 25 slots; line numbers beyond it, and those that are NULL,
+    stand on further rows of their order."""
     li = table(spark, d, "lineitem")
-    slots = range(1, SLOTS + 1)
-    wide = li.groupBy("l_orderkey").pivot("l_linenumber", list(slots)).agg(
-        F.sum("l_quantity").alias("qty"), F.max("l_partkey").alias("max_part"))
-    return slots_to_rows(wide, ["l_orderkey"], [{"qty": f"{i}_qty", "max_part": f"{i}_max_part"} for i in slots],
-                         slot_col="l_linenumber")
+    number, slots = F.col("l_linenumber"), range(1, SLOTS + 1)
+    li = li.withColumn("part", F.floor((number - 1) / SLOTS)).withColumn("slot", F.coalesce(F.pmod(number - 1, F.lit(SLOTS)) + 1, F.lit(1)))
+    wide = li.groupBy("l_orderkey", "part").pivot("slot", list(slots)).agg(
+        F.sum("l_quantity").alias("qty"), F.max("l_partkey").alias("max_part"), F.count(F.lit(1)).alias("lines"))
+    rows = slots_to_rows(wide, ["l_orderkey", "part"], [{c: f"{i}_{c}" for c in ("qty", "max_part", "lines")} for i in slots], slot_col="slot")
+    again = (F.col("part") * SLOTS + F.col("slot")).cast(li.schema["l_linenumber"].dataType)
+    return rows.select("l_orderkey", again.alias("l_linenumber"), "qty", "max_part")
 
 
 # ---------------------------------------------------------------------------

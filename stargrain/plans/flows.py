@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from stargrain.functions import rules as R
 from stargrain.operators.facts import Lookup, refresh_missing_keys
-from stargrain.operators.ordered import sequence
+from stargrain.operators.ordered import run_sequence, sequence
 from stargrain.operators.scd2 import scd2_final, scd2_transformed
-from stargrain.operators.summarize import concat_agg
+from stargrain.operators.summarize import concat_agg, summarize
 from stargrain.plans import inspections as P
 from stargrain.plans.catalog import (_TRACKED_SQL, LINE_ID, _sk, customer_dimension, event_versions, query, table)
 from stargrain.session import scratch_dir
@@ -98,23 +98,26 @@ _B_MEMOS = ["", "memo", "urgent memo", "critical memo"]
 
 
 def city_b_raw(spark, d) -> DataFrame:
-    """Orders in the second city's layout: up to 25 lines side by side, one file column per field."""
-    li = sequence(table(spark, d, "lineitem").select(*LINE_ID), ["l_orderkey"], LINE_ID[1:], out="n").where(F.col("n") <= P.CITY_B_SLOTS)
+    """Orders in the second city's layout: 25 lines side by side, one file column per field; an order's further lines
+    stand on further rows of the file."""
+    li = sequence(table(spark, d, "lineitem").select(*LINE_ID), ["l_orderkey"], LINE_ID[1:], out="line") \
+        .withColumn("part", F.floor((F.col("line") - 1) / P.CITY_B_SLOTS)).withColumn("n", (F.col("line") - 1) % P.CITY_B_SLOTS + 1)
     fields = {
         "Violation_Description": F.concat(F.lit("*"), (F.col("l_partkey") % 60).cast("string"), F.lit(" "), _pick(_B_NAMES, F.col("l_suppkey"))),
         "Violation_Points": F.when(F.col("l_partkey") % 4 == 0, F.lit("")).otherwise((F.col("l_partkey") % 13).cast("string")),
         "Violation_Detail": F.when(F.col("l_suppkey") % 3 == 0, F.lit("detail")).otherwise(F.lit("")),
         "Violation_Memo": _pick(_B_MEMOS, F.col("l_partkey"))}
-    lines = li.select("l_orderkey", "n", F.struct(*[c.alias(k) for k, c in fields.items()]).alias("v"))
+    lines = li.select("l_orderkey", "part", "n", F.struct(*[c.alias(k) for k, c in fields.items()]).alias("v"))
     slots = [F.max(F.when(F.col("n") == i, F.col("v"))).alias(f"s{i}") for i in range(1, P.CITY_B_SLOTS + 1)]
-    wide = lines.groupBy("l_orderkey").agg(*slots)
+    wide = lines.groupBy("l_orderkey", "part").agg(*slots)
     o = table(spark, d, "orders")
     ids = {
         "Restaurant Name": F.concat(F.lit("Taco "), F.col("o_orderkey").cast("string")), "Inspection Type": F.lit("Routine"),
         "Inspection Date": F.date_format("o_orderdate", "yyyy-MM-dd"), "Inspection Score": (F.col("o_orderkey") % 41 + 60).cast("string"),
         "Street Number": (F.col("o_orderkey") % 900).cast("string"), "Street Name": F.lit("Elm"), "Street Direction": F.lit(""), "Street Type": F.lit("St"),
         "Street Unit": F.lit("4"), "Street Address": F.lit(""), "Zip Code": (F.col("o_orderkey") % 100 + 7500).cast("string"), "Inspection Month": F.lit(""),
-        "Inspection Year": F.lit(""), "Lat Long Location": F.lit("Dallas (32.7, -96.8)"), "FileName": F.lit("b.tsv")}
+        "Inspection Year": F.lit(""), "Lat Long Location": F.lit("Dallas (32.7, -96.8)"),
+        "FileName": F.concat(F.lit("b"), F.lpad(F.col("part").cast("string"), 6, "0"), F.lit(".tsv"))}
     columns = [c.alias(n) for n, c in ids.items()]
     for i in range(1, P.CITY_B_SLOTS + 1):
         columns += [F.col(f"s{i}.{field}").alias(name) for field, name in P.city_b_slot_columns(i).items()]
@@ -126,13 +129,13 @@ WITH lines AS (
   SELECT l_orderkey, l_partkey % 60 AS code, '*' || (l_partkey % 60)::VARCHAR || ' ' || {_pick_sql(_B_NAMES, 'l_suppkey')} AS description,
          CASE WHEN l_partkey % 4 = 0 THEN 0 ELSE l_partkey % 13 END AS points,
          trim(CASE WHEN l_suppkey % 3 = 0 THEN 'detail | ' ELSE '' END || {_pick_sql(_B_MEMOS, 'l_partkey')}) AS comments,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS slot FROM lineitem QUALIFY slot <= 25),
-firsts AS (SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY l_orderkey, code ORDER BY slot) = 1),
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) AS line, (line - 1) % 25 + 1 AS slot FROM lineitem),
+firsts AS (SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY l_orderkey, code ORDER BY line) = 1),
 flags AS (
   SELECT *, (contains(upper(description), 'CRITICAL') OR contains(upper(description), 'PRIORITY') OR contains(upper(description), 'MAJOR')
              OR contains(upper(comments), 'CRITICAL') OR points >= 8) AS critical,
          (contains(upper(description), 'URGENT') OR contains(upper(description), 'IMMINENT') OR contains(upper(comments), 'URGENT') OR points >= 10) AS urgent,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY code::VARCHAR, slot) AS n FROM firsts),
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY code::VARCHAR, line) AS n FROM firsts),
 summary AS (
   SELECT l_orderkey, count(*) AS violations, string_agg(code::VARCHAR, '|' ORDER BY n) AS codes, bool_or(critical) AS any_critical, bool_or(urgent) AS any_urgent
   FROM flags GROUP BY l_orderkey),
@@ -202,6 +205,38 @@ def q_record_flags(spark, d):
     return t.select("o_orderkey", *[c.alias(n) for n, c in R.record_flags("v", "l").items()])
 
 
+# ---------------------------------------------------------------------------
+# Summaries and sequences that a hot key does not gather in one task
+# ---------------------------------------------------------------------------
+_HOT_SQL = "CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE l_suppkey END"
+
+
+@query("hot_group_concat", f"""
+WITH t AS (SELECT {_HOT_SQL} AS grp, l_orderkey, l_linenumber, nullif(l_partkey % 7, 3)::VARCHAR AS code, l_returnflag, l_quantity FROM lineitem)
+SELECT grp, count(*) AS n, sum(l_quantity) AS quantity, coalesce(string_agg(code, '|' ORDER BY l_orderkey, l_linenumber, code NULLS FIRST, l_returnflag), '') AS codes,
+  string_agg(l_returnflag, '' ORDER BY l_orderkey, l_linenumber, code NULLS FIRST, l_returnflag) AS flags
+FROM t GROUP BY grp
+""")
+def q_hot_group_concat(spark, d):
+    """Count, Sum and two Concats where one group (a NULL key) holds a third of the rows."""
+    t = table(spark, d, "lineitem").select(F.expr(_HOT_SQL).alias("grp"), "l_orderkey", "l_linenumber",
+                                           F.nullif(F.col("l_partkey") % 7, F.lit(3)).cast("string").alias("code"), "l_returnflag", "l_quantity")
+    return summarize(t, ["grp"], {"n": F.count(F.lit(1)), "quantity": F.sum("l_quantity")},
+                     concats={"codes": ("code", "|"), "flags": ("l_returnflag", "")}, order_by=["l_orderkey", "l_linenumber"])
+
+
+@query("arrival_runs", f"""
+WITH t AS (SELECT event_id, event_type, row_number() OVER (ORDER BY ts, event_id) AS pos FROM events),
+m AS (SELECT *, CASE WHEN pos = 1 OR event_type IS DISTINCT FROM lag(event_type) OVER (ORDER BY pos) THEN 1 ELSE 0 END AS opens FROM t),
+r AS (SELECT *, sum(opens) OVER (ORDER BY pos) AS run FROM m)
+SELECT event_id, event_type, run::BIGINT AS run, row_number() OVER (PARTITION BY run ORDER BY pos) AS seq FROM r
+""")
+def q_arrival_runs(spark, d):
+    """W1 on unsorted input: numbers that start again at each change of the event type in arrival order."""
+    return run_sequence(table(spark, d, "events").select("event_id", "event_type", "ts"), ["event_type"], ["ts", "event_id"], run="run") \
+        .select("event_id", "event_type", "run", "seq")
+
+
 # ---------------------------------------------------------------------------
 # Files and tables
 # ---------------------------------------------------------------------------

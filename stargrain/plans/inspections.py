@@ -203,7 +203,7 @@ def city_b_unified(raw: DataFrame, output_file: str = "Dallas.csv", comment_widt
             .withColumn("aka_name", cut(F.col("dba_name"), alias_width))
             .withColumn("risk_category", R.score_risk(_c("Inspection Score")))                     # B13
             .withColumn("facility_type", F.lit("Restaurant")))
-    df = unique_first(df, ["inspection_id", "violation_code"], ["_slot"])                   # O1 + A5 after sort
+    df = unique_first(df, ["inspection_id", "violation_code"], ["FileName", "_slot"])       # O1 + A5 after sort
     df = sequence(df, ["inspection_id"], ["violation_code", "_slot"], out="violation_sequence")  # W1
     df = df.where(F.col("violation_sequence") >= 1)                                       # P8 guard
     summary = df.groupBy("inspection_id").agg(                                              # A2
