@@ -23,7 +23,7 @@ as fields are not read, whatever their names.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -84,18 +84,25 @@ def _round(nodes: DataFrame, carried: Sequence[str], fanout: int, levels: int) -
     return filled.selectExpr(*keep, "top", f"filter(array({there}), s -> s IS NOT NULL) AS path")
 
 
-def climb(nodes: DataFrame, carried: Sequence[str] = (), *, fanout: int = FANOUT, levels: int = LEVELS) -> DataFrame:
+def climb(nodes: DataFrame, carried: Sequence[str] = (), *, fanout: int = FANOUT, levels: int = LEVELS,
+          beyond: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """``nodes`` (grp, pos from 0 within grp, h and the ``carried`` columns) with path (siblings up to the group's
-    root, from the bottom) and subroot."""
+    root, from the bottom) and subroot.  ``beyond`` takes one row per group (grp, h: its subroot) and gives grp, over
+    and root: over is added to the paths.  It is joined where a group has a single chunk, so no group's rows meet for it."""
     last = nodes.agg(F.max("pos")).first()[0]
     inside = _round(nodes, carried, fanout, levels)
+    rows = ["grp", "pos", "h", *[q(c) for c in carried]]
     if last is None or last < fanout ** levels:
         # every group is one chunk: its top is the root
         upto = Window.partitionBy("grp", "chunk").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return inside.select("grp", "pos", "h", *carried, "path", F.first("top").over(upto).alias("subroot"))
+        whole = inside.select(*rows, "path", F.first("top").over(upto).alias("subroot"))
+        if beyond is None:
+            return whole
+        over = beyond(stored(whole.where("pos = 0").select("grp", F.col("subroot").alias("h")), "merkle"))
+        return whole.join(over, "grp").select(*rows, F.concat("path", "over").alias("path"), "subroot", "root")
     tops = stored(inside.where("place = 0").select("grp", F.col("chunk").alias("pos"), F.col("top").alias("h")), "merkle")
-    above = climb(tops, fanout=fanout, levels=levels).select("grp", F.col("pos").alias("chunk"), F.col("path").alias("above"), "subroot")
-    return inside.join(above, ["grp", "chunk"]).select("grp", "pos", "h", *carried, F.concat("path", "above").alias("path"), "subroot")
+    above = climb(tops, fanout=fanout, levels=levels, beyond=beyond).drop("h").withColumnRenamed("pos", "chunk").withColumnRenamed("path", "above")
+    return inside.join(above, ["grp", "chunk"]).select(*rows, F.concat("path", "above").alias("path"), "subroot", *(["root"] if beyond else []))
 
 
 def manifest(docs: DataFrame, *, doc_id: str = "doc_id", group: str = "lang", fields: Sequence[str] = FIELDS,
@@ -104,21 +111,24 @@ def manifest(docs: DataFrame, *, doc_id: str = "doc_id", group: str = "lang", fi
     nodes above the leaf: the group's levels, then those above the subroots), and the columns named in ``also``,
     computed from ``docs`` with the leaves."""
     also = also or {}
-    made = docs.select(F.col(q(doc_id)).alias("doc_id"), F.col(q(group)).alias("group"),
-                       # a null group before all others, these in the order of their bytes
-                       F.when(F.col(q(group)).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(q(group)).cast("string"))).alias("grp"),
-                       leaf([F.col(q(f)) for f in fields]).alias("h"), *[c.alias(f"also_{n}") for n, c in also.items()])
+    # stored, so that the texts are read and hashed once
+    made = stored(docs.select(
+        F.col(q(doc_id)).alias("doc_id"), F.col(q(group)).alias("group"),
+        # a null group before all others, these in the order of their bytes
+        F.when(F.col(q(group)).isNull(), F.lit("")).otherwise(F.concat(F.lit("="), F.col(q(group)).cast("string"))).alias("grp"),
+        leaf([F.col(q(f)) for f in fields]).alias("h"), *[c.alias(f"also_{n}") for n, c in also.items()]), "merkle")
     carried = ["doc_id", "group", *[f"also_{n}" for n in also]]
     placed = sequence(made, ["grp"], ["doc_id", "h"], out="n", layout=RANGE).withColumn("pos", F.col("n") - 1).drop("n")
-    groups = climb(placed, carried, fanout=fanout, levels=levels)
-    subroots = stored(groups.where("pos = 0").select("grp", F.col("subroot").alias("h")), "merkle")
-    ranked = sequence(subroots.select(F.lit("").alias("all"), "grp", "h"), ["all"], ["grp"], out="n", layout=RANGE)
-    over = climb(ranked.select(F.col("all").alias("grp"), (F.col("n") - 1).alias("pos"), "h", F.col("grp").alias("of")), ["of"],
-                 fanout=fanout, levels=levels)
-    over = over.select(F.col("of").alias("grp"), F.col("path").alias("over"), F.col("subroot").alias("root"))
-    return groups.join(over, "grp").select(
-        "doc_id", F.col("group").alias(group if group != doc_id else "group"), F.col("h").alias("leaf"), "subroot", "root",
-        F.concat("path", "over").alias("path"), *[F.col(f"also_{n}").alias(n) for n in also])
+
+    def over(subroots: DataFrame) -> DataFrame:
+        ranked = sequence(subroots.select(F.lit("").alias("all"), "grp", "h"), ["all"], ["grp"], out="n", layout=RANGE)
+        top = climb(ranked.select(F.col("all").alias("grp"), (F.col("n") - 1).alias("pos"), "h", F.col("grp").alias("of")), ["of"],
+                    fanout=fanout, levels=levels)
+        return top.select(F.col("of").alias("grp"), F.col("path").alias("over"), F.col("subroot").alias("root"))
+
+    return climb(placed, carried, fanout=fanout, levels=levels, beyond=over).select(
+        "doc_id", F.col("group").alias(group if group != doc_id else "group"), F.col("h").alias("leaf"), "subroot", "root", "path",
+        *[F.col(q(f"also_{n}")).alias(n) for n in also])
 
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", fields: Sequence[str] = FIELDS, **options) -> DataFrame:
