@@ -12,8 +12,9 @@ Offsets come from sums over digest ranges of a leaf (about the square root of it
 sums within a range, so that no task holds a leaf, however large its source.
 
 Defined results: null levels are the level ``unknown``; null and blank texts have no tokens and are
-never chosen; weights not given are 1, a weight of 0 takes nothing; repeated rows are told apart by
-nothing and are chosen alike, their order in the stream arbitrary; an empty table chooses nothing.
+never chosen; weights not given are 1, a weight of 0 takes nothing; rows with equal ids that differ in any
+column are rows of their own, those equal in all are chosen each as often as the plan says, their order in the stream
+arbitrary; an empty table chooses nothing; very long texts are counted and cut in one row.
 """
 
 from __future__ import annotations
@@ -123,7 +124,7 @@ def plan(docs: DataFrame, *, weights: Mapping[str, Mapping[str, int]], budget: i
     by_range = rows.groupBy(*names, "epoch", "range").agg(F.sum("tokens").alias("n"))
     earlier = Window.partitionBy(*names, "epoch").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     by_range = by_range.select(*names, "epoch", "range", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy(*names, "epoch", "range").orderBy("digest", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*names, "epoch", "range").orderBy("digest", "doc_id", *(["row_key"] if key else [])).rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("inside", F.coalesce(F.sum("tokens").over(inside), F.lit(0))).join(by_range, [*names, "epoch", "range"]) \
         .withColumn("stream_start", F.col("epoch") * F.col("leaf_tokens") + F.col("before") + F.col("inside"))
     taken = F.least(F.col("tokens"), F.col("target") - F.col("stream_start"))
@@ -131,10 +132,19 @@ def plan(docs: DataFrame, *, weights: Mapping[str, Mapping[str, int]], budget: i
         .select("doc_id", *names, "epoch", "tokens", "stream_start", taken.alias("tokens_taken"), *(["row_key"] if key else []))
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """A digest of all columns, each with its length, so that no value can pass for another or for two."""
+    parts = []
+    for f in docs.schema.fields:
+        value = F.hex(F.col(q(f.name))) if f.dataType.typeName() == "binary" else F.col(q(f.name)).cast("string")
+        parts.append(F.when(value.isNull(), F.lit("-")).otherwise(F.concat(F.length(value).cast("string"), F.lit(":"), value)))
+    return F.sha2(F.concat(*parts), 256)
+
+
 def mixed(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` as the plan chooses them: a document as often as it was chosen, the last of a leaf cut to the tokens
     taken of it (with the blanks before them)."""
-    digest = F.sha2(F.concat_ws(":", F.coalesce(F.col(q(doc_id)).cast("string"), F.lit("null")), F.coalesce(F.col(q(text)), F.lit(""))), 256)
+    digest = _row_key(docs)
     chosen = plan(docs, doc_id=doc_id, text=text, keep_key=digest, **options)
     key, took, has = (free_name(docs.columns, n) for n in ("row_key", "took", "has"))
     # fully equal rows share a key and so are each as many times in the plan: one of each stands for its like

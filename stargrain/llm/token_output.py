@@ -8,8 +8,9 @@ a reader that asks for some documents or for the counts alone touches only those
 ``read_tokens`` and ``read_counts`` are such readers; ``starts`` numbers the tokens of the whole set in
 file order from the counts alone.
 
-The tokenizer's model runs on each distinct word only once per task (a bounded cache); texts with
-characters beyond Latin-1 go to the tokenizer whole.  The tests compare both ways with encoding whole texts.
+The tokenizer's model runs on each distinct word only once per task (a bounded cache, by the words
+themselves); texts with characters beyond Latin-1, and all texts if the tokenizer is not of the kind whose words
+are cut here (``cuts_words``), go to it whole.  The tests compare both ways with encoding whole texts.
 
 Defined results: null and empty texts encode to the end id alone; repeated ids are ordered by their
 text's digest, equal rows arbitrarily; a null id comes first; an empty table writes an empty file set.
@@ -18,6 +19,7 @@ Other columns of the input are not written.
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -34,8 +36,11 @@ from stargrain.session import scratch_dir
 
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-# distinct words kept by a task's encoder before it starts afresh: bounds memory, changes no result
-CACHE_WORDS = 500_000
+# distinct words, and their bytes, kept by a task's encoder before it starts afresh: bounds memory, changes no result
+CACHE_WORDS = 150_000
+CACHE_BYTES = 8 << 20
+# text that is encoded at once (a longer text by itself)
+PIECE_BYTES = 256 << 10
 ROW_GROUP_BYTES = 64 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
@@ -116,49 +121,37 @@ def plain_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return data, starts, ends, whole
 
 
-class _HashCodes:
-    """An open-addressing table from 64-bit word hashes to codes 0, 1, 2, ..., filled and read in bulk."""
-
-    def __init__(self, bits: int):
-        self.mask = np.uint64((1 << bits) - 1)
-        self.keys = np.zeros(1 << bits, np.uint64)
-        self.codes = np.full(1 << bits, -1, np.int32)
-        self.n = 0
-
-    def get(self, hashes: np.ndarray) -> np.ndarray:
-        out = np.full(len(hashes), -1, np.int64)
-        slot = (hashes & self.mask).astype(np.int64)
-        live = np.arange(len(hashes))
-        while len(live):
-            code = self.codes[slot]
-            hit = (self.keys[slot] == hashes[live]) & (code >= 0)
-            out[live[hit]] = code[hit]
-            go = ~hit & (code >= 0)
-            live, slot = live[go], (slot[go] + 1) & int(self.mask)
-        return out
-
-    def add(self, hashes: np.ndarray) -> None:
-        """New, distinct hashes; they get the next codes in order."""
-        codes = np.arange(self.n, self.n + len(hashes), dtype=np.int32)
-        self.n += len(hashes)
-        slot = (hashes & self.mask).astype(np.int64)
-        live = np.arange(len(hashes))
-        while len(live):
-            free = self.codes[slot] < 0
-            self.codes[slot[free]] = codes[live[free]]  # of several at one slot the last stays
-            self.keys[slot[free]] = hashes[live[free]]
-            go = self.codes[slot] != codes[live]
-            live, slot = live[go], (slot[go] + 1) & int(self.mask)
+# Settings that the word path stands in for; a tokenizer with others gets its texts whole.  Fixed values of the format:
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_MODEL = {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False,
+          "byte_fallback": False, "ignore_merges": False}
+
+
+def cuts_words(tokenizer) -> bool:
+    """Whether a tokenizer is of the ``word_bpe`` kind: its normalizer, word pattern and model are those that
+    ``plain_words`` stands in for, nothing is added after the model, and its added tokens begin with ``<|``."""
+    spec = json.loads(tokenizer.to_str())
+    model = spec["model"]
+    return (spec["normalizer"] == _NORMALIZER and spec["pre_tokenizer"] == _PRE_TOKENIZER and spec["post_processor"] is None
+            and spec["truncation"] is None and all(model.get(k) == v for k, v in _MODEL.items())
+            and all(t["content"].startswith("<|") for t in spec["added_tokens"]))
 
 
 class Encoder:
     """``tokenizers`` with a cache of the ids of words, for tokenizers of the ``word_bpe`` kind: a
     normalizer that composes, folds blanks and lower-cases, words by pattern, byte-level BPE with word ends.
-    Words are known by 64-bit hashes; the table holds at most CACHE_WORDS and a batch's new ones."""
+    The cache knows words by their bytes; when it is full it starts afresh.  Other tokenizers encode every text whole."""
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
+        self.by_words = cuts_words(self.tokenizer)
+        if not self.by_words:
+            return
         # the same model over words that are cut and byte-mapped already
         self.words = Tokenizer(self.tokenizer.model)
         self.words.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
@@ -168,13 +161,14 @@ class Encoder:
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.cache_words = cache_words
+        self.cache_words, self.cache_bytes = cache_words, cache_bytes
         self._clear()
 
     def _clear(self) -> None:
-        self.table = _HashCodes(max(18, int(np.ceil(np.log2(self.cache_words))) + 2))
-        self.ids = np.zeros(1 << 20, np.uint32)
-        self.start = np.zeros(1 << 18, np.int64)  # ids of word k: start[k] to start[k + 1]
+        self.codes: dict[bytes, int] = {}
+        self.held = 0  # bytes of the known words
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.start = np.zeros(1 << 14, np.int64)  # ids of word k: start[k] to start[k + 1]
 
     def _model(self, words: list[str]) -> np.ndarray:
         text = " ".join(words)
@@ -182,16 +176,16 @@ class Encoder:
             text = " ".join(w if w.isascii() else w.translate(self.byte_map) for w in words)
         return np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _learn(self, hashes: np.ndarray, words: list[str]) -> None:
+    def _learn(self, new: list[bytes]) -> None:
         """Encode new words: many in one text, parted again after each id that ends a word."""
-        for at in range(0, len(words), 512):
-            part = words[at:at + 512]
+        for at in range(0, len(new), 512):
+            part = [w.decode() for w in new[at:at + 512]]
             ids = self._model(part)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part) or cuts[-1] != len(ids):
                 pieces = [self._model([w]) for w in part]
                 ids, cuts = np.concatenate(pieces), np.cumsum([len(x) for x in pieces])
-            known = self.table.n
+            known = len(self.codes)
             end = int(self.start[known])
             while len(self.ids) < end + len(ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
@@ -199,45 +193,51 @@ class Encoder:
                 self.start = np.concatenate([self.start, np.zeros_like(self.start)])
             self.ids[end:end + len(ids)] = ids
             self.start[known + 1:known + len(part) + 1] = end + cuts
-            self.table.add(hashes[at:at + 512])
+            for k, w in enumerate(new[at:at + 512]):
+                self.codes[w] = known + k
+                self.held += len(w)
+
+    def _codes(self, words: list[bytes]) -> np.ndarray:
+        codes = np.fromiter((self.codes.get(w, -1) for w in words), np.int64, len(words))
+        missing = np.flatnonzero(codes < 0).tolist()
+        if missing and (len(self.codes) > self.cache_words or self.held > self.cache_bytes):
+            self._clear()
+            missing = range(len(words))
+        if missing:
+            self._learn([words[k] for k in missing])
+            codes[missing] = [self.codes[words[k]] for k in missing]
+        return codes
+
+    def _whole(self, data: np.ndarray, offsets: np.ndarray, which) -> list[np.ndarray]:
+        texts = [data[offsets[i]:offsets[i + 1]].tobytes().decode("utf-8", "replace") for i in which]
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of a buffer one after another, ids in each text)."""
-        if self.table.n > self.cache_words:
-            self._clear()
+        if not self.by_words:
+            pieces = self._whole(data, offsets, range(len(offsets) - 1))
+            return np.concatenate([np.zeros(0, np.uint32), *pieces]), np.array([len(p) for p in pieces], np.int64)
         lowered, starts, ends, whole = plain_words(data, offsets)
         if len(whole):
             text_of = np.searchsorted(offsets, starts, side="right") - 1
             plain = ~np.isin(text_of, whole)
             starts, ends = starts[plain], ends[plain]
-        ids, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        for at in range(0, len(starts), 1 << 18):  # so many new words at once at most
-            a, b = starts[at:at + (1 << 18)], ends[at:at + (1 << 18)]
-            hashes = textbuf.word_hashes(lowered, a, b)
-            code = self.table.get(hashes)
-            missing = np.flatnonzero(code < 0)
-            if len(missing):
-                new, first = np.unique(hashes[missing], return_index=True)
-                if self.table.n + len(new) > 3 * len(self.table.keys) // 4:
-                    self._clear()
-                    missing = np.arange(len(hashes))
-                    new, first = np.unique(hashes, return_index=True)
-                first = missing[first]
-                self._learn(new, [lowered[x:y].tobytes().decode() for x, y in zip(a[first].tolist(), b[first].tolist())])
-                code[missing] = self.table.get(hashes[missing])
+        ids, count = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(starts), 1 << 16):  # so many words are known at once at least
+            index, words = textbuf.distinct_words(lowered, starts[at:at + (1 << 16)], ends[at:at + (1 << 16)])
+            code = self._codes(words)[index]
             begin, c = self.start[code], self.start[code + 1] - self.start[code]
             total = np.concatenate([[0], np.cumsum(c)])
-            ids = np.concatenate([ids, self.ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], c)]])
-            count = np.concatenate([count, c])
-        total = np.concatenate([[0], np.cumsum(count)])
+            ids.append(self.ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], c)])
+            count.append(c)
+        ids, total = np.concatenate(ids), np.concatenate([[0], np.cumsum(np.concatenate(count))])
         bounds = np.searchsorted(starts, offsets)
         counts = total[bounds[1:]] - total[bounds[:-1]]
         if not len(whole):
             return ids, counts
         pieces = np.split(ids, np.cumsum(counts)[:-1])
-        texts = [data[offsets[i]:offsets[i + 1]].tobytes().decode("utf-8", "replace") for i in whole.tolist()]
-        for i, e in zip(whole.tolist(), self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-            pieces[i] = np.array(e.ids, np.uint32)
+        for i, found in zip(whole.tolist(), self._whole(data, offsets, whole.tolist())):
+            pieces[i] = found
         return np.concatenate(pieces), np.array([len(p) for p in pieces], np.int64)
 
 
@@ -257,7 +257,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, text: st
         keep = [i for i, c in enumerate(batch.schema.names) if c != text]
         at = 0
         while at < len(batch):
-            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + (2 << 20), side="right")) - 1)
+            to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + PIECE_BYTES, side="right")) - 1)
             ids, counts = encoder.encode(data[offsets[at]:offsets[to]], offsets[at:to + 1] - offsets[at])
             lengths = counts + 1
             bounds = np.concatenate([[0], np.cumsum(lengths)])
@@ -270,6 +270,7 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int, text: st
                 [*(batch.column(i).slice(at, to - at) for i in keep), pa.array(lengths.astype(np.int64)), lists],
                 names=[*(batch.schema.names[i] for i in keep), "n_tokens", "ids"])
             at = to
+        pa.default_memory_pool().release_unused()
 
 
 def encode(docs: DataFrame, text: str, path: str, end_id: int = END_ID) -> DataFrame:
@@ -340,7 +341,12 @@ def starts(rows: DataFrame, tokens: DataFrame) -> DataFrame:
     and sums within a file are enough; one row per file meets in one task, none per document."""
     files = tokens.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.sum("n_tokens").alias("n"))
     before = files.select("file", F.coalesce(F.sum("n").over(
-        Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+        Window.orderBy(file_number(F.col("file")), "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     inside = Window.partitionBy("file").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(before, "file") \
         .withColumn("start", F.col("before") + F.col("inside"))
+
+
+def file_number(name):
+    """The number of a part file: names have five digits at least, so they do not sort beyond 100,000 files."""
+    return F.regexp_extract(name, "^part-([0-9]+)", 1).try_cast("bigint")

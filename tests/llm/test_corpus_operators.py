@@ -328,6 +328,17 @@ def test_mixed_documents_hold_the_tokens_taken(spark):
     assert mixing.mixed(documents(spark, []), weights={}).count() == 0
 
 
+def test_mixing_tells_all_rows_apart(spark):
+    rows = [("x", "y:a b", "en", "src1", 1), ("x:y", "a b", "en", "src1", 2), ("null", "q", "en", "src1", 3), (None, "q", "en", "src1", 4),
+            ("d", "same text", "en", "src1", 5), ("d", "same text", "de", "src2", 6), ("d", "same text", "de", "src2", 7), ("e", "r", None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, lang string, source string, n_chars bigint")
+    # every token is wanted: each row comes once, with its own columns
+    out = mixing.mixed(docs, weights={}, max_epochs=1)
+    assert Counter(map(tuple, out.collect())) == Counter(rows)
+    twice = mixing.mixed(docs, weights={}, max_epochs=2, budget=2 * sum(len(r[1].split()) for r in rows))
+    assert Counter(map(tuple, twice.collect())) == Counter(rows * 2)
+
+
 # ---------------------------------------------------------------- token output
 
 ODD = ["", None, "  a  b ", "don't we'll I'd 's", "É é ﬁ ß İ ſ K", "漢字 かな 😀😀 ab", "<|endoftext|>x <|startoftext|> <|endoftext|>", "tab\tx\x0by\x1cz w v​q", "x" * 3000,
@@ -351,6 +362,43 @@ def test_the_encoder_equals_the_tokenizer():
                 assert [x.tolist() + [1] for x in np.split(ids, np.cumsum(counts)[:-1])] == direct(texts)
 
 
+def test_words_of_one_hash_keep_their_own_ids():
+    # a Thue-Morse word and its complement agree in any polynomial hash modulo 2 ** 64
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    texts = [morse, morse.translate(str.maketrans("ab", "ba")), f"{morse} x {morse.translate(str.maketrans('ab', 'ba'))}"]
+    hashes = textbuf.hash_words([t.encode() for t in texts[:2]])
+    assert hashes[0] == hashes[1]
+    ids, counts = token_output.Encoder(token_output.tokenizer_path()).encode(*textbuf.buffer_of(pa.array(texts)))
+    assert [x.tolist() + [1] for x in np.split(ids, np.cumsum(counts)[:-1])] == direct(texts)
+
+
+def test_other_tokenizers_get_texts_whole(spark, tmp_path):
+    import json
+    from tokenizers import Tokenizer
+    other = token_output.tokenizer_path("byte_bpe_50k.json")
+    # the known kind but for one setting
+    spec = json.loads(Tokenizer.from_file(token_output.tokenizer_path()).to_str())
+    spec["normalizer"]["normalizers"].pop()
+    cased = tmp_path / "cased.json"
+    cased.write_text(json.dumps(spec))
+    assert token_output.cuts_words(Tokenizer.from_file(token_output.tokenizer_path()))
+    texts = ["Two words, 42", "", None, "漢字 É", "a\n\nb"]
+    for path in (other, str(cased)):
+        tokenizer = Tokenizer.from_file(path)
+        assert not token_output.cuts_words(tokenizer)
+        docs = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+        out = str(tmp_path / f"out{len(path)}")
+        token_output.write_tokens(docs, out, tokenizer=path)
+        got = {r["doc_id"]: r["ids"] for r in token_output.read_tokens(spark, out).collect()}
+        assert got == {i: tokenizer.encode(t or "", add_special_tokens=False).ids + [1] for i, t in enumerate(texts)}
+
+
+def test_files_are_ordered_by_their_numbers(spark):
+    names = [f"part-{n:05d}-x-c000.zstd.parquet" for n in (99_999, 100_000, 100_001, 7, 10)]
+    got = spark.createDataFrame([(n,) for n in names], "f string").orderBy(token_output.file_number(F.col("f"))).collect()
+    assert [r["f"] for r in got] == [names[i] for i in (3, 4, 0, 1, 2)]
+
+
 def test_tokens_are_written_in_order_and_read_back(spark, tmp_path):
     texts = ODD * 3
     order = list(range(len(texts)))
