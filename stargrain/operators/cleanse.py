@@ -63,65 +63,74 @@ def cleanse(df: DataFrame, cols: Sequence[str] | None = None, *, collapse: bool
     return out
 
 
-def _value_class(s: Column) -> Column:
-    """Index into CANDIDATES of the narrowest type that holds one text value
-    (len(CANDIDATES) when none does).  Leading zeros make a text (``00501`` is a
-    code, not 501); an impossible date is a text; whole numbers beyond 64 bits are
-    doubles as long as a double holds them exactly, numbers beyond its range
-    are texts."""
-    whole = s.rlike(_WHOLE)
-    big, real = s.try_cast("bigint"), s.try_cast("double")
+def _classes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(pos, n, lo, hi, longest) per column of ``cols`` (from 0) that has rows: its number of values, the least and greatest
+    class of a value, and the characters of the longest.
+
+    A value's class is the index into CANDIDATES of the narrowest type that holds it (len(CANDIDATES) when
+    none does).  Leading zeros make a text (``00501`` is a code, not 501); an impossible date is a text;
+    whole numbers beyond 64 bits are doubles as long as a double holds them exactly, numbers beyond its range are
+    texts.
+
+    The columns are unpivoted, so that one small expression serves all of them: the same tests written out
+    for every column make a method too long for the JVM to compile.  The groups are combined before the
+    exchange, to one row per column and task.  The first character says which test can hold at all, so that a
+    pattern and a cast run only for values that may pass them.
+    """
+    value = F.col("value")
+    rows = df.select(F.posexplode(F.array(*[F.col(f"`{c}`").cast("string") for c in cols])).alias("pos", "value")).where(value.isNotNull())
+    head = F.substring(value, 1, 1)
+    numeric = head.between("0", "9") | head.isin("+", "-", ".")
+    whole = F.when(numeric & (F.length(value) <= 20) & value.rlike(_WHOLE), value.try_cast("bigint"))
+    rows = rows.select("pos", "value", numeric.alias("numeric"), whole.alias("big"))
+    real, big = value.try_cast("double"), F.col("big")
     finite = real.isNotNull() & ~F.isnan(real) & (F.abs(real) < F.lit(float("inf")))
-    exact = ~s.rlike("^[+-]?[0-9]+$") | (s.try_cast("decimal(38,0)") == real.try_cast("decimal(38,0)"))
-    return (F.when(s.isNull(), F.lit(None))
-             .when(F.lower(s).isin("true", "false"), 0)
-             .when(whole & big.between(-128, 127), 1).when(whole & big.between(-32768, 32767), 2)
-             .when(whole & big.between(-2147483648, 2147483647), 3).when(whole & big.isNotNull(), 4)
-             .when(s.rlike(_NUMBER) & finite & F.coalesce(exact, F.lit(False)), 5)
-             .when(s.rlike(_DAY) & s.try_cast("date").isNotNull(), 6)
-             .when(s.rlike(_MOMENT) & s.try_cast("timestamp_ntz").isNotNull(), 7)
+    # digits alone can be too many for a double only beyond 15
+    exact = (F.length(value) <= 15) | ~value.rlike("^[+-]?[0-9]+$") | (value.try_cast("decimal(38,0)") == real.try_cast("decimal(38,0)"))
+    other = (F.when(value.rlike(_NUMBER) & finite & F.coalesce(exact, F.lit(False)), 5)
+              .when((F.length(value) == 10) & value.rlike(_DAY) & value.try_cast("date").isNotNull(), 6)
+              .when((F.length(value) > 10) & value.rlike(_MOMENT) & value.try_cast("timestamp_ntz").isNotNull(), 7)
+              .otherwise(len(CANDIDATES)))
+    kind = (F.when(big.isNotNull(), F.when(big.between(-128, 127), 1).when(big.between(-32768, 32767), 2)
+                   .when(big.between(-2147483648, 2147483647), 3).otherwise(4))
+             .when(F.col("numeric"), other)
+             .when(head.isin("t", "T", "f", "F") & F.lower(value).isin("true", "false"), 0)
              .otherwise(len(CANDIDATES)))
+    return rows.select("pos", F.length(value).alias("size"), kind.alias("kind")).groupBy("pos").agg(
+        F.count(F.lit(1)).alias("n"), F.min("kind").alias("lo"), F.max("kind").alias("hi"), F.max("size").alias("longest"))
 
 
 def field_types(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """R5 decision as a DataFrame: ``(ordinal, column_name, inferred_type, n_values)``.
+    """R5 decision as a DataFrame: ``(ordinal, column_name, inferred_type, size, n_values)``.
 
     One aggregate pass.  Each value gets the index of the narrowest candidate
     it fits; the numeric candidates (tinyint .. double) nest, so a column's
     type is the widest class seen when all classes are numeric, the single
     class when all values share it, and string otherwise — the first
-    candidate that fits every non-NULL value.
+    candidate that fits every non-NULL value.  ``size`` is the field size of a text
+    column: the characters of its longest value (0 without values); NULL for the others.
     """
     cols = list(cols or df.columns)
-    aggs = []
-    for i, c in enumerate(cols):
-        s = F.col(f"`{c}`").cast("string")
-        k = _value_class(s)
-        aggs += [F.count(s).alias(f"n{i}"), F.min(k).alias(f"lo{i}"), F.max(k).alias(f"hi{i}")]
-    stats = df.agg(*aggs)
     names = F.array(*[F.lit(n) for n in CANDIDATES])
-    rows = []
-    for i, c in enumerate(cols):
-        lo, hi, n = F.col(f"lo{i}"), F.col(f"hi{i}"), F.col(f"n{i}")
-        numeric = (lo >= 1) & (hi <= 5)
-        t = (F.when(n == 0, F.lit("string"))
-              .when(numeric | ((lo == hi) & (hi < len(CANDIDATES))), F.element_at(names, hi + 1))
-              .otherwise(F.lit("string")))
-        rows.append(F.struct(F.lit(i + 1).alias("ordinal"), F.lit(c).alias("column_name"),
-                             t.alias("inferred_type"), n.alias("n_values")))
-    return stats.select(F.inline(F.array(*rows)))
+    lo, hi = F.col("lo"), F.col("hi")
+    single = ((lo >= 1) & (hi <= 5)) | ((lo == hi) & (hi < len(CANDIDATES)))
+    kind = F.when(single, F.get(names, hi)).otherwise(F.lit("string"))  # without values: lo and hi are NULL
+    every = df.sparkSession.range(1).select(F.posexplode(F.array(*[F.lit(c) for c in cols])).alias("pos", "column_name"))
+    found = every.join(_classes(df, cols), "pos", "left").withColumn("inferred_type", kind)
+    return found.select((F.col("pos") + 1).alias("ordinal"), "column_name", "inferred_type",
+                        F.when(F.col("inferred_type") == "string", F.coalesce("longest", F.lit(0))).alias("size"),
+                        F.coalesce("n", F.lit(0).cast("bigint")).alias("n_values"))
 
 
 def auto_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """R5 for a flow that goes on as text: columns whose values are all numbers are written in
     plain form (``+7`` as ``7``, ``60614.0`` as ``60614``).  The decision is a scalar subquery, so no job
     runs while the plan is built."""
-    stats = df.agg(*[F.coalesce((F.min(k) >= 1) & (F.max(k) <= 5), F.lit(False)).alias(f"n{i}")
-                     for i, k in enumerate(_value_class(F.col(f"`{c}`").cast("string")) for c in cols)])
-    decided = stats.select(F.array(*[F.col(f"n{i}") for i in range(len(cols))])).scalar()
+    numeric = (F.col("lo") >= 1) & (F.col("hi") <= 5)
+    decided = _classes(df, cols).where(numeric).agg(F.collect_list("pos")).scalar()
 
     def plain(i: int, c: Column) -> Column:
-        return F.when(F.get(decided, F.lit(i)), F.regexp_replace(c, r"^[+]|\.0*$", "")).otherwise(c)
+        return F.when(F.array_contains(decided, F.lit(i)), F.regexp_replace(c, r"^[+]|\.0*$", "")).otherwise(c)
 
     return df.withColumns({c: plain(i, F.col(f"`{c}`").cast("string")) for i, c in enumerate(cols)})
 

@@ -24,7 +24,7 @@ from stargrain.operators.cleanse import auto_text, cleanse
 from stargrain.operators.dims import calendar_dimension, hash_dimension
 from stargrain.operators.facts import Lookup, build_bridge, lookup_keys
 from stargrain.operators.ordered import sequence
-from stargrain.operators.quality import Expectation, kept, metrics
+from stargrain.operators.quality import Expectation, kept, metrics, observe_stream
 from stargrain.operators.reshape import regex_parse, slots_to_rows, split_to_rows
 from stargrain.operators.rows import unique_first
 from stargrain.operators.scd2 import scd2_apply, scd2_current, scd2_final, scd2_stage
@@ -425,11 +425,15 @@ def fact(t: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return lookup_keys(inspection_rows(first), fact_lookups(dims)).select(*FACT_COLUMNS)
 
 
+def bridge_rows(t: DataFrame) -> DataFrame:
+    """The typed rows with the business keys of their inspection and violation."""
+    return t.withColumn("inspection_business_key", F.concat(F.col("inspection_id"), F.lit("-"), F.col("city"))) \
+        .withColumn("violation_business_key", K.business_key("violation_code", "city"))
+
+
 def bridge(t: DataFrame, fact_table: DataFrame, dim_violation: DataFrame) -> DataFrame:
     """The violations of the inspections that have a fact row."""
-    detail = t.withColumn("inspection_business_key", F.concat(F.col("inspection_id"), F.lit("-"), F.col("city"))) \
-        .withColumn("violation_business_key", K.business_key("violation_code", "city"))
-    return build_bridge(detail, fact_table, "inspection_business_key", "inspection_key",
+    return build_bridge(bridge_rows(t), fact_table, "inspection_business_key", "inspection_key",
                         [Lookup(dim_violation, "violation_business_key", "violation_key")]).select(*BRIDGE_COLUMNS)
 
 
@@ -458,16 +462,21 @@ def stream_dimension(t: DataFrame, attrs: list[str], not_null: list[str], bk_nam
     return rows.select(*(select or [sk_name, bk_name, *attrs, *(derive or {})]))
 
 
-def stream_tables(spark: SparkSession, unified_dir: str, root: str, change_feed: bool = False) -> dict[str, str]:
+def stream_tables(spark: SparkSession, unified_dir: str, root: str, change_feed: bool = False, late_rows: bool = False) -> dict[str, str]:
     """Run bronze -> silver -> typed -> dims -> fact -> bridge as streams.
 
     ``unified_dir`` holds the unified table as parquet files (new files are
     picked up by the next run), or with ``change_feed`` its change log (S10:
     inserts and post-images become bronze rows); ``root`` is a folder on shared
     storage.  Returns the output folder of every table; all have the columns
-    of the batch tables.
+    of the batch tables.  ``metrics`` among them has the silver rules' counters of every
+    run and batch.  With ``late_rows`` facts without some dimension row and violations without
+    their fact are kept waiting and looked up again by the next run, where the reference
+    leaves such facts without keys and drops such violations.
     """
     from stargrain.sources.changes import CHANGE_TYPE, COMMIT_TS, COMMIT_VERSION, stream_changes
+    from stargrain.streaming.history import MetricsHistory
+    from stargrain.streaming.stores import late_lookups, late_table, retry_waiting
     from stargrain.streaming.streams import incremental_scd2, run_available_now, run_foreach_batch, scd2_store, stored
 
     def run(df, name):
@@ -484,7 +493,9 @@ def stream_tables(spark: SparkSession, unified_dir: str, root: str, change_feed:
     else:
         feed = src(unified_dir)
     out["bronze"] = run(bronze(feed), "bronze")
-    out["silver"] = run(silver(src(out["bronze"])), "silver")
+    with MetricsHistory(spark, f"{root}/metrics"):
+        out["silver"] = run(silver(observe_stream(src(out["bronze"]), SILVER_RULES, "silver")), "silver")
+    out["metrics"] = f"{root}/metrics"
     out["typed"] = run(typed(src(out["silver"])), "typed")
     t = src(out["typed"])
     for name, spec in dimension_specs().items():
@@ -503,6 +514,30 @@ def stream_tables(spark: SparkSession, unified_dir: str, root: str, change_feed:
     # fact: streaming dedup per inspection + stream-static lookups (point in time, §4.3-8)
     dims = {name: spark.read.parquet(path) for name, path in out.items() if name.startswith("dim_")}
     f = inspection_rows(t).dropDuplicates(["inspection_business_key"])
+    if late_rows:
+        def dimensions_now(s):
+            return fact_lookups({name: s.read.parquet(path) for name, path in out.items() if name.startswith("dim_")})
+
+        def bridge_lookups(s):
+            fact_now = late_table(s, f"{root}/fact_rows")
+            return [Lookup(fact_now, "inspection_business_key", "inspection_key"),
+                    Lookup(s.read.parquet(out["dim_violation"]), "violation_business_key", "violation_key")]
+
+        waiting = {"fact_food_inspections": "fact_rows", "bridge_inspection_violation": "bridge_rows"}
+
+        def keep(rows, body, lookups, name):
+            run_foreach_batch(rows, body, f"{root}/_checkpoints/{name}")
+            retry_waiting(spark, f"{root}/{name}", lookups)
+            return late_table(spark, f"{root}/{name}")
+
+        # the fact is all rows, a waiting one with NULL keys; the bridge those with a fact, whether their code is known or not
+        for name, rows, lookups, columns, needed in (
+                ("fact_food_inspections", f, dimensions_now, FACT_COLUMNS, "inspection_key"),
+                ("bridge_inspection_violation", bridge_rows(t), bridge_lookups, BRIDGE_COLUMNS, "inspection_key")):
+            keep(rows, late_lookups(f"{root}/{waiting[name]}", lookups), lookups, waiting[name]) \
+                .where(F.col(needed).isNotNull()).select(*columns).write.mode("overwrite").parquet(f"{root}/{name}")
+            out[name] = f"{root}/{name}"
+        return out
     out["fact_food_inspections"] = run(lookup_keys(f, fact_lookups(dims)).select(*FACT_COLUMNS), "fact_food_inspections")
     out["bridge_inspection_violation"] = run(bridge(t, spark.read.parquet(out["fact_food_inspections"]), dims["dim_violation"]),
                                              "bridge_inspection_violation")
