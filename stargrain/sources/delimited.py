@@ -5,12 +5,13 @@ from __future__ import annotations
 import csv
 import warnings
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from stargrain.sources.quoted import SPLIT_ENCODINGS, read_quoted
+from stargrain.sources.quoted import SPLIT_ENCODINGS, first_lines, read_quoted
 
 
 def _files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
@@ -41,7 +42,28 @@ def header_columns(spark: SparkSession, path: str, sep: str = "\t", encoding: st
         stream.close()
     if line is None:
         return []
-    return [c if c != "" else f"_c{i}" for i, c in enumerate(next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep)))]
+    return _names(line, sep)
+
+
+def _names(line: str, sep: str) -> list[str]:
+    return [c if c != "" else f"_c{i}" for i, c in enumerate(next(csv.reader([line.removeprefix("\ufeff").removesuffix("\r")], delimiter=sep)))]
+
+
+def header_groups(spark: SparkSession, files: Sequence[str], sep: str = "\t", encoding: str = "ISO-8859-1") -> dict[tuple[str, ...], list[str]]:
+    """The files of each header, in name order.  Tasks read the first lines and Spark groups them, so the driver opens
+    no file; it sees the distinct headers and the file names that it lists itself.  Files without a line are left out.
+    (In an encoding whose line feeds are not one byte the driver reads the headers.)"""
+    if encoding.upper() not in SPLIT_ENCODINGS:
+        out: dict[tuple[str, ...], list[str]] = {}
+        for p in files:
+            out.setdefault(tuple(header_columns(spark, p, sep, encoding)), []).append(p)
+        return out
+    asked = {unquote(p): p for p in files}
+    grouped = first_lines(spark, files, encoding.upper()).groupBy("line").agg(F.collect_list("path").alias("paths"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for r in grouped.toLocalIterator():
+        found.setdefault(tuple(_names(r["line"], sep)), []).extend(asked[unquote(p)] for p in r["paths"])
+    return {h: sorted(p) for h, p in sorted(found.items(), key=lambda x: min(x[1]))}
 
 
 def all_string_schema(columns: Sequence[str]) -> StructType:
@@ -66,9 +88,10 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], *, sep: str
     ``source_file`` adds the file name of each row.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for p in _files(spark, paths):
-        groups.setdefault(tuple(columns or header_columns(spark, p, sep, encoding)), []).append(p)
+    files = _files(spark, paths)
+    groups = {tuple(columns): files} if columns else header_groups(spark, files, sep, encoding)
+    if not groups:
+        raise ValueError(f"no header in {paths}: all files are empty")
     if len(groups) > 1:
         warnings.warn(f"read_delimited: {len(groups)} different headers; unioning by column name")
     reader = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)

@@ -34,6 +34,39 @@ _RECORD = "path string, file string, block bigint, piece int, text string"
 WHOLE, OPENS, CLOSES, MIDDLE = 0, 1, 2, 3
 
 
+def first_lines(spark: SparkSession, files: Sequence[str], encoding: str) -> DataFrame:
+    """(path, line): the first line of every file, read by tasks; empty files have none.
+
+    The rows of a range come in file order, so the first one of a range that starts at 0 is the file's first.  A range that does
+    not end its file fills its task alone (the planner packs only smaller ones together), so such a task
+    stops after its first rows instead of reading on.
+    """
+    raw = spark.read.option("lineSep", "\n").text(list(files))
+    text = F.col("value") if encoding == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
+    lines = raw.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+                       (F.col("_metadata.file_block_start") + F.col("_metadata.file_block_length") < F.col("_metadata.file_size")).alias("more"),
+                       text.alias("line"))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None
+        for batch in batches:
+            paths = batch.column(0)
+            # where a file begins in the batch: a path unlike the one before
+            first = [0] if len(batch) else []
+            changes = paths.slice(1).cast(pa.string()).to_numpy(zero_copy_only=False) != paths.slice(0, max(0, len(batch) - 1)).to_numpy(zero_copy_only=False)
+            first += [int(i) + 1 for i in changes.nonzero()[0]]
+            found = [(paths[i].as_py(), batch.column(3)[i].as_py()) for i in first
+                     if batch.column(1)[i].as_py() == 0 and paths[i].as_py() != before]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)], names=["path", "line"])
+            if len(batch):
+                before = paths[len(batch) - 1].as_py()
+                if batch.column(2)[len(batch) - 1].as_py():
+                    return
+
+    return lines.mapInArrow(scan, "path string, line string")
+
+
 def _lines(spark: SparkSession, files: Sequence[str], encoding: str) -> DataFrame:
     raw = spark.read.option("lineSep", "\n").text(list(files))
     text = F.col("value") if encoding == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)

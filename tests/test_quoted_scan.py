@@ -90,6 +90,29 @@ def test_states_follow_the_ranges(spark, tmp_path):
         assert inside == (text[:nxt].count('"') % 2 == 1)
 
 
+def test_headers_are_found_by_tasks(spark, tmp_path, monkeypatch):
+    from stargrain.sources import delimited
+    for i in range(120):
+        (tmp_path / f"f {i:04d}.tsv").write_text(["a\tb\n1\t2\n", "\ufeffb\ta\r\n2\t1\r\n", "c\n"][i % 3], encoding="utf-8", newline="")
+    (tmp_path / "g.tsv").write_text("")
+    (tmp_path / "big.tsv").write_text("a\tb\n" + "".join(f"{i}\tx\n" for i in range(6_000)))
+    # the driver opens no file
+    monkeypatch.setattr(delimited, "header_columns", lambda *a: pytest.fail("the driver read a header"))
+    files = delimited._files(spark, [str(tmp_path)])
+    with ranges_of(spark, 20_000):
+        groups = delimited.header_groups(spark, files, encoding="UTF-8")
+    assert {h: len(p) for h, p in groups.items()} == {("a", "b"): 41, ("b", "a"): 40, ("c",): 40}
+    assert all(p == sorted(p) for p in groups.values()) and sum(map(len, groups.values())) == 121
+    with pytest.warns(UserWarning, match="3 different headers"):
+        df = read_delimited(spark, str(tmp_path), encoding="UTF-8")
+    assert set(df.columns) == {"a", "b", "c", "FileName"}
+    assert df.where("a = '1' AND b = '2'").count() == 80 and df.where("b = 'x'").count() == 6_000
+    (tmp_path / "only").mkdir()
+    (tmp_path / "only" / "e.tsv").write_text("")
+    with pytest.raises(ValueError, match="no header"):
+        read_delimited(spark, str(tmp_path / "only"))
+
+
 def test_other_widths_and_headers_stop_the_split_read(spark, tmp_path):
     (tmp_path / "a.csv").write_text('id,note\n1,"x\ny"\n2\n')
     with pytest.raises(Exception, match="MALFORMED|Malformed|malformed"):
