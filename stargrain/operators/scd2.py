@@ -146,3 +146,59 @@ def scd2_lookup_as_of(facts: DataFrame, versions: DataFrame, keys: Sequence[str]
     return res.select(*[F.col(f"`{c}`") for c in fact_cols],
                       *[F.col(f"_sg_cv.{c}").alias(c) for c in cols])
 
+
+
+# a version lies in at most this many bins and one more of its level
+_SPREAD = 64
+
+
+def scd2_lookup_binned(facts: DataFrame, versions: DataFrame, keys: Sequence[str], at: str, start: str, end: str,
+                       cols: Sequence[str], finest_s: int = 60) -> DataFrame:
+    """J6 for streaming ``facts`` (and batch ones): the version of each fact's key valid at ``at`` (``start <= at < end``, an
+    open version has no ``end``).
+
+    Ordered windows do not run on streams, and a join on the key alone would pair a key's facts with all its versions.
+    So validity is cut into time bins and joined on (key, bin) exactly: bins have widths of ``finest_s`` seconds times
+    powers of 64, a version is put on the finest level where it lies in 65 bins at most, and open versions, one per key, are a
+    join of their own.  Versions of a key do not overlap, so each fact meets one of them at most and no join
+    multiplies facts.  The number of levels is the logarithm of the longest validity; a hot key's facts are
+    spread over its bins.  ``versions`` is a batch table, read as it is when a micro-batch starts.
+    """
+    keys = list(keys)
+    types = dict(versions.dtypes)
+    v = versions.select(*[F.col(f"`{k}`").alias(f"_sg_k{i}") for i, k in enumerate(keys)], epoch_micros(start, types[start]).alias("_sg_from"),
+                        epoch_micros(end, types[end]).alias("_sg_to"), F.struct(*[F.col(f"`{c}`") for c in cols]).alias("_sg_v"))
+    closed = v.where("_sg_to > _sg_from")
+    longest = closed.agg(F.max(F.col("_sg_to") - F.col("_sg_from"))).first()[0]
+    widths = []
+    while longest is not None and (not widths or widths[-1] * _SPREAD < longest):
+        widths.append(widths[-1] * _SPREAD if widths else finest_s * 1_000_000)
+    names = facts.columns
+    out = facts.withColumn("_sg_at", epoch_micros(at, dict(facts.dtypes)[at]))
+
+    def same(side: DataFrame, more):
+        for i, k in enumerate(keys):
+            more = more & out[k].eqNullSafe(side[f"_sg_k{i}"])
+        return more
+
+    found = []
+    for level, width in enumerate(widths):
+        lasts = F.col("_sg_to") - F.col("_sg_from")
+        mine = closed.where(lasts <= width * _SPREAD)
+        if level:
+            mine = mine.where(lasts > widths[level - 1] * _SPREAD)
+        side = mine.withColumn("_sg_bin", F.explode(F.sequence(_bin(F.col("_sg_from"), width), _bin(F.col("_sg_to") - 1, width)))) \
+            .withColumnRenamed("_sg_v", f"_sg_v{level}")
+        here = _bin(out["_sg_at"], width)
+        cond = same(side, (here == side["_sg_bin"]) & (out["_sg_at"] >= side["_sg_from"]) & (out["_sg_at"] < side["_sg_to"]))
+        out = out.join(side, cond, "left").drop("_sg_bin", "_sg_from", "_sg_to", *[f"_sg_k{i}" for i in range(len(keys))])
+        found.append(f"_sg_v{level}")
+    side = v.where("_sg_to IS NULL").drop("_sg_to").withColumnRenamed("_sg_v", "_sg_open")
+    out = out.join(side, same(side, out["_sg_at"] >= side["_sg_from"]), "left")
+    version = F.coalesce(*[F.col(c) for c in [*found, "_sg_open"]])
+    return out.withColumn("_sg_version", version).select(*[F.col(f"`{c}`") for c in names], *[F.col(f"_sg_version.`{c}`").alias(c) for c in cols])
+
+
+def _bin(micros, width: int):
+    """The bin of a time, rounded down before 1970 as well; the quotient is exact, so a double holds it."""
+    return ((micros - F.pmod(micros, F.lit(width))) / F.lit(width)).cast("bigint")

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from stargrain.operators.facts import Lookup
 from stargrain.operators.quality import observe_stream
-from stargrain.operators.scd2 import END, START, scd2_stage
-from stargrain.plans.catalog import LINE_RULES, ORACLE, _TRACKED_SQL, _sk, _stream_of, customer_dimension, query, table
+from stargrain.operators.scd2 import END, START, scd2_lookup_binned, scd2_stage
+from stargrain.plans.catalog import LINE_RULES, ORACLE, _TRACKED_SQL, _sk, _stream_of, customer_dimension, event_versions, query, table
 from stargrain.session import scratch_dir
 from stargrain.streaming import stores
 from stargrain.streaming.history import MetricsHistory, metrics_total
@@ -103,6 +103,17 @@ def q_late_bridge_rows(spark, d):
     return stores.late_table(spark, f"{root}/bridge", waiting=False).select("order_key", "l_linenumber", "l_partkey", "l_suppkey")
 
 
+@query("stream_as_of", ORACLE["scd2_as_of"])
+def q_stream_as_of(spark, d):
+    """As-of lookup of streaming facts: bins of the versions' validity, joined on user and bin."""
+    root = scratch_dir(spark, "as_of")
+    event_versions(spark, d, ["event_type"]).select("user_id", START, END, "row_version", "event_type").write.parquet(f"{root}/versions")
+    facts = _stream_of(spark, d, "events").select("event_id", "user_id", "ts")
+    out = scd2_lookup_binned(facts, spark.read.parquet(f"{root}/versions"), ["user_id"], "ts", START, END, ["row_version", "event_type"])
+    run_available_now(out, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out").select("event_id", "user_id", "ts", F.col("row_version").alias("version_row"), F.col("event_type").alias("version_type"))
+
+
 @query("stream_rule_history", f"SELECT rule, passed, failed FROM ({ORACLE['expect_metrics']})")
 def q_stream_rule_history(spark, d):
     """The rule counters of a stream, stored as it ran, added up over its batches."""
