@@ -79,11 +79,22 @@ def validity_flags(name: ColLike, date: ColLike, results: ColLike, zip_code: Col
     return flags
 
 
+HIGH_SCORE, MANY_VIOLATIONS = 90, 3
+
+
 def record_flags(violations: ColLike, license_number: ColLike) -> dict[str, Column]:
     """The two flags beside them that no validity depends on."""
     return {"has_violations": ~is_blank(violations), "is_license_null": is_blank(license_number)}
 
 
+def cross_flags(score: ColLike, violations: ColLike, result: ColLike, any_critical: ColLike) -> dict[str, Column]:
+    """Flags that contradict each other across an inspection's rows: a high score (or many points) with more than three
+    violations, and a pass with a critical one.  An unknown part makes a flag false."""
+    false = F.lit(False)
+    return {"high_score_many_violations": F.coalesce((_c(score) >= HIGH_SCORE) & (_c(violations) > MANY_VIOLATIONS), false),
+            "pass_with_critical": F.coalesce((_c(result) == "PASS") & _c(any_critical), false)}
+
+
 # B2 / B3 ----------------------------------------------------------------------
 def city_a_score(results: ColLike) -> Column:
     r = _c(results)

@@ -124,8 +124,8 @@ def city_b_raw(spark, d) -> DataFrame:
     return o.join(wide, o.o_orderkey == wide.l_orderkey).select(*columns)
 
 
-@query("city_b_flow", f"""
-WITH lines AS (
+_B_LINES = f"""
+lines AS (
   SELECT l_orderkey, l_partkey % 60 AS code, '*' || (l_partkey % 60)::VARCHAR || ' ' || {_pick_sql(_B_NAMES, 'l_suppkey')} AS description,
          CASE WHEN l_partkey % 4 = 0 THEN 0 ELSE l_partkey % 13 END AS points,
          trim(CASE WHEN l_suppkey % 3 = 0 THEN 'detail | ' ELSE '' END || {_pick_sql(_B_MEMOS, 'l_partkey')}) AS comments,
@@ -139,7 +139,11 @@ flags AS (
 summary AS (
   SELECT l_orderkey, count(*) AS violations, string_agg(code::VARCHAR, '|' ORDER BY n) AS codes, bool_or(critical) AS any_critical, bool_or(urgent) AS any_urgent
   FROM flags GROUP BY l_orderkey),
-o AS (SELECT *, o_orderkey % 41 + 60 AS score, md5('Taco ' || o_orderkey::VARCHAR || '|' || strftime(o_orderdate, '%Y-%m-%d')) AS id FROM orders)
+o AS (SELECT *, o_orderkey % 41 + 60 AS score, md5('Taco ' || o_orderkey::VARCHAR || '|' || strftime(o_orderdate, '%Y-%m-%d')) AS id FROM orders)"""
+
+
+@query("city_b_flow", f"""
+WITH {_B_LINES}
 SELECT id AS inspection_id, 'TACO ' || o_orderkey::VARCHAR AS dba_name, 'DALLAS-' || id AS license_number,
   (o_orderkey % 900)::VARCHAR || ' Elm St 4' AS address, lpad((o_orderkey % 100 + 7500)::VARCHAR, 5, '0') AS zip_code, strftime(o_orderdate, '%Y-%m-%d') AS inspection_date,
   score::VARCHAR AS violation_score, CASE WHEN score >= 90 THEN 'PASS' WHEN score >= 70 THEN 'PASS_CONDITIONS' ELSE 'FAIL' END AS results_std,
@@ -158,6 +162,25 @@ def q_city_b_flow(spark, d):
         "violation_sequence", "violation_count", "all_violation_codes", "critical_violation", "urgent_violation")
 
 
+@query("cross_row_flags", f"""
+WITH {_A_LINES}
+SELECT 'Chicago' AS source_city, o_orderkey::VARCHAR AS inspection_id, code::VARCHAR AS violation_code,
+  {_flag_sql("o_orderstatus = 'F' AND violations > 3")} AS high_score_many_violations, {_flag_sql("o_orderstatus = 'F' AND any_critical")} AS pass_with_critical
+FROM flags JOIN summary USING (l_orderkey) JOIN orders ON o_orderkey = l_orderkey WHERE o_orderstatus IN ('F', 'O', 'P')
+UNION ALL
+SELECT * FROM (
+WITH {_B_LINES},
+total AS (SELECT l_orderkey, sum(points) AS points FROM flags GROUP BY l_orderkey)
+SELECT 'Dallas', id, code::VARCHAR, {_flag_sql("total.points >= 90 AND violations > 3")}, {_flag_sql("score >= 90 AND any_critical")}
+FROM flags JOIN summary USING (l_orderkey) JOIN total USING (l_orderkey) JOIN o ON o_orderkey = l_orderkey)
+""")
+def q_cross_row_flags(spark, d):
+    """The two flags across an inspection's rows, of both cities."""
+    columns = ["source_city", "inspection_id", "violation_code", "high_score_many_violations", "pass_with_critical"]
+    a = P.city_a_unified(city_a_raw(spark, d).where(F.col("Results").isNotNull()), flags=True)
+    return a.select(*columns).unionByName(P.city_b_unified(city_b_raw(spark, d), flags=True).select(*columns))
+
+
 # ---------------------------------------------------------------------------
 # The exact silver rules (E2-E6) on orders dressed as unified rows
 # ---------------------------------------------------------------------------

@@ -96,8 +96,9 @@ def _bool_text(c: Column) -> Column:
 # ---------------------------------------------------------------------------
 # City A: packed violation text
 # ---------------------------------------------------------------------------
-def city_a_unified(raw: DataFrame, output_file: str = "Chicago.csv", field_width: int | None = None) -> DataFrame:
-    """``field_width`` cuts the parsed violation fields (the workflow's own field size is 254); by default they stay whole."""
+def city_a_unified(raw: DataFrame, output_file: str = "Chicago.csv", field_width: int | None = None, flags: bool = False) -> DataFrame:
+    """``field_width`` cuts the parsed violation fields (the workflow's own field size is 254); by default they stay whole.
+    ``flags`` adds the two flags across an inspection's rows that the workflow computes and drops before the union (B15)."""
     df = cleanse(raw, collapse=True, trim=True, drop_null_rows=True)                      # R7
     df = auto_text(df, CITY_A_NUMBERS)                                                     # R5
     df = (df.withColumn("inspection_date_std", parse_date(_c("Inspection Date"), "yyyy/MM/dd"))   # F7
@@ -155,16 +156,22 @@ def city_a_unified(raw: DataFrame, output_file: str = "Chicago.csv", field_width
         _text(F.col("violation_count")).alias("violation_count"), "all_violation_codes",
         _bool_text(F.col("critical_violation")).alias("critical_violation"),
         _bool_text(F.col("urgent_violation")).alias("urgent_violation"), "all_violation_descriptions",
-        F.lit("Chicago").alias("source_city"), F.lit(output_file).alias("filename"))
+        F.lit("Chicago").alias("source_city"), F.lit(output_file).alias("filename"),
+        *_cross_flags(flags, "derived_violation_score"))
     return out
 
 
+def _cross_flags(wanted: bool, score: str) -> list[Column]:
+    found = R.cross_flags(score, "violation_count", "results_std", "critical_violation") if wanted else {}
+    return [_bool_text(c).alias(name) for name, c in found.items()]
+
+
 # ---------------------------------------------------------------------------
 # City B: 25 slot groups side by side
 # ---------------------------------------------------------------------------
 def city_b_unified(raw: DataFrame, output_file: str = "Dallas.csv", comment_width: int | None = None,
-                   alias_width: int | None = None) -> DataFrame:
-    """``comment_width`` and ``alias_width`` cut the comments and the alias (the workflow's own field sizes are 2000
+                   alias_width: int | None = None, flags: bool = False) -> DataFrame:
+    """``flags`` adds B15's two flags, as for the other city.  ``comment_width`` and ``alias_width`` cut the comments and the alias (the workflow's own field sizes are 2000
     and 50); by default they stay whole.  A slot column that the file lacks counts as empty."""
     cut = lambda c, n: c if n is None else F.substring(c, 1, n)
     df = cleanse(raw, collapse=True, trim=True, drop_null_rows=True)                      # R7
@@ -236,7 +243,8 @@ def city_b_unified(raw: DataFrame, output_file: str = "Dallas.csv", comment_widt
         _text(F.col("violation_count")).alias("violation_count"), "all_violation_codes",
         _bool_text(F.col("critical_violation")).alias("critical_violation"),
         _bool_text(F.col("urgent_violation")).alias("urgent_violation"), "all_violation_descriptions",
-        F.lit("Dallas").alias("source_city"), F.lit(output_file).alias("filename"))
+        F.lit("Dallas").alias("source_city"), F.lit(output_file).alias("filename"),
+        *_cross_flags(flags, "total_violation_points"))
 
 
 def unified(spark: SparkSession, city_a_paths: list[str], city_b_paths: list[str]) -> DataFrame:
