@@ -151,15 +151,13 @@ def _found(batches: Iterator[pa.RecordBatch], patterns: Patterns, text: str, nam
                                          names=[*batch.schema.names, name])
 
 
-def _blocks(items: DataFrame, item_id: str, text: str, block_bytes: int):
-    """The benchmark in blocks of about ``block_bytes``, each small enough for every task."""
+def _blocks(items: DataFrame, item_id: str, text: str, block_bytes: int) -> list[DataFrame]:
+    """The benchmark (item, text) in blocks of about ``block_bytes``, each small enough for every task."""
     items = items.select(F.coalesce(F.col(q(item_id)).cast("string"), F.lit("")).alias("item"),
                          F.col(q(text)).alias("text")).where(F.col("text").isNotNull())
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // block_bytes)
-    for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k)
-        yield [(r["item"], r["text"]) for r in part.collect()]
+    n = max(1, -(-size // block_bytes))
+    return [items if n == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k) for k in range(n)]
 
 
 def overlaps(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id: str = "item_id",
@@ -168,24 +166,29 @@ def overlaps(docs: DataFrame, items: DataFrame, *, text: str = "text", item_id:
     char_spans (code points; from a span's first to its last word)."""
     name = free_name(docs.columns, "overlap")
     inner = free_name(docs.columns, "found")
-    blocks = [Patterns(b, window) for b in _blocks(items, item_id, item_text, block_bytes)] or [Patterns([], window)]
+    blocks = _blocks(items, item_id, item_text, block_bytes)
     spark = docs.sparkSession
 
-    def scan(frame: DataFrame, column: str, patterns: Patterns) -> DataFrame:
-        sent = spark.sparkContext.broadcast(patterns)
+    def sent_patterns(block: DataFrame):
+        # a block's patterns are made on the driver and are all of the benchmark that it holds at a time
+        return spark.sparkContext.broadcast(Patterns([(r["item"], r["text"]) for r in block.toLocalIterator()], window))
+
+    def scan(frame: DataFrame, column: str, sent) -> DataFrame:
         schema = T.StructType([*frame.schema.fields, T.StructField(inner, _FOUND)])
         return in_arrow(frame, lambda batches: _found(batches, sent.value, column, inner), schema)
 
     if len(blocks) == 1:
-        return scan(docs, text, blocks[0]).withColumnRenamed(inner, name), name
+        return scan(docs, text, sent_patterns(blocks[0])).withColumnRenamed(inner, name), name
     # several blocks: what each found is keyed by the text itself, so equal texts share it
     key = free_name(docs.columns, "text_key")
     digest = F.sha2(F.coalesce(F.col(q(text)), F.lit("")), 256)
     texts = docs.select(digest.alias("k"), F.coalesce(F.col(q(text)), F.lit("")).alias("t")).dropDuplicates(["k"])
-    parts = [stored(scan(texts, "t", b).select("k", F.col(q(inner)).alias("f")), "overlaps") for b in blocks]
-    both = parts[0]
-    for p in parts[1:]:
-        both = both.unionByName(p)
+    both = None
+    for block in blocks:
+        sent = sent_patterns(block)
+        part = stored(scan(texts, "t", sent).select("k", F.col(q(inner)).alias("f")), "overlaps")
+        sent.destroy()  # stored: nothing reads it again
+        both = part if both is None else both.unionByName(part)
 
     def merged(spans):
         # (first word, end word, first character, end character), merged by word numbers as within one block

@@ -83,40 +83,47 @@ def sketch_groups(rows: DataFrame, keys: Sequence[str], sketches: str, k: int =
     return least.groupBy(*keys).agg(F.sort_array(F.collect_list("hash")).alias(sketches))
 
 
-def _range_of(doc_id: Column, edges: list[int]) -> Column:
-    """How many of the ascending edges lie below an id: looked up in two steps of about the square root of their number."""
+def _range_of(key: Column, edges: list, kind: str) -> Column:
+    """How many of the ascending edges lie below a key: looked up in two steps of about the square root of their number."""
     if not edges:
         return F.lit(0)
     width = max(1, int(len(edges) ** 0.5))
     blocks = [edges[i:i + width] for i in range(0, len(edges), width)]
-    below = lambda values: F.size(F.filter(values, lambda e: e < doc_id))
-    block = F.greatest(F.lit(0), below(F.lit([x[0] for x in blocks]).cast("array<bigint>")) - 1)
-    tables = F.array(*[F.lit(x).cast("array<bigint>") for x in blocks])
-    return F.coalesce(F.when(doc_id.isNull(), F.lit(0)).otherwise(let(block, lambda k: k * width + below(F.get(tables, k)))), F.lit(0))
+    literal = lambda values: F.array(*[F.struct(F.lit(i), F.lit(h)) for i, h in values]).cast(f"array<{kind}>")
+    below = lambda values: F.size(F.filter(values, lambda e: e < key))
+    block = F.greatest(F.lit(0), below(literal([x[0] for x in blocks])) - 1)
+    tables = F.array(*[literal(x) for x in blocks])
+    return let(block, lambda k: k * width + below(F.get(tables, k)))
+
+
+def _edges(keys: DataFrame, ranges: int) -> list:
+    """The least key of each of about ``ranges`` ranges of the order but the first."""
+    # the keys alone are dealt by range, whatever their type; a row for each range comes to the driver
+    laid = keys.repartitionByRange(ranges, F.col("key")).groupBy(F.spark_partition_id().alias("p")).agg(F.min("key").alias("least"))
+    return sorted((tuple(r["least"]) for r in laid.collect()), key=lambda e: ((e[0] is not None, e[0] if e[0] is not None else 0), e[1]))[1:]
 
 
 def with_next(docs: DataFrame, columns: Sequence[str], derived: dict[str, Column], *, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``docs`` (doc_id and ``columns``) with the ``derived`` columns, and all of these of the next row by ascending
-    doc_id as ``next_<column>``; after the last row the first comes again.  Rows are cut into id ranges at
-    quantiles; the first rows of each range visit the range before it as well, so that a window within a
-    range sees every successor.  Equal ids are ordered by a hash of their columns."""
+    doc_id as ``next_<column>``; after the last row the first comes again.  Ids may be of any type that can be ordered.
+    Rows are cut into ranges of the order; the first row of each range visits the range before it as well, so that a window within a
+    range sees every successor.  Null ids come first; equal ids are ordered by a hash of their columns, which parts the
+    ranges as well, so that many rows with one id or none are many ranges."""
     n = docs.count()
     ranges = min(MOST_RANGES, max(1, -(-n // range_rows)))
-    edges: list = []
-    if ranges > 1:
-        shares = [i / ranges for i in range(1, ranges)]
-        edges = sorted(set(docs.agg(F.percentile_approx("doc_id", shares, 20 * ranges)).first()[0] or []))
-    laid = docs.withColumn("range", _range_of(F.col("doc_id"), edges))
-    # one row per range that has rows: where its first id visits (the last range's rows come before the first's)
-    ring = laid.groupBy("range").agg(F.count_if(F.col("doc_id").isNull()).alias("nulls"), F.min("doc_id").alias("least"))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    kind = f"struct<doc_id:{id_type},hash:bigint>"
+    keyed = docs.withColumn("key", F.struct("doc_id", F.xxhash64(*columns).alias("hash")))
+    laid = keyed.withColumn("range", _range_of(F.col("key"), _edges(keyed.select("key"), ranges) if ranges > 1 else [], kind))
+    # one row per range that has rows: where its first key visits (the last range's rows come before the first's)
+    ring = laid.groupBy("range").agg(F.min("key").alias("first_key"))
     up, down = Window.orderBy("range"), Window.orderBy(F.col("range").desc())
-    ring = ring.select("range", F.when(F.col("nulls") == 0, F.col("least")).alias("first_id"),
-                       F.coalesce(F.lag("range").over(up), F.first("range").over(down)).alias("to"))
-    # MOST_RANGES rows of three numbers at most
-    visits = laid.join(F.broadcast(ring), "range").where(F.col("doc_id").eqNullSafe(F.col("first_id")))
-    both = laid.withColumn("guest", F.lit(0)).unionByName(visits.select("doc_id", *columns, F.col("to").alias("range"), F.lit(1).alias("guest")))
-    both = both.select("doc_id", "range", "guest", *columns, *[c.alias(name) for name, c in derived.items()])
-    window = Window.partitionBy("range").orderBy("guest", F.col("doc_id").asc_nulls_first(), F.xxhash64(*columns))
+    ring = ring.select("range", "first_key", F.coalesce(F.lag("range").over(up), F.first("range").over(down)).alias("to"))
+    # MOST_RANGES rows of a key and two numbers at most
+    visits = laid.join(F.broadcast(ring), "range").where(F.col("key") == F.col("first_key"))
+    both = laid.withColumn("guest", F.lit(0)).unionByName(visits.select("doc_id", *columns, "key", F.col("to").alias("range"), F.lit(1).alias("guest")))
+    both = both.select("doc_id", "range", "guest", "key", *columns, *[c.alias(name) for name, c in derived.items()])
+    window = Window.partitionBy("range").orderBy("guest", "key")
     every = [*columns, *derived]
     return both.select("guest", "doc_id", *every, *[F.lead(c).over(window).alias(f"next_{c}") for c in every]) \
         .where("guest = 0").drop("guest")

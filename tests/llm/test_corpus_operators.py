@@ -253,6 +253,58 @@ def test_mixtures_are_estimated():
     assert (share[:, 3:] == 0).all()
 
 
+def plain_mixture(scores, words, start):
+    """EM over one text, word by word: proportions and log-likelihood (both of likelihoods scaled to a best of 1)."""
+    share = list(start)
+    for _ in range(language_id.ITERATIONS):
+        total = [0.0] * len(share)
+        for w in words:
+            joint = [s * np.exp(max(row[w] - max(r[w] for r in scores), -60)) for s, row in zip(share, scores)]
+            for k, j in enumerate(joint):
+                total[k] += j / sum(joint)
+        share = [t / len(words) for t in total]
+    log = sum(np.log(sum(s * np.exp(max(row[w] - max(r[w] for r in scores), -60)) for s, row in zip(share, scores))) for w in words)
+    return share, log
+
+
+def plain_infer(scores, words):
+    """The languages of one text, added one by one (by their share in the mixture of all) while each pays its penalty."""
+    n = len(scores)
+    if not len(words):
+        return [0.0] * n
+    single = [sum(row[w] - max(r[w] for r in scores) for w in words) for row in scores]
+    best = max(range(n), key=lambda k: single[k])
+    out, reached = [float(k == best) for k in range(n)], single[best]
+    cost = float(language_id.penalty(np.array(float(len(words))), n))
+    if n < 2 or -reached <= cost:
+        return out
+    full, _ = plain_mixture(scores, words, [1 / n] * n)
+    order = sorted(range(n), key=lambda k: -full[k])
+    for size in range(2, n + 1):
+        begin = [max(full[k], 1e-6) if k in order[:size] else 0.0 for k in range(n)]
+        share, log = plain_mixture(scores, words, [b / sum(begin) for b in begin])
+        if log - (size - 1) * cost <= reached:
+            break
+        out, reached = share, log - (size - 1) * cost
+    return out
+
+
+def test_inference_equals_a_plain_loop():
+    rng = np.random.default_rng(8)
+    sizes = [0, 1, 3, 40, 60, 0, 25, 90]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    for n_lang in (1, 2, 4):
+        scores = -rng.gamma(2.0, 2.0, (n_lang, bounds[-1]))
+        for t, size in enumerate(sizes):  # one main language, or two by halves
+            own = [t % n_lang, (t + 1) % n_lang][: 1 + t % 2]
+            for i, w in enumerate(range(bounds[t], bounds[t + 1])):
+                scores[own[i % len(own)], w] += 8
+        got = language_id.infer(scores.astype(np.float32), bounds)
+        for t in range(len(sizes)):
+            assert got[:, t] == pytest.approx(plain_infer(scores.tolist(), range(bounds[t], bounds[t + 1])), abs=2e-3), (n_lang, t)
+        assert n_lang == 1 or any((got[:, t] > 0.2).sum() == 2 for t in range(len(sizes)))
+
+
 def test_language_edges(spark):
     rows = [(1, "aaa bbb", "x", None), (2, None, "x", None), (3, "...", None, None), (4, "ccc", None, None), (4, "ccc", None, None), (None, "aaa", "x", None)]
     docs = documents(spark, rows).withColumn("lang_pred", F.lit("clash")).withColumn("language", F.lit(1))
@@ -465,6 +517,21 @@ def test_each_stage_keeps_to_its_contract(spark):
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
 
 
+def test_stages_take_nulls_repeats_and_empty_tables(spark, tmp_path):
+    import corpus_pipeline
+    rows = [(1, None, None, None, None), (1, "", "en", "src1", 0), (None, None, None, None, None), (2, "some words here and there", "en", "src1", 25),
+            (2, "some words here and there", "en", "src1", 25), (None, "quelques mots pour voir", "fr", None, None), (3, " \n ", None, "src2", 3)]
+    benchmark = spark.createDataFrame([("b", None), (None, "of words")], "item_id string, text string")
+    for part, data in enumerate((rows, [])):
+        folder = str(tmp_path / str(part))
+        spark.createDataFrame(data, DOCS).write.parquet(f"{folder}/documents.parquet")
+        benchmark.write.parquet(f"{folder}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, folder).collect()
+        # texts without a letter are rejected; of equal texts one stays
+        assert {r["doc_id"] for r in out} == ({2, None} if data else set())
+        assert all(r["n_tokens"] > 1 for r in out)
+
+
 def test_run_writes_every_stage(spark):
     import corpus_pipeline
     rows = corpus_pipeline.run(spark, SF).collect()

@@ -282,3 +282,24 @@ def test_edges(spark, report):
     rows = report(docs).collect()
     assert sum(r["doc_id"] == 1 for r in rows) == 2
     assert chat.rotate(spark.createDataFrame([], TURNS)).count() == 0
+
+
+# ---------------------------------------------------------------- successors of any id
+
+@pytest.mark.parametrize("kind,ids", [
+    ("string", [f"d{i:05d}" for i in range(60)] + ["\u00e9", ""]), ("decimal(12,3)", [i / 4 for i in range(60)]), ("double", [i / 3 - 5 for i in range(60)]),
+    ("bigint", [None] * 25 + [7] * 25 + list(range(20, 30))), ("string", [None] * 40 + ["x"] * 20), ("date", [None, *[f"2024-01-{d:02d}" for d in range(1, 29)]])])
+@pytest.mark.parametrize("range_rows", [4, 1000])
+def test_the_next_document_of_any_kind_of_id(spark, kind, ids, range_rows):
+    rng = random.Random(len(ids))
+    rows = [(str(i) if i is not None else None, f"t{k}") for k, i in enumerate(ids)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "i string, text string").select(F.col("i").cast(kind).alias("doc_id"), "text")
+    order = docs.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()
+    got = fingerprint.with_next(docs, ["text"], {"n": F.length("text")}, range_rows=range_rows)
+    assert {(r["doc_id"], r["text"], r["next_text"]) for r in got.collect()} == {
+        (a["doc_id"], a["text"], b["text"]) for a, b in zip(order, order[1:] + order[:1])}
+    if range_rows == 4:
+        # rows with one id, or none, are parted as well
+        keyed = docs.withColumn("key", F.struct("doc_id", F.xxhash64("text").alias("hash")))
+        assert len(fingerprint._edges(keyed.select("key"), -(-len(rows) // 4))) >= len(rows) // 12
