@@ -73,7 +73,7 @@ NULL_HEADER = "null"
 
 
 def cross_tab(df: DataFrame, keys: Sequence[str], header: str, value: str, values: Sequence | None = None,
-              agg: str = "first") -> DataFrame:
+              agg: str = "first", most: int = 10_000) -> DataFrame:
     """R3 CrossTab: one column per header value.
 
     One grouped aggregate with a conditional aggregate per header value (one
@@ -81,11 +81,13 @@ def cross_tab(df: DataFrame, keys: Sequence[str], header: str, value: str, value
     the first non-NULL value — deterministic only when (keys, header) is
     unique; other methods: ``sum``, ``max``, ``min``, ``count``, ``concat``.
     Without ``values`` the header values are found by a distinct query; they
-    become columns, so there can be as many as a plan can hold.  Rows with a
-    NULL header go to a column named ``null`` (None in ``values``).
+    become columns, and more than ``most`` of them are an error (the driver gets one more
+    at most).  Rows with a NULL header go to a column named ``null`` (None in ``values``).
     """
     if values is None:
-        found = [r[0] for r in df.select(header).distinct().collect()]
+        found = [r[0] for r in df.select(header).distinct().limit(most + 1).collect()]
+        if len(found) > most:
+            raise ValueError(f"cross_tab: {header!r} has more than {most} values; give them as values")
         values = sorted(v for v in found if v is not None) + ([None] if None in found else [])
     h, v = F.col(header), F.col(value)
 

@@ -133,3 +133,11 @@ def test_cross_tab_keeps_the_null_header(spark):
     from stargrain.operators.reshape import cross_tab
     df = spark.createDataFrame([(1, "x", 5), (1, None, 7)], "k int, h string, v int")
     assert cross_tab(df, ["k"], "h", "v").first().asDict() == {"k": 1, "x": 5, "null": 7}
+
+
+def test_cross_tab_bounds_the_headers(spark):
+    import pytest
+    df = spark.range(30).selectExpr("id % 3 AS k", "id % 10 AS h", "id AS v")
+    assert len(cross_tab(df, ["k"], "h", "v", agg="max", most=10).columns) == 11
+    with pytest.raises(ValueError, match="more than 9 values"):
+        cross_tab(df, ["k"], "h", "v", agg="max", most=9)
