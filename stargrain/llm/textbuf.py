@@ -107,17 +107,6 @@ def hash_words(words: list[bytes]) -> np.ndarray:
     return word_hashes(data, starts, ends)
 
 
-def distinct_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
-    """(which of the distinct words each span is, the distinct words), by the words' bytes."""
-    sizes = ends - starts
-    offsets = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(sizes, out=offsets[1:])
-    joined = data[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)]
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
-    known = words.dictionary_encode()
-    return known.indices.to_numpy(), known.dictionary.to_pylist()
-
-
 def code_point_offset(data: np.ndarray, text_start: int, byte: int) -> int:
     """Code points between a text's first byte and ``byte``."""
     part = data[text_start:byte]

@@ -8,8 +8,8 @@ a reader that asks for some documents or for the counts alone touches only those
 ``read_tokens`` and ``read_counts`` are such readers; ``starts`` numbers the tokens of the whole set in
 file order from the counts alone.
 
-The tokenizer's model runs on each distinct word only once per task (a bounded cache, by the words
-themselves); texts with characters beyond Latin-1, and all texts if the tokenizer is not of the kind whose words
+The tokenizer's model runs on each distinct word only once per task (a bounded cache, checked by the words'
+bytes); texts with characters beyond Latin-1, and all texts if the tokenizer is not of the kind whose words
 are cut here (``cuts_words``), go to it whole.  The tests compare both ways with encoding whole texts.
 
 Defined results: null and empty texts encode to the end id alone; repeated ids are ordered by their
@@ -37,8 +37,8 @@ from stargrain.session import scratch_dir
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 # distinct words, and their bytes, kept by a task's encoder before it starts afresh: bounds memory, changes no result
-CACHE_WORDS = 150_000
-CACHE_BYTES = 8 << 20
+CACHE_WORDS = 500_000
+CACHE_BYTES = 16 << 20
 # text that is encoded at once (a longer text by itself)
 PIECE_BYTES = 256 << 10
 ROW_GROUP_BYTES = 64 << 20
@@ -141,10 +141,50 @@ def cuts_words(tokenizer) -> bool:
             and all(t["content"].startswith("<|") for t in spec["added_tokens"]))
 
 
+class _HashCodes:
+    """An open-addressing table from 64-bit word hashes to codes, filled and read in bulk."""
+
+    def __init__(self, bits: int):
+        self.mask = np.uint64((1 << bits) - 1)
+        self.keys = np.zeros(1 << bits, np.uint64)
+        self.codes = np.full(1 << bits, -1, np.int32)
+
+    def get(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.full(len(hashes), -1, np.int64)
+        slot = (hashes & self.mask).astype(np.int64)
+        live = np.arange(len(hashes))
+        while len(live):
+            code = self.codes[slot]
+            hit = (self.keys[slot] == hashes[live]) & (code >= 0)
+            out[live[hit]] = code[hit]
+            go = ~hit & (code >= 0)
+            live, slot = live[go], (slot[go] + 1) & int(self.mask)
+        return out
+
+    def add(self, hashes: np.ndarray, first: int) -> None:
+        """New, distinct hashes; their codes are ``first`` and the numbers after it."""
+        codes = np.arange(first, first + len(hashes), dtype=np.int32)
+        slot = (hashes & self.mask).astype(np.int64)
+        live = np.arange(len(hashes))
+        while len(live):
+            free = self.codes[slot] < 0
+            self.codes[slot[free]] = codes[live[free]]  # of several at one slot the last stays
+            self.keys[slot[free]] = hashes[live[free]]
+            go = self.codes[slot] != codes[live]
+            live, slot = live[go], (slot[go] + 1) & int(self.mask)
+
+
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    while len(array) < size:
+        array = np.concatenate([array, np.zeros_like(array)])
+    return array
+
+
 class Encoder:
     """``tokenizers`` with a cache of the ids of words, for tokenizers of the ``word_bpe`` kind: a
     normalizer that composes, folds blanks and lower-cases, words by pattern, byte-level BPE with word ends.
-    The cache knows words by their bytes; when it is full it starts afresh.  Other tokenizers encode every text whole."""
+    The cache finds a word by a 64-bit hash and compares its bytes with those of the word found; words whose hash is
+    another word's have codes of their own.  When it is full it starts afresh.  Other tokenizers encode every text whole."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -165,10 +205,13 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.codes: dict[bytes, int] = {}
-        self.held = 0  # bytes of the known words
+        self.table = _HashCodes(max(12, int(np.ceil(np.log2(self.cache_words))) + 1))
+        self.odd: dict[bytes, int] = {}  # words whose hash another word has
+        self.n = 0
         self.ids = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 14, np.int64)  # ids of word k: start[k] to start[k + 1]
+        self.text = np.zeros(1 << 16, np.uint8)
+        self.at = np.zeros(1 << 14, np.int64)  # bytes of word k: at[k] to at[k + 1]
 
     def _model(self, words: list[str]) -> np.ndarray:
         text = " ".join(words)
@@ -176,37 +219,64 @@ class Encoder:
             text = " ".join(w if w.isascii() else w.translate(self.byte_map) for w in words)
         return np.array(self.words.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
-    def _learn(self, new: list[bytes]) -> None:
-        """Encode new words: many in one text, parted again after each id that ends a word."""
-        for at in range(0, len(new), 512):
-            part = [w.decode() for w in new[at:at + 512]]
+    def _learn(self, new: list[bytes]) -> int:
+        """Encode new words: many in one text, parted again after each id that ends a word.  Returns the first one's code."""
+        known = self.n
+        for i in range(0, len(new), 512):
+            part = [w.decode() for w in new[i:i + 512]]
             ids = self._model(part)
             cuts = np.flatnonzero(self.ends[ids]) + 1
             if len(cuts) != len(part) or cuts[-1] != len(ids):
                 pieces = [self._model([w]) for w in part]
                 ids, cuts = np.concatenate(pieces), np.cumsum([len(x) for x in pieces])
-            known = len(self.codes)
-            end = int(self.start[known])
-            while len(self.ids) < end + len(ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            while len(self.start) <= known + len(part):
-                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            end = int(self.start[self.n])
+            self.ids, self.start = _grown(self.ids, end + len(ids)), _grown(self.start, self.n + len(part) + 1)
             self.ids[end:end + len(ids)] = ids
-            self.start[known + 1:known + len(part) + 1] = end + cuts
-            for k, w in enumerate(new[at:at + 512]):
-                self.codes[w] = known + k
-                self.held += len(w)
-
-    def _codes(self, words: list[bytes]) -> np.ndarray:
-        codes = np.fromiter((self.codes.get(w, -1) for w in words), np.int64, len(words))
-        missing = np.flatnonzero(codes < 0).tolist()
-        if missing and (len(self.codes) > self.cache_words or self.held > self.cache_bytes):
+            self.start[self.n + 1:self.n + len(part) + 1] = end + cuts
+            self.n += len(part)
+        text = np.frombuffer(b"".join(new), np.uint8)
+        end = int(self.at[known])
+        self.text, self.at = _grown(self.text, end + len(text)), _grown(self.at, self.n + 1)
+        self.text[end:end + len(text)] = text
+        self.at[known + 1:self.n + 1] = end + np.cumsum([len(w) for w in new])
+        return known
+
+    def _codes(self, data: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The codes of the words at ``a`` to ``b``, learning those that are new."""
+        hashes = textbuf.word_hashes(data, a, b)
+        code = self.table.get(hashes)
+        missing = np.flatnonzero(code < 0)
+        if len(missing) and (self.n > self.cache_words // 2 and self.n + len(missing) > self.cache_words or self.at[self.n] > self.cache_bytes):
             self._clear()
-            missing = range(len(words))
-        if missing:
-            self._learn([words[k] for k in missing])
-            codes[missing] = [self.codes[words[k]] for k in missing]
-        return codes
+            missing = np.arange(len(hashes))
+        if len(missing):
+            new, first = np.unique(hashes[missing], return_index=True)
+            if self.n + len(new) > len(self.table.keys) * 3 // 4:  # more words at once than the table was made for
+                table, self.table = self.table, _HashCodes(int(np.ceil(np.log2(self.n + len(new)))) + 1)
+                held = np.flatnonzero(table.codes >= 0)
+                held = held[np.argsort(table.codes[held])]
+                for run in np.split(held, np.flatnonzero(np.diff(table.codes[held]) != 1) + 1):
+                    if len(run):
+                        self.table.add(table.keys[run], int(table.codes[run[0]]))
+            first = missing[first]
+            known = self._learn([data[x:y].tobytes() for x, y in zip(a[first].tolist(), b[first].tolist())])
+            self.table.add(new, known)
+            code[missing] = self.table.get(hashes[missing])
+        # a hash may be another word's: compare lengths, then bytes
+        size = b - a
+        other = size != self.at[code + 1] - self.at[code]
+        same = np.flatnonzero(~other)
+        n = size[same]
+        before = np.cumsum(n) - n
+        at = np.arange(int(n.sum()))
+        wrong = np.flatnonzero(data[at + np.repeat(a[same] - before, n)] != self.text[at + np.repeat(self.at[code[same]] - before, n)])
+        other[same[np.searchsorted(before, wrong, side="right") - 1]] = True
+        for k in np.flatnonzero(other).tolist():
+            word = data[a[k]:b[k]].tobytes()
+            if word not in self.odd:
+                self.odd[word] = self._learn([word])
+            code[k] = self.odd[word]
+        return code
 
     def _whole(self, data: np.ndarray, offsets: np.ndarray, which) -> list[np.ndarray]:
         texts = [data[offsets[i]:offsets[i + 1]].tobytes().decode("utf-8", "replace") for i in which]
@@ -224,8 +294,7 @@ class Encoder:
             starts, ends = starts[plain], ends[plain]
         ids, count = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for at in range(0, len(starts), 1 << 16):  # so many words are known at once at least
-            index, words = textbuf.distinct_words(lowered, starts[at:at + (1 << 16)], ends[at:at + (1 << 16)])
-            code = self._codes(words)[index]
+            code = self._codes(lowered, starts[at:at + (1 << 16)], ends[at:at + (1 << 16)])
             begin, c = self.start[code], self.start[code + 1] - self.start[code]
             total = np.concatenate([[0], np.cumsum(c)])
             ids.append(self.ids[np.arange(total[-1]) + np.repeat(begin - total[:-1], c)])
