@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stargrain.operators.ordered import run_sequence
-from stargrain.operators.summarize import attach_summary, concat_agg, concat_by, summarize
+from stargrain.operators.summarize import attach_summary, concat_agg, concat_by, summarize, summarize_back
 
 
 def _rows(spark, n=3000):
@@ -75,3 +75,15 @@ def test_run_sequence_equals_a_loop(spark, parts):
     got = run_sequence(df, ["k", "k2"], ["file", "pos"], out="n", run="run", parts=parts).collect()
     assert {(r["file"], r["pos"]): (r["n"], r["run"]) for r in got} == want and len(got) == len(rows)
     assert run_sequence(df.where("false"), ["k"], ["file", "pos"]).collect() == []
+
+
+def test_summarize_back_equals_summary_and_join(spark):
+    # key 1 has two groups, so its rows meet both summaries; rows without a key meet none; "t" may be NULL in a group
+    rows = [(1, "a", 1, "x"), (1, "a", 2, None), (1, "b", 1, "y"), (2, None, 1, "z"), (2, None, 1, "z"), (None, "a", 1, "w")]
+    df = spark.createDataFrame(rows, "k int, t string, o int, v string")
+    aggs = {"n": F.count(F.lit(1)), "vs": concat_agg("v", "|", ["o"])}
+    for by in (["k", "t"], ["k"]):
+        summary = df.groupBy(*by).agg(*[c.alias(n) for n, c in aggs.items()]).select("k", *aggs)
+        want, got = df.join(summary, "k"), summarize_back(df, "k", by, aggs)
+        _equal(got.select("k", "t", "o", "v", "n", "vs"), want.select("k", "t", "o", "v", "n", "vs"))
+        assert got.count() == want.count() == (8 if len(by) == 2 else 5)

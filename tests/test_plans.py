@@ -9,6 +9,8 @@ import __spark_entry__ as E
 from stargrain.operators.ordered import RANGE, ordered
 from stargrain.operators.quality import Expectation, kept
 from stargrain.operators.rows import unique_first, with_total
+from stargrain.plans import catalog, flows
+from stargrain.session import input_bytes, partitions_for
 
 SF = "/root/testdata/sf0.001"
 
@@ -73,3 +75,32 @@ def test_the_fact_scans_each_source_once(spark):
     p = plan(E.queries()["fact_orders"](spark, SF))
     for name in ("orders", "customer", "nation", "region"):
         assert len(re.findall(rf"FileScan parquet[^\n]*/{name}\.parquet", p)) == 1, name
+
+
+def _small(spark, tmp_path, lines=40):
+    """Tables with a few orders, their lines numbered from 1."""
+    d = str(tmp_path)
+    spark.range(lines).selectExpr("id div 4 AS l_orderkey", "id AS l_partkey", "id % 7 AS l_suppkey", "cast(id % 4 + 1 AS int) AS l_linenumber", "cast(id AS double) AS l_quantity",
+                                  "'A' AS l_returnflag", "'O' AS l_linestatus", "timestamp_ntz'2024-01-01' AS l_shipdate").write.parquet(f"{d}/lineitem.parquet")
+    spark.range(lines // 4).selectExpr("id AS o_orderkey", "id AS o_custkey", "element_at(array('F', 'O', 'P'), cast(id % 3 + 1 AS int)) AS o_orderstatus",
+                                       "timestamp_ntz'2024-01-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority").write.parquet(f"{d}/orders.parquet")
+    return d
+
+
+@pytest.mark.parametrize("city, key", [("a", "Inspection ID")])
+def test_a_city_flow_shuffles_its_violations_once(spark, tmp_path, city, key):
+    d = _small(spark, tmp_path)
+    p = plan({"a": flows.q_city_a_flow, "b": flows.q_city_b_flow}[city](spark, d))
+    main = p[:p.index("Subquery")] if "Subquery" in p else p
+    # the rows of an inspection meet once; windows, summary and join-back stay in that stage
+    assert len([x for x in p.splitlines() if "hashpartitioning(" + key in x]) == 1 and "REPARTITION_BY_NUM" in main
+
+
+def test_partitions_follow_the_input(spark, tmp_path):
+    d = _small(spark, tmp_path)
+    li = spark.read.parquet(f"{d}/lineitem.parquet")
+    size = input_bytes(li)
+    assert size == sum(f.stat().st_size for f in (tmp_path / "lineitem.parquet").glob("part-*"))
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert partitions_for(li) == least and partitions_for(li, size // 50) >= 50 and partitions_for(li, 1, most=300) == 300
+    assert input_bytes(spark.range(3)) == 0
