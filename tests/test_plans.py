@@ -104,3 +104,12 @@ def test_partitions_follow_the_input(spark, tmp_path):
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert partitions_for(li) == least and partitions_for(li, size // 50) >= 50 and partitions_for(li, 1, most=300) == 300
     assert input_bytes(spark.range(3)) == 0
+
+
+def test_slots_to_rows_deals_lines_by_the_input(spark, tmp_path, monkeypatch):
+    d = _small(spark, tmp_path)
+    monkeypatch.setattr(catalog, "partitions_for", lambda df, per_partition=0: 33)
+    p = plan(catalog.q_slots_to_rows(spark, d))
+    assert p.count("Exchange") == 1 and ", 33), REPARTITION_BY_NUM" in p
+    got = sorted((r.l_orderkey, r.l_linenumber, r.qty, r.max_part) for r in catalog.q_slots_to_rows(spark, d).collect())
+    assert got == [(i // 4, i % 4 + 1, float(i), i) for i in range(40)]
