@@ -21,6 +21,7 @@ import csv
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -52,10 +53,7 @@ def first_lines(spark: SparkSession, files: Sequence[str], encoding: str) -> Dat
         for batch in batches:
             paths = batch.column(0)
             # where a file begins in the batch: a path unlike the one before
-            first = [0] if len(batch) else []
-            changes = paths.slice(1).cast(pa.string()).to_numpy(zero_copy_only=False) != paths.slice(0, max(0, len(batch) - 1)).to_numpy(zero_copy_only=False)
-            first += [int(i) + 1 for i in changes.nonzero()[0]]
-            found = [(paths[i].as_py(), batch.column(3)[i].as_py()) for i in first
+            found = [(paths[i].as_py(), batch.column(3)[i].as_py()) for i, _ in _runs(paths)
                      if batch.column(1)[i].as_py() == 0 and paths[i].as_py() != before]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)], names=["path", "line"])
@@ -67,6 +65,17 @@ def first_lines(spark: SparkSession, files: Sequence[str], encoding: str) -> Dat
     return lines.mapInArrow(scan, "path string, line string")
 
 
+def _runs(*columns: pa.Array) -> list[tuple[int, int]]:
+    """(from, to) of the stretches of a batch on which all ``columns`` stay the same."""
+    n = len(columns[0])
+    starts = {0} if n else set()
+    for c in columns:
+        changes = pc.indices_nonzero(pc.not_equal(c.slice(1), c.slice(0, max(0, n - 1))))
+        starts.update(i + 1 for i in changes.to_pylist())
+    ordered = sorted(starts)
+    return list(zip(ordered, [*ordered[1:], n]))
+
+
 def _lines(spark: SparkSession, files: Sequence[str], encoding: str) -> DataFrame:
     raw = spark.read.option("lineSep", "\n").text(list(files))
     text = F.col("value") if encoding == "UTF-8" else F.decode(F.col("value").cast("binary"), encoding)
@@ -108,12 +117,20 @@ def range_states(lines: DataFrame, sep: str) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ends, done = None, [False, True], []
         for batch in batches:
-            for path, block, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if (path, block) != key:
+            texts = batch.column(2).to_pylist()
+            for start, end in _runs(batch.column(0), batch.column(1)):
+                at = batch.column(0)[start].as_py(), batch.column(1)[start].as_py()
+                if at != key:
                     if key:
                         done.append((*key, *ends))
-                    key, ends = (path, block), [False, True]
-                ends = [ends_inside(text, e) for e in ends]
+                    key, ends = at, [False, True]
+                outside, inside = ends
+                for text in texts[start:end]:
+                    # two equal states stay equal
+                    same = outside == inside
+                    outside = ends_inside(text, outside)
+                    inside = outside if same else ends_inside(text, inside)
+                ends = [outside, inside]
         if key:
             done.append((*key, *ends))
         if done:
@@ -136,7 +153,6 @@ def _records(lines: DataFrame, ended: dict[str, list[tuple[int, bool]]], sep: st
     from bisect import bisect_left
     sent = lines.sparkSession.sparkContext.broadcast(ended)
     ends_inside = _follower(sep)
-    names = ["path", "file", "block", "piece", "text"]
     whole, opens, closes, middle = WHOLE, OPENS, CLOSES, MIDDLE
     header = list(columns) if columns is not None else None
 
@@ -146,7 +162,7 @@ def _records(lines: DataFrame, ended: dict[str, list[tuple[int, bool]]], sep: st
 
         def leave() -> None:
             if parts:
-                out.append((*key, middle if crossed else opens, "\n".join(parts)))
+                out.append((middle if crossed else opens, "\n".join(parts)))
             states = sent.value.get(key[0], [])
             at = bisect_left(states, (key[2], False))
             known = at < len(states) and states[at][0] == key[2]
@@ -154,45 +170,57 @@ def _records(lines: DataFrame, ended: dict[str, list[tuple[int, bool]]], sep: st
             if quoted and not (known and states[at][1] == inside):
                 raise RuntimeError(f"the ranges of {key[0]} are not those of the first scan; run the read again")
 
+        def rows() -> pa.RecordBatch:
+            # all of one range: what it has in common is not repeated in Python
+            same = [pa.repeat(pa.scalar(v, f.type), len(out)) for v, f in zip(key, kinds)]
+            pieces, records = zip(*out)
+            return pa.RecordBatch.from_arrays([*same, pa.array(pieces, pa.int32()), pa.array(records, pa.string())], schema=kinds)
+
         for batch in batches:
-            for path, file, block, text in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if (path, file, block) != key:
+            texts = batch.column(3).to_pylist()
+            for start, end in _runs(*(batch.column(i) for i in range(3))):
+                at = tuple(batch.column(i)[start].as_py() for i in range(3))
+                if at != key:
                     if key:
                         leave()
-                    key, parts = (path, file, block), []
-                    states = sent.value.get(path, [])
-                    before = bisect_left(states, (block, False)) - 1
+                        if out:
+                            yield rows()
+                            out = []
+                    key, parts = at, []
+                    states = sent.value.get(key[0], [])
+                    before = bisect_left(states, (key[2], False)) - 1
                     inside = crossed = before >= 0 and states[before][1]
-                    first, quoted = block == 0, False
-                if text.endswith("\r"):
-                    text = text[:-1]
-                was = inside
-                if '"' in text:
-                    inside, quoted = ends_inside(text, was), True
-                if not was and not inside:
-                    if text == "":
-                        continue  # empty lines are no records
-                    kind, record = whole, text
-                else:
-                    parts.append(text)
-                    if inside:
+                    first, quoted = key[2] == 0, False
+                for text in texts[start:end]:
+                    if text.endswith("\r"):
+                        text = text[:-1]
+                    was = inside
+                    if '"' in text:
+                        inside, quoted = ends_inside(text, was), True
+                    if not was and not inside:
+                        if text == "":
+                            continue  # empty lines are no records
+                        kind, record = whole, text
+                    else:
+                        parts.append(text)
+                        if inside:
+                            continue
+                        kind, record = (closes if crossed else whole), "\n".join(parts)
+                        parts, crossed = [], False
+                    if first:
+                        first = False
+                        found = next(csv.reader([record.removeprefix("﻿")], delimiter=sep))
+                        if header is not None and [c or f"_c{i}" for i, c in enumerate(found)] != header:
+                            raise ValueError(f"the header of {key[0]} is {found}, not {header}")
                         continue
-                    kind, record = (closes if crossed else whole), "\n".join(parts)
-                    parts, crossed = [], False
-                if first:
-                    first = False
-                    found = next(csv.reader([record.removeprefix("﻿")], delimiter=sep))
-                    if header is not None and [c or f"_c{i}" for i, c in enumerate(found)] != header:
-                        raise ValueError(f"the header of {path} is {found}, not {header}")
-                    continue
-                out.append((path, file, block, kind, record))
-            if len(out) >= 8192:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names).cast(kinds)
-                out = []
+                    out.append((kind, record))
+                if len(out) >= 8192:
+                    yield rows()
+                    out = []
         if key:
             leave()
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], names=names).cast(kinds)
+            yield rows()
 
     kinds = pa.schema([("path", pa.string()), ("file", pa.string()), ("block", pa.int64()), ("piece", pa.int32()), ("text", pa.string())])
     return lines.mapInArrow(scan, _RECORD)

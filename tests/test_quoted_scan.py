@@ -124,3 +124,12 @@ def test_other_widths_and_headers_stop_the_split_read(spark, tmp_path):
     assert [tuple(r) for r in got.collect()] == [("1", "2")]
     (tmp_path / "c.csv").write_text("id,note\n")
     assert read_delimited(spark, str(tmp_path / "c.csv"), sep=",", multiline=True).collect() == []
+
+
+def test_runs_are_the_stretches_without_a_change():
+    import pyarrow as pa
+
+    from stargrain.sources.quoted import _runs
+    a, b = pa.array(["x", "x", "x", "y", "y", "x"]), pa.array([0, 0, 8, 8, 8, 8])
+    assert _runs(a) == [(0, 3), (3, 5), (5, 6)] and _runs(a, b) == [(0, 2), (2, 3), (3, 5), (5, 6)]
+    assert _runs(a.slice(0, 0)) == [] and _runs(a.slice(1, 1)) == [(0, 1)]
