@@ -87,7 +87,7 @@ def _small(spark, tmp_path, lines=40):
     return d
 
 
-@pytest.mark.parametrize("city, key", [("a", "Inspection ID")])
+@pytest.mark.parametrize("city, key", [("a", "Inspection ID"), ("b", "inspection_id")])
 def test_a_city_flow_shuffles_its_violations_once(spark, tmp_path, city, key):
     d = _small(spark, tmp_path)
     p = plan({"a": flows.q_city_a_flow, "b": flows.q_city_b_flow}[city](spark, d))
@@ -113,3 +113,15 @@ def test_slots_to_rows_deals_lines_by_the_input(spark, tmp_path, monkeypatch):
     assert p.count("Exchange") == 1 and ", 33), REPARTITION_BY_NUM" in p
     got = sorted((r.l_orderkey, r.l_linenumber, r.qty, r.max_part) for r in catalog.q_slots_to_rows(spark, d).collect())
     assert got == [(i // 4, i % 4 + 1, float(i), i) for i in range(40)]
+
+
+def test_city_b_slots_are_filled_in_line_order(spark, tmp_path):
+    # 30 lines of one order: 25 stand on the first row, in their order, the others on a second row
+    spark.range(30).selectExpr("1L AS l_orderkey", "29 - id AS l_partkey", "id AS l_suppkey", "cast(id + 1 AS int) AS l_linenumber", "'A' AS l_returnflag",
+                               "'O' AS l_linestatus", "timestamp_ntz'2024-01-01' AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT 1L AS o_orderkey, timestamp_ntz'2024-01-01' AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    raw = flows.city_b_raw(spark, str(tmp_path))
+    codes = [[r[f"Violation Description - {i}"] for i in range(1, 26)] for r in raw.orderBy("FileName").collect()]
+    assert [[c and int(c[1:].split()[0]) for c in row] for row in codes] == [list(range(29, 4, -1)), [4, 3, 2, 1, 0] + [None] * 20]
+    p = plan(raw)
+    assert "REPARTITION_BY_NUM" in p and "SortAggregate" not in p
