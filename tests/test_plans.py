@@ -96,6 +96,12 @@ def test_a_city_flow_shuffles_its_violations_once(spark, tmp_path, city, key):
     assert len([x for x in p.splitlines() if "hashpartitioning(" + key in x]) == 1 and "REPARTITION_BY_NUM" in main
 
 
+def test_cross_row_flags_computes_each_city_once(spark, tmp_path):
+    p = plan(flows.q_cross_row_flags(spark, _small(spark, tmp_path)))
+    assert len([x for x in p.splitlines() if "REPARTITION_BY_NUM" in x]) == 2 and p.count("_sg_first") > 0
+    assert not [x for x in p.splitlines() if "Join" in x and ("Inspection ID" in x or "inspection_id" in x)]
+
+
 def test_partitions_follow_the_input(spark, tmp_path):
     d = _small(spark, tmp_path)
     li = spark.read.parquet(f"{d}/lineitem.parquet")
