@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stargrain.operators.ordered import run_sequence
-from stargrain.operators.summarize import attach_summary, concat_agg, concat_by, summarize, summarize_back
+from stargrain.operators.summarize import any_true, attach_summary, concat_agg, concat_by, mode_agg, summarize, summarize_back
 
 
 def _rows(spark, n=3000):
@@ -87,3 +87,18 @@ def test_summarize_back_equals_summary_and_join(spark):
         want, got = df.join(summary, "k"), summarize_back(df, "k", by, aggs)
         _equal(got.select("k", "t", "o", "v", "n", "vs"), want.select("k", "t", "o", "v", "n", "vs"))
         assert got.count() == want.count() == (8 if len(by) == 2 else 5)
+
+
+def test_summarize_back_over_windows_equals_summary_and_join(spark):
+    rows = [(1, "a", 1, "x"), (1, "a", 2, None), (1, "b", 1, "y"), (2, None, 1, "z"), (2, None, 1, "z"), (None, "a", 1, "w"), (3, "c", 1, None)]
+    df = spark.createDataFrame(rows, "k int, t string, o int, v string")
+    aggs = {"n": (F.count("v"), lambda w: F.count("v").over(w)), "vs": (concat_agg("v", "|", ["o"]), lambda w: concat_agg("v", "|", ["o"], over=w)),
+            "most": (F.max("v"), lambda w: F.max("v").over(w)), "often": (mode_agg("v"), lambda w: mode_agg("v", over=w)),
+            "any": (any_true(F.col("v") == "y"), lambda w: any_true(F.col("v") == "y", over=w))}
+    for by in (["k", "t"], ["k"]):
+        summary = df.groupBy(*by).agg(*[a.alias(n) for n, (a, _) in aggs.items()]).select("k", *aggs)
+        want, got = df.join(summary, "k"), summarize_back(df, "k", by, {n: f for n, (_, f) in aggs.items()})
+        _equal(got.select(*df.columns, *aggs), want.select(*df.columns, *aggs))
+        assert got.count() == want.count() == (9 if len(by) == 2 else 6)
+    # a summary that is not used is not computed
+    assert "collect_list(struct" not in got.select("k", "n")._jdf.queryExecution().optimizedPlan().toString()

@@ -132,3 +132,21 @@ def test_city_b_slots_are_filled_in_line_order(spark, tmp_path):
     assert [[c and int(c[1:].split()[0]) for c in row] for row in codes] == [list(range(29, 4, -1)), [4, 3, 2, 1, 0] + [None] * 20]
     p = plan(raw)
     assert "REPARTITION_BY_NUM" in p and "SortAggregate" not in p
+
+
+def test_cross_row_flags_carries_only_what_it_needs(spark, tmp_path):
+    lines = plan(flows.q_cross_row_flags(spark, _small(spark, tmp_path))).splitlines()
+    # an inspection's rows are not packed again, its texts not joined, and what its rows share is not sorted with its violations
+    assert not [x for x in lines if "Aggregate" in x and ("Inspection ID" in x or "inspection_id" in x)]
+    assert not [x for x in lines if "all_violation" in x]
+    firsts = [x for x in lines if "WindowGroupLimit" in x]
+    assert len(firsts) == 2 and not [x for x in firsts if "DBA Name" in x or "dba_name" in x]
+    # the types of the numbers are found without making the violations' texts
+    assert not [x for x in lines if "RLIKE(concat_ws" in x]
+    assert len([x for x in lines if "functions=[collect_list(struct(k0" in x]) == 1
+
+
+def test_city_b_slots_meet_packed(spark, tmp_path):
+    lines = plan(flows.q_city_b_flow(spark, _small(spark, tmp_path))).splitlines()
+    met = next(i for i, x in enumerate(lines) if "hashpartitioning(inspection_id" in x)
+    assert [x for x in lines[:met] if "Generate inline(_slots" in x] and not [x for x in lines[:met] if "Violation Description - 25" in x]

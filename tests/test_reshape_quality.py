@@ -141,3 +141,22 @@ def test_cross_tab_bounds_the_headers(spark):
     assert len(cross_tab(df, ["k"], "h", "v", agg="max", most=10).columns) == 11
     with pytest.raises(ValueError, match="more than 9 values"):
         cross_tab(df, ["k"], "h", "v", agg="max", most=9)
+
+
+def test_slots_to_rows_makes_rows_of_filled_slots_alone(spark):
+    df = spark.createDataFrame([(1, "a", None, None, None), (2, None, None, None, None), (3, None, "", "c", "d")], "k int, x1 string, y1 string, x2 string, y2 string")
+    out = slots_to_rows(df, ["k"], [{"x": "x1", "y": "y1"}, {"x": "x2", "y": "y2"}])
+    assert sorted(map(tuple, out.collect())) == [(1, 1, "a", None), (3, 1, None, ""), (3, 2, "c", "d")]
+    # no row is made to be dropped again
+    p = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [x for x in p[:p.index("Generate")].splitlines() if "Filter" in x]
+    every = slots_to_rows(df, ["k"], [{"x": "x1", "y": "y1"}, {"x": "x2", "y": "y2"}], drop_empty=False)
+    assert every.count() == 6
+
+
+def test_cleanse_does_not_test_rows_that_have_a_fixed_value(spark):
+    df = spark.createDataFrame([(" a ", None), (None, "\t "), (None, None), ("", "b")], "x string, y string")
+    assert sorted((r.x, r.y) for r in cleanse(df).where("x IS NOT NULL").collect()) == [("", "b"), ("a", None)] and cleanse(df).count() == 2
+    fixed = cleanse(df.withColumn("z", F.lit("c")))
+    assert fixed.count() == 4 and "RLIKE" not in fixed._jdf.queryExecution().optimizedPlan().toString()
+    assert cleanse(df.withColumn("n", F.when(F.col("y").isNull(), 1))).count() == 3
